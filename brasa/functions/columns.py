@@ -113,3 +113,11 @@ def coalesce_all(cols: Iterable, default) -> list[Column]:
     return [F.coalesce(_c(c), F.lit(default)) for c in cols]
 
 
+
+
+def attention_priority(level, days) -> Column:
+    """Severity x age matrix -> 1 (most urgent) .. 7."""
+    lv, d = _c(level), _c(days)
+    return (F.when((lv == "alto") & (d > 7), 1).when(lv == "alto", 2)
+            .when((lv == "medio") & (d > 30), 3).when(lv == "medio", 4)
+            .when(d > 90, 5).when((lv == "bajo") & (d > 30), 6).otherwise(7)).cast("bigint")

@@ -1,2 +1,409 @@
-"""Generic operator queries on the raw test tables (filled in below)."""
-OPERATOR_QUERIES = {}
+"""Queries that exercise each operator of the library on the raw test tables.
+
+Every query reads whole tables (no sampling, no id subsets) and is checked
+against an independent DuckDB statement in ``oracles/operators.py``.
+"""
+
+from __future__ import annotations
+
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from brasa.functions.calendar import calendar_parts
+from brasa.functions.columns import (
+    DEC2, attention_priority, avg_dec, band, clean_text, date_lit, flag_eq, indicator, pct, ratio,
+    round_dec, safe_number, surrogate_key, trim_null,
+)
+from brasa.operators import incremental as inc
+from brasa.operators.asof import asof_join
+from brasa.operators.intervals import expand_days
+from brasa.operators.ranking import Order, RankSpec, add_ranks, attach_group_stats
+from brasa.plans.staging import resolution_days
+from brasa.sources.freshness import freshness
+from brasa.sources.tables import read_table
+
+OPERATOR_QUERIES: dict = {}
+
+
+def q(name: str):
+    def deco(fn):
+        OPERATOR_QUERIES[name] = fn
+        return fn
+    return deco
+
+
+def T(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return read_table(spark, sf, name)
+
+
+def money(col) -> Column:
+    c = F.col(col) if isinstance(col, str) else col
+    return c.cast("decimal(18,2)")
+
+
+def odate() -> Column:
+    return F.to_date("o_orderdate")
+
+
+# ---------------------------------------------------------------- S: sources and sinks
+
+def typed_orders(spark, sf) -> DataFrame:
+    return T(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("bigint").alias("id_pedido"), F.col("o_custkey").cast("bigint").alias("id_cliente"),
+        odate().alias("fecha"), money("o_totalprice").alias("importe"), clean_text("o_orderstatus").alias("estado"),
+        clean_text("o_orderpriority").alias("prioridad"))
+
+
+@q("s1_source_scan")
+def s1(spark, sf):
+    return typed_orders(spark, sf)
+
+
+@q("s3_source_freshness")
+def s3(spark, sf):
+    ev = T(spark, sf, "events")
+    out = None
+    for as_of in ("2024-02-15", "2024-03-15", "2024-06-01"):
+        f = freshness(ev, "ts", as_of)
+        out = f if out is None else out.unionByName(f)
+    return out
+
+
+@q("s4_view_sink")
+def s4(spark, sf):
+    typed_orders(spark, sf).createOrReplaceTempView("brasa_pedidos")
+    return spark.sql("SELECT estado, prioridad, count(*) AS pedidos, sum(importe) AS importe "
+                     "FROM brasa_pedidos GROUP BY estado, prioridad")
+
+
+@q("s5_table_sink")
+def s5(spark, sf):
+    return inc.publish(spark, typed_orders(spark, sf), "s5_orders")
+
+
+def _orders_split(spark, sf):
+    o = typed_orders(spark, sf)
+    target = o.filter(F.col("fecha") < date_lit("1999-01-01"))
+    delta = (o.filter(F.col("fecha") >= date_lit("1998-12-25"))
+             .withColumn("importe", (F.col("importe") + F.lit(Decimal("1.00"))).cast("decimal(18,2)")))
+    return target, delta
+
+
+@q("s6_incremental_merge_sink")
+def s6(spark, sf):
+    target, delta = _orders_split(spark, sf)
+    published = inc.publish(spark, target, "s6_target")
+    return inc.publish(spark, inc.upsert(published, delta, "id_pedido"), "s6_merged")
+
+
+@q("s7_guarded_create")
+def s7(spark, sf):
+    from brasa.session import new_table_path
+    path = new_table_path(spark, "s7_guarded")
+    nation = T(spark, sf, "nation")
+    inc.guarded_create(spark, nation.filter(F.col("n_regionkey") == 0), path)
+    refused = False
+    try:
+        inc.guarded_create(spark, nation, path)
+    except RuntimeError:
+        refused = True
+    final = inc.guarded_create(spark, nation, path, force=True)
+    return final.select("n_nationkey", "n_name", "n_regionkey", F.lit(refused).alias("refused_without_force"))
+
+
+# ---------------------------------------------------------------- P: projections and predicates
+
+@q("p2_derived_columns")
+def p2(spark, sf):
+    o = typed_orders(spark, sf)
+    return o.select("*", (F.col("importe") * F.lit(Decimal("1.21"))).cast("decimal(18,4)").alias("importe_con_iva"),
+                    F.year("fecha").cast("bigint").alias("anio"))
+
+
+@q("p3_date_floor_filter")
+def p3(spark, sf):
+    return typed_orders(spark, sf).filter(F.col("fecha") >= date_lit("1996-01-01")).select("id_pedido", "fecha")
+
+
+def nullable_date(spark, sf) -> DataFrame:
+    o = T(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    return o.select(k.alias("id_pedido"), F.when(k % 7 == 0, F.lit(None).cast("date")).otherwise(odate()).alias("fecha"))
+
+
+@q("p4_null_tolerant_filter")
+def p4(spark, sf):
+    d = nullable_date(spark, sf)
+    return d.filter(F.col("fecha").isNull() | (F.col("fecha") >= date_lit("1998-01-01")))
+
+
+@q("p5_half_open_window")
+def p5(spark, sf):
+    l = T(spark, sf, "lineitem")
+    d = F.to_date("l_shipdate")
+    return l.filter((d >= date_lit("1996-01-01")) & (d < date_lit("1997-01-01"))).select(
+        "l_orderkey", "l_linenumber", d.alias("fecha_envio"))
+
+
+@q("p6_membership")
+def p6(spark, sf):
+    return T(spark, sf, "orders").filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).select(
+        "o_orderkey", "o_orderpriority")
+
+
+@q("p7_range_predicate")
+def p7(spark, sf):
+    return T(spark, sf, "lineitem").filter(F.col("l_discount").between(0.02, 0.05)).select(
+        "l_orderkey", "l_linenumber", money("l_discount").alias("descuento"))
+
+
+def keyed_orders(spark, sf) -> DataFrame:
+    k = F.col("o_custkey")
+    key = F.when(k % 13 == 0, F.lit(None).cast("string")).when(k % 10 == 0, F.lit("-1")).otherwise(surrogate_key(k))
+    return T(spark, sf, "orders").select("o_orderkey", key.alias("cliente_key"))
+
+
+@q("p8_known_member_filter")
+def p8(spark, sf):
+    o = keyed_orders(spark, sf)
+    return o.filter(F.col("cliente_key").isNotNull() & (F.col("cliente_key") != "-1"))
+
+
+def dirty_segment(spark, sf) -> DataFrame:
+    c = T(spark, sf, "customer")
+    k = F.col("c_custkey")
+    seg = F.when(k % 9 == 0, F.lit(None).cast("string")).otherwise(
+        F.concat(F.lit("  "), F.upper("c_mktsegment"), F.lit(" ")))
+    return c.select(k.alias("id_cliente"), seg.alias("segmento_sucio"))
+
+
+@q("p9_category_mapping")
+def p9(spark, sf):
+    d = dirty_segment(spark, sf)
+    s = clean_text("segmento_sucio")
+    cat = (F.when(s.isin("automobile", "building"), F.lit("industria"))
+           .when(s.isin("furniture", "household"), F.lit("hogar"))
+           .when(s.isNull(), F.lit("sin_dato")).otherwise(F.lit("otros")))
+    return d.select("id_cliente", cat.alias("categoria"))
+
+
+@q("p10_numeric_bands")
+def p10(spark, sf):
+    o = T(spark, sf, "orders")
+    bands = [(50000, "bajo"), (150000, "medio"), (300000, "alto"), (450000, "muy_alto")]
+    return o.select("o_orderkey", band(F.col("o_totalprice"), bands, "extremo").alias("tramo_importe"))
+
+
+def event_age(spark, sf) -> DataFrame:
+    e = T(spark, sf, "events")
+    level = F.when(F.col("event_type") == "error", F.lit("alto")).when(F.col("event_type") == "purchase", F.lit("medio")) \
+             .when(F.col("event_type") == "view", F.lit("bajo"))
+    days = F.floor(F.col("value") / 2).cast("bigint")
+    return e.select("event_id", level.alias("nivel"), days.alias("dias"))
+
+
+@q("p11_priority_matrix")
+def p11(spark, sf):
+    e = event_age(spark, sf)
+    return e.select("event_id", attention_priority("nivel", "dias").alias("prioridad"))
+
+
+@q("p12_boolean_flags")
+def p12(spark, sf):
+    o = T(spark, sf, "orders")
+    st = F.when(F.col("o_orderkey") % 11 == 0, F.lit(None).cast("string")).otherwise(F.col("o_orderstatus"))
+    o = o.select("o_orderkey", st.alias("estado"))
+    return o.select("o_orderkey", flag_eq("estado", "F").alias("es_f"), flag_eq("estado", "O").alias("es_o"),
+                    flag_eq("estado", "P").alias("es_p"))
+
+
+@q("p13_indicator_measures")
+def p13(spark, sf):
+    l = T(spark, sf, "lineitem")
+    return l.select("l_orderkey", "l_linenumber",
+                    indicator(F.col("l_returnflag") == "R").cast("bigint").alias("es_devuelta"),
+                    indicator(F.col("l_linestatus") == "O").cast("bigint").alias("es_abierta"),
+                    F.lit(1).cast("bigint").alias("total_lineas"))
+
+
+def orders_lines(spark, sf) -> DataFrame:
+    o = T(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
+    return T(spark, sf, "lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey"), "inner")
+
+
+@q("p14_guarded_duration")
+def p14(spark, sf):
+    j = orders_lines(spark, sf)
+    state = F.when(F.col("l_linestatus") == "F", F.lit("resuelta")).otherwise(F.lit("abierta"))
+    days = resolution_days(state, F.col("o_orderdate"), F.col("l_shipdate"), max_days=120, floor_date="1995-01-01")
+    return j.select("l_orderkey", "l_linenumber", days.alias("dias_resolucion"))
+
+
+@q("p15_inclusive_duration")
+def p15(spark, sf):
+    j = orders_lines(spark, sf)
+    ship = F.when(F.col("l_linenumber") % 5 == 0, F.lit(None).cast("date")).otherwise(F.to_date("l_shipdate"))
+    start = F.to_date("o_orderdate")
+    d = F.when(ship.isNotNull() & start.isNotNull(), F.datediff(ship, start) + 1).otherwise(F.lit(1))
+    return j.select("l_orderkey", "l_linenumber", d.cast("bigint").alias("dias"))
+
+
+@q("p16_null_group_label")
+def p16(spark, sf):
+    l = T(spark, sf, "lineitem")
+    flag = F.when(F.col("l_linenumber") % 4 == 0, F.lit(None).cast("string")).otherwise(F.col("l_returnflag"))
+    return l.groupBy(F.coalesce(flag, F.lit("sin_clasificar")).alias("indicador")).agg(
+        F.count(F.lit(1)).alias("lineas"))
+
+
+@q("p17_row_cost")
+def p17(spark, sf):
+    l = T(spark, sf, "lineitem")
+    hours_day = F.col("l_linenumber").cast("decimal(38,0)")
+    hours_night = (F.col("l_orderkey") % 5).cast("decimal(38,0)")
+    price_day = ((F.col("l_partkey") % 4000 + 1000).cast("decimal(12,0)") * F.lit(Decimal("0.01"))).cast("decimal(10,2)")
+    price_night = ((F.col("l_suppkey") % 3000 + 1500).cast("decimal(12,0)") * F.lit(Decimal("0.01"))).cast("decimal(10,2)")
+    return l.select("l_orderkey", "l_linenumber",
+                    (hours_day * price_day).cast("decimal(12,2)").alias("coste_diurno"),
+                    (hours_night * price_night).cast("decimal(12,2)").alias("coste_nocturno"),
+                    (hours_day * price_day + hours_night * price_night).cast("decimal(12,2)").alias("coste_total"))
+
+
+@q("p18_conditional_effective_date")
+def p18(spark, sf):
+    e = T(spark, sf, "events")
+    eff = F.when((F.col("event_type") == "purchase") & F.col("user_id").isNotNull(), F.col("ts"))
+    return e.select("event_id", eff.alias("fecha_efecto"))
+
+
+# ---------------------------------------------------------------- F: scalar functions
+
+@q("f1_clean_text")
+def f1(spark, sf):
+    return dirty_segment(spark, sf).select("id_cliente", clean_text("segmento_sucio").alias("segmento"))
+
+
+@q("f2_trim_null")
+def f2(spark, sf):
+    return dirty_segment(spark, sf).select("id_cliente", trim_null("segmento_sucio").alias("segmento"))
+
+
+@q("f3_upper_twin")
+def f3(spark, sf):
+    c = T(spark, sf, "customer")
+    return c.select("c_custkey", "c_name", F.upper(trim_null("c_name")).alias("nombre_normalizado"))
+
+
+@q("f4_coalesce_default")
+def f4(spark, sf):
+    c = T(spark, sf, "customer")
+    bal = F.when(F.col("c_custkey") % 6 == 0, F.lit(None).cast("double")).otherwise(F.col("c_acctbal"))
+    return c.select("c_custkey", money(F.coalesce(bal, F.lit(0.0))).alias("saldo"))
+
+
+def text_numbers(spark, sf) -> DataFrame:
+    e = T(spark, sf, "events")
+    i = F.col("event_id")
+    txt = (F.when(i % 10 == 0, F.lit("x")).when(i % 10 == 1, F.lit(""))
+           .when(i % 10 == 2, F.concat(F.lit(" "), i.cast("string"), F.lit(" ")))
+           .when(i % 10 == 3, F.concat(i.cast("string"), F.lit(".7")))
+           .when(i % 10 == 4, F.lit(None).cast("string")).otherwise(i.cast("string")))
+    return e.select("event_id", txt.alias("texto"))
+
+
+@q("f5_safe_number")
+def f5(spark, sf):
+    return text_numbers(spark, sf).select("event_id", "texto", safe_number("texto").cast("bigint").alias("numero"))
+
+
+@q("f6_strict_casts")
+def f6(spark, sf):
+    o = T(spark, sf, "orders")
+    return o.select(F.col("o_orderkey").cast("string").alias("clave_texto"), odate().alias("fecha"),
+                    F.col("o_orderdate").cast("timestamp_ntz").alias("momento"),
+                    money("o_totalprice").alias("importe"), (F.col("o_orderstatus") == "F").cast("boolean").alias("cerrado"),
+                    F.col("o_custkey").cast("decimal(38,0)").cast("bigint").alias("cliente"))
+
+
+@q("f7_surrogate_key")
+def f7(spark, sf):
+    o = T(spark, sf, "orders")
+    k = F.when(F.col("o_orderkey") % 9 == 0, F.lit(None).cast("bigint")).otherwise(F.col("o_custkey"))
+    return o.select("o_orderkey", surrogate_key("o_orderkey").alias("pedido_key"),
+                    surrogate_key(k, odate()).alias("cliente_fecha_key"))
+
+
+@q("f8_md5_concat")
+def f8(spark, sf):
+    o = T(spark, sf, "orders")
+    return o.select("o_orderkey", F.md5(F.concat(F.col("o_orderkey").cast("string"), F.lit("|"),
+                                                 F.col("o_orderdate").cast("string"))).alias("scd_id"))
+
+
+def order_days(spark, sf) -> DataFrame:
+    return T(spark, sf, "orders").select(odate().alias("fecha")).distinct()
+
+
+@q("f9_calendar_parts")
+def f9(spark, sf):
+    parts = calendar_parts("fecha")
+    keep = ["anio", "trimestre", "mes", "semana_anio", "dia", "dia_semana_num"]
+    return order_days(spark, sf).select("fecha", *[parts[k].alias(k) for k in keep])
+
+
+@q("f10_month_day_names")
+def f10(spark, sf):
+    parts = calendar_parts("fecha")
+    return order_days(spark, sf).select("fecha", parts["mes_nombre"].alias("mes_nombre"),
+                                        parts["dia_semana_nombre"].alias("dia_semana_nombre"))
+
+
+@q("f11_trunc_month")
+def f11(spark, sf):
+    return T(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.trunc("l_shipdate", "MM").alias("mes"))
+
+
+@q("f12_day_difference")
+def f12(spark, sf):
+    j = orders_lines(spark, sf)
+    return j.select("l_orderkey", "l_linenumber", F.datediff("l_shipdate", "o_orderdate").cast("bigint").alias("dias"))
+
+
+@q("f13_subtract_days")
+def f13(spark, sf):
+    e = T(spark, sf, "events")
+    return e.select("event_id", F.date_trunc("second", F.col("ts") - F.make_dt_interval(F.lit(7)))
+                    .cast("timestamp_ntz").alias("hace_una_semana"))
+
+
+@q("f14_as_of_date")
+def f14(spark, sf):
+    return T(spark, sf, "orders").select(
+        "o_orderkey", F.datediff(date_lit("2002-01-01"), F.col("o_orderdate")).cast("bigint").alias("antiguedad_dias"))
+
+
+@q("f15_round_half_up")
+def f15(spark, sf):
+    l = T(spark, sf, "lineitem")
+    g = l.groupBy("l_suppkey").agg(F.sum(money("l_quantity")).alias("q"), F.count(F.lit(1)).alias("n"))
+    return g.select("l_suppkey", round_dec(ratio("q", "n", 2, 0), 3).alias("media_3"),
+                    round_dec(ratio("q", "n", 2, 0), 2).alias("media_2"))
+
+
+@q("f16_abs_arith_nullif")
+def f16(spark, sf):
+    c = T(spark, sf, "customer")
+    bal = money("c_acctbal")
+    return c.select("c_custkey", F.abs(bal).alias("saldo_abs"),
+                    round_dec(ratio(bal, F.col("c_nationkey") % 3, 2, 0), 2).alias("saldo_por_grupo"),
+                    (bal - F.lit(Decimal("100.00"))).cast("decimal(18,2)").alias("saldo_menos_100"))
+
+
+@q("f17_bounds_defence")
+def f17(spark, sf):
+    j = orders_lines(spark, sf)
+    d = F.datediff("l_shipdate", "o_orderdate")
+    ok = (F.col("o_orderdate") >= date_lit("1995-01-01").cast("timestamp_ntz")) & d.between(0, 90)
+    return j.select("l_orderkey", "l_linenumber", F.when(ok, d).cast("bigint").alias("dias_validos"))

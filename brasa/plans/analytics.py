@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brasa.functions.columns import DEC2, avg_dec, band, pct, ratio, round_dec
+from brasa.functions.columns import DEC2, attention_priority, avg_dec, band, pct, ratio, round_dec
 from brasa.operators.intervals import active_per_day
 from brasa.operators.ranking import Order, RankSpec, add_ranks, attach_group_stats
 
@@ -479,11 +479,8 @@ def v13_bottlenecks(fact: DataFrame, dim_emp: DataFrame, dim_parque: DataFrame,
         "creador_puesto", "creador_categoria_puesto", "nombre_parque", "nombre_vehiculo", "tipo_vehiculo",
         "nombre_equipo", "categoria_equipo")
     d, lv = F.col("dias_atascada"), F.col("nivel_gravedad")
-    prio = (F.when((lv == "alto") & (d > 7), 1).when(lv == "alto", 2)
-            .when((lv == "medio") & (d > 30), 3).when(lv == "medio", 4)
-            .when(d > 90, 5).when((lv == "bajo") & (d > 30), 6).otherwise(7))
     f = f.withColumn("categoria_antiguedad", band(d, AGE_BANDS, "muy_antigua")) \
-         .withColumn("prioridad_atencion", prio.cast("bigint"))
+         .withColumn("prioridad_atencion", attention_priority(lv, d))
     tie = Order("id_incidencia")
     return add_ranks(f, [
         RankSpec("ranking_antiguedad_global", [Order("dias_atascada", True, False), Order("prioridad_atencion"), tie],

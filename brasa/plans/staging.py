@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brasa.functions.columns import DEC0, clean_text, date_lit, safe_number, trim_null
+from brasa.functions.columns import clean_text, date_lit, safe_number, trim_null
 
 DATE_FLOOR = "2020-01-01"       # rows dated before this are corrupt extracts
 RESOLUTION_MAX_DAYS = 3650
@@ -128,10 +128,12 @@ def stg_assignments(assignments: DataFrame) -> DataFrame:
 
 
 def resolution_days(state: Column, created: Column, updated: Column,
-                    max_days: int = RESOLUTION_MAX_DAYS) -> Column:
+                    max_days: int = RESOLUTION_MAX_DAYS, floor_date: str = DATE_FLOOR,
+                    resolved: str = "resuelta") -> Column:
+    """Days from creation to resolution, only for resolved rows with sane dates."""
     days = F.datediff(updated, created)
-    floor = date_lit(DATE_FLOOR).cast("timestamp_ntz")
-    ok = ((state == "resuelta") & created.isNotNull() & updated.isNotNull()
+    floor = date_lit(floor_date).cast("timestamp_ntz")
+    ok = ((state == resolved) & created.isNotNull() & updated.isNotNull()
           & (created >= floor) & (updated >= floor) & days.between(0, max_days))
     return F.when(ok, days).cast("bigint")
 

@@ -1 +1,141 @@
-OPERATORS = {}
+"""Oracle SQL of the generic operator queries."""
+
+from __future__ import annotations
+
+from oracles.base import ddiv, pct, skey, with_ctes
+
+OPERATORS: dict[str, str] = {}
+
+
+def o(name: str, sql: str) -> None:
+    OPERATORS[name] = sql
+
+
+def clean(x: str) -> str:
+    return f"NULLIF(LOWER(TRIM({x})), '')"
+
+
+def trim_null(x: str) -> str:
+    return f"NULLIF(TRIM({x}), '')"
+
+
+def m(x: str) -> str:
+    return f"CAST({x} AS DECIMAL(18,2))"
+
+
+TYPED_ORDERS = (f"SELECT CAST(o_orderkey AS BIGINT) AS id_pedido, CAST(o_custkey AS BIGINT) AS id_cliente, "
+                f"CAST(o_orderdate AS DATE) AS fecha, {m('o_totalprice')} AS importe, {clean('o_orderstatus')} AS estado, "
+                f"{clean('o_orderpriority')} AS prioridad FROM orders")
+
+# ---------------------------------------------------------------- S
+o("s1_source_scan", TYPED_ORDERS)
+o("s3_source_freshness", " UNION ALL ".join(
+    f"""SELECT DATE '{a}' AS as_of, max_loaded_at, age_days,
+      CASE WHEN age_days > 60 THEN 'error' WHEN age_days > 30 THEN 'warn' ELSE 'pass' END AS status
+    FROM (SELECT MAX(ts) AS max_loaded_at, CAST(date_diff('day', CAST(MAX(ts) AS DATE), DATE '{a}') AS BIGINT) AS age_days
+          FROM events)""" for a in ("2024-02-15", "2024-03-15", "2024-06-01")))
+o("s4_view_sink", f"SELECT estado, prioridad, COUNT(*) AS pedidos, CAST(SUM(importe) AS DECIMAL(28,2)) AS importe "
+                  f"FROM ({TYPED_ORDERS}) GROUP BY estado, prioridad")
+o("s5_table_sink", TYPED_ORDERS)
+_SPLIT = (f"WITH t AS ({TYPED_ORDERS}), "
+          "tg AS (SELECT * FROM t WHERE fecha < DATE '1999-01-01'), "
+          "dl AS (SELECT * REPLACE (CAST(importe + 1.00 AS DECIMAL(18,2)) AS importe) FROM t WHERE fecha >= DATE '1998-12-25') ")
+o("s6_incremental_merge_sink", _SPLIT + "SELECT * FROM tg WHERE id_pedido NOT IN (SELECT id_pedido FROM dl) UNION ALL SELECT * FROM dl")
+o("s7_guarded_create", "SELECT n_nationkey, n_name, n_regionkey, TRUE AS refused_without_force FROM nation")
+
+# ---------------------------------------------------------------- P
+o("p2_derived_columns", f"SELECT *, CAST(importe * 1.21 AS DECIMAL(18,4)) AS importe_con_iva, "
+                        f"CAST(year(fecha) AS BIGINT) AS anio FROM ({TYPED_ORDERS})")
+o("p3_date_floor_filter", f"SELECT id_pedido, fecha FROM ({TYPED_ORDERS}) WHERE fecha >= DATE '1996-01-01'")
+_NULLABLE = ("SELECT o_orderkey AS id_pedido, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END "
+             "AS fecha FROM orders")
+o("p4_null_tolerant_filter", f"SELECT * FROM ({_NULLABLE}) WHERE fecha IS NULL OR fecha >= DATE '1998-01-01'")
+o("p5_half_open_window", "SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS fecha_envio FROM lineitem "
+                         "WHERE CAST(l_shipdate AS DATE) >= DATE '1996-01-01' AND CAST(l_shipdate AS DATE) < DATE '1997-01-01'")
+o("p6_membership", "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')")
+o("p7_range_predicate", f"SELECT l_orderkey, l_linenumber, {m('l_discount')} AS descuento FROM lineitem "
+                        "WHERE l_discount BETWEEN 0.02 AND 0.05")
+_KEYED = (f"SELECT o_orderkey, CASE WHEN o_custkey % 13 = 0 THEN NULL WHEN o_custkey % 10 = 0 THEN '-1' "
+          f"ELSE {skey('o_custkey')} END AS cliente_key FROM orders")
+o("p8_known_member_filter", f"SELECT * FROM ({_KEYED}) WHERE cliente_key IS NOT NULL AND cliente_key <> '-1'")
+_DIRTY = ("SELECT c_custkey AS id_cliente, CASE WHEN c_custkey % 9 = 0 THEN NULL "
+          "ELSE '  ' || upper(c_mktsegment) || ' ' END AS segmento_sucio FROM customer")
+o("p9_category_mapping", f"""SELECT id_cliente,
+  CASE WHEN {clean('segmento_sucio')} IN ('automobile', 'building') THEN 'industria'
+       WHEN {clean('segmento_sucio')} IN ('furniture', 'household') THEN 'hogar'
+       WHEN {clean('segmento_sucio')} IS NULL THEN 'sin_dato' ELSE 'otros' END AS categoria
+FROM ({_DIRTY})""")
+o("p10_numeric_bands", """SELECT o_orderkey, CASE WHEN o_totalprice <= 50000 THEN 'bajo' WHEN o_totalprice <= 150000 THEN 'medio'
+  WHEN o_totalprice <= 300000 THEN 'alto' WHEN o_totalprice <= 450000 THEN 'muy_alto' ELSE 'extremo' END AS tramo_importe
+FROM orders""")
+o("p11_priority_matrix", """SELECT event_id, CAST(CASE WHEN nivel = 'alto' AND dias > 7 THEN 1 WHEN nivel = 'alto' THEN 2
+  WHEN nivel = 'medio' AND dias > 30 THEN 3 WHEN nivel = 'medio' THEN 4 WHEN dias > 90 THEN 5
+  WHEN nivel = 'bajo' AND dias > 30 THEN 6 ELSE 7 END AS BIGINT) AS prioridad
+FROM (SELECT event_id, CASE event_type WHEN 'error' THEN 'alto' WHEN 'purchase' THEN 'medio' WHEN 'view' THEN 'bajo' END AS nivel,
+             CAST(floor(value / 2) AS BIGINT) AS dias FROM events)""")
+o("p12_boolean_flags", """SELECT o_orderkey, COALESCE(estado = 'F', FALSE) AS es_f, COALESCE(estado = 'O', FALSE) AS es_o,
+  COALESCE(estado = 'P', FALSE) AS es_p
+FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderstatus END AS estado FROM orders)""")
+o("p13_indicator_measures", """SELECT l_orderkey, l_linenumber, CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS BIGINT) AS es_devuelta,
+  CAST(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS BIGINT) AS es_abierta, CAST(1 AS BIGINT) AS total_lineas FROM lineitem""")
+_OL = "lineitem JOIN orders ON l_orderkey = o_orderkey"
+o("p14_guarded_duration", f"""SELECT l_orderkey, l_linenumber,
+  CASE WHEN l_linestatus = 'F' AND o_orderdate IS NOT NULL AND l_shipdate IS NOT NULL
+        AND o_orderdate >= TIMESTAMP '1995-01-01 00:00:00' AND l_shipdate >= TIMESTAMP '1995-01-01 00:00:00'
+        AND date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) BETWEEN 0 AND 120
+       THEN CAST(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) AS BIGINT) END AS dias_resolucion
+FROM {_OL}""")
+o("p15_inclusive_duration", f"""SELECT l_orderkey, l_linenumber,
+  CAST(CASE WHEN l_linenumber % 5 <> 0 AND o_orderdate IS NOT NULL
+       THEN date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) + 1 ELSE 1 END AS BIGINT) AS dias
+FROM {_OL}""")
+o("p16_null_group_label", """SELECT COALESCE(CASE WHEN l_linenumber % 4 = 0 THEN NULL ELSE l_returnflag END, 'sin_clasificar') AS indicador,
+  COUNT(*) AS lineas FROM lineitem GROUP BY 1""")
+_HD, _HN = "CAST(l_linenumber AS DECIMAL(38,0))", "CAST(l_orderkey % 5 AS DECIMAL(38,0))"
+_PD = "CAST(CAST(l_partkey % 4000 + 1000 AS DECIMAL(12,0)) * 0.01 AS DECIMAL(10,2))"
+_PN = "CAST(CAST(l_suppkey % 3000 + 1500 AS DECIMAL(12,0)) * 0.01 AS DECIMAL(10,2))"
+o("p17_row_cost", f"""SELECT l_orderkey, l_linenumber, CAST({_HD} * {_PD} AS DECIMAL(12,2)) AS coste_diurno,
+  CAST({_HN} * {_PN} AS DECIMAL(12,2)) AS coste_nocturno, CAST({_HD} * {_PD} + {_HN} * {_PN} AS DECIMAL(12,2)) AS coste_total
+FROM lineitem""")
+o("p18_conditional_effective_date", "SELECT event_id, CASE WHEN event_type = 'purchase' AND user_id IS NOT NULL THEN ts END "
+                                    "AS fecha_efecto FROM events")
+
+# ---------------------------------------------------------------- F
+o("f1_clean_text", f"SELECT id_cliente, {clean('segmento_sucio')} AS segmento FROM ({_DIRTY})")
+o("f2_trim_null", f"SELECT id_cliente, {trim_null('segmento_sucio')} AS segmento FROM ({_DIRTY})")
+o("f3_upper_twin", f"SELECT c_custkey, c_name, upper({trim_null('c_name')}) AS nombre_normalizado FROM customer")
+o("f4_coalesce_default", "SELECT c_custkey, CAST(COALESCE(CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE c_acctbal END, 0.0) "
+                         "AS DECIMAL(18,2)) AS saldo FROM customer")
+_TXT = """SELECT event_id, CASE WHEN event_id % 10 = 0 THEN 'x' WHEN event_id % 10 = 1 THEN ''
+  WHEN event_id % 10 = 2 THEN ' ' || CAST(event_id AS VARCHAR) || ' '
+  WHEN event_id % 10 = 3 THEN CAST(event_id AS VARCHAR) || '.7'
+  WHEN event_id % 10 = 4 THEN NULL ELSE CAST(event_id AS VARCHAR) END AS texto FROM events"""
+o("f5_safe_number", f"SELECT event_id, texto, CAST(TRY_CAST(texto AS DECIMAL(38,0)) AS BIGINT) AS numero FROM ({_TXT})")
+o("f6_strict_casts", f"""SELECT CAST(o_orderkey AS VARCHAR) AS clave_texto, CAST(o_orderdate AS DATE) AS fecha,
+  CAST(o_orderdate AS TIMESTAMP) AS momento, {m('o_totalprice')} AS importe, CAST(o_orderstatus = 'F' AS BOOLEAN) AS cerrado,
+  CAST(CAST(o_custkey AS DECIMAL(38,0)) AS BIGINT) AS cliente FROM orders""")
+o("f7_surrogate_key", f"""SELECT o_orderkey, {skey('o_orderkey')} AS pedido_key,
+  {skey('CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_custkey END', 'CAST(o_orderdate AS DATE)')} AS cliente_fecha_key FROM orders""")
+o("f8_md5_concat", "SELECT o_orderkey, md5(CAST(o_orderkey AS VARCHAR) || '|' || CAST(o_orderdate AS VARCHAR)) AS scd_id FROM orders")
+_DAYS = "SELECT DISTINCT CAST(o_orderdate AS DATE) AS fecha FROM orders"
+o("f9_calendar_parts", f"""SELECT fecha, CAST(year(fecha) AS BIGINT) AS anio, CAST(quarter(fecha) AS BIGINT) AS trimestre,
+  CAST(month(fecha) AS BIGINT) AS mes, CAST(weekofyear(fecha) AS BIGINT) AS semana_anio, CAST(day(fecha) AS BIGINT) AS dia,
+  CAST(isodow(fecha) AS BIGINT) AS dia_semana_num FROM ({_DAYS})""")
+o("f10_month_day_names", f"SELECT fecha, strftime(fecha, '%b') AS mes_nombre, strftime(fecha, '%a') AS dia_semana_nombre FROM ({_DAYS})")
+o("f11_trunc_month", "SELECT l_orderkey, l_linenumber, CAST(date_trunc('month', l_shipdate) AS DATE) AS mes FROM lineitem")
+o("f12_day_difference", f"SELECT l_orderkey, l_linenumber, CAST(date_diff('day', CAST(o_orderdate AS DATE), "
+                        f"CAST(l_shipdate AS DATE)) AS BIGINT) AS dias FROM {_OL}")
+o("f13_subtract_days", "SELECT event_id, date_trunc('second', ts - INTERVAL 7 DAY) AS hace_una_semana FROM events")
+o("f14_as_of_date", "SELECT o_orderkey, CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '2002-01-01') AS BIGINT) "
+                    "AS antiguedad_dias FROM orders")
+_F15 = f"SELECT l_suppkey, SUM({m('l_quantity')}) AS q, COUNT(*) AS n FROM lineitem GROUP BY l_suppkey"
+o("f15_round_half_up", f"""SELECT l_suppkey, CAST(ROUND({ddiv('q', 'n', 2, 0)}, 3) AS DECIMAL(38,3)) AS media_3,
+  CAST(ROUND({ddiv('q', 'n', 2, 0)}, 2) AS DECIMAL(38,2)) AS media_2 FROM ({_F15})""")
+o("f16_abs_arith_nullif", f"""SELECT c_custkey, abs({m('c_acctbal')}) AS saldo_abs,
+  CAST(ROUND({ddiv(m('c_acctbal'), 'c_nationkey % 3', 2, 0)}, 2) AS DECIMAL(38,2)) AS saldo_por_grupo,
+  CAST({m('c_acctbal')} - 100.00 AS DECIMAL(18,2)) AS saldo_menos_100 FROM customer""")
+o("f17_bounds_defence", f"""SELECT l_orderkey, l_linenumber,
+  CASE WHEN o_orderdate >= TIMESTAMP '1995-01-01 00:00:00'
+        AND date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) BETWEEN 0 AND 90
+       THEN CAST(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) AS BIGINT) END AS dias_validos
+FROM {_OL}""")
