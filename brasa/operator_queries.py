@@ -407,3 +407,482 @@ def f17(spark, sf):
     d = F.datediff("l_shipdate", "o_orderdate")
     ok = (F.col("o_orderdate") >= date_lit("1995-01-01").cast("timestamp_ntz")) & d.between(0, 90)
     return j.select("l_orderkey", "l_linenumber", F.when(ok, d).cast("bigint").alias("dias_validos"))
+
+
+# ---------------------------------------------------------------- J: joins
+
+@q("j1_parent_name_join")
+def j1(spark, sf):
+    n = T(spark, sf, "nation")
+    r = T(spark, sf, "region").select(F.col("r_regionkey").alias("n_regionkey"), trim_null("r_name").alias("nombre_region"))
+    return n.join(r, "n_regionkey", "left").select("n_nationkey", trim_null("n_name").alias("nombre"), "nombre_region")
+
+
+@q("j2_fact_dimension_join")
+def j2(spark, sf):
+    l = T(spark, sf, "lineitem").select(surrogate_key("l_partkey").alias("parte_key"), "l_quantity")
+    p = T(spark, sf, "part").select(surrogate_key("p_partkey").alias("parte_key"), "p_brand")
+    return l.join(p, "parte_key", "left").groupBy("p_brand").agg(
+        F.sum(money("l_quantity")).cast("decimal(28,2)").alias("cantidad"), F.count(F.lit(1)).alias("lineas"))
+
+
+@q("j3_star_join")
+def j3(spark, sf):
+    l = T(spark, sf, "lineitem")
+    p = T(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), surrogate_key("p_partkey").alias("pk"), "p_type")
+    s = T(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    o = T(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus")
+    n = T(spark, sf, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_regionkey")
+    star = (l.withColumn("pk", surrogate_key("l_partkey")).join(p.drop("l_partkey"), "pk", "left")
+            .join(s, "l_suppkey", "left").join(o, "l_orderkey", "left").join(n, "s_nationkey", "left"))
+    return star.groupBy("p_type", "n_regionkey", "o_orderstatus").agg(
+        F.count(F.lit(1)).alias("lineas"), F.sum(money("l_extendedprice")).cast("decimal(28,2)").alias("importe"))
+
+
+def order_calendar(spark) -> DataFrame:
+    from brasa.plans.dimensions import dim_time
+    return dim_time(spark, "1995-01-01", "2001-12-31", inclusive_end=True).select(F.col("date_day").alias("fecha"))
+
+
+@q("j4_calendar_join")
+def j4(spark, sf):
+    cal = order_calendar(spark).select("fecha", calendar_parts("fecha")["dia_semana_num"].alias("dia_semana_num"))
+    o = T(spark, sf, "orders").select(odate().alias("fecha"), "o_orderkey")
+    return o.join(cal, "fecha", "left").groupBy("dia_semana_num").agg(F.count(F.lit(1)).alias("pedidos"))
+
+
+def _shifted_orders(spark, sf) -> DataFrame:
+    from brasa.sources.bronze import shifted_order_date
+    return T(spark, sf, "orders").select("o_orderkey", "o_custkey", shifted_order_date().alias("fecha"))
+
+
+@q("j5_asof_join")
+def j5(spark, sf):
+    from brasa.registry import warehouse
+    dim = warehouse(spark, sf).dim_empleado
+    o = _shifted_orders(spark, sf)
+    return asof_join(o, dim, "o_custkey", "fecha", "empleado_key").select("o_orderkey", "fecha", "empleado_key")
+
+
+@q("j6_role_playing_asof")
+def j6(spark, sf):
+    from brasa.registry import warehouse
+    dim = warehouse(spark, sf).dim_empleado
+    o = _shifted_orders(spark, sf).withColumn("revisor", (F.col("o_custkey") * 7 + 3) % 1500) \
+        .withColumn("fecha_revision", F.when(F.col("o_orderkey") % 4 == 0, F.lit(None).cast("date"))
+                    .otherwise(F.date_add("fecha", 30)))
+    o = asof_join(o, dim, "o_custkey", "fecha", "creador_key")
+    o = asof_join(o, dim, "revisor", "fecha_revision", "_rev")
+    rev = F.when(F.col("fecha_revision").isNotNull(), F.col("_rev"))
+    return o.select("o_orderkey", "creador_key", rev.alias("revisor_key"))
+
+
+@q("j7_interval_calendar_join")
+def j7(spark, sf):
+    o = T(spark, sf, "orders").filter(F.col("o_orderstatus") == "F").select(
+        "o_orderkey", odate().alias("inicio"),
+        F.when(F.col("o_orderkey") % 6 == 0, F.lit(None).cast("date"))
+        .when(F.col("o_orderkey") % 23 == 0, F.date_sub(odate(), 2))
+        .otherwise(F.date_add(odate(), (F.col("o_orderkey") % 10).cast("int"))).alias("fin"))
+    days = expand_days(o, "inicio", "fin", "1995-01-01", "2001-12-31")
+    per_day = days.groupBy("fecha").agg(F.count(F.lit(1)).alias("activos"))
+    return order_calendar(spark).join(per_day, "fecha", "left").select(
+        "fecha", F.coalesce(F.col("activos"), F.lit(0)).cast("bigint").alias("activos"))
+
+
+@q("j8_grand_total_share")
+def j8(spark, sf):
+    l = T(spark, sf, "lineitem").select("l_returnflag", money("l_quantity").alias("q"))
+    totals = l.agg(F.sum("q").alias("_total")).withColumn("_one", F.lit(1))
+    j = l.withColumn("_one", F.lit(1)).join(F.broadcast(totals), "_one")
+    return j.groupBy("l_returnflag").agg(
+        F.sum("q").cast("decimal(28,2)").alias("cantidad"),
+        pct(F.sum("q"), F.first("_total"), 2, 2).alias("pct_sobre_total"))
+
+
+@q("j9_preaggregated_child_join")
+def j9(spark, sf):
+    child = T(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.count(F.lit(1)).alias("_n"), F.count(F.when(F.col("l_returnflag") == "R", 1)).alias("_r"))
+    o = T(spark, sf, "orders").select("o_orderkey")
+    return o.join(child, "o_orderkey", "left").select(
+        "o_orderkey", F.coalesce("_n", F.lit(0)).cast("bigint").alias("lineas"),
+        F.coalesce("_r", F.lit(0)).cast("bigint").alias("devueltas"))
+
+
+@q("j10_deduplicated_child_join")
+def j10(spark, sf):
+    o = T(spark, sf, "orders").select(odate().alias("fecha"), "o_orderpriority", "o_orderstatus", "o_orderkey")
+    collapsed = o.groupBy("fecha", "o_orderpriority").agg(F.min("o_orderstatus").alias("estado"),
+                                                          F.min("o_orderkey").alias("pedido_representante"))
+    w = Window.partitionBy("fecha").orderBy("o_orderpriority")
+    first = collapsed.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    l = T(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("fecha"))
+    return l.join(first, "fecha", "left").select("l_orderkey", "l_linenumber", "estado", "pedido_representante")
+
+
+@q("j11_daily_three_way_join")
+def j11(spark, sf):
+    cal = order_calendar(spark)
+    o = T(spark, sf, "orders").groupBy(odate().alias("fecha")).agg(F.count(F.lit(1)).alias("_pedidos"))
+    l = T(spark, sf, "lineitem").groupBy(F.to_date("l_shipdate").alias("fecha")).agg(F.count(F.lit(1)).alias("_envios"))
+    j = cal.join(o, "fecha", "left").join(l, "fecha", "left")
+    return j.select("fecha", F.coalesce("_pedidos", F.lit(0)).cast("bigint").alias("pedidos"),
+                    F.coalesce("_envios", F.lit(0)).cast("bigint").alias("envios"))
+
+
+def monthly_order_totals(spark, sf):
+    o = T(spark, sf, "orders").groupBy(F.trunc("o_orderdate", "MM").alias("mes")).agg(
+        F.sum(money("o_totalprice")).cast("decimal(28,2)").alias("total_pedidos"))
+    l = (T(spark, sf, "lineitem").join(T(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"),
+                                       "l_orderkey")
+         .groupBy(F.trunc("o_orderdate", "MM").alias("mes"))
+         .agg(F.sum(money("l_extendedprice")).cast("decimal(28,2)").alias("total_lineas")))
+    return o, l
+
+
+@q("j12_reconciliation_join")
+def j12(spark, sf):
+    o, l = monthly_order_totals(spark, sf)
+    j = o.join(l, "mes", "inner")
+    return j.filter(F.abs(F.col("total_pedidos") - F.col("total_lineas")) > F.lit(Decimal("0.01"))).select(
+        "mes", "total_pedidos", "total_lineas", (F.col("total_pedidos") - F.col("total_lineas")).alias("diferencia"))
+
+
+@q("j13_scalar_subquery_filter")
+def j13(spark, sf):
+    o = T(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    return inc.lookback_delta(o, o, "o_orderdate", days=7)
+
+
+@q("j14_referential_anti_join")
+def j14(spark, sf):
+    from brasa.operators.quality import relationship_failures
+    l = T(spark, sf, "lineitem")
+    orders = T(spark, sf, "orders")
+    part = T(spark, sf, "part").filter(F.col("p_partkey") % 10 != 0)
+    a = relationship_failures(l, "l_orderkey", orders, "o_orderkey").select(
+        F.lit("l_orderkey").alias("columna"), F.col("l_orderkey").alias("clave"), "l_linenumber")
+    b = relationship_failures(l, "l_partkey", part, "p_partkey").select(
+        F.lit("l_partkey").alias("columna"), F.col("l_partkey").alias("clave"), "l_linenumber")
+    return a.unionByName(b)
+
+
+# ---------------------------------------------------------------- A: aggregations
+
+@q("a1_grouped_aggregates")
+def a1(spark, sf):
+    l = T(spark, sf, "lineitem")
+    return l.groupBy("l_returnflag", "l_linestatus").agg(
+        F.sum(money("l_quantity")).cast("decimal(28,2)").alias("suma"), F.count(F.lit(1)).alias("lineas"),
+        round_dec(avg_dec(money("l_quantity"), 2), 2).alias("media"),
+        F.min(money("l_extendedprice")).alias("minimo"), F.max(money("l_extendedprice")).alias("maximo"))
+
+
+@q("a2_global_aggregate")
+def a2(spark, sf):
+    l = T(spark, sf, "lineitem")
+    return l.agg(F.count(F.lit(1)).alias("lineas"), F.sum(money("l_extendedprice")).cast("decimal(28,2)").alias("importe"),
+                 F.count_distinct("l_orderkey").alias("pedidos"))
+
+
+@q("a3_monthly_bucket")
+def a3(spark, sf):
+    o = T(spark, sf, "orders")
+    return o.groupBy(F.trunc("o_orderdate", "MM").alias("mes")).agg(
+        F.count(F.lit(1)).alias("pedidos"), F.sum(money("o_totalprice")).cast("decimal(28,2)").alias("importe"))
+
+
+@q("a4_conditional_sum")
+def a4(spark, sf):
+    l = T(spark, sf, "lineitem")
+    q_ = money("l_quantity")
+    return l.groupBy("l_returnflag").agg(
+        F.sum(F.when(F.col("l_linestatus") == "O", q_).otherwise(F.lit(0))).cast("decimal(28,2)").alias("cantidad_abierta"),
+        F.sum(F.when(F.col("l_linestatus") == "F", q_).otherwise(F.lit(0))).cast("decimal(28,2)").alias("cantidad_cerrada"))
+
+
+@q("a5_count_if")
+def a5(spark, sf):
+    o = T(spark, sf, "orders")
+    st = F.col("o_orderstatus")
+    return o.groupBy("o_orderpriority").agg(*[F.count_if(st == s).cast("bigint").alias(f"estado_{s.lower()}")
+                                              for s in ("F", "O", "P")])
+
+
+@q("a6_count_via_null")
+def a6(spark, sf):
+    o = T(spark, sf, "orders")
+    return o.groupBy("o_orderpriority").agg(F.count(F.when(F.col("o_orderstatus") == "F", 1)).alias("cerrados"))
+
+
+@q("a7_count_distinct")
+def a7(spark, sf):
+    return T(spark, sf, "lineitem").groupBy("l_returnflag").agg(F.count_distinct("l_partkey").alias("partes"))
+
+
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+
+
+@q("a8_many_conditional_distinct")
+def a8(spark, sf):
+    e = T(spark, sf, "events").select(F.to_date("ts").alias("dia"), "user_id", "event_type")
+    # de-duplicate (day, user, type) once, then every distinct count is a plain conditional count
+    dedup = e.distinct()
+    return dedup.groupBy("dia").agg(
+        F.count_distinct("user_id").alias("usuarios"),
+        *[F.count_if(F.col("event_type") == t).cast("bigint").alias(f"usuarios_{t}") for t in EVENT_TYPES])
+
+
+@q("a9_exact_median")
+def a9(spark, sf):
+    return T(spark, sf, "lineitem").groupBy("l_returnflag").agg(
+        F.median("l_quantity").cast("decimal(38,2)").alias("mediana_cantidad"))
+
+
+@q("a10_sample_stddev")
+def a10(spark, sf):
+    o = T(spark, sf, "orders")
+    return o.groupBy("o_orderpriority", "o_orderstatus").agg(
+        F.round(F.stddev_samp((F.col("o_orderkey") % 97).cast("double")), 2).cast(DEC2).alias("desviacion"))
+
+
+@q("a11_ordered_distinct_list")
+def a11(spark, sf):
+    o = T(spark, sf, "orders")
+    pri = F.when(F.col("o_orderkey") % 5 == 0, F.lit(None).cast("string")).otherwise(F.col("o_orderpriority"))
+    s = F.collect_set(pri)
+    return o.groupBy("o_custkey").agg(F.array_join(F.array_sort(s), ", ").alias("prioridades"),
+                                      F.size(s).cast("bigint").alias("n_prioridades"))
+
+
+@q("a12_ratio_percent")
+def a12(spark, sf):
+    l = T(spark, sf, "lineitem")
+    n = F.count(F.lit(1))
+    return l.groupBy("l_returnflag").agg(
+        pct(F.count_if(F.col("l_discount") > 0.05), n).alias("pct_descuento_alto"),
+        pct(F.sum(money("l_tax")), F.sum(money("l_discount")), 2, 2).alias("pct_impuesto_sobre_descuento"))
+
+
+@q("a13_share_of_total")
+def a13(spark, sf):
+    l = T(spark, sf, "lineitem").select("l_linestatus", money("l_extendedprice").alias("imp"))
+    totals = l.agg(F.sum("imp").alias("_t")).withColumn("_one", F.lit(1))
+    j = l.withColumn("_one", F.lit(1)).join(F.broadcast(totals), "_one")
+    return j.groupBy("l_linestatus").agg(pct(F.sum("imp"), F.first("_t"), 2, 2).alias("pct_importe"))
+
+
+@q("a14_having")
+def a14(spark, sf):
+    return T(spark, sf, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("pedidos")).filter(
+        F.col("pedidos") >= 15)
+
+
+@q("a15_distinct_projection")
+def a15(spark, sf):
+    return T(spark, sf, "customer").select("c_mktsegment", "c_nationkey").distinct()
+
+
+@q("a16_group_by_expression")
+def a16(spark, sf):
+    c = T(spark, sf, "customer")
+    seg = F.when(F.col("c_custkey") % 8 == 0, F.lit(None).cast("string")).otherwise(F.col("c_mktsegment"))
+    return c.groupBy(F.coalesce(seg, F.lit("desconocido")).alias("segmento")).agg(F.count(F.lit(1)).alias("clientes"))
+
+
+@q("a17_min_representative")
+def a17(spark, sf):
+    return T(spark, sf, "orders").groupBy(odate().alias("fecha")).agg(
+        F.min("o_orderpriority").alias("prioridad"), F.min("o_orderkey").alias("pedido"))
+
+
+@q("a18_label_from_aggregate")
+def a18(spark, sf):
+    j = orders_lines(spark, sf)
+    d = F.datediff("l_shipdate", "o_orderdate") - 60
+    g = j.groupBy("l_suppkey").agg(avg_dec(F.when(d >= 0, d)).alias("_m"))
+    label = (F.when(F.col("_m").isNull(), F.lit("sin_datos")).otherwise(
+        band(F.col("_m"), [(3, "rapido"), (7, "normal"), (14, "lento")], "muy_lento")))
+    return g.select("l_suppkey", round_dec("_m", 2).alias("media"), label.alias("categoria"))
+
+
+@q("a19_lead_time_subset")
+def a19(spark, sf):
+    j = orders_lines(spark, sf)
+    lead = F.when(F.col("o_orderstatus") == "F", F.datediff("l_shipdate", "o_orderdate") - 61)
+    return j.groupBy("l_returnflag").agg(round_dec(avg_dec(lead), 2).alias("media_antelacion"),
+                                         F.median(lead).cast("decimal(38,2)").alias("mediana_antelacion"))
+
+
+# ---------------------------------------------------------------- W / R / O: windows and ranks
+
+@q("w1_first_row_per_key")
+def w1(spark, sf):
+    l = T(spark, sf, "lineitem")
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    return (l.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
+            .select("l_orderkey", "l_linenumber", "l_partkey"))
+
+
+@q("w2_qualify_filter")
+def w2(spark, sf):
+    o = T(spark, sf, "orders")
+    w = Window.partitionBy("o_custkey").orderBy(F.col("o_orderdate").desc(), F.col("o_orderkey").desc())
+    return (o.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
+            .select("o_custkey", "o_orderkey", odate().alias("ultima_fecha")))
+
+
+@q("w3_version_numbering")
+def w3(spark, sf):
+    o = T(spark, sf, "orders")
+    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    return o.select("o_custkey", "o_orderkey", F.row_number().over(w).cast("bigint").alias("numero_pedido"))
+
+
+def _events_ordered(spark, sf) -> DataFrame:
+    return T(spark, sf, "events").select("event_id", "event_type", money("value").alias("valor"), "ts")
+
+
+@q("w4_global_row_number")
+def w4(spark, sf):
+    e = _events_ordered(spark, sf)
+    return add_ranks(e, [RankSpec("orden", [Order("valor", True, False), Order("event_id")], method="row_number")])
+
+
+@q("w5_row_number_in_partition")
+def w5(spark, sf):
+    e = _events_ordered(spark, sf)
+    return add_ranks(e, [RankSpec("orden_tipo", [Order("ts", True, False), Order("event_id")], ["event_type"],
+                                  method="row_number")])
+
+
+def customer_revenue(spark, sf) -> DataFrame:
+    o = T(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.sum(money("o_totalprice")).cast("decimal(28,2)").alias("ingresos"))
+    c = T(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    return c.join(o, "c_custkey", "left")
+
+
+@q("w6_global_rank")
+def w6(spark, sf):
+    return add_ranks(customer_revenue(spark, sf), [RankSpec("ranking", [Order("ingresos", True, False)])])
+
+
+@q("w7_rank_in_partition")
+def w7(spark, sf):
+    return add_ranks(customer_revenue(spark, sf),
+                     [RankSpec("ranking_segmento", [Order("ingresos", True, False)], ["c_mktsegment"])])
+
+
+@q("w8_rank_over_aggregate")
+def w8(spark, sf):
+    s = T(spark, sf, "lineitem").groupBy("l_suppkey").agg(F.sum(money("l_quantity")).cast("decimal(28,2)").alias("cantidad"))
+    return add_ranks(s, [RankSpec("ranking", [Order("cantidad", True, False)])])
+
+
+def part_stats(spark, sf) -> DataFrame:
+    return T(spark, sf, "lineitem").groupBy("l_partkey").agg(
+        F.count(F.lit(1)).alias("lineas"), F.sum(money("l_quantity")).cast("decimal(28,2)").alias("cantidad"),
+        round_dec(avg_dec(money("l_quantity"), 2), 2).alias("media"))
+
+
+@q("w9_qualified_rank")
+def w9(spark, sf):
+    p = part_stats(spark, sf).withColumn("_q", F.when(F.col("lineas") >= 35, F.col("media")))
+    return add_ranks(p, [RankSpec("ranking_media", [Order("_q", False, True)])]).drop("_q")
+
+
+@q("w10_composite_rank")
+def w10(spark, sf):
+    return add_ranks(part_stats(spark, sf), [RankSpec("ranking", [Order("lineas", True, False),
+                                                                  Order("cantidad", True, False)])])
+
+
+@q("w11_partition_statistics")
+def w11(spark, sf):
+    r = customer_revenue(spark, sf)
+    s = attach_group_stats(r, ["c_mktsegment"], {"_avg": avg_dec("ingresos", 2), "_n": F.count(F.lit(1)),
+                                                 "_std": F.stddev_samp(F.col("ingresos").cast("double"))})
+    return s.select("c_custkey", "c_mktsegment", "ingresos", round_dec("_avg", 2).alias("media_segmento"),
+                    F.col("_n").cast("bigint").alias("clientes_segmento"),
+                    F.round("_std", 2).cast(DEC2).alias("desviacion_segmento"))
+
+
+def supplier_lines(spark, sf) -> DataFrame:
+    return T(spark, sf, "lineitem").groupBy("l_suppkey").agg(
+        F.count(F.lit(1)).alias("lineas"), F.count_if(F.col("l_returnflag") == "R").cast("bigint").alias("devueltas"))
+
+
+@q("w12_overall_mean")
+def w12(spark, sf):
+    s = attach_group_stats(supplier_lines(spark, sf), [], {"_avg": avg_dec("lineas")})
+    return s.select("l_suppkey", "lineas", round_dec("_avg", 2).alias("media_global"))
+
+
+@q("w13_share_of_partition")
+def w13(spark, sf):
+    r = customer_revenue(spark, sf)
+    s = attach_group_stats(r, ["c_mktsegment"], {"_sum": F.sum("ingresos")})
+    return s.select("c_custkey", "c_mktsegment", pct("ingresos", "_sum", 2, 2).alias("pct_segmento"))
+
+
+@q("w14_zscore_in_partition")
+def w14(spark, sf):
+    r = customer_revenue(spark, sf)
+    s = attach_group_stats(r, ["c_mktsegment"], {"_avg": avg_dec("ingresos", 2),
+                                                 "_std": F.stddev_samp(F.col("ingresos").cast("double"))})
+    z = (F.col("ingresos").cast("double") - F.col("_avg").cast("double")) / F.nullif(F.col("_std"), F.lit(0.0))
+    return s.select("c_custkey", "c_mktsegment", F.round(z, 2).cast(DEC2).alias("z_score"))
+
+
+@q("w15_relative_class_overall")
+def w15(spark, sf):
+    s = attach_group_stats(supplier_lines(spark, sf), [], {"_sum": F.sum("lineas"), "_n": F.count(F.lit(1))})
+    t, n, sm = F.col("lineas"), F.col("_n"), F.col("_sum")
+    klass = (F.when((t * n >= 2 * sm) & (F.col("devueltas") >= 1), F.lit("critico"))
+             .when(t * n >= sm, F.lit("problematico")).when(2 * t * n >= sm, F.lit("normal"))
+             .otherwise(F.lit("bajo_volumen")))
+    return s.select("l_suppkey", "lineas", klass.alias("clase"))
+
+
+@q("w16_relative_class_partition")
+def w16(spark, sf):
+    p = T(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand",
+                                    (F.col("p_size") % 3 != 0).alias("disponible"))
+    lines = T(spark, sf, "lineitem").groupBy("l_partkey").agg(
+        F.count(F.lit(1)).alias("lineas"), F.count_if(F.col("l_returnflag") == "R").cast("bigint").alias("devueltas"))
+    j = p.join(lines, "l_partkey", "inner")
+    s = attach_group_stats(j, ["p_brand"], {"_sum": F.sum("lineas"), "_n": F.count(F.lit(1))})
+    t, n, sm = F.col("lineas"), F.col("_n"), F.col("_sum")
+    klass = (F.when((t >= 3) & ~F.col("disponible"), F.lit("retirado_problematico"))
+             .when((t * n >= 2 * sm) & (F.col("devueltas") >= 1), F.lit("critico"))
+             .when(t * n >= sm, F.lit("frecuente")).otherwise(F.lit("normal")))
+    return s.select("l_partkey", "p_brand", "lineas", klass.alias("clase"))
+
+
+@q("r1_scalable_global_rank")
+def r1(spark, sf):
+    o = T(spark, sf, "orders").select("o_orderkey", "o_orderstatus", money("o_totalprice").alias("importe"),
+                                      (F.col("o_orderkey") % 7).alias("grupo"))
+    return add_ranks(o, [
+        RankSpec("ranking_global", [Order("grupo", True, False)]),
+        RankSpec("ranking_estado", [Order("grupo"), Order("importe", True, False)], ["o_orderstatus"]),
+        RankSpec("orden_global", [Order("importe", True, False), Order("o_orderkey")], method="row_number"),
+    ], force_scalable=True)
+
+
+@q("o1_top_n")
+def o1(spark, sf):
+    ranked = add_ranks(customer_revenue(spark, sf), [RankSpec("ranking", [Order("ingresos", True, False)])])
+    return ranked.filter(F.col("ranking") <= 10)
+
+
+# ---------------------------------------------------------------- U: unknown member row
+
+@q("u1_unknown_member_row")
+def u1(spark, sf):
+    from brasa.plans.dimensions import _unknown_row
+    s = T(spark, sf, "supplier").select(surrogate_key("s_suppkey").alias("proveedor_key"),
+                                        F.col("s_suppkey").cast("bigint").alias("id_proveedor"), "s_name")
+    return _unknown_row(spark, s, {"proveedor_key": "-1", "id_proveedor": -1, "s_name": "DESCONOCIDO"})

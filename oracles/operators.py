@@ -139,3 +139,195 @@ o("f17_bounds_defence", f"""SELECT l_orderkey, l_linenumber,
         AND date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) BETWEEN 0 AND 90
        THEN CAST(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) AS BIGINT) END AS dias_validos
 FROM {_OL}""")
+
+# ---------------------------------------------------------------- J
+o("j1_parent_name_join", f"""SELECT n_nationkey, {trim_null('n_name')} AS nombre, {trim_null('r_name')} AS nombre_region
+FROM nation LEFT JOIN region ON n_regionkey = r_regionkey""")
+o("j2_fact_dimension_join", f"""SELECT p.p_brand, CAST(SUM({m('l.l_quantity')}) AS DECIMAL(28,2)) AS cantidad, COUNT(*) AS lineas
+FROM (SELECT {skey('l_partkey')} AS parte_key, l_quantity FROM lineitem) l
+LEFT JOIN (SELECT {skey('p_partkey')} AS parte_key, p_brand FROM part) p ON l.parte_key = p.parte_key
+GROUP BY p.p_brand""")
+o("j3_star_join", f"""SELECT p.p_type, n.n_regionkey, o.o_orderstatus, COUNT(*) AS lineas,
+  CAST(SUM({m('l.l_extendedprice')}) AS DECIMAL(28,2)) AS importe
+FROM lineitem l
+LEFT JOIN (SELECT {skey('p_partkey')} AS pk, p_type FROM part) p ON {skey('l.l_partkey')} = p.pk
+LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
+LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
+LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
+GROUP BY p.p_type, n.n_regionkey, o.o_orderstatus""")
+_CAL = "SELECT CAST(range AS DATE) AS fecha FROM range(DATE '1995-01-01', DATE '2002-01-01', INTERVAL 1 DAY)"
+o("j4_calendar_join", f"""SELECT CAST(isodow(c.fecha) AS BIGINT) AS dia_semana_num, COUNT(*) AS pedidos
+FROM (SELECT CAST(o_orderdate AS DATE) AS fecha FROM orders) x LEFT JOIN ({_CAL}) c ON x.fecha = c.fecha
+GROUP BY 1""")
+_SHIFT = ("SELECT o_orderkey, o_custkey, CAST(CAST(o_orderdate AS DATE) + INTERVAL 25 YEAR AS DATE) AS fecha FROM orders")
+
+
+def _asof(alias: str, fid: str, fdate: str) -> str:
+    return (f"LEFT JOIN dim_empleado {alias} ON {alias}.id_empleado = {fid} AND {fdate} >= {alias}.fecha_inicio_validez "
+            f"AND ({fdate} < {alias}.fecha_fin_validez OR {alias}.fecha_fin_validez IS NULL)")
+
+
+o("j5_asof_join", with_ctes(f"""SELECT x.o_orderkey, x.fecha, COALESCE(de.empleado_key, '-1') AS empleado_key
+FROM ({_SHIFT}) x {_asof('de', 'x.o_custkey', 'x.fecha')}""", "dim_empleado"))
+o("j6_role_playing_asof", with_ctes(f"""SELECT x.o_orderkey, COALESCE(dc.empleado_key, '-1') AS creador_key,
+  CASE WHEN x.fecha_revision IS NOT NULL THEN COALESCE(dr.empleado_key, '-1') END AS revisor_key
+FROM (SELECT *, (o_custkey * 7 + 3) % 1500 AS revisor,
+             CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE fecha + 30 END AS fecha_revision FROM ({_SHIFT})) x
+{_asof('dc', 'x.o_custkey', 'x.fecha')} {_asof('dr', 'x.revisor', 'x.fecha_revision')}""", "dim_empleado"))
+_IV = """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS inicio,
+  CASE WHEN o_orderkey % 6 = 0 THEN NULL WHEN o_orderkey % 23 = 0 THEN CAST(o_orderdate AS DATE) - 2
+       ELSE CAST(o_orderdate AS DATE) + CAST(o_orderkey % 10 AS INTEGER) END AS fin
+FROM orders WHERE o_orderstatus = 'F'"""
+o("j7_interval_calendar_join", f"""SELECT c.fecha, CAST(COUNT(i.o_orderkey) AS BIGINT) AS activos
+FROM ({_CAL}) c LEFT JOIN ({_IV}) i ON c.fecha BETWEEN i.inicio AND COALESCE(i.fin, i.inicio)
+GROUP BY c.fecha""")
+o("j8_grand_total_share", f"""SELECT l_returnflag, CAST(SUM(q) AS DECIMAL(28,2)) AS cantidad,
+  {pct('SUM(q)', 't.total', 2, 2)} AS pct_sobre_total
+FROM (SELECT l_returnflag, {m('l_quantity')} AS q FROM lineitem)
+CROSS JOIN (SELECT SUM({m('l_quantity')}) AS total FROM lineitem) t
+GROUP BY l_returnflag, t.total""")
+o("j9_preaggregated_child_join", """SELECT o.o_orderkey, CAST(COALESCE(c.n, 0) AS BIGINT) AS lineas,
+  CAST(COALESCE(c.r, 0) AS BIGINT) AS devueltas
+FROM orders o LEFT JOIN (SELECT l_orderkey, COUNT(*) AS n, COUNT(CASE WHEN l_returnflag = 'R' THEN 1 END) AS r
+                         FROM lineitem GROUP BY l_orderkey) c ON o.o_orderkey = c.l_orderkey""")
+o("j10_deduplicated_child_join", """SELECT l.l_orderkey, l.l_linenumber, f.estado, f.pedido_representante
+FROM (SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS fecha FROM lineitem) l
+LEFT JOIN (SELECT fecha, estado, pedido_representante FROM (
+    SELECT CAST(o_orderdate AS DATE) AS fecha, o_orderpriority, MIN(o_orderstatus) AS estado,
+           MIN(o_orderkey) AS pedido_representante
+    FROM orders GROUP BY 1, 2)
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY fecha ORDER BY o_orderpriority) = 1) f ON l.fecha = f.fecha""")
+o("j11_daily_three_way_join", f"""SELECT c.fecha, CAST(COALESCE(o.n, 0) AS BIGINT) AS pedidos,
+  CAST(COALESCE(l.n, 0) AS BIGINT) AS envios
+FROM ({_CAL}) c
+LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS fecha, COUNT(*) AS n FROM orders GROUP BY 1) o ON c.fecha = o.fecha
+LEFT JOIN (SELECT CAST(l_shipdate AS DATE) AS fecha, COUNT(*) AS n FROM lineitem GROUP BY 1) l ON c.fecha = l.fecha""")
+o("j12_reconciliation_join", f"""SELECT o.mes, o.total_pedidos, l.total_lineas,
+  CAST(o.total_pedidos - l.total_lineas AS DECIMAL(29,2)) AS diferencia
+FROM (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS mes,
+             CAST(SUM({m('o_totalprice')}) AS DECIMAL(28,2)) AS total_pedidos FROM orders GROUP BY 1) o
+JOIN (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS mes,
+             CAST(SUM({m('l_extendedprice')}) AS DECIMAL(28,2)) AS total_lineas
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1) l ON o.mes = l.mes
+WHERE abs(o.total_pedidos - l.total_lineas) > 0.01""")
+o("j13_scalar_subquery_filter", """SELECT o_orderkey, o_orderdate FROM orders
+WHERE o_orderdate >= (SELECT COALESCE(MAX(o_orderdate), TIMESTAMP '1900-01-01 00:00:00') FROM orders) - INTERVAL 7 DAY""")
+o("j14_referential_anti_join", """SELECT 'l_orderkey' AS columna, l_orderkey AS clave, l_linenumber FROM lineitem
+WHERE l_orderkey IS NOT NULL AND l_orderkey NOT IN (SELECT o_orderkey FROM orders)
+UNION ALL
+SELECT 'l_partkey', l_partkey, l_linenumber FROM lineitem
+WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 10 <> 0)""")
+
+# ---------------------------------------------------------------- A
+o("a1_grouped_aggregates", f"""SELECT l_returnflag, l_linestatus, CAST(SUM({m('l_quantity')}) AS DECIMAL(28,2)) AS suma,
+  COUNT(*) AS lineas, CAST(ROUND({ddiv(f"SUM(CAST({m('l_quantity')} AS DECIMAL(38,2)))", f"COUNT({m('l_quantity')})", 2, 0)}, 2) AS DECIMAL(38,2)) AS media,
+  MIN({m('l_extendedprice')}) AS minimo, MAX({m('l_extendedprice')}) AS maximo
+FROM lineitem GROUP BY l_returnflag, l_linestatus""")
+o("a2_global_aggregate", f"""SELECT COUNT(*) AS lineas, CAST(SUM({m('l_extendedprice')}) AS DECIMAL(28,2)) AS importe,
+  COUNT(DISTINCT l_orderkey) AS pedidos FROM lineitem""")
+o("a3_monthly_bucket", f"""SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS mes, COUNT(*) AS pedidos,
+  CAST(SUM({m('o_totalprice')}) AS DECIMAL(28,2)) AS importe FROM orders GROUP BY 1""")
+o("a4_conditional_sum", f"""SELECT l_returnflag,
+  CAST(SUM(CASE WHEN l_linestatus = 'O' THEN {m('l_quantity')} ELSE 0 END) AS DECIMAL(28,2)) AS cantidad_abierta,
+  CAST(SUM(CASE WHEN l_linestatus = 'F' THEN {m('l_quantity')} ELSE 0 END) AS DECIMAL(28,2)) AS cantidad_cerrada
+FROM lineitem GROUP BY l_returnflag""")
+o("a5_count_if", """SELECT o_orderpriority, CAST(COUNT_IF(o_orderstatus = 'F') AS BIGINT) AS estado_f,
+  CAST(COUNT_IF(o_orderstatus = 'O') AS BIGINT) AS estado_o, CAST(COUNT_IF(o_orderstatus = 'P') AS BIGINT) AS estado_p
+FROM orders GROUP BY o_orderpriority""")
+o("a6_count_via_null", "SELECT o_orderpriority, COUNT(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS cerrados FROM orders GROUP BY 1")
+o("a7_count_distinct", "SELECT l_returnflag, COUNT(DISTINCT l_partkey) AS partes FROM lineitem GROUP BY 1")
+o("a8_many_conditional_distinct", f"""SELECT CAST(ts AS DATE) AS dia, COUNT(DISTINCT user_id) AS usuarios,
+  {', '.join(f"COUNT(DISTINCT CASE WHEN event_type = '{t}' THEN user_id END) AS usuarios_{t}" for t in ('click', 'error', 'purchase', 'signup', 'view'))}
+FROM events GROUP BY 1""")
+o("a9_exact_median", "SELECT l_returnflag, CAST(MEDIAN(l_quantity) AS DECIMAL(38,2)) AS mediana_cantidad FROM lineitem GROUP BY 1")
+o("a10_sample_stddev", """SELECT o_orderpriority, o_orderstatus,
+  CAST(ROUND(STDDEV_SAMP(CAST(o_orderkey % 97 AS DOUBLE)), 2) AS DECIMAL(38,2)) AS desviacion FROM orders GROUP BY 1, 2""")
+o("a11_ordered_distinct_list", """SELECT o_custkey, COALESCE(STRING_AGG(DISTINCT p, ', ' ORDER BY p), '') AS prioridades,
+  COUNT(DISTINCT p) AS n_prioridades
+FROM (SELECT o_custkey, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderpriority END AS p FROM orders) GROUP BY 1""")
+o("a12_ratio_percent", f"""SELECT l_returnflag, {pct('COUNT_IF(l_discount > 0.05)', 'COUNT(*)')} AS pct_descuento_alto,
+  {pct(f"SUM({m('l_tax')})", f"SUM({m('l_discount')})", 2, 2)} AS pct_impuesto_sobre_descuento
+FROM lineitem GROUP BY 1""")
+o("a13_share_of_total", f"""SELECT l_linestatus, {pct('SUM(imp)', 't.total', 2, 2)} AS pct_importe
+FROM (SELECT l_linestatus, {m('l_extendedprice')} AS imp FROM lineitem)
+CROSS JOIN (SELECT SUM({m('l_extendedprice')}) AS total FROM lineitem) t GROUP BY l_linestatus, t.total""")
+o("a14_having", "SELECT o_custkey, COUNT(*) AS pedidos FROM orders GROUP BY 1 HAVING COUNT(*) >= 15")
+o("a15_distinct_projection", "SELECT DISTINCT c_mktsegment, c_nationkey FROM customer")
+o("a16_group_by_expression", """SELECT COALESCE(CASE WHEN c_custkey % 8 = 0 THEN NULL ELSE c_mktsegment END, 'desconocido') AS segmento,
+  COUNT(*) AS clientes FROM customer GROUP BY 1""")
+o("a17_min_representative", "SELECT CAST(o_orderdate AS DATE) AS fecha, MIN(o_orderpriority) AS prioridad, "
+                            "MIN(o_orderkey) AS pedido FROM orders GROUP BY 1")
+_D60 = "date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) - 60"
+_M = ddiv(f"SUM(CAST(CASE WHEN {_D60} >= 0 THEN {_D60} END AS DECIMAL(38,0)))",
+          f"COUNT(CASE WHEN {_D60} >= 0 THEN {_D60} END)")
+o("a18_label_from_aggregate", f"""SELECT l_suppkey, CAST(ROUND({_M}, 2) AS DECIMAL(38,2)) AS media,
+  CASE WHEN {_M} IS NULL THEN 'sin_datos' WHEN {_M} <= 3 THEN 'rapido' WHEN {_M} <= 7 THEN 'normal'
+       WHEN {_M} <= 14 THEN 'lento' ELSE 'muy_lento' END AS categoria
+FROM {_OL} GROUP BY l_suppkey""")
+_LEAD = "CASE WHEN o_orderstatus = 'F' THEN date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) - 61 END"
+o("a19_lead_time_subset", f"""SELECT l_returnflag,
+  CAST(ROUND({ddiv(f'SUM(CAST({_LEAD} AS DECIMAL(38,0)))', f'COUNT({_LEAD})')}, 2) AS DECIMAL(38,2)) AS media_antelacion,
+  CAST(MEDIAN({_LEAD}) AS DECIMAL(38,2)) AS mediana_antelacion
+FROM {_OL} GROUP BY l_returnflag""")
+
+# ---------------------------------------------------------------- W / R / O / U
+o("w1_first_row_per_key", """SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
+QUALIFY ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) = 1""")
+o("w2_qualify_filter", """SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS ultima_fecha FROM orders
+QUALIFY ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""")
+o("w3_version_numbering", """SELECT o_custkey, o_orderkey,
+  CAST(ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS BIGINT) AS numero_pedido FROM orders""")
+_EV = f"SELECT event_id, event_type, {m('value')} AS valor, ts FROM events"
+o("w4_global_row_number", f"""SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY valor DESC NULLS FIRST, event_id) AS BIGINT) AS orden FROM ({_EV})""")
+o("w5_row_number_in_partition", f"""SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY ts DESC NULLS FIRST, event_id)
+  AS BIGINT) AS orden_tipo FROM ({_EV})""")
+_REV = f"""SELECT c.c_custkey, c.c_mktsegment, r.ingresos FROM customer c
+LEFT JOIN (SELECT o_custkey, CAST(SUM({m('o_totalprice')}) AS DECIMAL(28,2)) AS ingresos FROM orders GROUP BY 1) r
+  ON c.c_custkey = r.o_custkey"""
+o("w6_global_rank", f"SELECT *, CAST(RANK() OVER (ORDER BY ingresos DESC NULLS FIRST) AS BIGINT) AS ranking FROM ({_REV})")
+o("w7_rank_in_partition", f"""SELECT *, CAST(RANK() OVER (PARTITION BY c_mktsegment ORDER BY ingresos DESC NULLS FIRST) AS BIGINT)
+  AS ranking_segmento FROM ({_REV})""")
+o("w8_rank_over_aggregate", f"""SELECT l_suppkey, CAST(SUM({m('l_quantity')}) AS DECIMAL(28,2)) AS cantidad,
+  CAST(RANK() OVER (ORDER BY SUM({m('l_quantity')}) DESC NULLS FIRST) AS BIGINT) AS ranking FROM lineitem GROUP BY 1""")
+_PS = f"""SELECT l_partkey, COUNT(*) AS lineas, CAST(SUM({m('l_quantity')}) AS DECIMAL(28,2)) AS cantidad,
+  CAST(ROUND({ddiv(f"SUM(CAST({m('l_quantity')} AS DECIMAL(38,2)))", f"COUNT({m('l_quantity')})", 2, 0)}, 2) AS DECIMAL(38,2)) AS media
+FROM lineitem GROUP BY 1"""
+o("w9_qualified_rank", f"""SELECT *, CAST(RANK() OVER (ORDER BY CASE WHEN lineas >= 35 THEN media END ASC NULLS LAST) AS BIGINT)
+  AS ranking_media FROM ({_PS})""")
+o("w10_composite_rank", f"""SELECT *, CAST(RANK() OVER (ORDER BY lineas DESC NULLS FIRST, cantidad DESC NULLS FIRST) AS BIGINT)
+  AS ranking FROM ({_PS})""")
+_AVGP = ddiv("SUM(CAST(ingresos AS DECIMAL(38,2))) OVER s", "COUNT(ingresos) OVER s", 2, 0)
+o("w11_partition_statistics", f"""SELECT c_custkey, c_mktsegment, ingresos, CAST(ROUND({_AVGP}, 2) AS DECIMAL(38,2)) AS media_segmento,
+  COUNT(*) OVER s AS clientes_segmento,
+  CAST(ROUND(STDDEV_SAMP(CAST(ingresos AS DOUBLE)) OVER s, 2) AS DECIMAL(38,2)) AS desviacion_segmento
+FROM ({_REV}) WINDOW s AS (PARTITION BY c_mktsegment)""")
+_SL = "SELECT l_suppkey, COUNT(*) AS lineas, CAST(COUNT_IF(l_returnflag = 'R') AS BIGINT) AS devueltas FROM lineitem GROUP BY 1"
+o("w12_overall_mean", f"""SELECT l_suppkey, lineas, CAST(ROUND({ddiv('SUM(lineas) OVER ()', 'COUNT(lineas) OVER ()')}, 2)
+  AS DECIMAL(38,2)) AS media_global FROM ({_SL})""")
+o("w13_share_of_partition", f"""SELECT c_custkey, c_mktsegment, {pct('ingresos', 'SUM(ingresos) OVER (PARTITION BY c_mktsegment)', 2, 2)}
+  AS pct_segmento FROM ({_REV})""")
+o("w14_zscore_in_partition", f"""SELECT c_custkey, c_mktsegment,
+  CAST(ROUND((CAST(ingresos AS DOUBLE) - CAST({_AVGP} AS DOUBLE)) / NULLIF(STDDEV_SAMP(CAST(ingresos AS DOUBLE)) OVER s, 0), 2)
+    AS DECIMAL(38,2)) AS z_score
+FROM ({_REV}) WINDOW s AS (PARTITION BY c_mktsegment)""")
+o("w15_relative_class_overall", f"""SELECT l_suppkey, lineas,
+  CASE WHEN lineas * COUNT(*) OVER () >= 2 * SUM(lineas) OVER () AND devueltas >= 1 THEN 'critico'
+       WHEN lineas * COUNT(*) OVER () >= SUM(lineas) OVER () THEN 'problematico'
+       WHEN 2 * lineas * COUNT(*) OVER () >= SUM(lineas) OVER () THEN 'normal' ELSE 'bajo_volumen' END AS clase
+FROM ({_SL})""")
+o("w16_relative_class_partition", """SELECT l_partkey, p_brand, lineas,
+  CASE WHEN lineas >= 3 AND NOT disponible THEN 'retirado_problematico'
+       WHEN lineas * COUNT(*) OVER b >= 2 * SUM(lineas) OVER b AND devueltas >= 1 THEN 'critico'
+       WHEN lineas * COUNT(*) OVER b >= SUM(lineas) OVER b THEN 'frecuente' ELSE 'normal' END AS clase
+FROM (SELECT p.p_partkey AS l_partkey, p.p_brand, p.p_size % 3 <> 0 AS disponible, x.lineas, x.devueltas
+      FROM part p JOIN (SELECT l_partkey, COUNT(*) AS lineas, CAST(COUNT_IF(l_returnflag = 'R') AS BIGINT) AS devueltas
+                        FROM lineitem GROUP BY 1) x ON p.p_partkey = x.l_partkey)
+WINDOW b AS (PARTITION BY p_brand)""")
+o("r1_scalable_global_rank", f"""SELECT *, CAST(RANK() OVER (ORDER BY grupo DESC NULLS FIRST) AS BIGINT) AS ranking_global,
+  CAST(RANK() OVER (PARTITION BY o_orderstatus ORDER BY grupo ASC NULLS FIRST, importe DESC NULLS FIRST) AS BIGINT) AS ranking_estado,
+  CAST(ROW_NUMBER() OVER (ORDER BY importe DESC NULLS FIRST, o_orderkey) AS BIGINT) AS orden_global
+FROM (SELECT o_orderkey, o_orderstatus, {m('o_totalprice')} AS importe, o_orderkey % 7 AS grupo FROM orders)""")
+o("o1_top_n", f"""SELECT * FROM (SELECT *, CAST(RANK() OVER (ORDER BY ingresos DESC NULLS FIRST) AS BIGINT) AS ranking
+  FROM ({_REV})) WHERE ranking <= 10""")
+o("u1_unknown_member_row", f"""SELECT {skey('s_suppkey')} AS proveedor_key, CAST(s_suppkey AS BIGINT) AS id_proveedor, s_name FROM supplier
+UNION ALL SELECT '-1', -1, 'DESCONOCIDO'""")
