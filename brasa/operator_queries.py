@@ -886,3 +886,357 @@ def u1(spark, sf):
     s = T(spark, sf, "supplier").select(surrogate_key("s_suppkey").alias("proveedor_key"),
                                         F.col("s_suppkey").cast("bigint").alias("id_proveedor"), "s_name")
     return _unknown_row(spark, s, {"proveedor_key": "-1", "id_proveedor": -1, "s_name": "DESCONOCIDO"})
+
+
+# ---------------------------------------------------------------- I: incremental loads and history
+
+INCREMENTAL_CUTOFF = "2026-01-15 00:00:00"
+
+
+def _wh(spark, sf):
+    from brasa.registry import warehouse
+    return warehouse(spark, sf)
+
+
+def _initial_incidents(w):
+    """First full build of the incident fact: the source as it stood at the cutoff."""
+    from brasa.functions.columns import ts_ntz
+    src = w.stg("incidents")
+    return w.fact_incidencias(src.filter(F.col("fecha_creacion") < ts_ntz(INCREMENTAL_CUTOFF)))
+
+
+@q("i1_lookback_delta")
+def i1(spark, sf):
+    w = _wh(spark, sf)
+    target = _initial_incidents(w)
+    delta = inc.lookback_delta(w.stg("incidents"), target, "fecha_actualizacion", days=7)
+    return delta.select("id_incidencia", "fecha_actualizacion")
+
+
+@q("i2_upsert_by_key")
+def i2(spark, sf):
+    target, delta = _orders_split(spark, sf)
+    return inc.upsert(target, delta, "id_pedido")
+
+
+@q("i3_append_new_columns")
+def i3(spark, sf):
+    target, delta = _orders_split(spark, sf)
+    return inc.upsert(target.drop("prioridad"), delta, "id_pedido")
+
+
+@q("i4_scd2_check_columns")
+def i4(spark, sf):
+    from brasa.plans.dimensions import EMPLOYEE_CHECK_COLS, SNAPSHOT_COLS
+    from brasa.operators.scd2 import build_history
+    ex = _wh(spark, sf).user_extracts()[:2]
+    return build_history([(df.select(*SNAPSHOT_COLS), at) for df, at in ex], "id_empleado", EMPLOYEE_CHECK_COLS)
+
+
+@q("i5_hard_delete")
+def i5(spark, sf):
+    h = _wh(spark, sf).snp_empleado
+    deleted = h.filter(F.col("dbt_is_deleted")).select("id_empleado").distinct()
+    return h.join(deleted, "id_empleado", "left_semi").select(
+        "id_empleado", "puesto", "dbt_valid_from", "dbt_valid_to", "dbt_is_deleted")
+
+
+@q("i6_history_bootstrap")
+def i6(spark, sf):
+    from brasa.plans.dimensions import SNAPSHOT_COLS
+    from brasa.operators.scd2 import bootstrap_history
+    first, at = _wh(spark, sf).user_extracts()[0]
+    return bootstrap_history(first.select(*SNAPSHOT_COLS), "id_empleado", at)
+
+
+@q("i7_version_dimension")
+def i7(spark, sf):
+    h = _wh(spark, sf).snp_empleado
+    w = Window.partitionBy("id_empleado").orderBy("dbt_valid_from")
+    deleted = F.coalesce(F.col("dbt_is_deleted"), F.lit(False))
+    from brasa.functions.columns import ts_ntz
+    v = h.withColumn("numero_version", F.row_number().over(w).cast("bigint"))
+    return v.select("id_empleado", "numero_version",
+                    F.when(F.col("numero_version") == 1, ts_ntz("1900-01-01 00:00:00"))
+                    .otherwise(F.col("dbt_valid_from")).alias("fecha_inicio_validez"),
+                    F.col("dbt_valid_to").alias("fecha_fin_validez"),
+                    (F.col("dbt_valid_to").isNull() & ~deleted).alias("es_version_actual"),
+                    deleted.alias("es_eliminado"))
+
+
+@q("i8_late_correction_replay")
+def i8(spark, sf):
+    """First build at the cutoff, then one incremental run with the 7-day look-back."""
+    w = _wh(spark, sf)
+    first = inc.publish(spark, _initial_incidents(w), "i8_first")
+    delta = inc.lookback_delta(w.stg("incidents"), first, "fecha_actualizacion", days=7)
+    return inc.publish(spark, inc.upsert(first, w.fact_incidencias(delta), "incidencia_key"), "i8_second")
+
+
+# ---------------------------------------------------------------- C: calendar
+
+@q("c1_time_spine")
+def c1(spark, sf):
+    from brasa.plans.dimensions import dim_time
+    days = T(spark, sf, "orders").agg(F.min(odate()).alias("lo"), F.max(odate()).alias("hi"))
+    spine = dim_time(spark, "1995-01-01", "2002-01-01")
+    return spine.join(days, (F.col("date_day") >= F.col("lo")) & (F.col("date_day") <= F.col("hi")), "left_semi")
+
+
+def order_duty(spark, sf) -> DataFrame:
+    o = T(spark, sf, "orders")
+    kind = (F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("festivo"))
+            .when(F.col("o_orderpriority") == "2-HIGH", F.lit("prefestivo"))
+            .when(F.col("o_orderpriority") == "3-MEDIUM", F.lit("festivo víspera")).otherwise(F.lit("laborable")))
+    return o.select(odate().alias("fecha"), kind.alias("tipo_dia"), F.col("o_orderkey").alias("id_guardia"))
+
+
+@q("c2_calendar_dimension")
+def c2(spark, sf):
+    from brasa.plans.dimensions import dim_fecha, dim_time
+    return dim_fecha(dim_time(spark, "1995-01-01", "2002-01-01"), order_duty(spark, sf))
+
+
+@q("c3_gap_free_daily_report")
+def c3(spark, sf):
+    cal = order_calendar(spark)
+    o = T(spark, sf, "orders").groupBy(odate().alias("fecha")).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(money("o_totalprice")).alias("_imp"))
+    j = cal.join(o, "fecha", "left")
+    return j.select("fecha", F.coalesce("_n", F.lit(0)).cast("bigint").alias("pedidos"),
+                    F.coalesce("_imp", F.lit(0)).cast("decimal(28,2)").alias("importe"))
+
+
+# ---------------------------------------------------------------- Q: data quality
+
+from brasa.operators.quality import Check, contract_report, failures, quality_report  # noqa: E402
+
+
+def _tables(spark, sf) -> dict:
+    w = _wh(spark, sf)
+    return {"stg_incidents": w.stg("incidents"), "stg_requests": w.stg("requests"),
+            "stg_assignments": w.stg("firefighters_assignments"), "stg_users": w.stg("users"),
+            "stg_extra_hours": w.stg("extra_hours"), "fact_horas_extra": w.fact_horas_extra(),
+            "orders": T(spark, sf, "orders"), "lineitem": T(spark, sf, "lineitem")}
+
+
+@q("q1_unique")
+def q1(spark, sf):
+    from brasa.operators.quality import unique_failures
+    return unique_failures(T(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@q("q2_not_null")
+def q2(spark, sf):
+    c = Check("fecha_actualizacion_not_null", "stg_incidents", "not_null", column="fecha_actualizacion")
+    return failures(c, _tables(spark, sf)).select("id_incidencia", "fecha_creacion")
+
+
+@q("q3_accepted_values")
+def q3(spark, sf):
+    c = Check("estado_aceptado", "orders", "accepted_values", column="o_orderstatus", values=("F", "O"))
+    return failures(c, _tables(spark, sf)).select("o_orderkey", "o_orderstatus")
+
+
+@q("q4_relationships")
+def q4(spark, sf):
+    c = Check("asignacion_empleado", "stg_assignments", "relationship", column="id_empleado",
+              parent="stg_users", parent_column="id_empleado")
+    return failures(c, _tables(spark, sf)).select("id_asignacion", "id_empleado")
+
+
+@q("q5_expression_is_true")
+def q5(spark, sf):
+    c = Check("jornada_maxima", "fact_horas_extra", "expression", expression="total_horas <= 20")
+    return failures(c, _tables(spark, sf)).select("id_hora_extra", "total_horas")
+
+
+@q("q6_conditional_test")
+def q6(spark, sf):
+    c = Check("resueltas_con_dias", "stg_incidents", "not_null", column="dias_resolucion", where="estado = 'resuelta'")
+    return failures(c, _tables(spark, sf)).select("id_incidencia", "fecha_creacion", "fecha_actualizacion")
+
+
+SEVERITY_CHECKS = (
+    Check("incidencia_unica", "stg_incidents", "unique", column="id_incidencia"),
+    Check("actualizacion_informada", "stg_incidents", "not_null", column="fecha_actualizacion", severity="warn"),
+    Check("estado_pedido", "orders", "accepted_values", column="o_orderstatus", values=("F", "O", "P")),
+    Check("prioridad_pedido", "orders", "accepted_values", column="o_orderpriority",
+          values=("1-URGENT", "2-HIGH", "3-MEDIUM"), severity="warn"),
+    Check("linea_pedido", "lineitem", "unique", columns=("l_orderkey", "l_linenumber")),
+)
+
+
+@q("q7_severity_status")
+def q7(spark, sf):
+    return quality_report(SEVERITY_CHECKS, _tables(spark, sf))
+
+
+@q("q8_counter_reconciliation")
+def q8(spark, sf):
+    w = _wh(spark, sf)
+    real = (w.stg("firefighters_assignments").filter(F.col("id_solicitud").isNotNull())
+            .groupBy("id_solicitud").agg(F.count(F.lit(1)).alias("total_real")))
+    fact = w.fact_solicitudes().filter(F.col("total_asignaciones_generadas") > 0).select(
+        "id_solicitud", F.col("total_asignaciones_generadas").alias("total_fact"))
+    return fact.join(real, "id_solicitud", "inner").filter(F.col("total_fact") != F.col("total_real")).select(
+        "id_solicitud", "total_fact", "total_real", (F.col("total_fact") - F.col("total_real")).alias("diferencia"))
+
+
+@q("q9_cost_reconciliation")
+def q9(spark, sf):
+    w = _wh(spark, sf)
+    fact = w.fact_horas_extra().groupBy(F.trunc("fecha", "MM").alias("mes")).agg(
+        round_dec(F.sum("coste_total"), 2).alias("coste_fact"))
+    s = w.stg("salaries").select("id_salario", "precio_hora_diurna", "precio_hora_nocturna")
+    stg = (w.stg("extra_hours").join(s, "id_salario", "inner").groupBy(F.trunc("fecha", "MM").alias("mes"))
+           .agg(round_dec(F.sum(F.col("horas_diurnas").cast("decimal(38,0)") * F.col("precio_hora_diurna"))
+                          + F.sum(F.col("horas_nocturnas").cast("decimal(38,0)") * F.col("precio_hora_nocturna")), 2)
+                .alias("coste_calculado")))
+    diff = F.abs(F.col("coste_fact") - F.col("coste_calculado"))
+    return fact.join(stg, "mes", "inner").filter(diff > F.lit(Decimal("0.01"))).select(
+        "mes", "coste_fact", "coste_calculado", diff.cast(DEC2).alias("diferencia"))
+
+
+@q("q10_daily_hours_cap")
+def q10(spark, sf):
+    e = _wh(spark, sf).stg("extra_hours")
+    return e.groupBy("id_empleado", "fecha").agg(F.sum("total_horas").cast("bigint").alias("total_horas_dia"),
+                                                 F.count(F.lit(1)).alias("num_registros")).filter(
+        F.col("total_horas_dia") > 24)
+
+
+@q("q11_resolved_before_created")
+def q11(spark, sf):
+    i = _wh(spark, sf).stg("incidents")
+    return i.filter((F.col("estado") == "resuelta") & F.col("fecha_creacion").isNotNull()
+                    & F.col("fecha_actualizacion").isNotNull()
+                    & (F.col("fecha_actualizacion") < F.col("fecha_creacion"))).select(
+        "id_incidencia", "fecha_creacion", "fecha_actualizacion", "estado",
+        F.datediff("fecha_actualizacion", "fecha_creacion").cast("bigint").alias("desfase_dias"))
+
+
+@q("q12_end_before_start")
+def q12(spark, sf):
+    r = _wh(spark, sf).stg("requests")
+    return r.filter(F.col("fecha_inicio").isNotNull() & F.col("fecha_fin").isNotNull()
+                    & (F.col("fecha_fin") < F.col("fecha_inicio"))).select(
+        "id_solicitud", "id_empleado", "tipo_permiso", "fecha_inicio", "fecha_fin",
+        F.datediff("fecha_fin", "fecha_inicio").cast("bigint").alias("dias_desfase"))
+
+
+@q("q13_one_current_version")
+def q13(spark, sf):
+    d = _wh(spark, sf).dim_empleado
+    return (d.filter(F.col("es_version_actual") & (F.col("id_empleado") != -1)).groupBy("id_empleado")
+            .agg(F.count(F.lit(1)).alias("versiones_actuales")).filter(F.col("versiones_actuales") > 1))
+
+
+@q("q14_contract_enforcement")
+def q14(spark, sf):
+    from brasa.plans.contracts import FACT_HORAS_EXTRA, FACT_HORAS_EXTRA_NOT_NULL
+    return contract_report(_wh(spark, sf).fact_horas_extra(), FACT_HORAS_EXTRA, FACT_HORAS_EXTRA_NOT_NULL)
+
+
+WAREHOUSE_CHECKS = (
+    Check("stg_incidents_id_unique", "stg_incidents", "unique", column="id_incidencia"),
+    Check("stg_incidents_estado_accepted", "stg_incidents", "accepted_values", column="estado",
+          values=("pendiente", "tramitada", "resuelta")),
+    Check("stg_incidents_nivel_accepted", "stg_incidents", "accepted_values", column="nivel_gravedad",
+          values=("bajo", "medio", "alto")),
+    Check("stg_incidents_dias_range", "stg_incidents", "expression", expression="dias_resolucion BETWEEN 0 AND 1825",
+          where="dias_resolucion IS NOT NULL", severity="warn"),
+    Check("stg_requests_estado_accepted", "stg_requests", "accepted_values", column="estado",
+          values=("pendiente", "confirmada", "cancelada", "denegada")),
+    Check("stg_requests_inicio_not_null", "stg_requests", "not_null", column="fecha_inicio", severity="warn"),
+    Check("stg_assignments_tipo_accepted", "stg_assignments", "accepted_values", column="tipo_asignacion",
+          values=("ida", "vuelta")),
+    Check("stg_assignments_empleado_exists", "stg_assignments", "relationship", column="id_empleado",
+          parent="stg_users", parent_column="id_empleado", severity="warn"),
+    Check("stg_users_id_unique", "stg_users", "unique", column="id_empleado"),
+    Check("stg_users_categoria_accepted", "stg_users", "accepted_values", column="categoria_puesto",
+          values=("Tropa", "Mando", "Administrativo", "Desconocido")),
+    Check("fact_horas_extra_key_unique", "fact_horas_extra", "unique", column="horas_extra_key"),
+    Check("fact_horas_extra_tipo_dia_not_null", "fact_horas_extra", "not_null", column="tipo_dia"),
+    Check("fact_horas_extra_coste_sum", "fact_horas_extra", "expression",
+          expression="coste_total = coste_diurno + coste_nocturno"),
+    Check("fact_horas_extra_empleado_exists", "fact_horas_extra", "relationship", column="id_empleado",
+          parent="stg_users", parent_column="id_empleado", severity="warn"),
+)
+
+
+@q("q15_quality_report")
+def q15(spark, sf):
+    return quality_report(WAREHOUSE_CHECKS, _tables(spark, sf))
+
+
+# ---------------------------------------------------------------- M: metrics
+
+from brasa.operators import metrics as M  # noqa: E402
+
+
+def _cast_metrics(df: DataFrame, types: dict) -> DataFrame:
+    return df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
+
+
+@q("m1_metric_sum")
+def m1(spark, sf):
+    f = _wh(spark, sf).fact_horas_extra()
+    out = M.evaluate(f, [m for m in M.OVERTIME_METRICS if isinstance(m, M.Simple) and m.agg == "sum"])
+    return _cast_metrics(out, {"coste_total_horas_extra": DEC2, "coste_diurno_horas_extra": DEC2,
+                               "coste_nocturno_horas_extra": DEC2, "total_horas_extra": "bigint"})
+
+
+@q("m2_metric_count")
+def m2(spark, sf):
+    f = _wh(spark, sf).fact_incidencias()
+    return M.evaluate(f, [M.Simple("total_incidencias", "count", "incidencia_key")], ["tipo_incidencia"])
+
+
+@q("m3_metric_count_distinct")
+def m3(spark, sf):
+    f = _wh(spark, sf).fact_horas_extra()
+    return M.evaluate(f, [M.Simple("bomberos_con_horas_extra", "count_distinct", "id_empleado")], ["tipo_dia"])
+
+
+@q("m4_metric_average")
+def m4(spark, sf):
+    f = _wh(spark, sf).fact_incidencias()
+    return M.evaluate(f, [M.Simple("mttr_dias", "average", "dias_resolucion")], ["tipo_incidencia", "nivel_gravedad"])
+
+
+@q("m5_filtered_metric")
+def m5(spark, sf):
+    f = _wh(spark, sf).fact_solicitudes()
+    ms = [m for m in M.REQUEST_METRICS if isinstance(m, M.Simple) and m.filter]
+    return M.evaluate(f, ms, ["tipo_permiso"])
+
+
+@q("m6_ratio_metric")
+def m6(spark, sf):
+    w = _wh(spark, sf)
+    r = _cast_metrics(M.evaluate(w.fact_solicitudes(), M.REQUEST_METRICS),
+                      {"dias_ausencia_solicitados": "bigint", "total_asignaciones_generadas": "bigint",
+                       "total_requerimientos": "bigint"})
+    i = _cast_metrics(M.evaluate(w.fact_incidencias(), M.INCIDENT_METRICS),
+                      {"incidencias_resueltas": "bigint", "incidencias_pendientes": "bigint",
+                       "incidencias_tramitadas": "bigint"})
+    r = r.withColumn("_one", F.lit(1))
+    return r.join(i.withColumn("_one", F.lit(1)), "_one").drop("_one")
+
+
+@q("m7_metric_by_dimension")
+def m7(spark, sf):
+    w = _wh(spark, sf)
+    f = w.fact_horas_extra().join(w.dim_empleado.select("empleado_key", "categoria_puesto"), "empleado_key", "left")
+    out = M.evaluate(f, M.OVERTIME_METRICS, ["categoria_puesto"])
+    return _cast_metrics(out, {"coste_total_horas_extra": DEC2, "coste_diurno_horas_extra": DEC2,
+                               "coste_nocturno_horas_extra": DEC2, "total_horas_extra": "bigint"})
+
+
+@q("m8_metric_by_time_grain")
+def m8(spark, sf):
+    w = _wh(spark, sf)
+    out = M.by_time_grain(w.fact_incidencias(), M.INCIDENT_METRICS, "fecha_incidencia", "month", spine=w.dim_time)
+    return _cast_metrics(out, {"incidencias_resueltas": "bigint", "incidencias_pendientes": "bigint",
+                               "incidencias_tramitadas": "bigint"})

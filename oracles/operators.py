@@ -331,3 +331,219 @@ o("o1_top_n", f"""SELECT * FROM (SELECT *, CAST(RANK() OVER (ORDER BY ingresos D
   FROM ({_REV})) WHERE ranking <= 10""")
 o("u1_unknown_member_row", f"""SELECT {skey('s_suppkey')} AS proveedor_key, CAST(s_suppkey AS BIGINT) AS id_proveedor, s_name FROM supplier
 UNION ALL SELECT '-1', -1, 'DESCONOCIDO'""")
+
+# ---------------------------------------------------------------- I
+from oracles.base import fact_incidencias_sql, round2  # noqa: E402
+
+_CUT = "TIMESTAMP '2026-01-15 00:00:00'"
+_INITIAL = f"({fact_incidencias_sql(f'(SELECT * FROM stg_incidents WHERE fecha_creacion < {_CUT})')})"
+_HWM = f"(SELECT COALESCE(MAX(fecha_actualizacion), TIMESTAMP '1900-01-01 00:00:00') FROM {_INITIAL}) - INTERVAL 7 DAY"
+o("i1_lookback_delta", with_ctes(f"SELECT id_incidencia, fecha_actualizacion FROM stg_incidents "
+                                 f"WHERE fecha_actualizacion >= {_HWM}", "stg_incidents", "dim_empleado"))
+o("i2_upsert_by_key", _SPLIT + "SELECT * FROM tg WHERE id_pedido NOT IN (SELECT id_pedido FROM dl) UNION ALL SELECT * FROM dl")
+o("i3_append_new_columns", _SPLIT + "SELECT * REPLACE (CAST(NULL AS VARCHAR) AS prioridad) FROM tg "
+                                    "WHERE id_pedido NOT IN (SELECT id_pedido FROM dl) UNION ALL SELECT * FROM dl")
+o("i4_scd2_check_columns", with_ctes("SELECT * FROM snp_empleado_2", "snp_empleado_2"))
+o("i5_hard_delete", with_ctes("""SELECT id_empleado, puesto, dbt_valid_from, dbt_valid_to, dbt_is_deleted FROM snp_empleado
+WHERE id_empleado IN (SELECT id_empleado FROM snp_empleado WHERE dbt_is_deleted)""", "snp_empleado"))
+o("i6_history_bootstrap", with_ctes("""SELECT *, md5(CAST(id_empleado AS VARCHAR) || '|1900-01-01 00:00:00') AS dbt_scd_id,
+  TIMESTAMP '1900-01-01 00:00:00' AS dbt_updated_at, TIMESTAMP '1900-01-01 00:00:00' AS dbt_valid_from,
+  CAST(NULL AS TIMESTAMP) AS dbt_valid_to, FALSE AS dbt_is_deleted
+FROM (SELECT id_empleado, nombre_token, tipo_usuario, puesto, dias_asuntos_propios, dias_vacaciones, dias_modulo,
+             salidas_personales, dias_compensacion_grupos, horas_sindicales, es_mando_especial, fecha_creacion,
+             fecha_actualizacion, categoria_puesto FROM stg_users_v1)""", "stg_users_v1"))
+o("i7_version_dimension", with_ctes("""SELECT id_empleado, numero_version,
+  CASE WHEN numero_version = 1 THEN TIMESTAMP '1900-01-01 00:00:00' ELSE dbt_valid_from END AS fecha_inicio_validez,
+  dbt_valid_to AS fecha_fin_validez, dbt_valid_to IS NULL AND NOT COALESCE(dbt_is_deleted, FALSE) AS es_version_actual,
+  COALESCE(dbt_is_deleted, FALSE) AS es_eliminado
+FROM (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY id_empleado ORDER BY dbt_valid_from) AS BIGINT) AS numero_version
+      FROM snp_empleado)""", "snp_empleado"))
+_DELTA = f"({fact_incidencias_sql(f'(SELECT * FROM stg_incidents WHERE fecha_actualizacion >= {_HWM})')})"
+o("i8_late_correction_replay", with_ctes(
+    f"SELECT * FROM {_INITIAL} WHERE incidencia_key NOT IN (SELECT incidencia_key FROM {_DELTA}) "
+    f"UNION ALL SELECT * FROM {_DELTA}", "stg_incidents", "dim_empleado"))
+
+# ---------------------------------------------------------------- C
+_CAL2 = "SELECT CAST(range AS DATE) AS date_day FROM range(DATE '1995-01-01', DATE '2002-01-01', INTERVAL 1 DAY)"
+o("c1_time_spine", f"""SELECT date_day FROM ({_CAL2})
+WHERE date_day BETWEEN (SELECT MIN(CAST(o_orderdate AS DATE)) FROM orders) AND (SELECT MAX(CAST(o_orderdate AS DATE)) FROM orders)""")
+_DUTY = """SELECT CAST(o_orderdate AS DATE) AS fecha, o_orderkey AS id_guardia,
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'festivo' WHEN '2-HIGH' THEN 'prefestivo' WHEN '3-MEDIUM' THEN 'festivo víspera'
+       ELSE 'laborable' END AS tipo_dia FROM orders"""
+o("c2_calendar_dimension", f"""SELECT {skey('s.fecha')} AS fecha_key, s.fecha,
+  CAST(year(s.fecha) AS BIGINT) AS anio, CAST(quarter(s.fecha) AS BIGINT) AS trimestre,
+  CAST(month(s.fecha) AS BIGINT) AS mes, strftime(s.fecha, '%b') AS mes_nombre,
+  CAST(weekofyear(s.fecha) AS BIGINT) AS semana_anio, CAST(day(s.fecha) AS BIGINT) AS dia,
+  CAST(isodow(s.fecha) AS BIGINT) AS dia_semana_num, strftime(s.fecha, '%a') AS dia_semana_nombre,
+  g.tipo_dia AS tipo_dia, g.tipo_dia IS NULL AS sin_datos_guardia,
+  COALESCE(g.tipo_dia = 'festivo', FALSE) AS es_festivo, COALESCE(g.tipo_dia = 'prefestivo', FALSE) AS es_prefestivo,
+  COALESCE(g.tipo_dia = 'festivo víspera', FALSE) AS es_festivo_vispera,
+  COALESCE(g.tipo_dia = 'laborable', FALSE) AS es_laborable, isodow(s.fecha) IN (6, 7) AS es_fin_de_semana
+FROM (SELECT date_day AS fecha FROM ({_CAL2})) s
+LEFT JOIN (SELECT fecha, tipo_dia FROM ({_DUTY}) QUALIFY ROW_NUMBER() OVER (PARTITION BY fecha ORDER BY id_guardia) = 1) g
+  ON s.fecha = g.fecha""")
+o("c3_gap_free_daily_report", f"""SELECT c.fecha, CAST(COALESCE(o.n, 0) AS BIGINT) AS pedidos,
+  CAST(COALESCE(o.imp, 0) AS DECIMAL(28,2)) AS importe
+FROM ({_CAL}) c LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS fecha, COUNT(*) AS n, SUM({m('o_totalprice')}) AS imp
+                           FROM orders GROUP BY 1) o ON c.fecha = o.fecha""")
+
+# ---------------------------------------------------------------- Q
+o("q1_unique", "SELECT l_orderkey, l_linenumber, COUNT(*) AS n_filas FROM lineitem "
+               "WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY 1, 2 HAVING COUNT(*) > 1")
+o("q2_not_null", with_ctes("SELECT id_incidencia, fecha_creacion FROM stg_incidents WHERE fecha_actualizacion IS NULL",
+                           "stg_incidents"))
+o("q3_accepted_values", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IS NOT NULL "
+                        "AND o_orderstatus NOT IN ('F', 'O')")
+o("q4_relationships", with_ctes("""SELECT id_asignacion, id_empleado FROM stg_assignments
+WHERE id_empleado IS NOT NULL AND id_empleado NOT IN (SELECT id_empleado FROM stg_users WHERE id_empleado IS NOT NULL)""",
+                                "stg_assignments", "stg_users"))
+o("q5_expression_is_true", with_ctes("SELECT id_hora_extra, total_horas FROM fact_horas_extra WHERE NOT (total_horas <= 20)",
+                                     "fact_horas_extra"))
+o("q6_conditional_test", with_ctes("""SELECT id_incidencia, fecha_creacion, fecha_actualizacion FROM stg_incidents
+WHERE estado = 'resuelta' AND dias_resolucion IS NULL""", "stg_incidents"))
+
+
+def _report(rows) -> str:
+    parts = [f"SELECT '{n}' AS check_name, '{t}' AS table_name, '{k}' AS check_kind, '{s}' AS severity, "
+             f"CAST(({sql}) AS BIGINT) AS failing_rows" for n, t, k, s, sql in rows]
+    body = " UNION ALL ".join(parts)
+    return (f"SELECT *, CASE WHEN failing_rows = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END "
+            f"AS status FROM ({body})")
+
+
+o("q7_severity_status", with_ctes(_report([
+    ("incidencia_unica", "stg_incidents", "unique", "error",
+     "SELECT COUNT(*) FROM (SELECT id_incidencia FROM stg_incidents WHERE id_incidencia IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1)"),
+    ("actualizacion_informada", "stg_incidents", "not_null", "warn",
+     "SELECT COUNT(*) FROM stg_incidents WHERE fecha_actualizacion IS NULL"),
+    ("estado_pedido", "orders", "accepted_values", "error",
+     "SELECT COUNT(*) FROM orders WHERE o_orderstatus NOT IN ('F', 'O', 'P')"),
+    ("prioridad_pedido", "orders", "accepted_values", "warn",
+     "SELECT COUNT(*) FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM')"),
+    ("linea_pedido", "lineitem", "unique", "error",
+     "SELECT COUNT(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1)"),
+]), "stg_incidents"))
+o("q8_counter_reconciliation", with_ctes("""SELECT f.id_solicitud, f.total_fact, r.total_real, f.total_fact - r.total_real AS diferencia
+FROM (SELECT id_solicitud, total_asignaciones_generadas AS total_fact FROM fact_solicitudes WHERE total_asignaciones_generadas > 0) f
+JOIN (SELECT id_solicitud, COUNT(*) AS total_real FROM stg_assignments WHERE id_solicitud IS NOT NULL GROUP BY 1) r
+  ON f.id_solicitud = r.id_solicitud
+WHERE f.total_fact <> r.total_real""", "fact_solicitudes", "stg_assignments"))
+o("q9_cost_reconciliation", with_ctes("""SELECT f.mes, f.coste_fact, c.coste_calculado,
+  CAST(abs(f.coste_fact - c.coste_calculado) AS DECIMAL(38,2)) AS diferencia
+FROM (SELECT CAST(date_trunc('month', fecha) AS DATE) AS mes, CAST(ROUND(SUM(coste_total), 2) AS DECIMAL(38,2)) AS coste_fact
+      FROM fact_horas_extra GROUP BY 1) f
+JOIN (SELECT CAST(date_trunc('month', eh.fecha) AS DATE) AS mes,
+             CAST(ROUND(SUM(CAST(eh.horas_diurnas AS DECIMAL(38,0)) * s.precio_hora_diurna)
+                        + SUM(CAST(eh.horas_nocturnas AS DECIMAL(38,0)) * s.precio_hora_nocturna), 2) AS DECIMAL(38,2))
+               AS coste_calculado
+      FROM stg_extra_hours eh JOIN stg_salaries s ON eh.id_salario = s.id_salario GROUP BY 1) c ON f.mes = c.mes
+WHERE abs(f.coste_fact - c.coste_calculado) > 0.01""", "fact_horas_extra", "stg_extra_hours", "stg_salaries"))
+o("q10_daily_hours_cap", with_ctes("""SELECT id_empleado, fecha, CAST(SUM(total_horas) AS BIGINT) AS total_horas_dia,
+  COUNT(*) AS num_registros FROM stg_extra_hours GROUP BY 1, 2 HAVING SUM(total_horas) > 24""", "stg_extra_hours"))
+o("q11_resolved_before_created", with_ctes("""SELECT id_incidencia, fecha_creacion, fecha_actualizacion, estado,
+  CAST(date_diff('day', CAST(fecha_creacion AS DATE), CAST(fecha_actualizacion AS DATE)) AS BIGINT) AS desfase_dias
+FROM stg_incidents WHERE estado = 'resuelta' AND fecha_creacion IS NOT NULL AND fecha_actualizacion IS NOT NULL
+  AND fecha_actualizacion < fecha_creacion""", "stg_incidents"))
+o("q12_end_before_start", with_ctes("""SELECT id_solicitud, id_empleado, tipo_permiso, fecha_inicio, fecha_fin,
+  CAST(date_diff('day', fecha_inicio, fecha_fin) AS BIGINT) AS dias_desfase
+FROM stg_requests WHERE fecha_inicio IS NOT NULL AND fecha_fin IS NOT NULL AND fecha_fin < fecha_inicio""", "stg_requests"))
+o("q13_one_current_version", with_ctes("""SELECT id_empleado, COUNT(*) AS versiones_actuales FROM dim_empleado
+WHERE es_version_actual AND id_empleado <> -1 GROUP BY 1 HAVING COUNT(*) > 1""", "dim_empleado"))
+
+_CONTRACT = [("horas_extra_key", "string", True), ("empleado_key", "string", True), ("fecha_key", "string", True),
+             ("brigada_key", "string", True), ("salario_key", "string", True), ("id_hora_extra", "bigint", True),
+             ("id_empleado", "bigint", True), ("fecha", "date", True), ("id_salario", "bigint", False),
+             ("horas_diurnas", "bigint", True), ("horas_nocturnas", "bigint", True), ("total_horas", "bigint", True),
+             ("precio_hora_diurna", "decimal(10,2)", False), ("precio_hora_nocturna", "decimal(10,2)", False),
+             ("coste_diurno", "decimal(12,2)", False), ("coste_nocturno", "decimal(12,2)", False),
+             ("coste_total", "decimal(12,2)", True), ("tipo_dia", "string", True), ("tipo_salario", "string", False),
+             ("fecha_creacion", "timestamp_ntz", False), ("fecha_actualizacion", "timestamp_ntz", False),
+             ("fecha_carga_bronze", "timestamp_ntz", False)]
+_NULLS = " UNION ALL ".join(f"SELECT '{c}' AS column_name, COUNT_IF({c} IS NULL) AS n FROM fact_horas_extra"
+                            for c, _, nn in _CONTRACT if nn)
+o("q14_contract_enforcement", with_ctes(f"""SELECT s.column_name, s.expected_type, s.expected_type AS actual_type, s.is_not_null,
+  CAST(COALESCE(n.n, 0) AS BIGINT) AS null_violations, COALESCE(n.n, 0) = 0 AS passes
+FROM (VALUES {', '.join(f"('{c}', '{t}', {str(nn).upper()})" for c, t, nn in _CONTRACT)}) AS s(column_name, expected_type, is_not_null)
+LEFT JOIN ({_NULLS}) n ON s.column_name = n.column_name""", "fact_horas_extra"))
+
+o("q15_quality_report", with_ctes(_report([
+    ("stg_incidents_id_unique", "stg_incidents", "unique", "error",
+     "SELECT COUNT(*) FROM (SELECT id_incidencia FROM stg_incidents WHERE id_incidencia IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1)"),
+    ("stg_incidents_estado_accepted", "stg_incidents", "accepted_values", "error",
+     "SELECT COUNT(*) FROM stg_incidents WHERE estado NOT IN ('pendiente', 'tramitada', 'resuelta')"),
+    ("stg_incidents_nivel_accepted", "stg_incidents", "accepted_values", "error",
+     "SELECT COUNT(*) FROM stg_incidents WHERE nivel_gravedad NOT IN ('bajo', 'medio', 'alto')"),
+    ("stg_incidents_dias_range", "stg_incidents", "expression", "warn",
+     "SELECT COUNT(*) FROM stg_incidents WHERE dias_resolucion IS NOT NULL AND NOT (dias_resolucion BETWEEN 0 AND 1825)"),
+    ("stg_requests_estado_accepted", "stg_requests", "accepted_values", "error",
+     "SELECT COUNT(*) FROM stg_requests WHERE estado NOT IN ('pendiente', 'confirmada', 'cancelada', 'denegada')"),
+    ("stg_requests_inicio_not_null", "stg_requests", "not_null", "warn",
+     "SELECT COUNT(*) FROM stg_requests WHERE fecha_inicio IS NULL"),
+    ("stg_assignments_tipo_accepted", "stg_assignments", "accepted_values", "error",
+     "SELECT COUNT(*) FROM stg_assignments WHERE tipo_asignacion NOT IN ('ida', 'vuelta')"),
+    ("stg_assignments_empleado_exists", "stg_assignments", "relationship", "warn",
+     "SELECT COUNT(*) FROM stg_assignments WHERE id_empleado IS NOT NULL AND id_empleado NOT IN (SELECT id_empleado FROM stg_users)"),
+    ("stg_users_id_unique", "stg_users", "unique", "error",
+     "SELECT COUNT(*) FROM (SELECT id_empleado FROM stg_users WHERE id_empleado IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1)"),
+    ("stg_users_categoria_accepted", "stg_users", "accepted_values", "error",
+     "SELECT COUNT(*) FROM stg_users WHERE categoria_puesto NOT IN ('Tropa', 'Mando', 'Administrativo', 'Desconocido')"),
+    ("fact_horas_extra_key_unique", "fact_horas_extra", "unique", "error",
+     "SELECT COUNT(*) FROM (SELECT horas_extra_key FROM fact_horas_extra WHERE horas_extra_key IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1)"),
+    ("fact_horas_extra_tipo_dia_not_null", "fact_horas_extra", "not_null", "error",
+     "SELECT COUNT(*) FROM fact_horas_extra WHERE tipo_dia IS NULL"),
+    ("fact_horas_extra_coste_sum", "fact_horas_extra", "expression", "error",
+     "SELECT COUNT(*) FROM fact_horas_extra WHERE NOT (coste_total = coste_diurno + coste_nocturno)"),
+    ("fact_horas_extra_empleado_exists", "fact_horas_extra", "relationship", "warn",
+     "SELECT COUNT(*) FROM fact_horas_extra WHERE id_empleado IS NOT NULL AND id_empleado NOT IN (SELECT id_empleado FROM stg_users)"),
+]), "stg_incidents", "stg_requests", "stg_assignments", "stg_users", "fact_horas_extra"))
+
+# ---------------------------------------------------------------- M
+_R6 = lambda a, b: ddiv(a, b)
+o("m1_metric_sum", with_ctes("""SELECT CAST(SUM(coste_total) AS DECIMAL(38,2)) AS coste_total_horas_extra,
+  CAST(SUM(coste_diurno) AS DECIMAL(38,2)) AS coste_diurno_horas_extra,
+  CAST(SUM(coste_nocturno) AS DECIMAL(38,2)) AS coste_nocturno_horas_extra,
+  CAST(SUM(total_horas) AS BIGINT) AS total_horas_extra FROM fact_horas_extra""", "fact_horas_extra"))
+o("m2_metric_count", with_ctes("SELECT tipo_incidencia, COUNT(incidencia_key) AS total_incidencias FROM fact_incidencias GROUP BY 1",
+                               "fact_incidencias"))
+o("m3_metric_count_distinct", with_ctes("SELECT tipo_dia, COUNT(DISTINCT id_empleado) AS bomberos_con_horas_extra "
+                                        "FROM fact_horas_extra GROUP BY 1", "fact_horas_extra"))
+o("m4_metric_average", with_ctes(f"""SELECT tipo_incidencia, nivel_gravedad,
+  {ddiv('SUM(CAST(dias_resolucion AS DECIMAL(38,0)))', 'COUNT(dias_resolucion)')} AS mttr_dias
+FROM fact_incidencias GROUP BY 1, 2""", "fact_incidencias"))
+o("m5_filtered_metric", with_ctes("""SELECT tipo_permiso,
+  COUNT(CASE WHEN estado = 'confirmada' THEN solicitud_key END) AS solicitudes_confirmadas,
+  COUNT(CASE WHEN estado = 'denegada' THEN solicitud_key END) AS solicitudes_denegadas
+FROM fact_solicitudes GROUP BY 1""", "fact_solicitudes"))
+o("m6_ratio_metric", with_ctes(f"""SELECT r.*, {_R6('r.solicitudes_confirmadas', 'r.total_solicitudes')} AS tasa_aprobacion,
+  {_R6('r.solicitudes_denegadas', 'r.total_solicitudes')} AS tasa_denegacion,
+  {_R6('r.total_requerimientos', 'r.total_solicitudes')} AS ratio_requerimientos_por_solicitud,
+  i.*, {_R6('i.incidencias_resueltas', 'i.total_incidencias')} AS tasa_resolucion,
+  {_R6('i.incidencias_pendientes', 'i.total_incidencias')} AS tasa_pendientes
+FROM (SELECT COUNT(solicitud_key) AS total_solicitudes,
+             COUNT(CASE WHEN estado = 'confirmada' THEN solicitud_key END) AS solicitudes_confirmadas,
+             COUNT(CASE WHEN estado = 'denegada' THEN solicitud_key END) AS solicitudes_denegadas,
+             CAST(SUM(dias_solicitados) AS BIGINT) AS dias_ausencia_solicitados,
+             CAST(SUM(total_asignaciones_generadas) AS BIGINT) AS total_asignaciones_generadas,
+             CAST(SUM(total_requerimientos_generados) AS BIGINT) AS total_requerimientos FROM fact_solicitudes) r,
+     (SELECT COUNT(incidencia_key) AS total_incidencias, CAST(SUM(es_resuelta) AS BIGINT) AS incidencias_resueltas,
+             CAST(SUM(es_pendiente) AS BIGINT) AS incidencias_pendientes,
+             CAST(SUM(es_tramitada) AS BIGINT) AS incidencias_tramitadas,
+             {ddiv('SUM(CAST(dias_resolucion AS DECIMAL(38,0)))', 'COUNT(dias_resolucion)')} AS mttr_dias
+      FROM fact_incidencias) i""", "fact_solicitudes", "fact_incidencias"))
+o("m7_metric_by_dimension", with_ctes(f"""SELECT e.categoria_puesto,
+  CAST(SUM(f.coste_total) AS DECIMAL(38,2)) AS coste_total_horas_extra,
+  CAST(SUM(f.coste_diurno) AS DECIMAL(38,2)) AS coste_diurno_horas_extra,
+  CAST(SUM(f.coste_nocturno) AS DECIMAL(38,2)) AS coste_nocturno_horas_extra,
+  CAST(SUM(f.total_horas) AS BIGINT) AS total_horas_extra, COUNT(DISTINCT f.id_empleado) AS bomberos_con_horas_extra,
+  {ddiv('SUM(f.coste_total)', 'SUM(f.total_horas)', 2, 0)} AS coste_medio_por_hora
+FROM fact_horas_extra f LEFT JOIN dim_empleado e ON f.empleado_key = e.empleado_key GROUP BY 1""",
+                                      "fact_horas_extra", "dim_empleado"))
+o("m8_metric_by_time_grain", with_ctes(f"""SELECT s.periodo, v.* EXCLUDE (periodo) FROM
+(SELECT DISTINCT CAST(date_trunc('month', date_day) AS DATE) AS periodo FROM dim_time) s
+LEFT JOIN (SELECT CAST(date_trunc('month', fecha_incidencia) AS DATE) AS periodo,
+  COUNT(incidencia_key) AS total_incidencias, CAST(SUM(es_resuelta) AS BIGINT) AS incidencias_resueltas,
+  CAST(SUM(es_pendiente) AS BIGINT) AS incidencias_pendientes, CAST(SUM(es_tramitada) AS BIGINT) AS incidencias_tramitadas,
+  {ddiv('SUM(CAST(dias_resolucion AS DECIMAL(38,0)))', 'COUNT(dias_resolucion)')} AS mttr_dias,
+  {_R6('SUM(es_resuelta)', 'COUNT(incidencia_key)')} AS tasa_resolucion,
+  {_R6('SUM(es_pendiente)', 'COUNT(incidencia_key)')} AS tasa_pendientes
+  FROM fact_incidencias GROUP BY 1) v ON s.periodo = v.periodo""", "fact_incidencias", "dim_time"))
