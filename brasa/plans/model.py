@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import DataFrame, SparkSession
 
 from brasa.plans import analytics as A
@@ -14,10 +12,28 @@ from brasa.sources.bronze import USER_EXTRACT_TIMES, Bronze
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    """All models over one dataset directory.
+
+    Like the reference layout, staging models and analytical views are lazy
+    (views), while the history, dimensions and facts are materialised tables:
+    each is written once to the shared work folder (parquet) and read back,
+    so every view reads compact gold tables instead of re-deriving them.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
         self.bronze = Bronze(spark, sf_dir)
+        self.materialize = materialize
+        self._tables: dict[str, DataFrame] = {}
+
+    def _table(self, name: str, build) -> DataFrame:
+        if not self.materialize:
+            return build()
+        if name not in self._tables:
+            from brasa.operators.incremental import publish
+            self._tables[name] = publish(self.spark, build(), name)
+        return self._tables[name]
 
     # staging
     def stg(self, name: str) -> DataFrame:
@@ -28,57 +44,66 @@ class Warehouse:
                 for v, at in enumerate(USER_EXTRACT_TIMES, start=1)]
 
     # history and dimensions
-    @cached_property
+    @property
     def snp_empleado(self) -> DataFrame:
-        return D.snp_empleado(self.user_extracts())
+        return self._table("snp_empleado", lambda: D.snp_empleado(self.user_extracts()))
 
-    @cached_property
+    @property
     def dim_empleado(self) -> DataFrame:
-        return D.dim_empleado(self.spark, self.snp_empleado)
+        return self._table("dim_empleado", lambda: D.dim_empleado(self.spark, self.snp_empleado))
 
-    @cached_property
+    @property
     def dim_time(self) -> DataFrame:
-        return D.dim_time(self.spark)
+        return self._table("dim_time", lambda: D.dim_time(self.spark))
 
-    @cached_property
+    @property
     def dim_fecha(self) -> DataFrame:
-        return D.dim_fecha(self.dim_time, self.stg("guards"))
+        return self._table("dim_fecha", lambda: D.dim_fecha(self.dim_time, self.stg("guards")))
 
     def dim_parque(self) -> DataFrame:
-        return D.dim_parque(self.spark, self.stg("parks"))
+        return self._table("dim_parque", lambda: D.dim_parque(self.spark, self.stg("parks")))
 
     def dim_brigada(self) -> DataFrame:
-        return D.dim_brigada(self.spark, self.stg("brigades"), self.stg("parks"))
+        return self._table("dim_brigada", lambda: D.dim_brigada(self.spark, self.stg("brigades"), self.stg("parks")))
 
     def dim_equipo(self) -> DataFrame:
-        return D.dim_equipo(self.spark, self.stg("equipos_personales"), self.stg("parks"))
+        return self._table("dim_equipo",
+                           lambda: D.dim_equipo(self.spark, self.stg("equipos_personales"), self.stg("parks")))
 
     def dim_vehiculo(self) -> DataFrame:
-        return D.dim_vehiculo(self.spark, self.stg("vehicles"), self.stg("parks"))
+        return self._table("dim_vehiculo", lambda: D.dim_vehiculo(self.spark, self.stg("vehicles"), self.stg("parks")))
 
     def dim_puesto(self) -> DataFrame:
-        return D.dim_puesto(self.stg("users"))
+        return self._table("dim_puesto", lambda: D.dim_puesto(self.stg("users")))
 
     def dim_salario(self) -> DataFrame:
-        return D.dim_salario(self.stg("salaries"))
+        return self._table("dim_salario", lambda: D.dim_salario(self.stg("salaries")))
 
     # facts (full build from a staging frame; the default is the whole source)
     def fact_horas_extra(self, source: DataFrame | None = None) -> DataFrame:
-        src = source if source is not None else self.stg("extra_hours")
-        return X.fact_horas_extra(src, self.stg("salaries"), self.stg("guards"), self.stg("brigades"),
-                                  self.dim_empleado)
+        build = lambda src: X.fact_horas_extra(src, self.stg("salaries"), self.stg("guards"),
+                                               self.stg("brigades"), self.dim_empleado)
+        if source is not None:
+            return build(source)
+        return self._table("fact_horas_extra", lambda: build(self.stg("extra_hours")))
 
     def fact_solicitudes(self, source: DataFrame | None = None) -> DataFrame:
-        src = source if source is not None else self.stg("requests")
-        return X.fact_solicitudes(src, self.stg("firefighters_assignments"), self.dim_empleado)
+        build = lambda src: X.fact_solicitudes(src, self.stg("firefighters_assignments"), self.dim_empleado)
+        if source is not None:
+            return build(source)
+        return self._table("fact_solicitudes", lambda: build(self.stg("requests")))
 
     def fact_asignaciones(self, source: DataFrame | None = None) -> DataFrame:
-        src = source if source is not None else self.stg("firefighters_assignments")
-        return X.fact_asignaciones(src, self.dim_empleado)
+        build = lambda src: X.fact_asignaciones(src, self.dim_empleado)
+        if source is not None:
+            return build(source)
+        return self._table("fact_asignaciones", lambda: build(self.stg("firefighters_assignments")))
 
     def fact_incidencias(self, source: DataFrame | None = None) -> DataFrame:
-        src = source if source is not None else self.stg("incidents")
-        return X.fact_incidencias(src, self.dim_empleado)
+        build = lambda src: X.fact_incidencias(src, self.dim_empleado)
+        if source is not None:
+            return build(source)
+        return self._table("fact_incidencias", lambda: build(self.stg("incidents")))
 
     # analytical views
     def v1(self): return A.v1_overtime_seasonality(self.fact_horas_extra())
