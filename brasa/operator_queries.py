@@ -1240,3 +1240,23 @@ def m8(spark, sf):
     out = M.by_time_grain(w.fact_incidencias(), M.INCIDENT_METRICS, "fecha_incidencia", "month", spine=w.dim_time)
     return _cast_metrics(out, {"incidencias_resueltas": "bigint", "incidencias_pendientes": "bigint",
                                "incidencias_tramitadas": "bigint"})
+
+
+@q("i9_micro_batch_fact_load")
+def i9(spark, sf):
+    """The incident fact loaded by Structured Streaming, one arrival file per third of the month."""
+    from brasa.plans.staging import stg_incidents
+    from brasa.session import new_table_path
+    from brasa.sources.bronze import Bronze
+    from brasa.streaming import start_fact_stream
+    w = _wh(spark, sf)
+    src = new_table_path(spark, "i9_arrivals")
+    bronze = Bronze(spark, sf).table("incidents")
+    day = F.dayofmonth("CREATED_AT")
+    for i, cond in enumerate([day <= 10, (day > 10) & (day <= 20), (day > 20) | day.isNull()]):
+        bronze.filter(cond).write.parquet(f"{src}/part={i}")
+    schema = spark.read.parquet(f"{src}/part=0").schema
+    state, query = start_fact_stream(spark, f"{src}/*", schema, lambda b: w.fact_incidencias(stg_incidents(b)),
+                                     "i9_incidents", "incidencia_key")
+    query.awaitTermination()
+    return state.table()

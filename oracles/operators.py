@@ -547,3 +547,4 @@ LEFT JOIN (SELECT CAST(date_trunc('month', fecha_incidencia) AS DATE) AS periodo
   {_R6('SUM(es_resuelta)', 'COUNT(incidencia_key)')} AS tasa_resolucion,
   {_R6('SUM(es_pendiente)', 'COUNT(incidencia_key)')} AS tasa_pendientes
   FROM fact_incidencias GROUP BY 1) v ON s.periodo = v.periodo""", "fact_incidencias", "dim_time"))
+o("i9_micro_batch_fact_load", with_ctes("SELECT * FROM fact_incidencias", "fact_incidencias"))
