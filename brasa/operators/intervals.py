@@ -39,11 +39,13 @@ def active_per_day(df: DataFrame, start: str, end: str, calendar: DataFrame,
     Exact for COUNT(DISTINCT id) when the id is unique per interval row.
     """
     lo, hi, valid = _bounds(start, end, cal_start, cal_end)
-    base = df.filter(valid).select(lo.alias("_lo"), F.date_add(hi, 1).alias("_hi"),
-                                   *[m.cast("bigint").alias(n) for n, m in measures.items()])
-    plus = base.select(F.col("_lo").alias(day_col), *[F.col(n) for n in measures])
-    minus = base.select(F.col("_hi").alias(day_col), *[(-F.col(n)).alias(n) for n in measures])
-    deltas = plus.unionByName(minus).groupBy(day_col).agg(*[F.sum(n).alias(n) for n in measures])
+    # one scan: every interval emits +m on its first day and -m on the day after its last
+    edges = F.array(F.struct(lo.alias("d"), F.lit(1).alias("s")),
+                    F.struct(F.date_add(hi, 1).alias("d"), F.lit(-1).alias("s")))
+    events = df.filter(valid).select(F.explode(edges).alias("_e"),
+                                     *[m.cast("bigint").alias(n) for n, m in measures.items()])
+    deltas = events.groupBy(F.col("_e.d").alias(day_col)).agg(
+        *[F.sum(F.col(n) * F.col("_e.s")).alias(n) for n in measures])
     # the calendar is bounded by its parameters, so one ordered window over it is fine
     w = Window.orderBy(day_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cal = calendar.select(day_col).join(deltas, day_col, "left")

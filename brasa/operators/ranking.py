@@ -80,7 +80,6 @@ def _scalable_rank(df: DataFrame, spec: RankSpec, num_ranges: int | None = None)
     mid = F.monotonically_increasing_id()
     ranged = ranged.withColumn("_pid", F.spark_partition_id().cast("bigint")) \
                    .withColumn("_lrn", mid.bitwiseAND(F.lit(MASK33)))
-    ranged = materialize(ranged)
 
     gkey = F.struct(*[F.col(c) for c in p_cols]) if p_cols else F.lit(0)
     tkey = F.struct(*[F.col(c) for c in p_cols + o_cols])
@@ -92,6 +91,8 @@ def _scalable_rank(df: DataFrame, spec: RankSpec, num_ranges: int | None = None)
               .withColumn("_ng", new_g).withColumn("_nt", new_t)
               .withColumn("_gs", F.max(F.when(F.col("_ng"), F.col("_lrn"))).over(run))
               .withColumn("_ts", F.max(F.when(F.col("_nt"), F.col("_lrn"))).over(run)))
+    # one reliable copy: the summary and the final join read the same ranges and positions
+    marked = materialize(marked.drop("_ng", "_nt"))
 
     summary = (marked.groupBy("_pid").agg(
         F.count(F.lit(1)).alias("cnt"),
@@ -126,11 +127,18 @@ def add_ranks(df: DataFrame, specs: Sequence[RankSpec], small_rows: int = SMALL_
     """Add several rank columns to one materialised input."""
     base = materialize(df)
     small = not force_scalable and base.limit(small_rows + 1).count() <= small_rows
+    if not small:
+        return _chain_scalable(base, specs)
     out = base
     for spec in specs:
         out = _window_rank(out, spec) if small else _scalable_rank(out, spec)
-        if not small:
-            out = materialize(out)
+    return out
+
+
+def _chain_scalable(base: DataFrame, specs: Sequence[RankSpec]) -> DataFrame:
+    out = base
+    for spec in specs:
+        out = _scalable_rank(out, spec)
     return out
 
 

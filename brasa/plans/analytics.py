@@ -105,8 +105,9 @@ def _grand_totals(h: DataFrame, **aggs: Column) -> DataFrame:
 
 
 def v2_overtime_by_day_type(fact: DataFrame, dim_fecha: DataFrame) -> DataFrame:
-    h = fact.filter(in_window("fecha", OVERTIME_WINDOW)).join(
-        dim_fecha.select("fecha", "dia_semana_num", "dia_semana_nombre", "es_fin_de_semana"), "fecha", "left")
+    # the calendar holds one row per day between fixed parameters: broadcast is bounded
+    cal = F.broadcast(dim_fecha.select("fecha", "dia_semana_num", "dia_semana_nombre", "es_fin_de_semana"))
+    h = fact.filter(in_window("fecha", OVERTIME_WINDOW)).join(cal, "fecha", "left")
     h = _grand_totals(h, _total_horas_global=F.sum("total_horas"), _coste_total_global=F.sum("coste_total"))
     return h.groupBy("tipo_dia").agg(
         F.count(F.lit(1)).alias("total_registros"),

@@ -34,7 +34,8 @@ def duty_brigade_per_day(stg_guards: DataFrame, stg_brigades: DataFrame) -> Data
 def fact_horas_extra(stg_extra_hours: DataFrame, stg_salaries: DataFrame, stg_guards: DataFrame,
                      stg_brigades: DataFrame, dim_emp: DataFrame) -> DataFrame:
     s = stg_salaries.select("id_salario", "tipo_salario", "precio_hora_diurna", "precio_hora_nocturna")
-    duty = duty_brigade_per_day(stg_guards, stg_brigades)
+    # at most one duty row per calendar day: bounded by the days covered, safe to broadcast
+    duty = F.broadcast(duty_brigade_per_day(stg_guards, stg_brigades))
     e = stg_extra_hours.join(s, "id_salario", "left").join(duty, "fecha", "left")
     day_cost = F.col("horas_diurnas").cast("decimal(38,0)") * F.col("precio_hora_diurna")
     night_cost = F.col("horas_nocturnas").cast("decimal(38,0)") * F.col("precio_hora_nocturna")
