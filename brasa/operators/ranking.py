@@ -27,7 +27,6 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from brasa.session import work_dir
 
 SMALL_INPUT_ROWS = 200_000
 MASK33 = (1 << 33) - 1
@@ -55,10 +54,11 @@ class RankSpec:
     method: str = "rank"          # "rank" | "row_number"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared work folder (cuts lineage, survives executor loss)."""
-    work_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "rank_input") -> DataFrame:
+    """Write once to the shared work folder and read back: cuts lineage, survives executor loss,
+    and (unlike an unpersisted RDD checkpoint) computes the input a single time."""
+    from brasa.operators.incremental import publish
+    return publish(df.sparkSession, df, name)
 
 
 def _window_rank(df: DataFrame, spec: RankSpec) -> DataFrame:
@@ -92,7 +92,7 @@ def _scalable_rank(df: DataFrame, spec: RankSpec, num_ranges: int | None = None)
               .withColumn("_gs", F.max(F.when(F.col("_ng"), F.col("_lrn"))).over(run))
               .withColumn("_ts", F.max(F.when(F.col("_nt"), F.col("_lrn"))).over(run)))
     # one reliable copy: the summary and the final join read the same ranges and positions
-    marked = materialize(marked.drop("_ng", "_nt"))
+    marked = materialize(marked.drop("_ng", "_nt"), "rank_ranges")
 
     summary = (marked.groupBy("_pid").agg(
         F.count(F.lit(1)).alias("cnt"),

@@ -83,22 +83,29 @@ def users_base(customer: DataFrame) -> DataFrame:
 
 
 def users_extract(customer: DataFrame, version: int) -> DataFrame:
-    """Successive extracts of the users table (version 1, 2, 3)."""
+    """Successive extracts of the users table (version 1, 2, 3), each one projection of customer.
+
+    Version 2: keys % 11 = 0 are gone (hard delete), posts change for keys % 7 = 0 and a volatile
+    counter for keys % 3 = 0.  Version 3: the even deleted keys come back with their first values,
+    user types change for keys % 13 = 0 and the command flag flips for keys % 29 = 0.
+    """
     base = users_base(customer)
-    k = _k("ID_EMPLEADO")
     if version == 1:
         return base
-    v2 = (base.filter(k % 11 != 0)
-          .withColumn("PUESTO", F.when(k % 7 == 0, F.lit("Subinspector")).otherwise(F.col("PUESTO")))
-          .withColumn("VACACIONES", F.when(k % 3 == 0, F.coalesce(F.col("VACACIONES"), F.lit(0)) + 1)
-                      .otherwise(F.col("VACACIONES"))))
+    k = _k("ID_EMPLEADO")
+    gone = k % 11 == 0
+    changed = {
+        "PUESTO": F.when(k % 7 == 0, F.lit("Subinspector")).otherwise(F.col("PUESTO")),
+        "VACACIONES": F.when(k % 3 == 0, F.coalesce(F.col("VACACIONES"), F.lit(0)) + 1).otherwise(F.col("VACACIONES")),
+    }
     if version == 2:
-        return v2
-    back = base.filter((k % 11 == 0) & (k % 2 == 0))
-    v3 = v2.unionByName(back)
-    return (v3.withColumn("TYPE", F.when(k % 13 == 0, F.lit("mando")).otherwise(F.col("TYPE")))
-            .withColumn("MANDO_ESPECIAL", F.when(k % 29 == 0, ~F.coalesce(F.col("MANDO_ESPECIAL"), F.lit(False)))
-                        .otherwise(F.col("MANDO_ESPECIAL"))))
+        return base.filter(~gone).select(*[changed.get(c, F.col(c)).alias(c) for c in base.columns])
+    # version 3: returning keys keep their first-extract values
+    cols = {c: F.when(gone, F.col(c)).otherwise(e) for c, e in changed.items()}
+    cols["TYPE"] = F.when(k % 13 == 0, F.lit("mando")).otherwise(F.col("TYPE"))
+    cols["MANDO_ESPECIAL"] = (F.when(k % 29 == 0, ~F.coalesce(F.col("MANDO_ESPECIAL"), F.lit(False)))
+                              .otherwise(F.col("MANDO_ESPECIAL")))
+    return base.filter(~gone | (k % 2 == 0)).select(*[cols.get(c, F.col(c)).alias(c) for c in base.columns])
 
 
 def parks(region: DataFrame) -> DataFrame:
