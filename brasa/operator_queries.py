@@ -18,6 +18,7 @@ from brasa.functions.columns import (
 )
 from brasa.operators import incremental as inc
 from brasa.operators.asof import asof_join
+from brasa.operators.dedup import first_per_key
 from brasa.operators.intervals import expand_days
 from brasa.operators.ranking import Order, RankSpec, add_ranks, attach_group_stats
 from brasa.plans.staging import resolution_days
@@ -515,8 +516,8 @@ def j10(spark, sf):
     o = T(spark, sf, "orders").select(odate().alias("fecha"), "o_orderpriority", "o_orderstatus", "o_orderkey")
     collapsed = o.groupBy("fecha", "o_orderpriority").agg(F.min("o_orderstatus").alias("estado"),
                                                           F.min("o_orderkey").alias("pedido_representante"))
-    w = Window.partitionBy("fecha").orderBy("o_orderpriority")
-    first = collapsed.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    first = first_per_key(collapsed, ["fecha"], ["o_orderpriority"],
+                          columns=["fecha", "estado", "pedido_representante"])
     l = T(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("fecha"))
     return l.join(first, "fecha", "left").select("l_orderkey", "l_linenumber", "estado", "pedido_representante")
 
@@ -719,25 +720,24 @@ def a19(spark, sf):
 
 @q("w1_first_row_per_key")
 def w1(spark, sf):
-    l = T(spark, sf, "lineitem")
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
-    return (l.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
-            .select("l_orderkey", "l_linenumber", "l_partkey"))
+    l = T(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return first_per_key(l, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"],
+                         columns=["l_orderkey", "l_linenumber", "l_partkey"])
 
 
 @q("w2_qualify_filter")
 def w2(spark, sf):
-    o = T(spark, sf, "orders")
-    w = Window.partitionBy("o_custkey").orderBy(F.col("o_orderdate").desc(), F.col("o_orderkey").desc())
-    return (o.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
-            .select("o_custkey", "o_orderkey", odate().alias("ultima_fecha")))
+    o = T(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    last = first_per_key(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], descending=True)
+    return last.select("o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("ultima_fecha"))
 
 
 @q("w3_version_numbering")
 def w3(spark, sf):
-    o = T(spark, sf, "orders")
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    return o.select("o_custkey", "o_orderkey", F.row_number().over(w).cast("bigint").alias("numero_pedido"))
+    o = T(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    ranked = add_ranks(o, [RankSpec("numero_pedido", [Order("o_orderdate"), Order("o_orderkey")], ["o_custkey"],
+                                    method="row_number")])
+    return ranked.select("o_custkey", "o_orderkey", "numero_pedido")
 
 
 def _events_ordered(spark, sf) -> DataFrame:

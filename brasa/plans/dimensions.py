@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from brasa.functions.calendar import calendar_parts
 from brasa.functions.columns import flag_eq, surrogate_key, ts_ntz
+from brasa.operators.dedup import first_per_key
 from brasa.operators.scd2 import build_history
 
 # Calendar parameters and SCD2 configuration of the employee history.
@@ -28,11 +29,9 @@ def dim_time(spark: SparkSession, start: str = CALENDAR_START, end: str = CALEND
 
 
 def first_guard_per_day(stg_guards: DataFrame) -> DataFrame:
-    """One representative duty row per date: the lowest guard id."""
-    w = Window.partitionBy("fecha").orderBy(F.col("id_guardia").asc())
-    return (stg_guards.select("fecha", "tipo_dia", "id_guardia")
-            .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
-            .select("fecha", F.col("tipo_dia").alias("tipo_dia_guardia")))
+    """One representative duty row per date: the lowest guard id (map-side reduced per date)."""
+    first = first_per_key(stg_guards.select("fecha", "tipo_dia", "id_guardia"), ["fecha"], ["id_guardia"])
+    return first.select("fecha", F.col("tipo_dia").alias("tipo_dia_guardia"))
 
 
 def dim_fecha(spine: DataFrame, stg_guards: DataFrame) -> DataFrame:

@@ -3,11 +3,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brasa.functions.columns import indicator, surrogate_key
 from brasa.operators.asof import asof_join
+from brasa.operators.dedup import first_per_key
 
 # Names of the brigades on duty service (day/night collapse).
 DUTY_BRIGADE_NAMES = ("Brigada A", "Brigada B", "Brigada C", "Brigada D", "Brigada E", "Brigada F")
@@ -26,9 +27,8 @@ def duty_brigade_per_day(stg_guards: DataFrame, stg_brigades: DataFrame) -> Data
                       .filter(F.col("nombre_brigada").isin(*DUTY_BRIGADE_NAMES))
     collapsed = named.groupBy("fecha", "nombre_brigada").agg(
         F.min("tipo_dia").alias("tipo_dia"), F.min("id_brigada").alias("id_brigada_guardia"))
-    w = Window.partitionBy("fecha").orderBy("nombre_brigada")
-    return (collapsed.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
-            .select("fecha", "tipo_dia", "id_brigada_guardia"))
+    # first brigade name per day (names are unique per day after the collapse)
+    return first_per_key(collapsed, ["fecha"], ["nombre_brigada"], columns=["fecha", "tipo_dia", "id_brigada_guardia"])
 
 
 def fact_horas_extra(stg_extra_hours: DataFrame, stg_salaries: DataFrame, stg_guards: DataFrame,

@@ -9,14 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from brasa.plans.model import Warehouse
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
-_WAREHOUSES: dict[tuple[int, str], Warehouse] = {}
+_WAREHOUSES: dict[tuple[str, int, str], Warehouse] = {}
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    key = (id(spark), sf_dir)
-    if key not in _WAREHOUSES:
-        _WAREHOUSES[key] = Warehouse(spark, sf_dir)
-    return _WAREHOUSES[key]
+    """One warehouse (and one set of materialised gold tables) per live session and dataset."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
+    cached = _WAREHOUSES.get(key)
+    if cached is None or cached.spark is not spark:
+        cached = _WAREHOUSES[key] = Warehouse(spark, sf_dir)
+    return cached
 
 
 def _w(fn: Callable[[Warehouse], DataFrame]) -> QueryFn:
