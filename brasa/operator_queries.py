@@ -375,7 +375,7 @@ def f12(spark, sf):
 @q("f13_subtract_days")
 def f13(spark, sf):
     e = T(spark, sf, "events")
-    return e.select("event_id", F.date_trunc("second", F.col("ts") - F.make_dt_interval(F.lit(7)))
+    return e.select("event_id", F.date_format(F.col("ts") - F.make_dt_interval(F.lit(7)), "yyyy-MM-dd HH:mm:ss")
                     .cast("timestamp_ntz").alias("hace_una_semana"))
 
 

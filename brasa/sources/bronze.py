@@ -277,7 +277,7 @@ def shift_changes(orders: DataFrame) -> DataFrame:
 
 def incidents(events: DataFrame) -> DataFrame:
     i = _k("event_id")
-    created = (F.date_trunc("second", F.col("ts")).cast("timestamp_ntz")
+    created = (F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss").cast("timestamp_ntz")
                + F.make_ym_interval(F.lit(EVENTS_SHIFT_MONTHS // 12), F.lit(0)))
     kind = (F.when(i % 10 == 9, F.lit("equipos_comunes"))
             .otherwise(_case(F.col("event_type"), [
