@@ -17,6 +17,7 @@ FACT_KEYS = {
     "fact_horas_extra": "horas_extra_key",
     "fact_solicitudes": "solicitud_key",
     "fact_asignaciones_operativas": "asignacion_key",
+    "fact_asignaciones": "asignacion_key",
     "fact_incidencias": "incidencia_key",
 }
 

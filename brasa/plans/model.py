@@ -105,6 +105,26 @@ class Warehouse:
             return build(source)
         return self._table("fact_incidencias", lambda: build(self.stg("incidents")))
 
+    # incremental refresh (the daily job): look-back delta of the staging model, merged by unique key
+    FACT_SOURCES = {"fact_horas_extra": "extra_hours", "fact_solicitudes": "requests",
+                    "fact_asignaciones": "firefighters_assignments", "fact_incidencias": "incidents"}
+
+    def refresh_fact(self, name: str, target: DataFrame | None, lookback_days: int = 7,
+                     empty_default: str | None = "1900-01-01 00:00:00") -> DataFrame:
+        """Merge the rows updated since (target high-water mark - look-back) into ``target``.
+
+        ``target=None`` is the first (full) build.  ``empty_default=None`` reproduces the
+        variant whose empty target never loads (no default on the high-water mark).
+        The result is published to a fresh folder in the shared work area.
+        """
+        from brasa.operators.incremental import lookback_delta, publish, upsert
+        from brasa.plans.facts import FACT_KEYS
+
+        source = self.stg(self.FACT_SOURCES[name])
+        delta = lookback_delta(source, target, "fecha_actualizacion", lookback_days, empty_default)
+        rows = getattr(self, name)(delta)
+        return publish(self.spark, upsert(target, rows, FACT_KEYS[name]), f"{name}_refresh")
+
     # analytical views
     def v1(self): return A.v1_overtime_seasonality(self.fact_horas_extra())
     def v2(self): return A.v2_overtime_by_day_type(self.fact_horas_extra(), self.dim_fecha)

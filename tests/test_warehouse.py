@@ -69,3 +69,16 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "coste_total" in df.columns
+
+
+@pytest.mark.parametrize("name", ["fact_horas_extra", "fact_solicitudes", "fact_asignaciones", "fact_incidencias"])
+def test_refresh_fact_is_idempotent(spark, name):
+    """A second refresh with nothing new changes nothing: the merge absorbs the replayed rows."""
+    from brasa.registry import warehouse
+    w = warehouse(spark, SF_SMALL)
+    first = w.refresh_fact(name, None)
+    full = getattr(w, name)()
+    assert first.count() == full.count()
+    again = w.refresh_fact(name, first)
+    assert again.count() == first.count()
+    assert again.exceptAll(first.select(*again.columns)).count() == 0
