@@ -26,6 +26,7 @@ class Warehouse:
         self.bronze = Bronze(spark, sf_dir)
         self.materialize = materialize
         self._tables: dict[str, DataFrame] = {}
+        self._views: dict[str, object] = {}
 
     def _table(self, name: str, build) -> DataFrame:
         if not self.materialize:
@@ -35,13 +36,18 @@ class Warehouse:
             self._tables[name] = publish(self.spark, build(), name)
         return self._tables[name]
 
-    # staging
+    # staging (lazy views; the DataFrame objects are built once and reused)
     def stg(self, name: str) -> DataFrame:
-        return STAGING[name](self.bronze.table(name))
+        key = f"stg:{name}"
+        if key not in self._views:
+            self._views[key] = STAGING[name](self.bronze.table(name))
+        return self._views[key]
 
     def user_extracts(self) -> list[tuple[DataFrame, str]]:
-        return [(STAGING["users"](self.bronze.table("users", v)), at)
-                for v, at in enumerate(USER_EXTRACT_TIMES, start=1)]
+        if "extracts" not in self._views:
+            self._views["extracts"] = [(STAGING["users"](self.bronze.table("users", v)), at)
+                                       for v, at in enumerate(USER_EXTRACT_TIMES, start=1)]
+        return self._views["extracts"]
 
     # history and dimensions
     @property
