@@ -124,14 +124,23 @@ def _scalable_rank(df: DataFrame, spec: RankSpec, num_ranges: int | None = None)
 
 def add_ranks(df: DataFrame, specs: Sequence[RankSpec], small_rows: int = SMALL_INPUT_ROWS,
               force_scalable: bool = False) -> DataFrame:
-    """Add several rank columns to one materialised input."""
-    base = materialize(df)
+    """Add several rank columns to one input.
+
+    The input is cached (it is deterministic, so a lost block is simply recomputed) and its size
+    checked with an early-exit count.  Up to ``small_rows`` rows the ordinary window functions run
+    over the cached rows; larger inputs are written once to the shared folder and ranked by ranges.
+    """
+    from pyspark import StorageLevel
+
+    base = df.persist(StorageLevel.MEMORY_AND_DISK)
     small = not force_scalable and base.limit(small_rows + 1).count() <= small_rows
     if not small:
-        return _chain_scalable(base, specs)
+        stored = materialize(base)
+        base.unpersist()
+        return _chain_scalable(stored, specs)
     out = base
     for spec in specs:
-        out = _window_rank(out, spec) if small else _scalable_rank(out, spec)
+        out = _window_rank(out, spec)
     return out
 
 
