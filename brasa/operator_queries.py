@@ -561,7 +561,7 @@ def j14(spark, sf):
     from brasa.operators.quality import relationship_failures
     l = T(spark, sf, "lineitem")
     orders = T(spark, sf, "orders")
-    part = T(spark, sf, "part").filter(F.col("p_partkey") % 10 != 0)
+    part = T(spark, sf, "part").filter(F.col("p_size") > 5)      # parts still on sale
     a = relationship_failures(l, "l_orderkey", orders, "o_orderkey").select(
         F.lit("l_orderkey").alias("columna"), F.col("l_orderkey").alias("clave"), "l_linenumber")
     b = relationship_failures(l, "l_partkey", part, "p_partkey").select(

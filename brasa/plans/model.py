@@ -28,12 +28,17 @@ class Warehouse:
         self._tables: dict[str, DataFrame] = {}
         self._views: dict[str, object] = {}
 
+    # facts are clustered by the date their views filter on, then by the unique key
+    CLUSTER = {"fact_horas_extra": ("fecha", "id_hora_extra"), "fact_solicitudes": ("fecha_inicio", "id_solicitud"),
+               "fact_asignaciones": ("fecha_inicio", "id_asignacion"),
+               "fact_incidencias": ("fecha_incidencia", "id_incidencia")}
+
     def _table(self, name: str, build) -> DataFrame:
         if not self.materialize:
             return build()
         if name not in self._tables:
             from brasa.operators.incremental import publish
-            self._tables[name] = publish(self.spark, build(), name)
+            self._tables[name] = publish(self.spark, build(), name, self.CLUSTER.get(name, ()))
         return self._tables[name]
 
     # staging (lazy views; the DataFrame objects are built once and reused)
@@ -129,7 +134,8 @@ class Warehouse:
         source = self.stg(self.FACT_SOURCES[name])
         delta = lookback_delta(source, target, "fecha_actualizacion", lookback_days, empty_default)
         rows = getattr(self, name)(delta)
-        return publish(self.spark, upsert(target, rows, FACT_KEYS[name]), f"{name}_refresh")
+        return publish(self.spark, upsert(target, rows, FACT_KEYS[name]), f"{name}_refresh",
+                       self.CLUSTER.get(name, ()))
 
     # analytical views
     def v1(self): return A.v1_overtime_seasonality(self.fact_horas_extra())

@@ -216,7 +216,7 @@ o("j14_referential_anti_join", """SELECT 'l_orderkey' AS columna, l_orderkey AS
 WHERE l_orderkey IS NOT NULL AND l_orderkey NOT IN (SELECT o_orderkey FROM orders)
 UNION ALL
 SELECT 'l_partkey', l_partkey, l_linenumber FROM lineitem
-WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 10 <> 0)""")
+WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 5)""")
 
 # ---------------------------------------------------------------- A
 o("a1_grouped_aggregates", f"""SELECT l_returnflag, l_linestatus, CAST(SUM({m('l_quantity')}) AS DECIMAL(28,2)) AS suma,

@@ -69,3 +69,18 @@ def test_quality_report_status(spark):
               Check("expr", "t", "expression", expression="k < 5")]
     got = {r.check_name: (r.failing_rows, r.status) for r in quality_report(checks, {"t": df}).collect()}
     assert got == {"u": (1, "fail"), "nn": (1, "warn"), "acc": (1, "fail"), "expr": (0, "pass")}
+
+
+from hypothesis import HealthCheck, given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(0, 6))), min_size=1, max_size=120))
+def test_scalable_rank_property(spark, rows):
+    """Range-partitioned ranks equal window ranks for any data: ties, NULLs, hot groups, empty ranges."""
+    df = spark.createDataFrame([(i, g, x) for i, (g, x) in enumerate(rows)], "id int, g int, x int")
+    specs = [RankSpec("r", [Order("x", True, False)], ["g"]), RankSpec("rg", [Order("x")]),
+             RankSpec("rn", [Order("x"), Order("id")], ["g"], method="row_number")]
+    fast = {r.id: (r.r, r.rg, r.rn) for r in add_ranks(df, specs, force_scalable=True).collect()}
+    slow = {r.id: (r.r, r.rg, r.rn) for r in add_ranks(df, specs).collect()}
+    assert fast == slow
