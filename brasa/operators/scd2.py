@@ -82,10 +82,17 @@ def scd2_apply(history: DataFrame, snapshot: DataFrame, key: str, check_cols: Se
 
 
 def build_history(extracts: Sequence[tuple[DataFrame, str]], key: str,
-                  check_cols: Sequence[str]) -> DataFrame:
-    """Bootstrap with the first extract, then apply the following ones in order."""
+                  check_cols: Sequence[str], materialize_every: int = 8) -> DataFrame:
+    """Bootstrap with the first extract, then apply the following ones in order.
+
+    With many extracts (daily snapshots over years) the plan would grow with every apply, so
+    the history is written to the shared work folder every ``materialize_every`` applies.
+    """
     (first, at0), *rest = extracts
     history = bootstrap_history(first, key, at0)
-    for snap, at in rest:
+    for i, (snap, at) in enumerate(rest, start=1):
         history = scd2_apply(history, snap, key, check_cols, at)
+        if materialize_every and i % materialize_every == 0 and i < len(rest):
+            from brasa.operators.incremental import publish
+            history = publish(history.sparkSession, history, "scd2_history")
     return history
