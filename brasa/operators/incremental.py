@@ -58,8 +58,6 @@ def publish(spark: SparkSession, df: DataFrame, name: str, cluster_by: tuple[str
 
 def guarded_create(spark: SparkSession, df: DataFrame, path: str, force: bool = False) -> DataFrame:
     """Create-as-select that refuses to replace a non-empty table unless forced."""
-    from py4j.protocol import Py4JJavaError  # noqa: F401
-
     existing = None
     try:
         existing = spark.read.parquet(path)

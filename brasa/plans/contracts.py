@@ -1,6 +1,6 @@
 """Schema contracts of the gold tables (names, types, not-null constraints)."""
 
-from pyspark.sql.types import (BooleanType, DateType, DecimalType, LongType, StringType, StructField, StructType,
+from pyspark.sql.types import (DateType, DecimalType, LongType, StringType, StructField, StructType,
                                TimestampNTZType)
 
 
@@ -23,4 +23,3 @@ FACT_HORAS_EXTRA = _s(
 FACT_HORAS_EXTRA_NOT_NULL = ("horas_extra_key", "empleado_key", "fecha_key", "brigada_key", "salario_key",
                              "id_hora_extra", "id_empleado", "fecha", "horas_diurnas", "horas_nocturnas",
                              "total_horas", "coste_total", "tipo_dia")
-UNUSED = BooleanType

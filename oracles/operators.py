@@ -333,7 +333,7 @@ o("u1_unknown_member_row", f"""SELECT {skey('s_suppkey')} AS proveedor_key, CAST
 UNION ALL SELECT '-1', -1, 'DESCONOCIDO'""")
 
 # ---------------------------------------------------------------- I
-from oracles.base import fact_incidencias_sql, round2  # noqa: E402
+from oracles.base import fact_incidencias_sql  # noqa: E402
 
 _CUT = "TIMESTAMP '2026-01-15 00:00:00'"
 _INITIAL = f"({fact_incidencias_sql(f'(SELECT * FROM stg_incidents WHERE fecha_creacion < {_CUT})')})"
