@@ -23,3 +23,42 @@ FACT_HORAS_EXTRA = _s(
 FACT_HORAS_EXTRA_NOT_NULL = ("horas_extra_key", "empleado_key", "fecha_key", "brigada_key", "salario_key",
                              "id_hora_extra", "id_empleado", "fecha", "horas_diurnas", "horas_nocturnas",
                              "total_horas", "coste_total", "tipo_dia")
+
+
+# Expression tests declared on the facts and analytical views
+# (table, expression, where, severity).  A NULL result is not a failure.
+EXPRESSION_TESTS = (
+    ("fact_horas_extra", "total_horas = horas_diurnas + horas_nocturnas", None, "error"),
+    ("fact_horas_extra", "ABS(coste_total - (coste_diurno + coste_nocturno)) <= 0.01", None, "error"),
+    ("fact_horas_extra", "horas_diurnas >= 0 AND horas_nocturnas >= 0", None, "error"),
+    ("fact_horas_extra", "coste_total >= 0", None, "error"),
+    ("fact_solicitudes", "dias_solicitados >= 1", None, "error"),
+    ("fact_solicitudes", "total_asignaciones_generadas >= 0", None, "error"),
+    ("fact_solicitudes", "total_requerimientos_generados <= total_asignaciones_generadas", None, "error"),
+    ("fact_solicitudes", "fecha_fin >= fecha_inicio", "fecha_fin IS NOT NULL", "error"),
+    ("fact_asignaciones", "(total_asignaciones = 1)", None, "error"),
+    ("fact_asignaciones", "(total_requerimientos IN (0, 1))", None, "error"),
+    ("fact_asignaciones", "(total_idas + total_vueltas) <= 1", None, "warn"),
+    ("fact_incidencias", "es_resuelta = 1 AND empleado_resolutor_key IS NOT NULL", "estado = 'resuelta'", "error"),
+    ("fact_incidencias", "(es_resuelta + es_pendiente + es_tramitada) = 1", None, "error"),
+    ("fact_incidencias", "dias_resolucion IS NOT NULL", "estado = 'resuelta'", "warn"),
+    ("fact_incidencias", "dias_resolucion BETWEEN 0 AND 1825", "dias_resolucion IS NOT NULL", "error"),
+    ("v8_daily_pressure", "permisos_activos_total >= 0", None, "error"),
+    ("v8_daily_pressure", "requerimientos_total >= 0", None, "error"),
+    ("v8_daily_pressure", "requerimientos_por_permiso_activo >= 0", "requerimientos_por_permiso_activo IS NOT NULL", "error"),
+    ("v6_leave_type_management", "solicitudes_confirmadas + solicitudes_denegadas + solicitudes_canceladas + solicitudes_pendientes = total_solicitudes", None, "error"),
+    ("v7_request_employee_ranking", "total_dias_solicitados >= dias_confirmados", None, "error"),
+    ("v2_overtime_by_day_type", "ABS(coste_total - (coste_diurno + coste_nocturno)) <= 0.05", None, "error"),
+    ("v2_overtime_by_day_type", "pct_coste_sobre_total BETWEEN 0 AND 100", None, "error"),
+    ("v3_overtime_brigade_ranking", "ABS(coste_total - (coste_festivo + coste_prefestivo + coste_laborable + coste_festivo_vispera)) <= 0.05", None, "error"),
+    ("v4_overtime_employee_ranking", "ABS(total_horas - (horas_festivo + horas_prefestivo + horas_laborable + horas_festivo_vispera)) <= 0.05", None, "error"),
+    ("v9_resolution_efficiency", "total_resueltas + total_tramitadas + total_pendientes = total_incidencias", None, "error"),
+    ("v9_resolution_efficiency", "pct_resueltas + pct_tramitadas + pct_pendientes BETWEEN 99.5 AND 100.5", None, "warn"),
+    ("v9_resolution_efficiency", "dias_resolucion_min >= 0", "dias_resolucion_min IS NOT NULL", "error"),
+    ("v10_resolver_ranking", "total_resueltas >= 1", None, "error"),
+    ("v10_resolver_ranking", "(resueltas_vehiculo + resueltas_personal + resueltas_equipo + resueltas_instalacion + resueltas_vestuario + resueltas_equipos_comunes) = total_resueltas", None, "warn"),
+    ("v11_top_vehicles", "(incidencias_alta_gravedad + incidencias_media_gravedad + incidencias_baja_gravedad + incidencias_sin_clasificar) = total_incidencias", None, "error"),
+    ("v12_top_equipment", "pct_resueltas BETWEEN 0 AND 100", None, "error"),
+    ("v13_bottlenecks", "dias_atascada >= 0", None, "error"),
+    ("v13_bottlenecks", "prioridad_atencion BETWEEN 1 AND 7", None, "error"),
+)
