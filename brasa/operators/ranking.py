@@ -1,22 +1,22 @@
 """Ranking and per-group statistics that do not funnel data into one task.
 
-``rank_within`` computes RANK / ROW_NUMBER, optionally per partition key,
+``add_ranks`` computes RANK / ROW_NUMBER, optionally per partition key,
 like ``rank().over(Window.partitionBy(p).orderBy(o))`` but without sending a
 whole partition key (or, for a global rank, the whole table) to one task:
 
 1. range-partition on (p, o, row hash) and sort inside each range: hot keys
    and big tie groups spread over several ranges;
 2. number rows inside each range (``monotonically_increasing_id`` holds the
-   range index and the row position) and checkpoint, so later steps read the
-   same ranges;
-3. mark where a group run / tie run starts inside each range (one window per
-   range, ranges are balanced);
+   range index and the row position) and mark where a group run / tie run
+   starts (one window per range, ranges are balanced);
+3. write the marked ranges once to the shared work folder, so the summary
+   and the final join read the same ranges and positions;
 4. a summary with one row per range (count, first and last keys) gives each
    range its global offset and the true start of runs that began in an
    earlier range; it is bounded by the number of ranges and broadcast.
 
-When the input is small (checked by counting a materialised copy), the
-ordinary window functions are used instead.
+Inputs of at most ``SMALL_INPUT_ROWS`` rows (checked with an early-exit count
+on a cached copy) use the ordinary window functions instead.
 """
 
 from __future__ import annotations
