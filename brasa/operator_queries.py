@@ -1272,3 +1272,16 @@ def q5b(spark, sf):
     checks = [Check(f"{t}__{i}", t, "expression", expression=e, where=wh, severity=sev)
               for i, (t, e, wh, sev) in enumerate(EXPRESSION_TESTS)]
     return quality_report(checks, tables)
+
+
+@q("s6b_partitioned_merge_sink")
+def s6b(spark, sf):
+    """The late-correction replay of i8, merged into a month-partitioned table (touched months only)."""
+    from brasa.operators.incremental import PERIOD_COL, merge_partitioned
+    from brasa.session import new_table_path
+    w = _wh(spark, sf)
+    path = new_table_path(spark, "s6b_incidents")
+    first = merge_partitioned(spark, path, _initial_incidents(w), "incidencia_key", "fecha_incidencia")
+    delta = inc.lookback_delta(w.stg("incidents"), first.drop(PERIOD_COL), "fecha_actualizacion", days=7)
+    merged = merge_partitioned(spark, path, w.fact_incidencias(delta), "incidencia_key", "fecha_incidencia")
+    return merged.drop(PERIOD_COL)

@@ -68,3 +68,47 @@ def guarded_create(spark: SparkSession, df: DataFrame, path: str, force: bool =
     target = f"{path.rstrip('/')}" if existing is None else new_table_path(spark, "replaced")
     df.write.mode("errorifexists").parquet(target)
     return spark.read.parquet(target)
+
+
+PERIOD_COL = "periodo"
+
+
+def _month(col: str):
+    return F.trunc(F.col(col), "MM")
+
+
+def merge_partitioned(spark: SparkSession, table_path: str, delta: DataFrame, key: str, date_col: str,
+                      period_col: str = PERIOD_COL) -> DataFrame:
+    """MERGE ``delta`` into a month-partitioned parquet table, rewriting only the months it touches.
+
+    Touched months are the months of the delta rows plus the months that currently hold a key of
+    the delta (a correction may move a row to another month).  Those months are rebuilt
+    (old rows minus replaced keys, plus the delta), staged in a fresh folder and swapped in with
+    dynamic partition overwrite; a month left without rows is removed.  Re-running the same
+    merge gives the same table.  The first call (no table yet) writes the whole delta.
+    """
+    staged_delta = delta.withColumn(period_col, _month(date_col))
+    jvm = spark._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(table_path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        staged_delta.write.partitionBy(period_col).parquet(table_path)
+        return spark.read.parquet(table_path)
+
+    target = spark.read.parquet(table_path)
+    keys = staged_delta.select(key).distinct()
+    moved = target.select(key, period_col).join(keys, key, "left_semi").select(period_col)
+    # months are bounded by the calendar span, so the touched set is small
+    touched = [r[0] for r in staged_delta.select(period_col).union(moved).distinct().collect()]
+    if not touched:
+        return target
+    old = target.filter(F.col(period_col).isin(touched)).join(keys, key, "left_anti")
+    rebuilt = old.unionByName(staged_delta, allowMissingColumns=True)
+    stage = new_table_path(spark, "merge_stage")
+    rebuilt.write.partitionBy(period_col).parquet(stage)
+    (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(period_col).parquet(table_path))
+    present = {r[0] for r in spark.read.parquet(stage).select(period_col).distinct().collect()}
+    for month in set(touched) - present:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{table_path}/{period_col}={month}"), True)
+    return spark.read.parquet(table_path)

@@ -137,6 +137,19 @@ class Warehouse:
         return publish(self.spark, upsert(target, rows, FACT_KEYS[name]), f"{name}_refresh",
                        self.CLUSTER.get(name, ()))
 
+    def refresh_fact_partitioned(self, name: str, table_path: str, lookback_days: int = 7) -> DataFrame:
+        """Daily refresh of a month-partitioned fact table: only the months touched are rewritten."""
+        from brasa.operators.incremental import PERIOD_COL, lookback_delta, merge_partitioned
+        from brasa.plans.facts import FACT_KEYS
+
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(table_path)
+        exists = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+        target = self.spark.read.parquet(table_path).drop(PERIOD_COL) if exists else None
+        delta = lookback_delta(self.stg(self.FACT_SOURCES[name]), target, "fecha_actualizacion", lookback_days)
+        rows = getattr(self, name)(delta)
+        return merge_partitioned(self.spark, table_path, rows, FACT_KEYS[name], self.CLUSTER[name][0]).drop(PERIOD_COL)
+
     # analytical views
     def v1(self): return A.v1_overtime_seasonality(self.fact_horas_extra())
     def v2(self): return A.v2_overtime_by_day_type(self.fact_horas_extra(), self.dim_fecha)

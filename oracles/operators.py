@@ -569,3 +569,4 @@ for _i, (_t, _e, _w, _s) in enumerate(EXPRESSION_TESTS):
 o("q5b_gold_expression_tests", with_ctes(_report(_Q5B), "fact_horas_extra", "fact_solicitudes", "fact_asignaciones",
                                          "fact_incidencias", "dim_fecha", "dim_brigada", "dim_empleado", "dim_parque",
                                          "dim_vehiculo", "dim_equipo"))
+o("s6b_partitioned_merge_sink", OPERATORS["i8_late_correction_replay"])

@@ -84,3 +84,25 @@ def test_scalable_rank_property(spark, rows):
     fast = {r.id: (r.r, r.rg, r.rn) for r in add_ranks(df, specs, force_scalable=True).collect()}
     slow = {r.id: (r.r, r.rg, r.rn) for r in add_ranks(df, specs).collect()}
     assert fast == slow
+
+
+def test_merge_partitioned_rewrites_touched_months_only(spark):
+    import os
+    from brasa.operators.incremental import merge_partitioned, upsert
+    from brasa.session import new_table_path
+    path = new_table_path(spark, "merge_test")
+    local = path[len("file:"):] if path.startswith("file:") else path
+    base = spark.createDataFrame([(1, "2024-01-05", "a"), (2, "2024-01-20", "b"), (3, "2024-02-03", "c"),
+                                  (4, "2024-03-10", "d")], "k int, d string, v string").withColumn("d", F.col("d").cast("date"))
+    merge_partitioned(spark, path, base, "k", "d")
+    march = sorted(os.listdir(os.path.join(local, "periodo=2024-03-01")))
+    # key 4 moves from March to February, key 2 is corrected in place, key 5 is new
+    delta = spark.createDataFrame([(2, "2024-01-21", "B"), (4, "2024-02-11", "D"), (5, "2024-02-12", "e")],
+                                  "k int, d string, v string").withColumn("d", F.col("d").cast("date"))
+    merged = merge_partitioned(spark, path, delta, "k", "d")
+    expected = sorted(tuple(r) for r in upsert(base, delta, "k").collect())
+    assert sorted(tuple(r) for r in merged.select("k", "d", "v").collect()) == expected
+    assert not os.path.exists(os.path.join(local, "periodo=2024-03-01"))      # emptied month removed
+    assert march  # the March files existed before the merge
+    again = merge_partitioned(spark, path, delta, "k", "d")                    # re-running is idempotent
+    assert sorted(tuple(r) for r in again.select("k", "d", "v").collect()) == expected

@@ -82,3 +82,16 @@ def test_refresh_fact_is_idempotent(spark, name):
     again = w.refresh_fact(name, first)
     assert again.count() == first.count()
     assert again.exceptAll(first.select(*again.columns)).count() == 0
+
+
+def test_refresh_fact_partitioned(spark):
+    from brasa.registry import warehouse
+    from brasa.session import new_table_path
+    w = warehouse(spark, SF_SMALL)
+    path = new_table_path(spark, "partitioned_fact_test")
+    first = w.refresh_fact_partitioned("fact_horas_extra", path)
+    full = w.fact_horas_extra()
+    assert first.count() == full.count()
+    again = w.refresh_fact_partitioned("fact_horas_extra", path)
+    assert again.count() == full.count()
+    assert again.exceptAll(full.select(*again.columns)).count() == 0
