@@ -1257,7 +1257,7 @@ def i9(spark, sf):
         bronze.filter(cond).write.parquet(f"{src}/part={i}")
     schema = spark.read.parquet(f"{src}/part=0").schema
     state, query = start_fact_stream(spark, f"{src}/*", schema, lambda b: w.fact_incidencias(stg_incidents(b)),
-                                     "i9_incidents", "incidencia_key")
+                                     "i9_incidents", "incidencia_key", "fecha_incidencia")
     query.awaitTermination()
     return state.table()
 

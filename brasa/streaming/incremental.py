@@ -4,9 +4,8 @@ The reference refreshes its facts in daily batches: every run takes the
 source rows updated since (target high-water mark - look-back days) and
 merges them by unique key.  With Structured Streaming the same contract runs
 continuously: the bronze files arriving in a folder are read as a stream,
-each micro-batch is staged, enriched into fact rows and merged into the fact
-table, which is republished to a fresh folder (readers never see a
-half-written table).  The stream checkpoint lives in the shared work folder
+each micro-batch is staged, enriched into fact rows and merged into a
+month-partitioned fact table, rewriting only the months the batch touches.  The stream checkpoint lives in the shared work folder
 so a restarted job resumes at the next unprocessed file.
 
 A late correction is simply a newer row for the same key: the merge keeps
@@ -22,56 +21,56 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from brasa.operators.incremental import upsert
+from brasa.operators.incremental import PERIOD_COL, merge_partitioned
 from brasa.session import new_table_path, work_dir
 
 
 @dataclass
 class FactStream:
-    """Holds the latest published fact table of a running stream."""
+    """A fact table kept up to date by a stream: one month-partitioned table in the shared folder."""
 
     spark: SparkSession
     name: str
     key: str
     updated_col: str
-    current_path: str | None = None
-    history: list = field(default_factory=list)
+    date_col: str
+    table_path: str
+    batches: list = field(default_factory=list)
 
     def table(self) -> DataFrame | None:
-        return self.spark.read.parquet(self.current_path) if self.current_path else None
+        if not self.batches:
+            return None
+        return self.spark.read.parquet(self.table_path).drop(PERIOD_COL)
 
-    def merge_batch(self, fact_rows: DataFrame) -> None:
-        # keep the newest version of every key inside the batch, then merge into the table
+    def merge_batch(self, fact_rows: DataFrame, batch_id: int) -> None:
+        # keep the newest version of every key inside the batch
         # (rows without an update time still count, as the oldest version)
         order = F.coalesce(F.col(self.updated_col), F.lit("0001-01-01 00:00:00").cast("timestamp_ntz"))
-        w_latest = fact_rows.groupBy(self.key).agg(F.max_by(F.struct(*fact_rows.columns), order).alias("_r"))
-        latest = w_latest.select("_r.*")
+        latest = fact_rows.groupBy(self.key).agg(F.max_by(F.struct(*fact_rows.columns), order).alias("_r")) \
+                          .select("_r.*")
         target = self.table()
         if target is not None:
-            # a row only replaces the stored one when it is not older than it
+            # a row only replaces the stored one when it is not older than it (2-column scan of the table)
             stored = target.select(self.key, F.col(self.updated_col).alias("_old"))
             latest = latest.join(stored, self.key, "left").filter(
                 F.col("_old").isNull() | F.col(self.updated_col).isNull()
                 | (F.col(self.updated_col) >= F.col("_old"))).drop("_old")
-        merged = upsert(target, latest, self.key)
-        path = new_table_path(self.spark, self.name)
-        merged.write.mode("errorifexists").parquet(path)
-        self.current_path = path
-        self.history.append(path)
+        merge_partitioned(self.spark, self.table_path, latest, self.key, self.date_col)
+        self.batches.append(batch_id)
 
 
 def start_fact_stream(spark: SparkSession, source_dir: str, source_schema, to_fact: Callable[[DataFrame], DataFrame],
-                      name: str, key: str, updated_col: str = "fecha_actualizacion",
+                      name: str, key: str, date_col: str, updated_col: str = "fecha_actualizacion",
                       max_files_per_trigger: int = 1, available_now: bool = True) -> tuple[FactStream, StreamingQuery]:
-    """Stream bronze parquet files from ``source_dir`` into a merged fact table."""
-    state = FactStream(spark, name, key, updated_col)
+    """Stream bronze parquet files from ``source_dir`` into a merged, month-partitioned fact table."""
+    state = FactStream(spark, name, key, updated_col, date_col, new_table_path(spark, name))
     stream = (spark.readStream.schema(source_schema).option("maxFilesPerTrigger", max_files_per_trigger)
               .parquet(source_dir))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        state.merge_batch(to_fact(batch))
+        state.merge_batch(to_fact(batch), batch_id)
 
     writer = (stream.writeStream.foreachBatch(on_batch)
               .option("checkpointLocation", f"{work_dir(spark)}/streams/{name}-{new_table_path(spark, 'c')[-12:]}"))

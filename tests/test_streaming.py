@@ -21,10 +21,10 @@ def test_stream_of_incident_files_equals_full_build(spark):
     from brasa.plans.staging import stg_incidents
     schema = spark.read.parquet(f"{src}/part=0").schema
     state, query = start_fact_stream(spark, f"{src}/*", schema, lambda b: w.fact_incidencias(stg_incidents(b)),
-                                     "incidents_stream", "incidencia_key")
+                                     "incidents_stream", "incidencia_key", "fecha_incidencia")
     query.awaitTermination(300)
     streamed = state.table()
     full = w.fact_incidencias()
     assert streamed.count() == full.count()
     assert streamed.exceptAll(full.select(*streamed.columns)).count() == 0
-    assert len(state.history) == 3
+    assert len(state.batches) == 3
