@@ -120,6 +120,9 @@ class Warehouse:
     FACT_SOURCES = {"fact_horas_extra": "extra_hours", "fact_solicitudes": "requests",
                     "fact_asignaciones": "firefighters_assignments", "fact_incidencias": "incidents"}
 
+    # the leave-request fact takes MAX(update time) without a default: an empty target never loads
+    EMPTY_DEFAULT = {"fact_solicitudes": None}
+
     def refresh_fact(self, name: str, target: DataFrame | None, lookback_days: int = 7,
                      empty_default: str | None = "1900-01-01 00:00:00") -> DataFrame:
         """Merge the rows updated since (target high-water mark - look-back) into ``target``.
@@ -132,6 +135,7 @@ class Warehouse:
         from brasa.plans.facts import FACT_KEYS
 
         source = self.stg(self.FACT_SOURCES[name])
+        empty_default = self.EMPTY_DEFAULT.get(name, empty_default)
         delta = lookback_delta(source, target, "fecha_actualizacion", lookback_days, empty_default)
         rows = getattr(self, name)(delta)
         return publish(self.spark, upsert(target, rows, FACT_KEYS[name]), f"{name}_refresh",
@@ -146,7 +150,8 @@ class Warehouse:
         path = jvm.org.apache.hadoop.fs.Path(table_path)
         exists = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
         target = self.spark.read.parquet(table_path).drop(PERIOD_COL) if exists else None
-        delta = lookback_delta(self.stg(self.FACT_SOURCES[name]), target, "fecha_actualizacion", lookback_days)
+        delta = lookback_delta(self.stg(self.FACT_SOURCES[name]), target, "fecha_actualizacion", lookback_days,
+                               self.EMPTY_DEFAULT.get(name, "1900-01-01 00:00:00"))
         rows = getattr(self, name)(delta)
         return merge_partitioned(self.spark, table_path, rows, FACT_KEYS[name], self.CLUSTER[name][0]).drop(PERIOD_COL)
 

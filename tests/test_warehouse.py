@@ -95,3 +95,13 @@ def test_refresh_fact_partitioned(spark):
     again = w.refresh_fact_partitioned("fact_horas_extra", path)
     assert again.count() == full.count()
     assert again.exceptAll(full.select(*again.columns)).count() == 0
+
+
+def test_empty_target_variants(spark):
+    """An existing but empty target: most facts reload everything, the leave-request fact loads nothing."""
+    from brasa.registry import warehouse
+    w = warehouse(spark, SF_SMALL)
+    empty_hours = w.fact_horas_extra().limit(0)
+    assert w.refresh_fact("fact_horas_extra", empty_hours).count() == w.fact_horas_extra().count()
+    empty_requests = w.fact_solicitudes().limit(0)
+    assert w.refresh_fact("fact_solicitudes", empty_requests).count() == 0
