@@ -17,6 +17,8 @@ from brasa.functions.columns import (
     round_dec, safe_number, surrogate_key, trim_null,
 )
 from brasa.operators import incremental as inc
+from brasa.operators import metrics as M
+from brasa.operators.quality import Check, contract_report, failures, quality_report
 from brasa.operators.asof import asof_join
 from brasa.operators.dedup import first_per_key
 from brasa.operators.intervals import expand_days
@@ -1009,7 +1011,6 @@ def c3(spark, sf):
 
 # ---------------------------------------------------------------- Q: data quality
 
-from brasa.operators.quality import Check, contract_report, failures, quality_report  # noqa: E402
 
 
 def _tables(spark, sf) -> dict:
@@ -1172,7 +1173,6 @@ def q15(spark, sf):
 
 # ---------------------------------------------------------------- M: metrics
 
-from brasa.operators import metrics as M  # noqa: E402
 
 
 def _cast_metrics(df: DataFrame, types: dict) -> DataFrame:

@@ -107,3 +107,10 @@ def test_empty_target_variants(spark):
     assert w.refresh_fact("fact_horas_extra", empty_hours).count() == with_update
     empty_requests = w.fact_solicitudes().limit(0)
     assert w.refresh_fact("fact_solicitudes", empty_requests).count() == 0
+
+
+def test_daily_build_report(spark):
+    from brasa.registry import warehouse
+    report = warehouse(spark, SF_SMALL).build()
+    rows = report.collect()
+    assert len(rows) == 15 and {r.status for r in rows} <= {"pass", "warn", "fail"}
