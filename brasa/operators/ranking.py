@@ -26,6 +26,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 
 SMALL_INPUT_ROWS = 200_000
@@ -122,23 +123,32 @@ def _scalable_rank(df: DataFrame, spec: RankSpec, num_ranges: int | None = None)
     return j.select(*cols, value.cast("bigint").alias(spec.out))
 
 
-def add_ranks(df: DataFrame, specs: Sequence[RankSpec], small_rows: int = SMALL_INPUT_ROWS,
-              force_scalable: bool = False) -> DataFrame:
-    """Add several rank columns to one input.
-
-    The input is cached (it is deterministic, so a lost block is simply recomputed) and its size
-    checked with an early-exit count.  Up to ``small_rows`` rows the ordinary window functions run
-    over the cached rows; larger inputs are written once to the shared folder and ranked by ranges.
-    """
+def size_checked(df: DataFrame, small_rows: int = SMALL_INPUT_ROWS,
+                 force_scalable: bool = False) -> tuple[DataFrame, bool]:
+    """Cache the input (it is deterministic, so a lost block is simply recomputed) and tell
+    whether it has at most ``small_rows`` rows (early-exit count)."""
     from pyspark import StorageLevel
 
     base = df.persist(StorageLevel.MEMORY_AND_DISK)
     small = not force_scalable and base.limit(small_rows + 1).count() <= small_rows
+    return base, small
+
+
+def add_ranks(df: DataFrame, specs: Sequence[RankSpec], small_rows: int = SMALL_INPUT_ROWS,
+              force_scalable: bool = False, small: bool | None = None) -> DataFrame:
+    """Add several rank columns to one input.
+
+    Up to ``small_rows`` rows (``size_checked``, or the caller's earlier check passed as ``small``)
+    the ordinary window functions run over the cached rows; larger inputs are written once to the
+    shared folder and ranked by ranges.
+    """
+    if small is None or force_scalable:
+        df, small = size_checked(df, small_rows, force_scalable)
     if not small:
-        stored = materialize(base)
-        base.unpersist()
+        stored = materialize(df)
+        df.unpersist()
         return _chain_scalable(stored, specs)
-    out = base
+    out = df
     for spec in specs:
         out = _window_rank(out, spec)
     return out
@@ -151,18 +161,53 @@ def _chain_scalable(base: DataFrame, specs: Sequence[RankSpec]) -> DataFrame:
     return out
 
 
-def attach_group_stats(df: DataFrame, partition_by: Sequence[str], stats: dict[str, Column]) -> DataFrame:
-    """Attach per-group aggregates (AVG(x) OVER (PARTITION BY p) and the like).
-
-    Aggregates are computed map-side partial and joined back on the key
-    (NULL-safe, NULL is a group of its own); AQE broadcasts the group table
-    when it is measured small and splits hot keys otherwise.
+@dataclass(frozen=True)
+class Stat:
+    """A per-group statistic that can run as an aggregate or as a window function."""
+    kind: str                 # sum | count | avg_dec | stddev
+    col: str | None = None
+    scale: int = 0
+
+    def _parts(self):
+        c = F.col(self.col) if self.col else F.lit(1)
+        if self.kind == "sum":
+            return [F.sum(c)], lambda a: a[0]
+        if self.kind == "count":
+            return [F.count(c)], lambda a: a[0]
+        if self.kind == "stddev":
+            return [F.stddev_samp(c.cast("double"))], lambda a: a[0]
+        if self.kind == "avg_dec":
+            d = c.cast(DecimalType(38, self.scale))
+            zero = F.lit(0).cast(DecimalType(38, 0))
+            return [F.sum(d), F.count(d)], lambda a: a[0] / F.nullif(a[1].cast(DecimalType(38, 0)), zero)
+        raise ValueError(self.kind)
+
+    def aggregate(self) -> Column:
+        parts, combine = self._parts()
+        return combine(parts)
+
+    def over(self, w) -> Column:
+        parts, combine = self._parts()
+        return combine([p.over(w) for p in parts])
+
+
+def attach_group_stats(df: DataFrame, partition_by: Sequence[str], stats: dict, small: bool = False) -> DataFrame:
+    """Attach per-group statistics (AVG(x) OVER (PARTITION BY p) and the like).
+
+    ``small`` (an input already size-checked as small): window aggregates over the rows.
+    Otherwise the statistics are aggregated map-side partial and joined back on the key (NULL-safe,
+    NULL is a group of its own); AQE broadcasts the group table when it is measured small and
+    splits hot keys otherwise.  A global statistic (no key) is a one-row aggregate, broadcast.
+    Values are ``Stat`` specs (either path) or aggregate Columns (join path only).
     """
+    if small and all(isinstance(v, Stat) for v in stats.values()):
+        w = Window.partitionBy(*partition_by)
+        return df.select("*", *[v.over(w).alias(n) for n, v in stats.items()])
+    aggs = [(v.aggregate() if isinstance(v, Stat) else v).alias(n) for n, v in stats.items()]
     if not partition_by:
-        one = df.agg(*[e.alias(n) for n, e in stats.items()]).withColumn("_one", F.lit(1))
+        one = df.agg(*aggs).withColumn("_one", F.lit(1))
         return df.withColumn("_one", F.lit(1)).join(F.broadcast(one), "_one", "left").drop("_one")
-    grouped = df.groupBy(*[F.col(c).alias(f"_g_{c}") for c in partition_by]).agg(
-        *[e.alias(n) for n, e in stats.items()])
+    grouped = df.groupBy(*[F.col(c).alias(f"_g_{c}") for c in partition_by]).agg(*aggs)
     cond = None
     for c in partition_by:
         eq = F.col(c).eqNullSafe(F.col(f"_g_{c}"))

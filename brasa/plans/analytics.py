@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from brasa.functions.columns import DEC2, attention_priority, avg_dec, band, pct, ratio, round_dec
 from brasa.operators.intervals import active_per_day
-from brasa.operators.ranking import Order, RankSpec, add_ranks, attach_group_stats
+from brasa.operators.ranking import Order, RankSpec, Stat, add_ranks, attach_group_stats, size_checked
 
 # Reporting windows, reference date and thresholds of the views.
 OVERTIME_WINDOW = ("2025-05-05", "2026-05-05")
@@ -184,10 +184,11 @@ def v4_overtime_employee_ranking(fact: DataFrame, dim_emp: DataFrame) -> DataFra
         round_dec(avg_dec("total_horas"), 2).alias("media_horas_por_registro"),
         round_dec(avg_dec("coste_total", 2), 2).alias("media_coste_por_registro"),
     )
+    agg, small = size_checked(agg)
     stats = attach_group_stats(agg, ["puesto"], {
-        "_avg_coste": avg_dec("coste_total", 2), "_avg_horas": avg_dec("total_horas"),
-        "_std_coste": F.stddev_samp(F.col("coste_total").cast("double")),
-        "_n": F.count(F.lit(1)), "_sum_coste": F.sum("coste_total")})
+        "_avg_coste": Stat("avg_dec", "coste_total", 2), "_avg_horas": Stat("avg_dec", "total_horas"),
+        "_std_coste": Stat("stddev", "coste_total"), "_n": Stat("count"), "_sum_coste": Stat("sum", "coste_total")},
+        small=small)
     out = stats.select(
         *agg.columns,
         round_dec(F.col("_avg_coste"), 2).alias("coste_medio_puesto"),
@@ -202,7 +203,7 @@ def v4_overtime_employee_ranking(fact: DataFrame, dim_emp: DataFrame) -> DataFra
         RankSpec("ranking_coste_dentro_puesto", [Order("coste_total", True, False)], ["puesto"]),
         RankSpec("ranking_horas_dentro_puesto", [Order("total_horas", True, False)], ["puesto"]),
         RankSpec("ranking_coste_global", [Order("coste_total", True, False)]),
-    ])
+    ], small=small)
 
 
 # --------------------------------------------------------------------- requests
@@ -371,11 +372,12 @@ def v10_resolver_ranking(fact: DataFrame, dim_emp: DataFrame, dim_parque: DataFr
     )
     speed = F.when(F.col("total_resueltas") >= MIN_RESOLVED_FOR_SPEED, F.col("mttr_personal"))
     agg = agg.withColumn("_speed", speed)
-    s = attach_group_stats(agg, ["puesto"], {"_mttr_puesto": avg_dec("mttr_personal", 2),
-                                             "_n_puesto": F.count(F.lit(1))})
-    s = attach_group_stats(s, ["nombre_parque"], {"_mttr_parque": avg_dec("mttr_personal", 2),
-                                                  "_n_parque": F.count(F.lit(1)),
-                                                  "_sum_parque": F.sum("total_resueltas")})
+    agg, small = size_checked(agg)
+    s = attach_group_stats(agg, ["puesto"], {"_mttr_puesto": Stat("avg_dec", "mttr_personal", 2),
+                                             "_n_puesto": Stat("count")}, small=small)
+    s = attach_group_stats(s, ["nombre_parque"], {"_mttr_parque": Stat("avg_dec", "mttr_personal", 2),
+                                                  "_n_parque": Stat("count"),
+                                                  "_sum_parque": Stat("sum", "total_resueltas")}, small=small)
     out = s.select(
         *agg.columns,
         round_dec(F.col("_mttr_puesto"), 2).alias("mttr_medio_puesto"),
@@ -389,7 +391,7 @@ def v10_resolver_ranking(fact: DataFrame, dim_emp: DataFrame, dim_parque: DataFr
         RankSpec("ranking_total_dentro_parque", [Order("total_resueltas", True, False)], ["nombre_parque"]),
         RankSpec("ranking_total_dentro_puesto", [Order("total_resueltas", True, False)], ["puesto"]),
         RankSpec("ranking_velocidad_global", [Order("_speed", False, True)]),
-    ])
+    ], small=small)
     return ranked.drop("_speed")
 
 
@@ -416,8 +418,9 @@ def v11_top_vehicles(fact: DataFrame, dim_vehiculo: DataFrame) -> DataFrame:
         "anio_vehiculo",
         F.coalesce(F.col("nombre_parque"), F.lit("DESCONOCIDO")).alias("nombre_parque"),
     ).agg(*_incident_counts(F.count(F.lit(1))), *_mttr_cols("mttr_vehiculo"))
-    s = attach_group_stats(agg, [], {"_sum": F.sum("total_incidencias"), "_n": F.count(F.lit(1)),
-                                     "_avg": avg_dec("total_incidencias")})
+    agg, small = size_checked(agg)
+    s = attach_group_stats(agg, [], {"_sum": Stat("sum", "total_incidencias"), "_n": Stat("count"),
+                                     "_avg": Stat("avg_dec", "total_incidencias")}, small=small)
     tot, cnt, sm = F.col("total_incidencias"), F.col("_n"), F.col("_sum")
     klass = (F.when((tot * cnt >= 2 * sm) & (F.col("incidencias_alta_gravedad") >= 1), F.lit("critico"))
              .when(tot * cnt >= sm, F.lit("problematico"))
@@ -430,7 +433,7 @@ def v11_top_vehicles(fact: DataFrame, dim_vehiculo: DataFrame) -> DataFrame:
         RankSpec("ranking_volumen_dentro_tipo", [Order("total_incidencias", True, False)], ["tipo_vehiculo"]),
         RankSpec("ranking_criticidad", [Order("incidencias_alta_gravedad", True, False),
                                         Order("total_incidencias", True, False)]),
-    ])
+    ], small=small)
 
 
 def v12_top_equipment(fact: DataFrame, dim_equipo: DataFrame) -> DataFrame:
@@ -445,8 +448,9 @@ def v12_top_equipment(fact: DataFrame, dim_equipo: DataFrame) -> DataFrame:
         F.coalesce(F.col("esta_disponible"), F.lit(False)).alias("esta_disponible"),
         F.coalesce(F.col("nombre_parque"), F.lit("DESCONOCIDO")).alias("nombre_parque"),
     ).agg(*_incident_counts(F.count(F.lit(1))), *_mttr_cols("mttr_equipo"))
-    s = attach_group_stats(agg, ["categoria_equipo"], {"_sum": F.sum("total_incidencias"), "_n": F.count(F.lit(1)),
-                                                       "_avg": avg_dec("total_incidencias")})
+    agg, small = size_checked(agg)
+    s = attach_group_stats(agg, ["categoria_equipo"], {"_sum": Stat("sum", "total_incidencias"), "_n": Stat("count"),
+                                                       "_avg": Stat("avg_dec", "total_incidencias")}, small=small)
     tot, cnt, sm = F.col("total_incidencias"), F.col("_n"), F.col("_sum")
     risk = (F.when((tot >= 3) & ~F.col("esta_disponible"), F.lit("retirado_problematico"))
             .when((tot * cnt >= 2 * sm) & (F.col("incidencias_alta_gravedad") >= 1), F.lit("critico"))
@@ -457,7 +461,7 @@ def v12_top_equipment(fact: DataFrame, dim_equipo: DataFrame) -> DataFrame:
         RankSpec("ranking_volumen_global", [Order("total_incidencias", True, False)]),
         RankSpec("ranking_volumen_dentro_categoria", [Order("total_incidencias", True, False)], ["categoria_equipo"]),
         RankSpec("ranking_volumen_dentro_parque", [Order("total_incidencias", True, False)], ["nombre_parque"]),
-    ])
+    ], small=small)
 
 
 def v13_bottlenecks(fact: DataFrame, dim_emp: DataFrame, dim_parque: DataFrame, dim_vehiculo: DataFrame,
