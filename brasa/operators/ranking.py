@@ -135,18 +135,22 @@ def size_checked(df: DataFrame, small_rows: int = SMALL_INPUT_ROWS,
 
 
 def add_ranks(df: DataFrame, specs: Sequence[RankSpec], small_rows: int = SMALL_INPUT_ROWS,
-              force_scalable: bool = False, small: bool | None = None) -> DataFrame:
+              force_scalable: bool = False, small: bool | None = None,
+              release: DataFrame | None = None) -> DataFrame:
     """Add several rank columns to one input.
 
     Up to ``small_rows`` rows (``size_checked``, or the caller's earlier check passed as ``small``)
     the ordinary window functions run over the cached rows; larger inputs are written once to the
-    shared folder and ranked by ranges.
+    shared folder and ranked by ranges, after which the cached input (and ``release``, the
+    caller's cached frame) is dropped from memory.
     """
     if small is None or force_scalable:
         df, small = size_checked(df, small_rows, force_scalable)
     if not small:
         stored = materialize(df)
         df.unpersist()
+        if release is not None:
+            release.unpersist()
         return _chain_scalable(stored, specs)
     out = df
     for spec in specs:

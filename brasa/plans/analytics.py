@@ -203,7 +203,7 @@ def v4_overtime_employee_ranking(fact: DataFrame, dim_emp: DataFrame) -> DataFra
         RankSpec("ranking_coste_dentro_puesto", [Order("coste_total", True, False)], ["puesto"]),
         RankSpec("ranking_horas_dentro_puesto", [Order("total_horas", True, False)], ["puesto"]),
         RankSpec("ranking_coste_global", [Order("coste_total", True, False)]),
-    ], small=small)
+    ], small=small, release=agg)
 
 
 # --------------------------------------------------------------------- requests
@@ -391,7 +391,7 @@ def v10_resolver_ranking(fact: DataFrame, dim_emp: DataFrame, dim_parque: DataFr
         RankSpec("ranking_total_dentro_parque", [Order("total_resueltas", True, False)], ["nombre_parque"]),
         RankSpec("ranking_total_dentro_puesto", [Order("total_resueltas", True, False)], ["puesto"]),
         RankSpec("ranking_velocidad_global", [Order("_speed", False, True)]),
-    ], small=small)
+    ], small=small, release=agg)
     return ranked.drop("_speed")
 
 
@@ -433,7 +433,7 @@ def v11_top_vehicles(fact: DataFrame, dim_vehiculo: DataFrame) -> DataFrame:
         RankSpec("ranking_volumen_dentro_tipo", [Order("total_incidencias", True, False)], ["tipo_vehiculo"]),
         RankSpec("ranking_criticidad", [Order("incidencias_alta_gravedad", True, False),
                                         Order("total_incidencias", True, False)]),
-    ], small=small)
+    ], small=small, release=agg)
 
 
 def v12_top_equipment(fact: DataFrame, dim_equipo: DataFrame) -> DataFrame:
@@ -461,7 +461,7 @@ def v12_top_equipment(fact: DataFrame, dim_equipo: DataFrame) -> DataFrame:
         RankSpec("ranking_volumen_global", [Order("total_incidencias", True, False)]),
         RankSpec("ranking_volumen_dentro_categoria", [Order("total_incidencias", True, False)], ["categoria_equipo"]),
         RankSpec("ranking_volumen_dentro_parque", [Order("total_incidencias", True, False)], ["nombre_parque"]),
-    ], small=small)
+    ], small=small, release=agg)
 
 
 def v13_bottlenecks(fact: DataFrame, dim_emp: DataFrame, dim_parque: DataFrame, dim_vehiculo: DataFrame,
