@@ -21,7 +21,6 @@ from brasa.operators import metrics as M
 from brasa.operators.quality import Check, contract_report, failures, quality_report
 from brasa.operators.asof import asof_join
 from brasa.operators.dedup import first_per_key
-from brasa.operators.intervals import expand_days
 from brasa.operators.ranking import Order, RankSpec, add_ranks, attach_group_stats
 from brasa.plans.staging import resolution_days
 from brasa.sources.freshness import freshness
@@ -482,15 +481,15 @@ def j6(spark, sf):
 
 @q("j7_interval_calendar_join")
 def j7(spark, sf):
+    """Closed orders as day intervals, counted per calendar day without expanding them."""
+    from brasa.operators.intervals import active_per_day
     o = T(spark, sf, "orders").filter(F.col("o_orderstatus") == "F").select(
         "o_orderkey", odate().alias("inicio"),
         F.when(F.col("o_orderkey") % 6 == 0, F.lit(None).cast("date"))
         .when(F.col("o_orderkey") % 23 == 0, F.date_sub(odate(), 2))
         .otherwise(F.date_add(odate(), (F.col("o_orderkey") % 10).cast("int"))).alias("fin"))
-    days = expand_days(o, "inicio", "fin", "1995-01-01", "2001-12-31")
-    per_day = days.groupBy("fecha").agg(F.count(F.lit(1)).alias("activos"))
-    return order_calendar(spark).join(per_day, "fecha", "left").select(
-        "fecha", F.coalesce(F.col("activos"), F.lit(0)).cast("bigint").alias("activos"))
+    return active_per_day(o, "inicio", "fin", order_calendar(spark), "1995-01-01", "2001-12-31",
+                          {"activos": F.lit(1)})
 
 
 @q("j8_grand_total_share")
