@@ -1235,10 +1235,20 @@ def m7(spark, sf):
 
 @q("m8_metric_by_time_grain")
 def m8(spark, sf):
+    """All 22 metrics per month on the time spine; each fact on its own time dimension, gaps kept."""
     w = _wh(spark, sf)
-    out = M.by_time_grain(w.fact_incidencias(), M.INCIDENT_METRICS, "fecha_incidencia", "month", spine=w.dim_time)
-    return _cast_metrics(out, {"incidencias_resueltas": "bigint", "incidencias_pendientes": "bigint",
-                               "incidencias_tramitadas": "bigint"})
+    months = w.dim_time.select(F.trunc("date_day", "month").alias("periodo")).distinct()
+    parts = [M.by_time_grain(w.fact_horas_extra(), M.OVERTIME_METRICS, "fecha", "month"),
+             M.by_time_grain(w.fact_solicitudes(), M.REQUEST_METRICS, "fecha_inicio", "month"),
+             M.by_time_grain(w.fact_incidencias(), M.INCIDENT_METRICS, "fecha_incidencia", "month")]
+    out = months
+    for part in parts:
+        out = out.join(part, "periodo", "left")
+    return _cast_metrics(out, {
+        "coste_total_horas_extra": DEC2, "coste_diurno_horas_extra": DEC2, "coste_nocturno_horas_extra": DEC2,
+        "total_horas_extra": "bigint", "dias_ausencia_solicitados": "bigint", "total_asignaciones_generadas": "bigint",
+        "total_requerimientos": "bigint", "incidencias_resueltas": "bigint", "incidencias_pendientes": "bigint",
+        "incidencias_tramitadas": "bigint"})
 
 
 @q("i9_micro_batch_fact_load")

@@ -538,15 +538,34 @@ o("m7_metric_by_dimension", with_ctes(f"""SELECT e.categoria_puesto,
   {ddiv('SUM(f.coste_total)', 'SUM(f.total_horas)', 2, 0)} AS coste_medio_por_hora
 FROM fact_horas_extra f LEFT JOIN dim_empleado e ON f.empleado_key = e.empleado_key GROUP BY 1""",
                                       "fact_horas_extra", "dim_empleado"))
-o("m8_metric_by_time_grain", with_ctes(f"""SELECT s.periodo, v.* EXCLUDE (periodo) FROM
-(SELECT DISTINCT CAST(date_trunc('month', date_day) AS DATE) AS periodo FROM dim_time) s
+o("m8_metric_by_time_grain", with_ctes(f"""SELECT s.periodo, h.* EXCLUDE (periodo), r.* EXCLUDE (periodo), i.* EXCLUDE (periodo)
+FROM (SELECT DISTINCT CAST(date_trunc('month', date_day) AS DATE) AS periodo FROM dim_time) s
+LEFT JOIN (SELECT CAST(date_trunc('month', fecha) AS DATE) AS periodo,
+  CAST(SUM(coste_total) AS DECIMAL(38,2)) AS coste_total_horas_extra,
+  CAST(SUM(coste_diurno) AS DECIMAL(38,2)) AS coste_diurno_horas_extra,
+  CAST(SUM(coste_nocturno) AS DECIMAL(38,2)) AS coste_nocturno_horas_extra,
+  CAST(SUM(total_horas) AS BIGINT) AS total_horas_extra, COUNT(DISTINCT id_empleado) AS bomberos_con_horas_extra,
+  {ddiv('SUM(coste_total)', 'SUM(total_horas)', 2, 0)} AS coste_medio_por_hora
+  FROM fact_horas_extra GROUP BY 1) h ON s.periodo = h.periodo
+LEFT JOIN (SELECT CAST(date_trunc('month', fecha_inicio) AS DATE) AS periodo,
+  COUNT(solicitud_key) AS total_solicitudes,
+  COUNT(CASE WHEN estado = 'confirmada' THEN solicitud_key END) AS solicitudes_confirmadas,
+  COUNT(CASE WHEN estado = 'denegada' THEN solicitud_key END) AS solicitudes_denegadas,
+  CAST(SUM(dias_solicitados) AS BIGINT) AS dias_ausencia_solicitados,
+  CAST(SUM(total_asignaciones_generadas) AS BIGINT) AS total_asignaciones_generadas,
+  CAST(SUM(total_requerimientos_generados) AS BIGINT) AS total_requerimientos,
+  {_R6("COUNT(CASE WHEN estado = 'confirmada' THEN solicitud_key END)", 'COUNT(solicitud_key)')} AS tasa_aprobacion,
+  {_R6("COUNT(CASE WHEN estado = 'denegada' THEN solicitud_key END)", 'COUNT(solicitud_key)')} AS tasa_denegacion,
+  {_R6('SUM(total_requerimientos_generados)', 'COUNT(solicitud_key)')} AS ratio_requerimientos_por_solicitud
+  FROM fact_solicitudes GROUP BY 1) r ON s.periodo = r.periodo
 LEFT JOIN (SELECT CAST(date_trunc('month', fecha_incidencia) AS DATE) AS periodo,
   COUNT(incidencia_key) AS total_incidencias, CAST(SUM(es_resuelta) AS BIGINT) AS incidencias_resueltas,
   CAST(SUM(es_pendiente) AS BIGINT) AS incidencias_pendientes, CAST(SUM(es_tramitada) AS BIGINT) AS incidencias_tramitadas,
   {ddiv('SUM(CAST(dias_resolucion AS DECIMAL(38,0)))', 'COUNT(dias_resolucion)')} AS mttr_dias,
   {_R6('SUM(es_resuelta)', 'COUNT(incidencia_key)')} AS tasa_resolucion,
   {_R6('SUM(es_pendiente)', 'COUNT(incidencia_key)')} AS tasa_pendientes
-  FROM fact_incidencias GROUP BY 1) v ON s.periodo = v.periodo""", "fact_incidencias", "dim_time"))
+  FROM fact_incidencias GROUP BY 1) i ON s.periodo = i.periodo""",
+    "fact_horas_extra", "fact_solicitudes", "fact_incidencias", "dim_time"))
 o("i9_micro_batch_fact_load", with_ctes("SELECT * FROM fact_incidencias", "fact_incidencias"))
 
 from brasa.plans.contracts import EXPRESSION_TESTS  # noqa: E402
