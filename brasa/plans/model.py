@@ -155,6 +155,23 @@ class Warehouse:
         rows = getattr(self, name)(delta)
         return merge_partitioned(self.spark, table_path, rows, FACT_KEYS[name], self.CLUSTER[name][0]).drop(PERIOD_COL)
 
+    # employee history as stored tables: guarded bootstrap, then one snapshot per new extract
+    def bootstrap_employee_history(self, path: str, force: bool = False) -> DataFrame:
+        """History starting at 1900-01-01 from the current users; refuses a non-empty table unless forced."""
+        from brasa.operators.incremental import guarded_create
+        from brasa.operators.scd2 import bootstrap_history
+
+        first = self.stg("users").select(*D.SNAPSHOT_COLS)
+        return guarded_create(self.spark, bootstrap_history(first, "id_empleado", D.HISTORY_START), path, force)
+
+    def snapshot_employees(self, history: DataFrame, extract: DataFrame, at: str) -> DataFrame:
+        """Apply one staged users extract taken at ``at`` and publish the new history."""
+        from brasa.operators.incremental import publish
+        from brasa.operators.scd2 import scd2_apply
+
+        new = scd2_apply(history, extract.select(*D.SNAPSHOT_COLS), "id_empleado", D.EMPLOYEE_CHECK_COLS, at)
+        return publish(self.spark, new, "snp_empleado")
+
     def build(self) -> DataFrame:
         """The daily build: history, dimensions and facts materialised in dependency order, then the
         data tests of the gold tables as one report (a plain call order replaces a scheduler)."""

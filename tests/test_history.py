@@ -58,3 +58,21 @@ def test_asof_edges(spark):
     got = {r.n: r.k for r in asof_join(facts, versions, "id", "d", "k").collect()}
     # a change at 10:00 does not affect that day's fact; misses get '-1'
     assert got == {1: "k1", 2: "k1", 3: "k2", 4: "-1", 5: "-1", 6: "-1"}
+
+
+def test_stored_history_bootstrap_and_snapshots(spark):
+    import pytest
+    from brasa.registry import warehouse
+    from brasa.session import new_table_path
+    from conftest import SF_SMALL
+    w = warehouse(spark, SF_SMALL)
+    path = new_table_path(spark, "snp_test")
+    h = w.bootstrap_employee_history(path)
+    with pytest.raises(RuntimeError):
+        w.bootstrap_employee_history(path)
+    (_, _), (e2, t2), (e3, t3) = w.user_extracts()
+    h = w.snapshot_employees(h, e2, t2)
+    h = w.snapshot_employees(h, e3, t3)
+    # bootstrapped from the current users instead of the first extract: same versions from the second on
+    assert h.filter(F.col("dbt_valid_to").isNull()).groupBy("id_empleado").count().filter("count > 1").count() == 0
+    assert h.filter(F.col("dbt_is_deleted")).count() > 0
