@@ -4,8 +4,16 @@ A fact row dated ``d`` takes the version with ``valid_from <= d`` and
 ``d < valid_to`` (or ``valid_to`` open).  Misses - unknown id, NULL id or
 NULL date - get the default key.  The join is an equi-join on the business id
 with a range residual, so it shuffles (or, when AQE measures the version side
-small at run time, broadcasts) on the id; a hot id on the fact side is split
-by AQE skew handling, the version side holds only a few rows per id.
+small at run time, broadcasts) on the id; the version side holds only a few
+rows per id.
+
+Hot ids (one id holding a large share of the facts): with AQE's skew join on
+(the Spark 4 default) the oversized shuffle partitions of the fact side are
+split at run time.  Without it (``skew="salt"``, or ``"auto"`` on a session
+where the skew join is off) the hot ids are found first - ids with at least
+``hot_share`` of the fact rows, so at most ``1 / hot_share`` of them, a bound
+that makes broadcasting them safe - and their fact rows are spread over
+``salts`` salts while only their few version rows are replicated per salt.
 """
 
 from __future__ import annotations
@@ -14,18 +22,48 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _aqe_splits_skew(df: DataFrame) -> bool:
+    conf = df.sparkSession.conf
+    return (conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+            and conf.get("spark.sql.adaptive.skewJoin.enabled", "true").lower() == "true")
+
+
 def asof_join(facts: DataFrame, versions: DataFrame, fact_id: str, fact_date: str,
               out: str, *, version_id: str = "id_empleado", version_key: str = "empleado_key",
               valid_from: str = "fecha_inicio_validez", valid_to: str = "fecha_fin_validez",
-              default: str | None = "-1") -> DataFrame:
+              default: str | None = "-1", skew: str = "auto", hot_share: float = 0.01,
+              salts: int = 32) -> DataFrame:
     v = versions.select(
         F.col(version_id).alias(f"_{out}_id"), F.col(valid_from).alias(f"_{out}_from"),
         F.col(valid_to).alias(f"_{out}_to"), F.col(version_key).alias(f"_{out}_key"))
     d = F.col(fact_date)
     cond = ((F.col(fact_id) == F.col(f"_{out}_id")) & (d >= F.col(f"_{out}_from"))
             & (F.col(f"_{out}_to").isNull() | (d < F.col(f"_{out}_to"))))
+    salt_it = skew == "salt" or (skew == "auto" and not _aqe_splits_skew(facts))
+    if salt_it:
+        facts, v, cond = _salted(facts, v, fact_id, out, cond, hot_share, salts)
     joined = facts.join(v, cond, "left")
     key = F.col(f"_{out}_key")
     if default is not None:
         key = F.coalesce(key, F.lit(default))
-    return joined.withColumn(out, key).drop(f"_{out}_id", f"_{out}_from", f"_{out}_to", f"_{out}_key")
+    drop = [f"_{out}_id", f"_{out}_from", f"_{out}_to", f"_{out}_key"] + ([f"_{out}_salt", f"_{out}_vsalt"] if salt_it else [])
+    return joined.withColumn(out, key).drop(*drop)
+
+
+def _salted(facts: DataFrame, v: DataFrame, fact_id: str, out: str, cond, hot_share: float, salts: int):
+    ids = facts.select(F.col(fact_id).alias("_hid")).filter(F.col("_hid").isNotNull())
+    counts = ids.groupBy("_hid").agg(F.count(F.lit(1)).alias("_n"))          # partial aggregation first
+    total = ids.agg(F.count(F.lit(1)).alias("_total")).withColumn("_one", F.lit(1))
+    hot = (counts.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one")
+           .filter(F.col("_n") >= F.col("_total") * F.lit(hot_share)).select("_hid", F.lit(True).alias("_hot")))
+    # at most 1 / hot_share ids can hold hot_share of the rows: a proven bound, safe to broadcast
+    hot = F.broadcast(hot)
+    row_hash = F.xxhash64(*[F.col(c) for c in facts.columns])
+    f = (facts.join(hot, F.col(fact_id) == F.col("_hid"), "left")
+         .withColumn(f"_{out}_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0)))
+         .drop("_hid", "_hot"))
+    vv = (v.join(hot, F.col(f"_{out}_id") == F.col("_hid"), "left")
+          .withColumn(f"_{out}_vsalt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
+                                                 .otherwise(F.array(F.lit(0)))))
+          .drop("_hid", "_hot"))
+    return f, vv, cond & (F.col(f"_{out}_salt") == F.col(f"_{out}_vsalt"))

@@ -76,3 +76,20 @@ def test_stored_history_bootstrap_and_snapshots(spark):
     # bootstrapped from the current users instead of the first extract: same versions from the second on
     assert h.filter(F.col("dbt_valid_to").isNull()).groupBy("id_empleado").count().filter("count > 1").count() == 0
     assert h.filter(F.col("dbt_is_deleted")).count() > 0
+
+
+def test_salted_asof_equals_plain_with_a_hot_id(spark):
+    """One id holds most fact rows: the salted join gives exactly the plain join's keys."""
+    versions = spark.createDataFrame(
+        [("a1", 1, "1900-01-01 00:00:00", "2024-03-01 10:00:00"), ("a2", 1, "2024-03-01 10:00:00", None),
+         ("b1", 2, "1900-01-01 00:00:00", None)],
+        "empleado_key string, id_empleado bigint, f string, t string") \
+        .select("empleado_key", "id_empleado", F.col("f").cast("timestamp_ntz").alias("fecha_inicio_validez"),
+                F.col("t").cast("timestamp_ntz").alias("fecha_fin_validez"))
+    rows = [(n, 1 if n % 10 else 2, "2024-02-%02d" % (1 + n % 28)) for n in range(600)] + \
+           [(1000 + n, 1, "2024-03-%02d" % (1 + n % 28)) for n in range(300)] + [(5000, None, "2024-03-02")]
+    facts = spark.createDataFrame(rows, "n int, id bigint, d string").withColumn("d", F.col("d").cast("date"))
+    plain = {r.n: r.k for r in asof_join(facts, versions, "id", "d", "k", skew="none").collect()}
+    salted = {r.n: r.k for r in asof_join(facts, versions, "id", "d", "k", skew="salt", salts=8).collect()}
+    assert salted == plain and len(plain) == len(rows)
+    assert plain[1000] == "a1" and plain[1001] == "a2" and plain[1] == "a1" and plain[0] == "b1" and plain[5000] == "-1"
