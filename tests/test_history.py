@@ -93,3 +93,18 @@ def test_salted_asof_equals_plain_with_a_hot_id(spark):
     salted = {r.n: r.k for r in asof_join(facts, versions, "id", "d", "k", skew="salt", salts=8).collect()}
     assert salted == plain and len(plain) == len(rows)
     assert plain[1000] == "a1" and plain[1001] == "a2" and plain[1] == "a1" and plain[0] == "b1" and plain[5000] == "-1"
+
+
+def test_asof_on_version_bounds(spark):
+    """Half-open validity: a fact dated exactly at a version's start takes it; exactly at its end, the next."""
+    versions = spark.createDataFrame(
+        [("v1", 7, "1900-01-01 00:00:00", "2024-03-05 00:00:00"), ("v2", 7, "2024-03-05 00:00:00", "2024-04-01 00:00:00"),
+         ("v3", 7, "2024-04-01 00:00:00", None)],
+        "empleado_key string, id_empleado bigint, f string, t string") \
+        .select("empleado_key", "id_empleado", F.col("f").cast("timestamp_ntz").alias("fecha_inicio_validez"),
+                F.col("t").cast("timestamp_ntz").alias("fecha_fin_validez"))
+    facts = spark.createDataFrame([(1, 7, "2024-03-04"), (2, 7, "2024-03-05"), (3, 7, "2024-03-31"), (4, 7, "2024-04-01"),
+                                   (5, 7, "1950-06-01")], "n int, id bigint, d string") \
+        .withColumn("d", F.col("d").cast("date"))
+    got = {r.n: r.k for r in asof_join(facts, versions, "id", "d", "k").collect()}
+    assert got == {1: "v1", 2: "v2", 3: "v2", 4: "v3", 5: "v1"}
