@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 from brasa.functions.columns import clean_text, date_lit, safe_number, trim_null
 
+# Staging rules of the operational sources.
 DATE_FLOOR = "2020-01-01"       # rows dated before this are corrupt extracts
-RESOLUTION_MAX_DAYS = 3650
+RESOLUTION_MAX_DAYS = 3650      # longest plausible resolution time
+POSTS_TROPA = ("conductor", "operador", "bombero")
+POSTS_MANDO = ("subinspector", "oficial")
+SERVICE_BRIGADES = ("A", "B", "C", "D", "E", "F")
 
 
 def audit_columns() -> list[Column]:
@@ -22,8 +26,8 @@ def _id(name: str) -> Column:
 
 
 def post_category(normalised: Column) -> Column:
-    return (F.when(normalised.isin("conductor", "operador", "bombero"), F.lit("Tropa"))
-            .when(normalised.isin("subinspector", "oficial"), F.lit("Mando"))
+    return (F.when(normalised.isin(*POSTS_TROPA), F.lit("Tropa"))
+            .when(normalised.isin(*POSTS_MANDO), F.lit("Mando"))
             .when(normalised.isNull(), F.lit("Administrativo"))
             .otherwise(F.lit("Desconocido")))
 
@@ -50,9 +54,6 @@ def stg_parks(parks: DataFrame) -> DataFrame:
                         trim_null("UBICACION").alias("ubicacion"))
 
 
-SERVICE_BRIGADES = ("A", "B", "C", "D", "E", "F")
-
-
 def stg_brigades(brigades: DataFrame) -> DataFrame:
     return brigades.select(
         _id("ID_BRIGADA").alias("id_brigada"), _id("ID_PARQUE").alias("id_parque"),
