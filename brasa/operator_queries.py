@@ -1274,12 +1274,12 @@ def i9(spark, sf):
 @q("q5b_gold_expression_tests")
 def q5b(spark, sf):
     """Every expression test declared on the facts and views, as one report."""
-    from brasa.plans.contracts import EXPRESSION_TESTS
+    from brasa.plans.contracts import EXPRESSION_TESTS, expression_test_name
     w = _wh(spark, sf)
     names = {t for t, _, _, _ in EXPRESSION_TESTS}
     tables = {n: (getattr(w, n)() if n.startswith("fact_") else getattr(w, n.split("_")[0])()) for n in names}
-    checks = [Check(f"{t}__{i}", t, "expression", expression=e, where=wh, severity=sev)
-              for i, (t, e, wh, sev) in enumerate(EXPRESSION_TESTS)]
+    checks = [Check(expression_test_name(t, e, wh), t, "expression", expression=e, where=wh, severity=sev)
+              for t, e, wh, sev in EXPRESSION_TESTS]
     return quality_report(checks, tables)
 
 

@@ -62,3 +62,7 @@ EXPRESSION_TESTS = (
     ("v13_bottlenecks", "dias_atascada >= 0", None, "error"),
     ("v13_bottlenecks", "prioridad_atencion BETWEEN 1 AND 7", None, "error"),
 )
+
+
+def expression_test_name(table: str, expression: str, where: str | None) -> str:
+    return f"{table}: {expression}" + (f" [where {where}]" if where else "")

@@ -176,14 +176,14 @@ class Warehouse:
         """The daily build: history, dimensions and facts materialised in dependency order, then the
         data tests of the gold tables as one report (a plain call order replaces a scheduler)."""
         from brasa.operators.quality import Check, quality_report
-        from brasa.plans.contracts import EXPRESSION_TESTS
+        from brasa.plans.contracts import EXPRESSION_TESTS, expression_test_name
 
         for dim in ("dim_parque", "dim_brigada", "dim_equipo", "dim_vehiculo", "dim_puesto", "dim_salario"):
             getattr(self, dim)()
         _ = (self.snp_empleado, self.dim_empleado, self.dim_time, self.dim_fecha)
         facts = {name: getattr(self, name)() for name in self.FACT_SOURCES}
-        checks = [Check(f"{t}__{i}", t, "expression", expression=e, where=w, severity=sev)
-                  for i, (t, e, w, sev) in enumerate(EXPRESSION_TESTS) if t in facts]
+        checks = [Check(expression_test_name(t, e, w), t, "expression", expression=e, where=w, severity=sev)
+                  for t, e, w, sev in EXPRESSION_TESTS if t in facts]
         return quality_report(checks, facts)
 
     # analytical views

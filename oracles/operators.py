@@ -568,7 +568,7 @@ LEFT JOIN (SELECT CAST(date_trunc('month', fecha_incidencia) AS DATE) AS periodo
     "fact_horas_extra", "fact_solicitudes", "fact_incidencias", "dim_time"))
 o("i9_micro_batch_fact_load", with_ctes("SELECT * FROM fact_incidencias", "fact_incidencias"))
 
-from brasa.plans.contracts import EXPRESSION_TESTS  # noqa: E402
+from brasa.plans.contracts import EXPRESSION_TESTS, expression_test_name  # noqa: E402
 from oracles.views import VIEWS  # noqa: E402
 
 _VIEW_SQL = {k.split("_")[0]: v for k, v in VIEWS.items()}
@@ -584,7 +584,8 @@ def _source(table: str) -> str:
 _Q5B = []
 for _i, (_t, _e, _w, _s) in enumerate(EXPRESSION_TESTS):
     _where = f"({_w}) AND " if _w else ""
-    _Q5B.append((f"{_t}__{_i}", _t, "expression", _s, f"SELECT COUNT(*) FROM {_source(_t)} WHERE {_where}NOT ({_e})"))
+    _name = expression_test_name(_t, _e, _w).replace("'", "''")
+    _Q5B.append((_name, _t, "expression", _s, f"SELECT COUNT(*) FROM {_source(_t)} WHERE {_where}NOT ({_e})"))
 o("q5b_gold_expression_tests", with_ctes(_report(_Q5B), "fact_horas_extra", "fact_solicitudes", "fact_asignaciones",
                                          "fact_incidencias", "dim_fecha", "dim_brigada", "dim_empleado", "dim_parque",
                                          "dim_vehiculo", "dim_equipo"))
