@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from brasa.llm import simhash
+from brasa.llm import packing, simhash, token_counts
 
 QUERIES = {
+    "op4_token_counts": token_counts.op4,
     "op7_simhash_near_dedup": simhash.op7,
+    "op8_packing": packing.op8,
 }
 
 ORACLES: dict[str, str] = {}
