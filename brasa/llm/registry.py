@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from brasa.llm import packing, simhash, token_counts
+from brasa.llm import packing, simhash, token_counts, toxicity
 
 QUERIES = {
     "op4_token_counts": token_counts.op4,
+    "op6_toxicity": toxicity.op6,
     "op7_simhash_near_dedup": simhash.op7,
     "op8_packing": packing.op8,
 }
