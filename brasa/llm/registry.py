@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from brasa.llm import packing, simhash, token_counts, toxicity
+from brasa.llm import packing, simhash, token_counts, toxicity, warc
 
 QUERIES = {
+    "op3_warc_archive": warc.op3,
     "op4_token_counts": token_counts.op4,
     "op6_toxicity": toxicity.op6,
     "op7_simhash_near_dedup": simhash.op7,
     "op8_packing": packing.op8,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_warc_archive": warc.ORACLE,
+}
