@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from brasa.llm import packing, simhash, token_counts, toxicity, warc
+from brasa.llm import licenses, packing, simhash, token_counts, toxicity, warc
 
 QUERIES = {
+    "op2_license_scan": licenses.op2,
     "op3_warc_archive": warc.op3,
     "op4_token_counts": token_counts.op4,
     "op6_toxicity": toxicity.op6,
@@ -13,5 +14,6 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_license_scan": licenses.ORACLE,
     "op3_warc_archive": warc.ORACLE,
 }
