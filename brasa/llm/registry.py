@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from brasa.llm import licenses, packing, simhash, token_counts, toxicity, warc
+from brasa.llm import embeddings, licenses, packing, simhash, token_counts, toxicity, warc
 
 QUERIES = {
+    "op1_embedding_near_dedup": embeddings.op1,
     "op2_license_scan": licenses.op2,
     "op3_warc_archive": warc.op3,
     "op4_token_counts": token_counts.op4,
