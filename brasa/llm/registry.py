@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from brasa.llm import embeddings, licenses, packing, simhash, token_counts, toxicity, warc
+from brasa.llm import embeddings, licenses, packing, simhash, suffixes, token_counts, toxicity, warc
 
 QUERIES = {
     "op1_embedding_near_dedup": embeddings.op1,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_toxicity": toxicity.op6,
     "op7_simhash_near_dedup": simhash.op7,
     "op8_packing": packing.op8,
+    "op9_suffix_array_dedup": suffixes.op9,
 }
 
 ORACLES: dict[str, str] = {
