@@ -31,13 +31,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brasa.llm.common import store, table
-from brasa.llm.vocabulary import words
+from brasa.llm.vocabulary import ranks
 
-TOKENIZER = "byte_bpe_50k.json"
+TOKENIZER = "byte_bpe_50k"
 CLOSING_ID = 1
 SIZE = 2048
 QUEUES = 256  # the largest sources by tokens have a queue each; all others share the last one
 
+BROADCAST_ROWS = 500_000  # of 40 bytes or so
+
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "source string")
 
@@ -93,7 +95,7 @@ def _encoded(docs: DataFrame, tokenizer_file: str, closing_id: int) -> DataFrame
     closing = np.array([closing_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, sent, part = words(tokenizer_file), {}, TaskContext.get().partitionId()
+        known, sent, part = ranks(tokenizer_file), {}, TaskContext.get().partitionId()
         for batch in batches:
             sources = batch.column("source").to_pylist()
             ids = [known.encode(t or "") + closing for t in batch.column("text").to_pylist()]
@@ -129,6 +131,9 @@ def pack(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str
                            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
     totals = {r["queue"]: r["n"] for r in queued.groupBy("queue").agg(F.sum("n").alias("n")).collect()}
     tree = Tree([int(totals.get(q, 0)) for q in range(len(named) + 1)])
+    # one row for each source and part; without the ids' shuffle as long as that is a checked, small number
+    if queued.count() <= BROADCAST_ROWS:
+        begins = F.broadcast(begins)
     placed = rows.join(begins, (rows["part"] == begins["of_part"]) & rows["source"].eqNullSafe(begins["of_source"])
                        ).select("doc_id", "source", "queue", (F.col("begin") + F.col("local")).alias("begin"), "n", "ids")
 

@@ -62,6 +62,44 @@ class Words:
         return b"".join(map(known.__getitem__, units))
 
 
+# Characters of which every Unicode version and pattern engine agrees what is a letter, a digit or white space.
+ODD = re.compile("[^" + "".join(f"{chr(a)}-{chr(b)}" for a, b in ((0x01, 0x1B), (0x20, 0x7E), (0xA1, 0x4FF))) + "]")
+LONG_WORD = re.compile(r"(?<!\S)\S{1000}")
+
+
+class Ranks:
+    """Encodes whole texts with a byte-level BPE file, with the same ids as ``Words`` over the same vocabulary.
+
+    The vocabulary also comes as ranks, which merge several times faster than the tokenizer file does.  Both split a
+    text by one pattern and merge by one order; texts with characters on which pattern engines may differ, or with
+    very long words, go through the tokenizer file itself.
+    """
+
+    def __init__(self, name: str):
+        import base64
+
+        import public_tokenizers
+        import tiktoken
+
+        self.exact = Words(f"{name}.json")
+        with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as lines:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        special = {str(t.content): i for i, t in self.exact.tokenizer.get_added_tokens_decoder().items()}
+        self.fast = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+                                      special_tokens=special)
+
+    def encode(self, text: str) -> bytes:
+        if ODD.search(text) or LONG_WORD.search(text):
+            return self.exact.encode_whole(text)
+        return self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
+
+
+@lru_cache(maxsize=4)
+def ranks(name: str) -> Ranks:
+    """One encoder for a Python worker."""
+    return Ranks(name)
+
+
 @lru_cache(maxsize=4)
 def words(name: str) -> Words:
     """One memory of words for a Python worker."""
