@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from brasa.llm import embeddings, licenses, packing, simhash, suffixes, token_counts, toxicity, warc
+from brasa.llm import embeddings, hamming, licenses, packing, pieces, simhash, suffixes, token_counts, toxicity, warc
 
 QUERIES = {
     "op1_embedding_near_dedup": embeddings.op1,
     "op2_license_scan": licenses.op2,
     "op3_warc_archive": warc.op3,
     "op4_token_counts": token_counts.op4,
+    "op5_exact_top_k": hamming.op5,
     "op6_toxicity": toxicity.op6,
     "op7_simhash_near_dedup": simhash.op7,
     "op8_packing": packing.op8,
     "op9_suffix_array_dedup": suffixes.op9,
+    "op10_unigram_pieces": pieces.op10,
 }
 
 ORACLES: dict[str, str] = {
