@@ -25,9 +25,10 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brasa.llm.common import table
+from brasa.llm.common import store, table
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+ITS_CHARACTERS = r"[0-9a-z\x80-\x{10FFFF}]++"  # the same in lower-case text, quicker to match
 THRESHOLD = 0.8
 
 # Phrases and their labels
@@ -58,7 +59,7 @@ def lowered(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1))
+    return F.regexp_extract_all(text, F.lit(f"({ITS_CHARACTERS})"), F.lit(1))
 
 
 def template_words(body: str) -> list[str]:
@@ -71,13 +72,13 @@ def need(size: int, threshold: float) -> int:
     return max(1, ceil(round(threshold * size, 9)))
 
 
-def blocks(texts: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """Rows (doc_id, text_key, held): for each line that can match, its words of the templates' vocabulary."""
+def blocks(templates=TEMPLATES, threshold: float = THRESHOLD) -> Column:
+    """Of ``lines``, an array of arrays of words: the templates' words in each line that can match."""
     sets = [template_words(body) for _, body in templates]
     vocabulary = F.array(*[F.lit(w) for w in sorted(set().union(*sets))])
     least = min(need(len(s), threshold) for s in sets)
-    held = F.transform(F.split("low", "\n"), lambda line: F.array_intersect(words(line), vocabulary))
-    return texts.select("doc_id", "text_key", F.explode(F.filter(held, lambda h: F.size(h) >= least)).alias("held"))
+    held = F.transform("lines", lambda line: F.array_intersect(line, vocabulary))
+    return F.filter(held, lambda h: F.size(h) >= least)
 
 
 def similarity_join(spark: SparkSession, lines: DataFrame, templates=TEMPLATES,
@@ -130,22 +131,25 @@ def scan(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str
     score is 1 where a phrase stands, else the largest containment of a matching line, else 0.
     """
     phrases = PHRASES if phrases is None else phrases
-    texts = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_key"),
-                        lowered(F.col(text)).alias("low"))
-    found = similarity_join(spark, blocks(texts, templates, threshold), templates, threshold)
-    found = found.groupBy("doc_id", "text_key").agg(F.collect_set("label").alias("own"),
-                                                    F.max("containment").alias("containment")).select(
-        F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_text"), "own", "containment")
-    spread = texts.select("doc_id", "text_key", words(F.col("low")).alias("words"))
-    spread = spread.withColumn("joined", F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")))
+    lines = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_key"),
+                        F.transform(F.split(lowered(F.col(text)), "\n"), words).alias("lines"))
+    spread = lines.select("*", F.flatten("lines").alias("words")).withColumn(
+        "joined", F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")))
     names = list(phrases)
     base = spread.select("doc_id", "text_key", F.size("words").cast("long").alias("n_words"),
+                         blocks(templates, threshold).alias("held"),
                          *[phrase_places(p).alias(f"places_{i}") for i, p in enumerate(names)])
     every = F.concat(*[F.col(f"places_{i}") for i in range(len(names))])
     labels = F.array_compact(F.array(*[F.when(F.size(f"places_{i}") > 0, phrases[p]) for i, p in enumerate(names)]))
-    base = base.select("doc_id", "text_key", "n_words", F.size(every).cast("long").alias("n_base"),
-                       F.array_min(every).cast("long").alias("first_word"),
-                       F.array_max(every).cast("long").alias("last_word"), labels.alias("base"))
+    # each text is read and split once; what the join and the result need of it is stored
+    base, _ = store(spark, base.select(
+        "doc_id", "text_key", "n_words", F.size(every).cast("long").alias("n_base"),
+        F.array_min(every).cast("long").alias("first_word"), F.array_max(every).cast("long").alias("last_word"),
+        labels.alias("base"), "held"), "scanned")
+    found = similarity_join(spark, base.select("doc_id", "text_key", F.explode("held").alias("held")), templates, threshold)
+    found = found.groupBy("doc_id", "text_key").agg(F.collect_set("label").alias("own"),
+                                                    F.max("containment").alias("containment")).select(
+        F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_text"), "own", "containment")
     rows = base.join(found, base["doc_id"].eqNullSafe(found["of_id"]) & (base["text_key"] == found["of_text"]), "left")
     none = F.array().cast("array<string>")
     return rows.select(
