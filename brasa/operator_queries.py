@@ -495,11 +495,10 @@ def j7(spark, sf):
 @q("j8_grand_total_share")
 def j8(spark, sf):
     l = T(spark, sf, "lineitem").select("l_returnflag", money("l_quantity").alias("q"))
-    totals = l.agg(F.sum("q").alias("_total")).withColumn("_one", F.lit(1))
-    j = l.withColumn("_one", F.lit(1)).join(F.broadcast(totals), "_one")
-    return j.groupBy("l_returnflag").agg(
-        F.sum("q").cast("decimal(28,2)").alias("cantidad"),
-        pct(F.sum("q"), F.first("_total"), 2, 2).alias("pct_sobre_total"))
+    grouped = l.groupBy("l_returnflag").agg(F.sum("q").alias("_q"))
+    grouped = attach_group_stats(grouped, [], {"_total": F.sum("_q")})  # the total of the groups, not of the rows
+    return grouped.select("l_returnflag", F.col("_q").cast("decimal(28,2)").alias("cantidad"),
+                          pct(F.col("_q"), F.col("_total"), 2, 2).alias("pct_sobre_total"))
 
 
 @q("j9_preaggregated_child_join")
@@ -670,9 +669,9 @@ def a12(spark, sf):
 @q("a13_share_of_total")
 def a13(spark, sf):
     l = T(spark, sf, "lineitem").select("l_linestatus", money("l_extendedprice").alias("imp"))
-    totals = l.agg(F.sum("imp").alias("_t")).withColumn("_one", F.lit(1))
-    j = l.withColumn("_one", F.lit(1)).join(F.broadcast(totals), "_one")
-    return j.groupBy("l_linestatus").agg(pct(F.sum("imp"), F.first("_t"), 2, 2).alias("pct_importe"))
+    grouped = l.groupBy("l_linestatus").agg(F.sum("imp").alias("_imp"))
+    grouped = attach_group_stats(grouped, [], {"_t": F.sum("_imp")})  # the total of the groups, not of the rows
+    return grouped.select("l_linestatus", pct(F.col("_imp"), F.col("_t"), 2, 2).alias("pct_importe"))
 
 
 @q("a14_having")
@@ -870,7 +869,7 @@ def r1(spark, sf):
         RankSpec("ranking_global", [Order("grupo", True, False)]),
         RankSpec("ranking_estado", [Order("grupo"), Order("importe", True, False)], ["o_orderstatus"]),
         RankSpec("orden_global", [Order("importe", True, False), Order("o_orderkey")], method="row_number"),
-    ], force_scalable=True)
+    ])
 
 
 @q("o1_top_n")

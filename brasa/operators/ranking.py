@@ -1,36 +1,34 @@
-"""Ranking and per-group statistics that do not funnel data into one task.
-
-``add_ranks`` computes RANK / ROW_NUMBER, optionally per partition key,
-like ``rank().over(Window.partitionBy(p).orderBy(o))`` but without sending a
-whole partition key (or, for a global rank, the whole table) to one task:
-
-1. range-partition on (p, o, row hash) and sort inside each range: hot keys
-   and big tie groups spread over several ranges;
-2. number rows inside each range (``monotonically_increasing_id`` holds the
-   range index and the row position) and mark where a group run / tie run
-   starts (one window per range, ranges are balanced);
-3. write the marked ranges once to the shared work folder, so the summary
-   and the final join read the same ranges and positions;
-4. a summary with one row per range (count, first and last keys) gives each
-   range its global offset and the true start of runs that began in an
-   earlier range; it is bounded by the number of ranges and broadcast.
-
-Inputs of at most ``SMALL_INPUT_ROWS`` rows (checked with an early-exit count
-on a cached copy) use the ordinary window functions instead.
+"""Ranks and per-group statistics that never send a whole table, or a whole rank group, to one task.
+
+``add_ranks`` computes RANK and ROW_NUMBER, per group or over everything, in one way for every size:
+
+1. Boundaries.  The rows with the smallest hashes of their order key are a fixed sample; evenly spaced rows of the sorted
+   sample cut the order (group columns first, then the order columns) into ranges.  They are one bounded array in a
+   scalar subquery.
+2. A row's range is a plain column expression, a binary search in that array.  It depends on the row's key and the
+   boundaries alone, so nothing has to be stored for it to be the same each time.
+3. One shuffle on (group, range), one window in it, and the number of rows of the group in earlier ranges added: a sum
+   over a table with a row for each group and range.
+
+RANK works on the different order keys with their counts, reduced before the shuffle, so a tie of any size is one row;
+its result is joined back to the rows.  ROW_NUMBER breaks ties by a hash of the row, which is part of the key, so a large
+tie is cut into ranges as well.  NULL is a value like any other (placed as the order says), NaN equals NaN and is the
+largest number.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from math import ceil, log2
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-
-SMALL_INPUT_ROWS = 200_000
-MASK33 = (1 << 33) - 1
+SAMPLES_PER_RANGE = 32
+MOST_RANGES = 4096
 
 
 @dataclass(frozen=True)
@@ -39,12 +37,21 @@ class Order:
     descending: bool = False
     nulls_last: bool | None = None   # None: Spark default (first for asc, last for desc)
 
+    @property
+    def null_goes_last(self) -> bool:
+        return self.nulls_last if self.nulls_last is not None else self.descending
+
     def expr(self) -> Column:
         c = F.col(self.col)
-        nulls_last = self.nulls_last if self.nulls_last is not None else self.descending
         if self.descending:
-            return c.desc_nulls_last() if nulls_last else c.desc_nulls_first()
-        return c.asc_nulls_last() if nulls_last else c.asc_nulls_first()
+            return c.desc_nulls_last() if self.null_goes_last else c.desc_nulls_first()
+        return c.asc_nulls_last() if self.null_goes_last else c.asc_nulls_first()
+
+    def before(self, a: Column, b: Column) -> Column:
+        """Whether value ``a`` comes strictly before value ``b``; never NULL."""
+        less = a > b if self.descending else a < b
+        null = a.isNotNull() & b.isNull() if self.null_goes_last else a.isNull() & b.isNotNull()
+        return null | F.coalesce(less, F.lit(False))
 
 
 @dataclass(frozen=True)
@@ -55,165 +62,116 @@ class RankSpec:
     method: str = "rank"          # "rank" | "row_number"
 
 
-def materialize(df: DataFrame, name: str = "rank_input") -> DataFrame:
-    """Write once to the shared work folder and read back: cuts lineage, survives executor loss,
-    and (unlike an unpersisted RDD checkpoint) computes the input a single time."""
-    from brasa.operators.incremental import publish
-    return publish(df.sparkSession, df, name)
-
-
-def _window_rank(df: DataFrame, spec: RankSpec) -> DataFrame:
-    w = Window.partitionBy(*spec.partition_by).orderBy(*[o.expr() for o in spec.order])
-    fn = F.rank() if spec.method == "rank" else F.row_number()
-    return df.withColumn(spec.out, fn.over(w).cast("bigint"))
-
-
-def _scalable_rank(df: DataFrame, spec: RankSpec, num_ranges: int | None = None) -> DataFrame:
-    spark: SparkSession = df.sparkSession
-    n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = df.columns
-    p_cols = list(spec.partition_by)
-    o_cols = [o.col for o in spec.order]
-    sort = ([F.col(c).asc_nulls_first() for c in p_cols] + [o.expr() for o in spec.order]
-            + [F.col("_tb").asc()])
-    ranged = (df.withColumn("_tb", F.xxhash64(*[F.col(c) for c in cols]))
-              .repartitionByRange(n, *sort).sortWithinPartitions(*sort))
-    mid = F.monotonically_increasing_id()
-    ranged = ranged.withColumn("_pid", F.spark_partition_id().cast("bigint")) \
-                   .withColumn("_lrn", mid.bitwiseAND(F.lit(MASK33)))
-
-    gkey = F.struct(*[F.col(c) for c in p_cols]) if p_cols else F.lit(0)
-    tkey = F.struct(*[F.col(c) for c in p_cols + o_cols])
-    w = Window.partitionBy("_pid").orderBy("_lrn")
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    new_g = (F.col("_lrn") == 0) | ~gkey.eqNullSafe(F.lag(gkey).over(w))
-    new_t = (F.col("_lrn") == 0) | ~tkey.eqNullSafe(F.lag(tkey).over(w))
-    marked = (ranged.withColumn("_gk", gkey).withColumn("_tk", tkey)
-              .withColumn("_ng", new_g).withColumn("_nt", new_t)
-              .withColumn("_gs", F.max(F.when(F.col("_ng"), F.col("_lrn"))).over(run))
-              .withColumn("_ts", F.max(F.when(F.col("_nt"), F.col("_lrn"))).over(run)))
-    # one reliable copy: the summary and the final join read the same ranges and positions
-    marked = materialize(marked.drop("_ng", "_nt"), "rank_ranges")
-
-    summary = (marked.groupBy("_pid").agg(
-        F.count(F.lit(1)).alias("cnt"),
-        F.min_by(F.struct("_gk", "_tk"), F.col("_lrn")).alias("first"),
-        F.max_by(F.struct("_gk", "_tk", "_gs", "_ts"), F.col("_lrn")).alias("last"))
-        .collect())                       # one row per range: bounded by the range count
-    rows = sorted(summary, key=lambda r: r["_pid"])
-    fixes = []
-    offset = 0
-    prev = None                           # (gk, tk, g_start_global, t_start_global)
-    for r in rows:
-        first, last, cnt = r["first"], r["last"], r["cnt"]
-        fg = prev[2] if prev is not None and first["_gk"] == prev[0] else offset
-        ft = prev[3] if prev is not None and first["_tk"] == prev[1] else offset
-        fixes.append((r["_pid"], offset, fg, ft))
-        lg = fg if last["_gs"] == 0 else offset + last["_gs"]
-        lt = ft if last["_ts"] == 0 else offset + last["_ts"]
-        prev = (last["_gk"], last["_tk"], lg, lt)
-        offset += cnt
-    fix_df = spark.createDataFrame(fixes or [(0, 0, 0, 0)], "_pid bigint, _off bigint, _fg bigint, _ft bigint")
-
-    j = marked.join(F.broadcast(fix_df), "_pid", "left")
-    gpos = F.col("_off") + F.col("_lrn")
-    gstart = F.when(F.col("_gs") == 0, F.col("_fg")).otherwise(F.col("_off") + F.col("_gs"))
-    tstart = F.when(F.col("_ts") == 0, F.col("_ft")).otherwise(F.col("_off") + F.col("_ts"))
-    value = (tstart if spec.method == "rank" else gpos) - gstart + 1
-    return j.select(*cols, value.cast("bigint").alias(spec.out))
-
-
-def size_checked(df: DataFrame, small_rows: int = SMALL_INPUT_ROWS,
-                 force_scalable: bool = False) -> tuple[DataFrame, bool]:
-    """Cache the input (it is deterministic, so a lost block is simply recomputed) and tell
-    whether it has at most ``small_rows`` rows (early-exit count)."""
-    from pyspark import StorageLevel
-
-    base = df.persist(StorageLevel.MEMORY_AND_DISK)
-    small = not force_scalable and base.limit(small_rows + 1).count() <= small_rows
-    return base, small
-
-
-def add_ranks(df: DataFrame, specs: Sequence[RankSpec], small_rows: int = SMALL_INPUT_ROWS,
-              force_scalable: bool = False, small: bool | None = None,
-              release: DataFrame | None = None) -> DataFrame:
-    """Add several rank columns to one input.
-
-    Up to ``small_rows`` rows (``size_checked``, or the caller's earlier check passed as ``small``)
-    the ordinary window functions run over the cached rows; larger inputs are written once to the
-    shared folder and ranked by ranges, after which the cached input (and ``release``, the
-    caller's cached frame) is dropped from memory.
-    """
-    if small is None or force_scalable:
-        df, small = size_checked(df, small_rows, force_scalable)
-    if not small:
-        stored = materialize(df)
-        df.unpersist()
-        if release is not None:
-            release.unpersist()
-        return _chain_scalable(stored, specs)
+def _same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
+    return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs], F.lit(True))
+
+
+def _with_range(keyed: DataFrame, order: Sequence[Order]) -> DataFrame:
+    """Adds ``_range``: how many boundaries come before the row's key."""
+    ranges = min(MOST_RANGES, int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    steps = max(1, ceil(log2(ranges + 1)))
+    cuts = 2 ** steps - 1
+    key = F.struct(*[F.col(o.col).alias(f"k{i}") for i, o in enumerate(order)])
+    sample = keyed.select(key.alias("_key")).orderBy(F.xxhash64("_key")).limit(SAMPLES_PER_RANGE * (cuts + 1))
+    # the sample is bounded, so one task sorts it
+    sorted_ = Window.orderBy(*[Order(f"_key.k{i}", o.descending, o.null_goes_last).expr() for i, o in enumerate(order)])
+    places = sample.select("_key", F.row_number().over(sorted_).alias("_place")).filter(
+        F.col("_place") % SAMPLES_PER_RANGE == 0)
+    boundaries = places.agg(F.array_sort(F.collect_list(F.struct("_place", "_key"))).alias("b")).select(
+        F.transform("b", lambda b: b["_key"])).scalar()
+
+    def passed(boundary: Column) -> Column:
+        """Whether the boundary comes before the row's key."""
+        out = F.lit(False)
+        for i, o in reversed(list(enumerate(order))):
+            own, other = F.col("_key")[f"k{i}"], boundary[f"k{i}"]
+            out = o.before(other, own) | (own.eqNullSafe(other) & out)
+        return boundary.isNotNull() & out
+
+    halves = F.array(*[F.lit(2 ** s) for s in reversed(range(steps))])
+    search = F.aggregate(halves, F.lit(0), lambda at, half: F.when(
+        passed(F.get(F.col("_cuts"), at + half - 1)), at + half).otherwise(at))
+    return keyed.withColumn("_key", key).withColumn("_cuts", boundaries).withColumn("_range", search).drop("_key", "_cuts")
+
+
+def _placed(ranged: DataFrame, spec: RankSpec, order: Sequence[Order], weight: Column, position: Column) -> DataFrame:
+    """Adds ``spec.out``: ``position`` within (group, range) plus the weight of the group's earlier ranges."""
+    groups = list(spec.partition_by)
+    totals = ranged.groupBy(*groups, "_range").agg(F.sum(weight).alias("_total"))
+    earlier = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*[F.col(g).alias(f"_of_{g}") for g in groups], F.col("_range").alias("_of_range"),
+                            F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset"))
+    within = Window.partitionBy(*groups, "_range").orderBy(*[o.expr() for o in order])
+    local = ranged.withColumn("_local", position.over(within) if position is not None else F.coalesce(
+        F.sum(weight).over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + 1)
+    pairs = [(g, f"_of_{g}") for g in groups] + [("_range", "_of_range")]
+    joined = local.join(offsets, _same(local, offsets, pairs))
+    return joined.withColumn(spec.out, (F.col("_local") + F.col("_offset")).cast("bigint")).select(
+        *[c for c in ranged.columns if c != "_range"], spec.out)
+
+
+def _ranked_keys(df: DataFrame, spec: RankSpec) -> DataFrame:
+    """The different (group, order key) rows with their rank."""
+    names = list(dict.fromkeys([*spec.partition_by, *[o.col for o in spec.order]]))
+    keys = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    order = [*[Order(g) for g in spec.partition_by], *spec.order]
+    return _placed(_with_range(keys, order), spec, spec.order, F.col("_n"), None).drop("_n")
+
+
+def _row_numbered(df: DataFrame, spec: RankSpec) -> DataFrame:
+    tied = df.withColumn("_tie", F.xxhash64(*[F.col(c) for c in df.columns]))
+    order = [*spec.order, Order("_tie")]
+    ranged = _with_range(tied, [*[Order(g) for g in spec.partition_by], *order])
+    return _placed(ranged, spec, order, F.lit(1), F.row_number()).drop("_tie")
+
+
+def add_ranks(df: DataFrame, specs: Sequence[RankSpec]) -> DataFrame:
+    """Add a rank column for each spec; rows and other columns stay as they are."""
     out = df
     for spec in specs:
-        out = _window_rank(out, spec)
-    return out
-
-
-def _chain_scalable(base: DataFrame, specs: Sequence[RankSpec]) -> DataFrame:
-    out = base
-    for spec in specs:
-        out = _scalable_rank(out, spec)
+        if spec.method == "row_number":
+            out = _row_numbered(out, spec)
+            continue
+        keys = _ranked_keys(df, spec)
+        names = [c for c in keys.columns if c != spec.out]
+        keys = keys.select(*[F.col(c).alias(f"_is_{c}") for c in names], spec.out)
+        out = out.join(keys, _same(out, keys, [(c, f"_is_{c}") for c in names])).drop(*[f"_is_{c}" for c in names])
     return out
 
 
 @dataclass(frozen=True)
 class Stat:
-    """A per-group statistic that can run as an aggregate or as a window function."""
+    """A per-group statistic."""
     kind: str                 # sum | count | avg_dec | stddev
     col: str | None = None
     scale: int = 0
 
-    def _parts(self):
+    def aggregate(self) -> Column:
         c = F.col(self.col) if self.col else F.lit(1)
         if self.kind == "sum":
-            return [F.sum(c)], lambda a: a[0]
+            return F.sum(c)
         if self.kind == "count":
-            return [F.count(c)], lambda a: a[0]
+            return F.count(c)
         if self.kind == "stddev":
-            return [F.stddev_samp(c.cast("double"))], lambda a: a[0]
+            return F.stddev_samp(c.cast("double"))
         if self.kind == "avg_dec":
             d = c.cast(DecimalType(38, self.scale))
             zero = F.lit(0).cast(DecimalType(38, 0))
-            return [F.sum(d), F.count(d)], lambda a: a[0] / F.nullif(a[1].cast(DecimalType(38, 0)), zero)
+            return F.sum(d) / F.nullif(F.count(d).cast(DecimalType(38, 0)), zero)
         raise ValueError(self.kind)
 
-    def aggregate(self) -> Column:
-        parts, combine = self._parts()
-        return combine(parts)
-
-    def over(self, w) -> Column:
-        parts, combine = self._parts()
-        return combine([p.over(w) for p in parts])
-
 
-def attach_group_stats(df: DataFrame, partition_by: Sequence[str], stats: dict, small: bool = False) -> DataFrame:
+def attach_group_stats(df: DataFrame, partition_by: Sequence[str], stats: dict) -> DataFrame:
     """Attach per-group statistics (AVG(x) OVER (PARTITION BY p) and the like).
 
-    ``small`` (an input already size-checked as small): window aggregates over the rows.
-    Otherwise the statistics are aggregated map-side partial and joined back on the key (NULL-safe,
-    NULL is a group of its own); AQE broadcasts the group table when it is measured small and
-    splits hot keys otherwise.  A global statistic (no key) is a one-row aggregate, broadcast.
-    Values are ``Stat`` specs (either path) or aggregate Columns (join path only).
+    The statistics are aggregated, reduced before the shuffle, and joined back on the key (NULL is a group of its own);
+    the planner broadcasts the group table when it is measured small and splits hot keys otherwise.  A statistic over
+    everything is a scalar subquery, so no row is joined to it.  Values are ``Stat`` specs or aggregate Columns.
     """
-    if small and all(isinstance(v, Stat) for v in stats.values()):
-        w = Window.partitionBy(*partition_by)
-        return df.select("*", *[v.over(w).alias(n) for n, v in stats.items()])
     aggs = [(v.aggregate() if isinstance(v, Stat) else v).alias(n) for n, v in stats.items()]
     if not partition_by:
-        one = df.agg(*aggs).withColumn("_one", F.lit(1))
-        return df.withColumn("_one", F.lit(1)).join(F.broadcast(one), "_one", "left").drop("_one")
+        totals = df.agg(F.struct(*aggs).alias("_all")).scalar()
+        return df.withColumn("_all", totals).select(*df.columns, *[F.col("_all")[n].alias(n) for n in stats])
     grouped = df.groupBy(*[F.col(c).alias(f"_g_{c}") for c in partition_by]).agg(*aggs)
-    cond = None
-    for c in partition_by:
-        eq = F.col(c).eqNullSafe(F.col(f"_g_{c}"))
-        cond = eq if cond is None else cond & eq
-    return df.join(grouped, cond, "left").drop(*[f"_g_{c}" for c in partition_by])
+    return df.join(grouped, _same(df, grouped, [(c, f"_g_{c}") for c in partition_by]), "left").drop(
+        *[f"_g_{c}" for c in partition_by])

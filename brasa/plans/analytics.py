@@ -10,12 +10,12 @@ Conventions shared by every view:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brasa.functions.columns import DEC2, attention_priority, avg_dec, band, pct, ratio, round_dec
 from brasa.operators.intervals import active_per_day
-from brasa.operators.ranking import Order, RankSpec, Stat, add_ranks, attach_group_stats, size_checked
+from brasa.operators.ranking import Order, RankSpec, Stat, add_ranks, attach_group_stats
 
 # Reporting windows, reference date and thresholds of the views.
 OVERTIME_WINDOW = ("2025-05-05", "2026-05-05")
@@ -98,18 +98,12 @@ def v1_overtime_seasonality(fact: DataFrame) -> DataFrame:
     )
 
 
-def _grand_totals(h: DataFrame, **aggs: Column) -> DataFrame:
-    """Attach one-row grand totals (bounded: one row, broadcast)."""
-    totals = h.agg(*[e.alias(n) for n, e in aggs.items()]).withColumn("_one", F.lit(1))
-    return h.withColumn("_one", F.lit(1)).join(F.broadcast(totals), "_one").drop("_one")
-
-
 def v2_overtime_by_day_type(fact: DataFrame, dim_fecha: DataFrame) -> DataFrame:
     # the calendar holds one row per day between fixed parameters: broadcast is bounded
     cal = F.broadcast(dim_fecha.select("fecha", "dia_semana_num", "dia_semana_nombre", "es_fin_de_semana"))
     h = fact.filter(in_window("fecha", OVERTIME_WINDOW)).join(cal, "fecha", "left")
-    h = _grand_totals(h, _total_horas_global=F.sum("total_horas"), _coste_total_global=F.sum("coste_total"))
-    return h.groupBy("tipo_dia").agg(
+    # totals come from the grouped rows, a few day types
+    days = h.groupBy("tipo_dia").agg(
         F.count(F.lit(1)).alias("total_registros"),
         F.count_distinct("id_empleado").alias("empleados_distintos"),
         F.sum("horas_diurnas").cast("bigint").alias("total_horas_diurnas"),
@@ -121,15 +115,16 @@ def v2_overtime_by_day_type(fact: DataFrame, dim_fecha: DataFrame) -> DataFrame:
         round_dec(avg_dec("total_horas"), 2).alias("media_horas_por_registro"),
         round_dec(avg_dec("coste_total", 2), 2).alias("media_coste_por_registro"),
         round_dec(ratio(F.sum("coste_total"), F.sum("total_horas"), 2, 0), 2).alias("coste_medio_por_hora"),
-        pct(F.sum("coste_total"), F.first("_coste_total_global"), 2, 2).alias("pct_coste_sobre_total"),
-        pct(F.sum("total_horas"), F.first("_total_horas_global")).alias("pct_horas_sobre_total"),
+        F.sum("total_horas").alias("_horas"), F.sum("coste_total").alias("_coste"),
     )
+    every = Window.partitionBy()
+    return days.withColumn("pct_coste_sobre_total", pct(F.col("_coste"), F.sum("_coste").over(every), 2, 2)).withColumn(
+        "pct_horas_sobre_total", pct(F.col("_horas"), F.sum("_horas").over(every))).drop("_horas", "_coste")
 
 
 def v3_overtime_brigade_ranking(fact: DataFrame, dim_brigada: DataFrame) -> DataFrame:
     h = fact.filter(in_window("fecha", OVERTIME_WINDOW)).join(
         dim_brigada.select("brigada_key", "id_brigada", "nombre_brigada"), "brigada_key", "left")
-    h = _grand_totals(h, _total_horas_global=F.sum("total_horas"), _coste_total_global=F.sum("coste_total"))
     name = F.coalesce(F.col("nombre_brigada"), F.lit("DESCONOCIDA"))
     unknown = name == "DESCONOCIDA"
     money12 = lambda c: F.round(c, 2).cast("decimal(12,2)")
@@ -148,11 +143,14 @@ def v3_overtime_brigade_ranking(fact: DataFrame, dim_brigada: DataFrame) -> Data
         money12(avg_dec("coste_total", 2)).alias("media_coste_por_registro"),
         money12(avg_dec("total_horas")).alias("media_horas_por_registro"),
         money12(ratio(F.sum("coste_total"), F.sum("total_horas"), 2, 0)).alias("coste_medio_por_hora"),
-        money12(ratio(F.sum("coste_total"), F.first("_coste_total_global"), 2, 2) * 100).alias("pct_coste_sobre_total"),
-        money12(ratio(F.sum("total_horas"), F.first("_total_horas_global")) * 100).alias("pct_horas_sobre_total"),
         F.sum("coste_total").alias("_sum_coste"),
         F.sum("total_horas").alias("_sum_horas"),
     )
+    # totals come from the grouped rows, one for each brigade
+    agg = attach_group_stats(agg, [], {"_coste_global": F.sum("_sum_coste"), "_horas_global": F.sum("_sum_horas")})
+    agg = agg.withColumn("pct_coste_sobre_total", money12(ratio(F.col("_sum_coste"), F.col("_coste_global"), 2, 2) * 100)) \
+        .withColumn("pct_horas_sobre_total", money12(ratio(F.col("_sum_horas"), F.col("_horas_global")) * 100)) \
+        .drop("_coste_global", "_horas_global")
     agg = agg.select("*", F.lit(False).alias("es_especial"),
                      (~unknown).alias("es_brigada_servicio"),
                      F.when(unknown, F.lit("DESCONOCIDO")).otherwise(F.lit("Norte/Sur")).alias("nombre_parque"))
@@ -184,11 +182,9 @@ def v4_overtime_employee_ranking(fact: DataFrame, dim_emp: DataFrame) -> DataFra
         round_dec(avg_dec("total_horas"), 2).alias("media_horas_por_registro"),
         round_dec(avg_dec("coste_total", 2), 2).alias("media_coste_por_registro"),
     )
-    agg, small = size_checked(agg)
     stats = attach_group_stats(agg, ["puesto"], {
         "_avg_coste": Stat("avg_dec", "coste_total", 2), "_avg_horas": Stat("avg_dec", "total_horas"),
-        "_std_coste": Stat("stddev", "coste_total"), "_n": Stat("count"), "_sum_coste": Stat("sum", "coste_total")},
-        small=small)
+        "_std_coste": Stat("stddev", "coste_total"), "_n": Stat("count"), "_sum_coste": Stat("sum", "coste_total")})
     out = stats.select(
         *agg.columns,
         round_dec(F.col("_avg_coste"), 2).alias("coste_medio_puesto"),
@@ -203,7 +199,7 @@ def v4_overtime_employee_ranking(fact: DataFrame, dim_emp: DataFrame) -> DataFra
         RankSpec("ranking_coste_dentro_puesto", [Order("coste_total", True, False)], ["puesto"]),
         RankSpec("ranking_horas_dentro_puesto", [Order("total_horas", True, False)], ["puesto"]),
         RankSpec("ranking_coste_global", [Order("coste_total", True, False)]),
-    ], small=small, release=agg)
+    ])
 
 
 # --------------------------------------------------------------------- requests
@@ -372,12 +368,11 @@ def v10_resolver_ranking(fact: DataFrame, dim_emp: DataFrame, dim_parque: DataFr
     )
     speed = F.when(F.col("total_resueltas") >= MIN_RESOLVED_FOR_SPEED, F.col("mttr_personal"))
     agg = agg.withColumn("_speed", speed)
-    agg, small = size_checked(agg)
     s = attach_group_stats(agg, ["puesto"], {"_mttr_puesto": Stat("avg_dec", "mttr_personal", 2),
-                                             "_n_puesto": Stat("count")}, small=small)
+                                             "_n_puesto": Stat("count")})
     s = attach_group_stats(s, ["nombre_parque"], {"_mttr_parque": Stat("avg_dec", "mttr_personal", 2),
                                                   "_n_parque": Stat("count"),
-                                                  "_sum_parque": Stat("sum", "total_resueltas")}, small=small)
+                                                  "_sum_parque": Stat("sum", "total_resueltas")})
     out = s.select(
         *agg.columns,
         round_dec(F.col("_mttr_puesto"), 2).alias("mttr_medio_puesto"),
@@ -391,7 +386,7 @@ def v10_resolver_ranking(fact: DataFrame, dim_emp: DataFrame, dim_parque: DataFr
         RankSpec("ranking_total_dentro_parque", [Order("total_resueltas", True, False)], ["nombre_parque"]),
         RankSpec("ranking_total_dentro_puesto", [Order("total_resueltas", True, False)], ["puesto"]),
         RankSpec("ranking_velocidad_global", [Order("_speed", False, True)]),
-    ], small=small, release=agg)
+    ])
     return ranked.drop("_speed")
 
 
@@ -418,9 +413,8 @@ def v11_top_vehicles(fact: DataFrame, dim_vehiculo: DataFrame) -> DataFrame:
         "anio_vehiculo",
         F.coalesce(F.col("nombre_parque"), F.lit("DESCONOCIDO")).alias("nombre_parque"),
     ).agg(*_incident_counts(F.count(F.lit(1))), *_mttr_cols("mttr_vehiculo"))
-    agg, small = size_checked(agg)
     s = attach_group_stats(agg, [], {"_sum": Stat("sum", "total_incidencias"), "_n": Stat("count"),
-                                     "_avg": Stat("avg_dec", "total_incidencias")}, small=small)
+                                     "_avg": Stat("avg_dec", "total_incidencias")})
     tot, cnt, sm = F.col("total_incidencias"), F.col("_n"), F.col("_sum")
     klass = (F.when((tot * cnt >= 2 * sm) & (F.col("incidencias_alta_gravedad") >= 1), F.lit("critico"))
              .when(tot * cnt >= sm, F.lit("problematico"))
@@ -433,7 +427,7 @@ def v11_top_vehicles(fact: DataFrame, dim_vehiculo: DataFrame) -> DataFrame:
         RankSpec("ranking_volumen_dentro_tipo", [Order("total_incidencias", True, False)], ["tipo_vehiculo"]),
         RankSpec("ranking_criticidad", [Order("incidencias_alta_gravedad", True, False),
                                         Order("total_incidencias", True, False)]),
-    ], small=small, release=agg)
+    ])
 
 
 def v12_top_equipment(fact: DataFrame, dim_equipo: DataFrame) -> DataFrame:
@@ -448,9 +442,8 @@ def v12_top_equipment(fact: DataFrame, dim_equipo: DataFrame) -> DataFrame:
         F.coalesce(F.col("esta_disponible"), F.lit(False)).alias("esta_disponible"),
         F.coalesce(F.col("nombre_parque"), F.lit("DESCONOCIDO")).alias("nombre_parque"),
     ).agg(*_incident_counts(F.count(F.lit(1))), *_mttr_cols("mttr_equipo"))
-    agg, small = size_checked(agg)
     s = attach_group_stats(agg, ["categoria_equipo"], {"_sum": Stat("sum", "total_incidencias"), "_n": Stat("count"),
-                                                       "_avg": Stat("avg_dec", "total_incidencias")}, small=small)
+                                                       "_avg": Stat("avg_dec", "total_incidencias")})
     tot, cnt, sm = F.col("total_incidencias"), F.col("_n"), F.col("_sum")
     risk = (F.when((tot >= 3) & ~F.col("esta_disponible"), F.lit("retirado_problematico"))
             .when((tot * cnt >= 2 * sm) & (F.col("incidencias_alta_gravedad") >= 1), F.lit("critico"))
@@ -461,7 +454,7 @@ def v12_top_equipment(fact: DataFrame, dim_equipo: DataFrame) -> DataFrame:
         RankSpec("ranking_volumen_global", [Order("total_incidencias", True, False)]),
         RankSpec("ranking_volumen_dentro_categoria", [Order("total_incidencias", True, False)], ["categoria_equipo"]),
         RankSpec("ranking_volumen_dentro_parque", [Order("total_incidencias", True, False)], ["nombre_parque"]),
-    ], small=small, release=agg)
+    ])
 
 
 def v13_bottlenecks(fact: DataFrame, dim_emp: DataFrame, dim_parque: DataFrame, dim_vehiculo: DataFrame,

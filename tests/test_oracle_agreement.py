@@ -5,12 +5,14 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as E
+from brasa.registry import all_queries
 from conftest import SF_SMALL
+from oracles.all import all_oracles
 from tools.compare import digest
 
-NAMES = sorted(E.queries())
-ORACLES = E.oracle_sql()
+QUERIES = all_queries()
+NAMES = sorted(QUERIES)
+ORACLES = all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -27,7 +29,7 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
     rel = con.sql(ORACLES[name])
     orows = rel.fetchall()
