@@ -111,8 +111,8 @@ def s7(spark, sf):
         inc.guarded_create(spark, nation, path)
     except RuntimeError:
         refused = True
-    final = inc.guarded_create(spark, nation, path, force=True)
-    return final.select("n_nationkey", "n_name", "n_regionkey", F.lit(refused).alias("refused_without_force"))
+    inc.guarded_create(spark, nation, path, force=True)
+    return spark.read.parquet(path).select("n_nationkey", "n_name", "n_regionkey", F.lit(refused).alias("refused_without_force"))
 
 
 # ---------------------------------------------------------------- P: projections and predicates
@@ -929,7 +929,7 @@ def i3(spark, sf):
 def i4(spark, sf):
     from brasa.plans.dimensions import EMPLOYEE_CHECK_COLS, SNAPSHOT_COLS
     from brasa.operators.scd2 import build_history
-    ex = _wh(spark, sf).user_extracts()[:2]
+    ex = _wh(spark, sf).user_extracts()
     return build_history([(df.select(*SNAPSHOT_COLS), at) for df, at in ex], "id_empleado", EMPLOYEE_CHECK_COLS)
 
 
@@ -1265,7 +1265,8 @@ def i9(spark, sf):
         bronze.filter(cond).write.parquet(f"{src}/part={i}")
     schema = spark.read.parquet(f"{src}/part=0").schema
     state, query = start_fact_stream(spark, f"{src}/*", schema, lambda b: w.fact_incidencias(stg_incidents(b)),
-                                     "i9_incidents", "incidencia_key", "fecha_incidencia")
+                                     "i9_incidents", "incidencia_key", "fecha_incidencia",
+                                     root=new_table_path(spark, "i9_stream"))
     query.awaitTermination()
     return state.table()
 
@@ -1285,11 +1286,10 @@ def q5b(spark, sf):
 @q("s6b_partitioned_merge_sink")
 def s6b(spark, sf):
     """The late-correction replay of i8, merged into a month-partitioned table (touched months only)."""
-    from brasa.operators.incremental import PERIOD_COL, merge_partitioned
     from brasa.session import new_table_path
     w = _wh(spark, sf)
     path = new_table_path(spark, "s6b_incidents")
-    first = merge_partitioned(spark, path, _initial_incidents(w), "incidencia_key", "fecha_incidencia")
-    delta = inc.lookback_delta(w.stg("incidents"), first.drop(PERIOD_COL), "fecha_actualizacion", days=7)
-    merged = merge_partitioned(spark, path, w.fact_incidencias(delta), "incidencia_key", "fecha_incidencia")
-    return merged.drop(PERIOD_COL)
+    first = inc.merge_partitioned(spark, path, _initial_incidents(w), "incidencia_key", "fecha_incidencia")
+    delta = inc.lookback_delta(w.stg("incidents"), first, "fecha_actualizacion", days=7)
+    return inc.merge_partitioned(spark, path, w.fact_incidencias(delta), "incidencia_key", "fecha_incidencia",
+                                 "fecha_actualizacion")

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import json
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from brasa.functions.columns import ts_ntz
 from brasa.session import new_table_path
@@ -31,17 +35,43 @@ def lookback_delta(source: DataFrame, target: DataFrame | None, updated_col: str
     return source.filter(F.col(updated_col) >= floor)
 
 
-def upsert(target: DataFrame | None, delta: DataFrame, key: str) -> DataFrame:
+def latest_per_key(rows: DataFrame, key: str, newest: str | None = None) -> DataFrame:
+    """One row for each key: the one with the latest ``newest`` (NULL counts as the oldest), else by a hash of the row.
+
+    Rows without a key are no versions of each other and stay as they are.
+    """
+    order = [F.col(newest).isNotNull(), F.col(newest)] if newest else []
+    order = F.struct(*[c.alias(f"o{i}") for i, c in enumerate([*order, F.xxhash64(*rows.columns)])])
+    row = F.struct(*[F.col(c) for c in rows.columns])
+    keyed = rows.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_latest_key")).agg(
+        F.max_by(row, order).alias("_latest"))
+    return keyed.select("_latest.*").unionByName(rows.filter(F.col(key).isNull()))
+
+
+def upsert(target: DataFrame | None, delta: DataFrame, key: str, newest: str | None = None) -> DataFrame:
     """MERGE by unique key: delta rows replace matching target rows, new rows are added.
 
-    Columns new in the delta are appended; old rows get NULL for them.
+    A key that the delta holds more than once counts once (``latest_per_key``).  Columns new in the delta are
+    appended; old rows get NULL for them.
     """
+    delta = latest_per_key(delta, key, newest)
     if target is None:
         return delta
     kept = target.join(delta.select(key), key, "left_anti")
     return kept.unionByName(delta, allowMissingColumns=True)
 
 
+def _folder(spark: SparkSession, path: str):
+    """The file system and the path object of a folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _folder(spark, path)
+    return fs.exists(target)
+
+
 def publish(spark: SparkSession, df: DataFrame, name: str, cluster_by: tuple[str, ...] = ()) -> DataFrame:
     """Write to a fresh directory in the shared work folder and read it back.
 
@@ -57,58 +87,109 @@ def publish(spark: SparkSession, df: DataFrame, name: str, cluster_by: tuple[str
 
 
 def guarded_create(spark: SparkSession, df: DataFrame, path: str, force: bool = False) -> DataFrame:
-    """Create-as-select that refuses to replace a non-empty table unless forced."""
-    existing = None
-    try:
-        existing = spark.read.parquet(path)
-    except Exception:  # no table yet
-        existing = None
-    if existing is not None and existing.limit(1).count() > 0 and not force:
+    """Create-as-select at ``path`` that refuses to replace a non-empty table unless forced.
+
+    The new rows are staged beside the table and renamed into its place, so ``path`` itself holds them afterwards.  An
+    empty table is replaced without force.  Only a missing path counts as "no table yet"; other failures are raised.
+    """
+    exists = folder_exists(spark, path)
+    if exists and not force and not spark.read.parquet(path).isEmpty():
         raise RuntimeError(f"{path} already holds rows; pass force=True to replace it")
-    target = f"{path.rstrip('/')}" if existing is None else new_table_path(spark, "replaced")
-    df.write.mode("errorifexists").parquet(target)
-    return spark.read.parquet(target)
+    stage, old = new_table_path(spark, "staged"), new_table_path(spark, "replaced")
+    df.write.mode("errorifexists").parquet(stage)
+    fs, target = _folder(spark, path)
+    fs.mkdirs(target.getParent())
+    if exists and not fs.rename(target, _folder(spark, old)[1]):
+        raise OSError(f"{path} could not be set aside")
+    if not fs.rename(_folder(spark, stage)[1], target):
+        raise OSError(f"{stage} could not be renamed to {path}")
+    if exists:
+        fs.delete(_folder(spark, old)[1], True)
+    return spark.read.parquet(path)
 
 
 PERIOD_COL = "periodo"
+NO_PERIOD = "sin_fecha"  # the period of rows without a date
 
 
-def _month(col: str):
-    return F.trunc(F.col(col), "MM")
+class MonthTable:
+    """A merged table whose files lie in one folder per month, of which a merge rewrites only those it touches.
+
+    ``data/version=V/periodo=M`` holds the rows of month M that merge V wrote; ``commits/N`` lists, as one small JSON
+    table, the version that is valid for each month, and the table's schema.  A merge writes its months under a new
+    version and then the next commit; readers take the newest commit whose write has finished.  Nothing is overwritten,
+    so a merge that fails half way leaves the table as it was.  Rows without a date have a period of their own.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: str, date_col: str, newest: str | None = None):
+        self.spark, self.path, self.key, self.date_col, self.newest = spark, path.rstrip("/"), key, date_col, newest
+
+    def _last_commit(self) -> int:
+        fs, folder = _folder(self.spark, f"{self.path}/commits")
+        if not fs.exists(folder):
+            return 0
+        numbers = [int(x.getPath().getName()) for x in fs.listStatus(folder)
+                   if fs.exists(_folder(self.spark, f"{x.getPath()}/_SUCCESS")[1])]
+        return max(numbers, default=0)
+
+    def _state(self) -> tuple[dict[str, str], StructType | None]:
+        """The valid version of each month (as many as the calendar spans), and the schema."""
+        number = self._last_commit()
+        if not number:
+            return {}, None
+        rows = self.spark.read.schema("period string, version string, columns string").json(
+            f"{self.path}/commits/{number}").collect()
+        return ({r["period"]: r["version"] for r in rows if r["period"] is not None},
+                StructType.fromJson(json.loads(rows[0]["columns"])))
+
+    def _read(self, months: dict[str, str], columns: StructType) -> DataFrame:
+        if not months:
+            return self.spark.createDataFrame([], columns).withColumn(PERIOD_COL, F.lit("")).limit(0)
+        full = StructType([*columns.fields, StructField("version", StringType()), StructField(PERIOD_COL, StringType())])
+        folders = [f"{self.path}/data/version={v}/{PERIOD_COL}={m}" for m, v in sorted(months.items())]
+        return self.spark.read.schema(full).option("basePath", f"{self.path}/data").parquet(*folders).drop("version")
+
+    def read(self) -> DataFrame | None:
+        """The table without its period column, or None before the first merge."""
+        months, columns = self._state()
+        return None if columns is None else self._read(months, columns).drop(PERIOD_COL)
+
+    def merge(self, delta: DataFrame) -> DataFrame:
+        """Delta rows replace the rows with their keys, whatever month those lie in; new columns are appended."""
+        months, columns = self._state()
+        period = F.coalesce(F.date_format(F.trunc(self.date_col, "MM"), "yyyy-MM-dd"), F.lit(NO_PERIOD))
+        # computed once: what follows reads it several times
+        incoming = publish(self.spark, latest_per_key(delta, self.key, self.newest), "merge_delta")
+        staged = incoming.withColumn(PERIOD_COL, period)
+        touched = {r[0] for r in staged.select(PERIOD_COL).distinct().collect()}
+        rebuilt = staged
+        if columns is not None:
+            if not touched:
+                return self.read()
+            table = self._read(months, columns)
+            moved = table.select(self.key, PERIOD_COL).join(incoming.select(self.key), self.key, "left_semi")
+            touched |= {r[0] for r in moved.select(PERIOD_COL).distinct().collect()}
+            old = self._read({m: v for m, v in months.items() if m in touched}, columns)
+            rebuilt = old.join(incoming.select(self.key), self.key, "left_anti").unionByName(
+                staged, allowMissingColumns=True)
+        kept = rebuilt.drop(PERIOD_COL).schema
+        number, version = self._last_commit() + 1, uuid4().hex[:12]
+        rebuilt.repartition(PERIOD_COL, F.pmod(F.xxhash64(self.key), F.lit(FILES_PER_MONTH))).sortWithinPartitions(
+            PERIOD_COL, self.date_col).write.partitionBy(PERIOD_COL).parquet(f"{self.path}/data/version={version}")
+        fs, folder = _folder(self.spark, f"{self.path}/data/version={version}")
+        names = [x.getPath().getName() for x in fs.listStatus(folder)]
+        written = {n.split("=", 1)[1] for n in names if n.startswith(f"{PERIOD_COL}=")}
+        valid = {m: v for m, v in months.items() if m not in touched} | {m: version for m in written}
+        listed = [(m, v, kept.json()) for m, v in sorted(valid.items())] or [(None, None, kept.json())]
+        self.spark.createDataFrame(listed, "period string, version string, columns string").coalesce(1).write.json(
+            f"{self.path}/commits/{number}")
+        return self.read()
+
+
+FILES_PER_MONTH = 8
 
 
 def merge_partitioned(spark: SparkSession, table_path: str, delta: DataFrame, key: str, date_col: str,
-                      period_col: str = PERIOD_COL) -> DataFrame:
-    """MERGE ``delta`` into a month-partitioned parquet table, rewriting only the months it touches.
-
-    Touched months are the months of the delta rows plus the months that currently hold a key of
-    the delta (a correction may move a row to another month).  Those months are rebuilt
-    (old rows minus replaced keys, plus the delta), staged in a fresh folder and swapped in with
-    dynamic partition overwrite; a month left without rows is removed.  Re-running the same
-    merge gives the same table.  The first call (no table yet) writes the whole delta.
-    """
-    staged_delta = delta.withColumn(period_col, _month(date_col))
-    jvm = spark._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(table_path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        staged_delta.write.partitionBy(period_col).parquet(table_path)
-        return spark.read.parquet(table_path)
-
-    target = spark.read.parquet(table_path)
-    keys = staged_delta.select(key).distinct()
-    moved = target.select(key, period_col).join(keys, key, "left_semi").select(period_col)
-    # months are bounded by the calendar span, so the touched set is small
-    touched = [r[0] for r in staged_delta.select(period_col).union(moved).distinct().collect()]
-    if not touched:
-        return target
-    old = target.filter(F.col(period_col).isin(touched)).join(keys, key, "left_anti")
-    rebuilt = old.unionByName(staged_delta, allowMissingColumns=True)
-    stage = new_table_path(spark, "merge_stage")
-    rebuilt.write.partitionBy(period_col).parquet(stage)
-    (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(period_col).parquet(table_path))
-    present = {r[0] for r in spark.read.parquet(stage).select(period_col).distinct().collect()}
-    for month in set(touched) - present:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{table_path}/{period_col}={month}"), True)
-    return spark.read.parquet(table_path)
+                      newest: str | None = None) -> DataFrame:
+    """MERGE ``delta`` into the month table at ``table_path`` (see ``MonthTable``) and read the table."""
+    return MonthTable(spark, table_path, key, date_col, newest).merge(delta)

@@ -138,22 +138,18 @@ class Warehouse:
         empty_default = self.EMPTY_DEFAULT.get(name, empty_default)
         delta = lookback_delta(source, target, "fecha_actualizacion", lookback_days, empty_default)
         rows = getattr(self, name)(delta)
-        return publish(self.spark, upsert(target, rows, FACT_KEYS[name]), f"{name}_refresh",
+        return publish(self.spark, upsert(target, rows, FACT_KEYS[name], "fecha_actualizacion"), f"{name}_refresh",
                        self.CLUSTER.get(name, ()))
 
     def refresh_fact_partitioned(self, name: str, table_path: str, lookback_days: int = 7) -> DataFrame:
         """Daily refresh of a month-partitioned fact table: only the months touched are rewritten."""
-        from brasa.operators.incremental import PERIOD_COL, lookback_delta, merge_partitioned
+        from brasa.operators.incremental import MonthTable, lookback_delta
         from brasa.plans.facts import FACT_KEYS
 
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(table_path)
-        exists = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
-        target = self.spark.read.parquet(table_path).drop(PERIOD_COL) if exists else None
-        delta = lookback_delta(self.stg(self.FACT_SOURCES[name]), target, "fecha_actualizacion", lookback_days,
+        table = MonthTable(self.spark, table_path, FACT_KEYS[name], self.CLUSTER[name][0], "fecha_actualizacion")
+        delta = lookback_delta(self.stg(self.FACT_SOURCES[name]), table.read(), "fecha_actualizacion", lookback_days,
                                self.EMPTY_DEFAULT.get(name, "1900-01-01 00:00:00"))
-        rows = getattr(self, name)(delta)
-        return merge_partitioned(self.spark, table_path, rows, FACT_KEYS[name], self.CLUSTER[name][0]).drop(PERIOD_COL)
+        return table.merge(getattr(self, name)(delta))
 
     # employee history as stored tables: guarded bootstrap, then one snapshot per new extract
     def bootstrap_employee_history(self, path: str, force: bool = False) -> DataFrame:
@@ -172,16 +168,23 @@ class Warehouse:
         new = scd2_apply(history, extract.select(*D.SNAPSHOT_COLS), "id_empleado", D.EMPLOYEE_CHECK_COLS, at)
         return publish(self.spark, new, "snp_empleado")
 
-    def build(self) -> DataFrame:
-        """The daily build: history, dimensions and facts materialised in dependency order, then the
-        data tests of the gold tables as one report (a plain call order replaces a scheduler)."""
+    def build(self, root: str | None = None) -> DataFrame:
+        """The daily build: history and dimensions materialised in dependency order, the facts merged into their month
+        tables under ``root``, then the data tests of the gold tables as one report.
+
+        A build on the same root merges the look-back delta of each fact and rewrites only the months that it touches;
+        without a root the tables are new ones in the work folder.
+        """
+        from brasa.session import new_table_path
         from brasa.operators.quality import Check, quality_report
         from brasa.plans.contracts import EXPRESSION_TESTS, expression_test_name
 
         for dim in ("dim_parque", "dim_brigada", "dim_equipo", "dim_vehiculo", "dim_puesto", "dim_salario"):
             getattr(self, dim)()
         _ = (self.snp_empleado, self.dim_empleado, self.dim_time, self.dim_fecha)
-        facts = {name: getattr(self, name)() for name in self.FACT_SOURCES}
+        root = (root or new_table_path(self.spark, "gold")).rstrip("/")
+        facts = {name: self.refresh_fact_partitioned(name, f"{root}/{name}") for name in self.FACT_SOURCES}
+        self._tables.update(facts)  # what the views read from now on
         checks = [Check(expression_test_name(t, e, w), t, "expression", expression=e, where=w, severity=sev)
                   for t, e, w, sev in EXPRESSION_TESTS if t in facts]
         return quality_report(checks, facts)

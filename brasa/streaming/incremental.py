@@ -5,8 +5,8 @@ source rows updated since (target high-water mark - look-back days) and
 merges them by unique key.  With Structured Streaming the same contract runs
 continuously: the bronze files arriving in a folder are read as a stream,
 each micro-batch is staged, enriched into fact rows and merged into a
-month-partitioned fact table, rewriting only the months the batch touches.  The stream checkpoint lives in the shared work folder
-so a restarted job resumes at the next unprocessed file.
+month-partitioned fact table, rewriting only the months the batch touches.  Table and checkpoint lie under a root that
+the caller names, so a restarted job resumes at the next unprocessed file.
 
 A late correction is simply a newer row for the same key: the merge keeps
 the latest version, which is what the look-back replay achieves in batch.
@@ -14,65 +14,68 @@ the latest version, which is what the look-back replay achieves in batch.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from brasa.operators.incremental import PERIOD_COL, merge_partitioned
-from brasa.session import new_table_path, work_dir
+from brasa.operators.incremental import MonthTable, latest_per_key
+from brasa.session import work_dir
 
 
 @dataclass
 class FactStream:
-    """A fact table kept up to date by a stream: one month-partitioned table in the shared folder."""
+    """A fact table kept up to date by a stream: one month table, whose state is in storage alone."""
 
     spark: SparkSession
-    name: str
     key: str
     updated_col: str
     date_col: str
     table_path: str
-    batches: list = field(default_factory=list)
+
+    def _months(self) -> MonthTable:
+        return MonthTable(self.spark, self.table_path, self.key, self.date_col, self.updated_col)
 
     def table(self) -> DataFrame | None:
-        if not self.batches:
-            return None
-        return self.spark.read.parquet(self.table_path).drop(PERIOD_COL)
-
-    def merge_batch(self, fact_rows: DataFrame, batch_id: int) -> None:
-        # keep the newest version of every key inside the batch
-        # (rows without an update time still count, as the oldest version)
-        order = F.coalesce(F.col(self.updated_col), F.lit("0001-01-01 00:00:00").cast("timestamp_ntz"))
-        latest = fact_rows.groupBy(self.key).agg(F.max_by(F.struct(*fact_rows.columns), order).alias("_r")) \
-                          .select("_r.*")
+        """The table, or None before the first batch."""
+        return self._months().read()
+
+    def merge_batch(self, fact_rows: DataFrame) -> None:
+        """A row replaces the stored one unless it is older; a row without update time is older than any that has one."""
+        latest = latest_per_key(fact_rows, self.key, self.updated_col)
         target = self.table()
         if target is not None:
-            # a row only replaces the stored one when it is not older than it (2-column scan of the table)
-            stored = target.select(self.key, F.col(self.updated_col).alias("_old"))
-            latest = latest.join(stored, self.key, "left").filter(
-                F.col("_old").isNull() | F.col(self.updated_col).isNull()
-                | (F.col(self.updated_col) >= F.col("_old"))).drop("_old")
-        merge_partitioned(self.spark, self.table_path, latest, self.key, self.date_col)
-        self.batches.append(batch_id)
+            # a 2-column scan of the table
+            stored = target.filter(F.col(self.key).isNotNull()).select(
+                F.col(self.key).alias("_stored_key"), F.col(self.updated_col).alias("_stored"))
+            oldest = F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")
+            fresh = F.coalesce(self.updated_col, oldest) >= F.coalesce("_stored", oldest)
+            latest = latest.join(stored, F.col(self.key) == F.col("_stored_key"), "left").filter(
+                F.col("_stored_key").isNull() | fresh).drop("_stored_key", "_stored")
+        self._months().merge(latest)
 
 
 def start_fact_stream(spark: SparkSession, source_dir: str, source_schema, to_fact: Callable[[DataFrame], DataFrame],
                       name: str, key: str, date_col: str, updated_col: str = "fecha_actualizacion",
-                      max_files_per_trigger: int = 1, available_now: bool = True) -> tuple[FactStream, StreamingQuery]:
-    """Stream bronze parquet files from ``source_dir`` into a merged, month-partitioned fact table."""
-    state = FactStream(spark, name, key, updated_col, date_col, new_table_path(spark, name))
+                      max_files_per_trigger: int = 1, available_now: bool = True,
+                      root: str | None = None) -> tuple[FactStream, StreamingQuery]:
+    """Stream bronze parquet files from ``source_dir`` into a merged, month-partitioned fact table.
+
+    Table and checkpoint lie in ``root`` (``streams/<name>`` in the work folder unless given); a stream that is started
+    again on the same root goes on after the last file that it has merged.
+    """
+    root = (root or f"{work_dir(spark)}/streams/{name}").rstrip("/")
+    state = FactStream(spark, key, updated_col, date_col, f"{root}/table")
     stream = (spark.readStream.schema(source_schema).option("maxFilesPerTrigger", max_files_per_trigger)
               .parquet(source_dir))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        state.merge_batch(to_fact(batch), batch_id)
+        state.merge_batch(to_fact(batch))
 
-    writer = (stream.writeStream.foreachBatch(on_batch)
-              .option("checkpointLocation", f"{work_dir(spark)}/streams/{name}-{new_table_path(spark, 'c')[-12:]}"))
+    writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", f"{root}/checkpoint")
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return state, writer.start()

@@ -343,7 +343,7 @@ o("i1_lookback_delta", with_ctes(f"SELECT id_incidencia, fecha_actualizacion FRO
 o("i2_upsert_by_key", _SPLIT + "SELECT * FROM tg WHERE id_pedido NOT IN (SELECT id_pedido FROM dl) UNION ALL SELECT * FROM dl")
 o("i3_append_new_columns", _SPLIT + "SELECT * REPLACE (CAST(NULL AS VARCHAR) AS prioridad) FROM tg "
                                     "WHERE id_pedido NOT IN (SELECT id_pedido FROM dl) UNION ALL SELECT * FROM dl")
-o("i4_scd2_check_columns", with_ctes("SELECT * FROM snp_empleado_2", "snp_empleado_2"))
+o("i4_scd2_check_columns", with_ctes("SELECT * FROM snp_empleado", "snp_empleado"))
 o("i5_hard_delete", with_ctes("""SELECT id_empleado, puesto, dbt_valid_from, dbt_valid_to, dbt_is_deleted FROM snp_empleado
 WHERE id_empleado IN (SELECT id_empleado FROM snp_empleado WHERE dbt_is_deleted)""", "snp_empleado"))
 o("i6_history_bootstrap", with_ctes("""SELECT *, md5(CAST(id_empleado AS VARCHAR) || '|1900-01-01 00:00:00') AS dbt_scd_id,

@@ -118,23 +118,68 @@ def test_scalable_rank_property(spark, rows):
     _equal_to_windows(df, specs)
 
 
-def test_merge_partitioned_rewrites_touched_months_only(spark):
-    import os
-    from brasa.operators.incremental import merge_partitioned, upsert
+def _rows(spark, rows):
+    return spark.createDataFrame(rows, "k int, d string, v string").withColumn("d", F.col("d").cast("date"))
+
+
+def _table(df):
+    return sorted(map(repr, (tuple(r) for r in df.collect())))
+
+
+def test_merge_rewrites_touched_months_only(spark):
+    from brasa.operators.incremental import MonthTable
     from brasa.session import new_table_path
-    path = new_table_path(spark, "merge_test")
-    local = path[len("file:"):] if path.startswith("file:") else path
-    base = spark.createDataFrame([(1, "2024-01-05", "a"), (2, "2024-01-20", "b"), (3, "2024-02-03", "c"),
-                                  (4, "2024-03-10", "d")], "k int, d string, v string").withColumn("d", F.col("d").cast("date"))
-    merge_partitioned(spark, path, base, "k", "d")
-    march = sorted(os.listdir(os.path.join(local, "periodo=2024-03-01")))
+    table = MonthTable(spark, new_table_path(spark, "merge_test"), "k", "d")
+    base = _rows(spark, [(1, "2024-01-05", "a"), (2, "2024-02-20", "b"), (3, "2024-02-03", "c"), (4, "2024-03-10", "d")])
+    table.merge(base)
+    before = table._state()[0]
     # key 4 moves from March to February, key 2 is corrected in place, key 5 is new
-    delta = spark.createDataFrame([(2, "2024-01-21", "B"), (4, "2024-02-11", "D"), (5, "2024-02-12", "e")],
-                                  "k int, d string, v string").withColumn("d", F.col("d").cast("date"))
-    merged = merge_partitioned(spark, path, delta, "k", "d")
-    expected = sorted(tuple(r) for r in upsert(base, delta, "k").collect())
-    assert sorted(tuple(r) for r in merged.select("k", "d", "v").collect()) == expected
-    assert not os.path.exists(os.path.join(local, "periodo=2024-03-01"))      # emptied month removed
-    assert march  # the March files existed before the merge
-    again = merge_partitioned(spark, path, delta, "k", "d")                    # re-running is idempotent
-    assert sorted(tuple(r) for r in again.select("k", "d", "v").collect()) == expected
+    delta = _rows(spark, [(2, "2024-02-21", "B"), (4, "2024-02-11", "D"), (5, "2024-02-12", "e")])
+    expected = _table(upsert(base, delta, "k"))
+    assert _table(table.merge(delta)) == expected
+    after = table._state()[0]
+    assert set(after) == {"2024-01-01", "2024-02-01"}                     # the emptied month is gone
+    assert after["2024-01-01"] == before["2024-01-01"] and after["2024-02-01"] != before["2024-02-01"]
+    assert _table(table.merge(delta)) == expected                          # again: no change
+    assert _table(table.merge(delta.limit(0))) == expected
+
+
+def test_merge_keeps_rows_without_a_date(spark):
+    from brasa.operators.incremental import merge_partitioned
+    from brasa.session import new_table_path
+    path = new_table_path(spark, "merge_null_month")
+    merge_partitioned(spark, path, _rows(spark, [(1, "2024-01-05", "a"), (2, None, "b"), (3, None, "c")]), "k", "d")
+    # key 4 is new, key 2 stays without a date, then 2 gets one and 1 loses its own
+    merge_partitioned(spark, path, _rows(spark, [(4, "2024-01-07", "d"), (2, None, "B")]), "k", "d")
+    got = merge_partitioned(spark, path, _rows(spark, [(2, "2024-01-09", "BB"), (1, None, "A")]), "k", "d")
+    assert {(r.k, str(r.d), r.v) for r in got.collect()} == {
+        (1, "None", "A"), (2, "2024-01-09", "BB"), (3, "None", "c"), (4, "2024-01-07", "d")}
+    assert got.count() == 4
+    only_null = new_table_path(spark, "merge_only_null")
+    assert merge_partitioned(spark, only_null, _rows(spark, [(1, None, "a"), (2, None, "b")]), "k", "d").count() == 2
+    assert merge_partitioned(spark, only_null, _rows(spark, [(2, None, "c")]), "k", "d").count() == 2
+
+
+def test_merge_appends_columns_and_takes_repeated_keys_once(spark):
+    from brasa.operators.incremental import merge_partitioned
+    from brasa.session import new_table_path
+    path = new_table_path(spark, "merge_columns")
+    merge_partitioned(spark, path, _rows(spark, [(1, "2024-01-05", "a"), (2, "2024-02-05", "b")]), "k", "d", "v")
+    delta = _rows(spark, [(2, "2024-02-06", "p"), (2, "2024-02-07", "q"), (2, "2024-02-08", None)]).withColumn("n", F.lit(7))
+    got = merge_partitioned(spark, path, delta, "k", "d", "v")
+    assert {(r.k, str(r.d), r.v, r.n) for r in got.collect()} == {(1, "2024-01-05", "a", None), (2, "2024-02-07", "q", 7)}
+    assert got.count() == 2 and upsert(None, delta, "k", "v").count() == 1
+
+
+def test_a_merge_that_fails_changes_nothing(spark):
+    import pytest
+    from brasa.operators.incremental import MonthTable
+    from brasa.session import new_table_path
+    table = MonthTable(spark, new_table_path(spark, "merge_fails"), "k", "d")
+    table.merge(_rows(spark, [(1, "2024-01-05", "a")]))
+    with pytest.raises(Exception):
+        table.merge(_rows(spark, [(1, "2024-01-06", "b")]).withColumn("v", F.expr("string(1 / (k - 1))")))
+    spark.createDataFrame([(1,)], "x int").write.json(f"{table.path}/commits/2")
+    fs = spark._jvm.org.apache.hadoop.fs.Path(table.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{table.path}/commits/2/_SUCCESS"), False)  # a commit cut off
+    assert [tuple(r)[::2] for r in table.read().collect()] == [(1, "a")]

@@ -23,6 +23,21 @@ def test_guarded_create_refuses_without_force(spark):
     with pytest.raises(RuntimeError):
         guarded_create(spark, spark.range(5), path)
     assert guarded_create(spark, spark.range(5), path, force=True).count() == 5
+    assert spark.read.parquet(path).count() == 5          # the path itself holds the new rows
+    empty = new_table_path(spark, "guard_empty")
+    guarded_create(spark, spark.range(0), empty)
+    assert guarded_create(spark, spark.range(4), empty).count() == 4 and spark.read.parquet(empty).count() == 4
+
+
+def test_guarded_create_raises_a_storage_failure(spark):
+    import os
+    path = new_table_path(spark, "guard_broken")
+    local = path.removeprefix("file:")
+    os.makedirs(local)
+    with open(os.path.join(local, "part-0.parquet"), "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception, match="(?i)parquet|footer|schema"):
+        guarded_create(spark, spark.range(1), path)
 
 
 def test_contract_report(spark):
