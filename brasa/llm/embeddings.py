@@ -22,7 +22,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
-from math import log2
 
 import numpy as np
 import pandas as pd
@@ -32,8 +31,11 @@ from pyspark.sql import functions as F
 from brasa.llm.common import connected_components, store, table
 
 LEAST = 0.95
-BLOCK = 16
-SIDE = 2048  # vectors of one side of a task
+BLOCK = 32
+MOST_BLOCKS = 4096
+GRID = 4  # coordinates of a block that its grid is laid over
+SIDE = 4096  # vectors of one side of a task
+MARGIN = 1e-4  # of single precision
 SLACK = 1e-7  # candidates may lie so much further apart; verification is exact
 
 
@@ -49,11 +51,6 @@ def blocks_of(dims: int, block: int = BLOCK) -> list[slice]:
     return [slice(a, b) for a, b in zip(edges, edges[1:])]
 
 
-def grid_dims(n: int) -> int:
-    """Coordinates of a block's grid: cells get smaller as the table grows."""
-    return max(1, min(6, round(log2(max(n, 2) / SIDE) / 1.5))) if n > SIDE else 1
-
-
 def unit(vectors: np.ndarray) -> np.ndarray:
     scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
@@ -86,13 +83,17 @@ def verified(left: np.ndarray, right: np.ndarray, block: int, least: float, same
     parts = blocks_of(left.shape[1])
     budgets = [limit * (p.stop - p.start) / left.shape[1] for p in parts]
     x, y = a[:, parts[block]], b[:, parts[block]]
-    squares = (y ** 2).sum(1)
-    for i in range(0, len(x), 256):
-        far = (x[i:i + 256] ** 2).sum(1)[:, None] + squares[None, :] - 2 * (x[i:i + 256] @ y.T)
-        near = far <= budgets[block] + SLACK
+    # squared distances by one product, in single precision with a margin: |x|^2 + |y|^2 - 2xy
+    one = np.ones((len(x), 1))
+    x = np.hstack([(x ** 2).sum(1, keepdims=True), one, -2 * x]).astype(np.float32)
+    y = np.hstack([np.ones((len(y), 1)), (y ** 2).sum(1, keepdims=True), y]).astype(np.float32).T
+    for i in range(0, x.shape[0], 256):
+        skipped = i if same else 0  # the pairs below the diagonal have been met
+        near = x[i:i + 256] @ y[:, skipped:] <= np.float32(budgets[block] + MARGIN)
         if same:
-            near &= np.arange(i, i + len(near))[:, None] < np.arange(len(y))[None, :]
-        p, q = np.nonzero(near)
+            near &= np.arange(len(near))[:, None] < np.arange(near.shape[1])[None, :]
+        found = np.flatnonzero(near)
+        p, q = found // near.shape[1], found % near.shape[1] + skipped
         for s in range(0, len(p), 65536):
             one, two = p[s:s + 65536] + i, q[s:s + 65536]
             linked = np.einsum("ij,ij->i", left[one], right[two]) >= least
@@ -108,32 +109,44 @@ def _valid(embedding: Column) -> Column:
         F.exists(embedding, lambda x: x != 0), F.lit(False))
 
 
-def _met(vectors: DataFrame, least: float, dims_of_grid: int) -> DataFrame:
+def _met(vectors: DataFrame, least: float, grid: int) -> DataFrame:
     """Rows (dims, block, cell, home, node, embedding): every vector at home and on its visits."""
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("array<long>")
+    def places(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        """cell * 2 * MOST_BLOCKS + block * 2 + home."""
         for part in parts:
-            for dims, group in part.groupby("dims"):
-                group = group.reset_index(drop=True)
-                turned = unit(np.stack(group["embedding"]).astype(np.float64)) @ rotation(dims)
-                for k, where in enumerate(blocks_of(dims)):
+            out = pd.Series([None] * len(part), dtype=object)
+            sizes = part.map(len).to_numpy()
+            for dims in np.unique(sizes):
+                at = np.flatnonzero(sizes == dims)
+                turned = unit(np.stack(part.iloc[at]).astype(np.float64)) @ rotation(int(dims))
+                rows, codes = [], []
+                for k, where in enumerate(blocks_of(int(dims))):
                     radius = ((2 - 2 * least + SLACK) * (where.stop - where.start) / dims + SLACK) ** 0.5
-                    home, rows, key = cells(turned[:, where][:, :dims_of_grid], radius)
-                    for own, at, cell in ((True, np.arange(len(group)), home), (False, rows, key)):
-                        yield pd.DataFrame({"dims": dims, "block": k, "cell": cell, "home": own,
-                                            "node": group["node"].to_numpy()[at],
-                                            "embedding": group["embedding"].to_numpy()[at]})
-
-    return vectors.mapInPandas(
-        run, "dims int, block int, cell long, home boolean, node string, embedding array<double>")
-
-
-def links(spark: SparkSession, vectors: DataFrame, least: float = LEAST, side: int = SIDE) -> DataFrame:
+                    home, row, cell = cells(turned[:, where][:, :grid], radius)
+                    rows += [np.arange(len(at)), row]
+                    codes += [home * 2 * MOST_BLOCKS + 2 * k + 1, cell * 2 * MOST_BLOCKS + 2 * k]
+                row, code = np.concatenate(rows), np.concatenate(codes)
+                order = np.argsort(row, kind="stable")
+                ends = np.cumsum(np.bincount(row, minlength=len(at)))
+                for i, own in zip(at, np.split(code[order], ends[:-1])):
+                    out.iat[i] = own
+            yield out
+
+    place = F.col("place")
+    return vectors.select("*", F.explode(places("embedding")).alias("place")).select(
+        "dims", F.shiftright(place, 1).bitwiseAND(F.lit(MOST_BLOCKS - 1)).cast("int").alias("block"),
+        F.shiftright(place, 13).alias("cell"), (place.bitwiseAND(F.lit(1)) == 1).alias("home"),
+        "node", "embedding")
+
+
+def links(spark: SparkSession, vectors: DataFrame, least: float = LEAST, side: int = SIDE,
+          grid: int = GRID) -> DataFrame:
     """Rows (node, n_links, partner): partial numbers of links, and links that span the components (n_links 0).
 
-    ``vectors`` has node (text, unique) and embedding (array of double, valid).
+    ``vectors`` has node (text, unique) and embedding (array of float or double, valid).
     """
-    vectors = vectors.select("node", "embedding", F.size("embedding").alias("dims"))
-    met = _met(vectors, least, grid_dims(vectors.count()))
+    met = _met(vectors.select("node", "embedding", F.size("embedding").alias("dims")), least, grid)
     place = ["dims", "block", "cell"]
     sizes = met.groupBy(place).agg(*[F.ceil(F.count_if(F.col("home") == own) / F.lit(side)).cast("int").alias(name)
                                      for own, name in ((True, "home_chunks"), (False, "visit_chunks"))])
@@ -191,10 +204,12 @@ def near_duplicates(spark: SparkSession, rows: DataFrame, vec_id: str = "vec_id"
                     least: float = LEAST, side: int = SIDE) -> DataFrame:
     """One row per row: vec_id, n_links, component_id, kept."""
     rows = rows.select(F.col(vec_id).alias("vec_id"), F.col(embedding).alias("embedding"))
+    kind = rows.schema["embedding"].dataType.simpleString()
     rows = rows.withColumn("node", F.concat_ws(":", F.coalesce(F.col("vec_id").cast("string"), F.lit("")),
                                                F.hex(F.xxhash64("embedding"))))
     vectors = rows.filter(_valid(F.col("embedding"))).select(
-        "node", F.col("embedding").cast("array<double>").alias("embedding")).dropDuplicates(["node"])
+        "node", F.col("embedding") if kind in ("array<float>", "array<double>") else
+        F.col("embedding").cast("array<double>").alias("embedding")).dropDuplicates(["node"])
     vectors, _ = store(spark, vectors, "vectors")
     found, _ = store(spark, links(spark, vectors, least, side), "links")
     degrees = found.filter("partner is null").groupBy("node").agg(F.sum("n_links").alias("n_links"))
