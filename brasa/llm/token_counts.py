@@ -2,8 +2,8 @@
 
 A document of more than ``CHUNK`` characters is cut into chunks that overlap, each encoded with offsets in a task of
 its own.  Neighbouring chunks are spliced at the first place in their overlap that is a stable boundary (see
-``vocabulary``: behind a character that is no white space, before ASCII white space) and where both encodings
-begin a token anew.  Tokens before it come from the left chunk, tokens from it on from the right one.  Where an
+``vocabulary``: behind a character that is no white space, before ASCII white space) and where no token of either
+encoding lies across.  Tokens before it come from the left chunk, tokens from it on from the right one.  Where an
 overlap has no such place it is widened twofold and the chunks beside it are encoded again; an overlap that has grown
 to the next chunk's start swallows the chunk between, so a document without any white space ends as one chunk.
 
@@ -36,7 +36,7 @@ def _short(texts: DataFrame, tokenizer_file: str) -> DataFrame:
     def count(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known = words(tokenizer_file)
         for part in parts:
-            yield pd.Series([len(known.encode(t)) // 4 for t in part], dtype="int64")
+            yield pd.Series([known.count(t) for t in part], dtype="int64")
 
     return texts.withColumn("n_tokens", count("text"))
 
@@ -46,24 +46,33 @@ def _stable(text: str, place: int) -> bool:
     return text[place] in " \t\n\v\f\r" and text[place - 1] not in " \t\n\v\f\r"
 
 
-def chunk_report(text: str, start: int, zones: list[tuple[int, int]], tokenizer_file: str) -> tuple[int, list, list]:
-    """The chunk's number of tokens and, for each zone (from, to), the places where it may be cut with the number of
-    its tokens before them.  Places count from the document's start; the chunk is ``text`` at ``start``."""
-    spans = [s for s in tokenizer(tokenizer_file).encode(text, add_special_tokens=False).offsets]
-    found = []
-    for low, high in zones:
-        at, before, reach, cuts = 0, 0, 0, []
-        for place in range(max(low - start, 1), min(high - start, len(text))):
-            if not _stable(text, place) or UNSURE.match(text[place - 1]):
-                continue
-            while at < len(spans) and spans[at][0] < place:
-                reach = max(reach, spans[at][1])
-                at += 1
-            before = at
-            if reach <= place:  # no token lies across
-                cuts.append((place + start, before))
-        found.append(cuts)
-    return len(spans), found[0], found[1]
+def _cuts(text: str, low: int, high: int, tokenizer_file: str) -> tuple[int, list[tuple[int, int]]]:
+    """The number of tokens of a text, and its cuts from ``low`` to ``high``: places and the tokens before them."""
+    spans = tokenizer(tokenizer_file).encode(text, add_special_tokens=False).offsets
+    at, reach, cuts = 0, 0, []
+    for place in range(max(low, 1), min(high, len(text))):
+        if not _stable(text, place) or UNSURE.match(text[place - 1]):
+            continue
+        while at < len(spans) and spans[at][0] < place:
+            reach = max(reach, spans[at][1])
+            at += 1
+        if reach <= place:  # no token lies across
+            cuts.append((place, at))
+    return len(spans), cuts
+
+
+def chunk_report(text: str, start: int, left_to: int, right_from: int, right_to: int,
+                 tokenizer_file: str) -> tuple[int, list, list]:
+    """The chunk's number of tokens, and the places in its left and its right overlap where it may be cut, each with
+    the number of the chunk's tokens before it.  Places count from the document's start; the chunk is ``text`` at
+    ``start``.  Overlaps are encoded with offsets, what lies between them is counted."""
+    _, left = _cuts(text[:left_to - start], 0, left_to - start, tokenizer_file)
+    joint = right_from - start
+    while joint > 0 and not (joint < len(text) and _stable(text, joint) and not UNSURE.match(text[joint - 1])):
+        joint -= 1
+    before = words(tokenizer_file).count(text[:joint])
+    after, right = _cuts(text[joint:], right_from - start - joint, right_to - start - joint, tokenizer_file)
+    return (before + after, [(start + p, n) for p, n in left], [(start + joint + p, before + n) for p, n in right])
 
 
 def _reports(chunks: DataFrame, tokenizer_file: str) -> DataFrame:
@@ -74,8 +83,7 @@ def _reports(chunks: DataFrame, tokenizer_file: str) -> DataFrame:
         for part in parts:
             rows = []
             for r in part.itertuples(index=False):
-                n, left, right = chunk_report(r.body, r.start, [(r.start, r.left_to), (r.right_from, r.right_to)],
-                                              tokenizer_file)
+                n, left, right = chunk_report(r.body, r.start, r.left_to, r.right_from, r.right_to, tokenizer_file)
                 as_rows = [[{"place": p, "before": b} for p, b in cuts] for cuts in (left, right)]
                 rows.append((r.key, r.start, r.right_from, n, *as_rows))
             yield pd.DataFrame(rows, columns=["key", "start", "following", "n", "left_cuts", "right_cuts"])

@@ -19,8 +19,12 @@ import numpy as np
 UNSURE_RANGES = ((0x00, 0x00), (0x1C, 0x1F), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x180E, 0x180E),
                  (0x2000, 0x200F), (0x2028, 0x202F), (0x205F, 0x2064), (0x3000, 0x3000), (0xFEFF, 0xFEFF))
 UNSURE = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in UNSURE_RANGES) + "]")
-UNIT = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
-KEPT_WORDS = 300_000  # a task's memory of words; it starts anew beyond that
+# White space and what follows up to the next white space; a comma or full stop behind a letter is a unit of its own, as
+# neither pattern runs from a letter into one.
+LETTER = f"A-Za-z{chr(0xC0)}-{chr(0xD6)}{chr(0xD8)}-{chr(0xF6)}{chr(0xF8)}-{chr(0x24F)}"
+UNIT = re.compile(rf"[ \t-\r]*(?:[{LETTER}]+(?=[,.])|[^ \t-\r]+)|[ \t-\r]+")
+BLACK_UNIT = re.compile(rf"[{LETTER}]+(?=[,.])|[^ \t-\r]+")  # without the white space, where that has no tokens
+KEPT_WORDS = 500_000  # a task's memory of words; it starts anew beyond that
 
 
 @lru_cache(maxsize=4)
@@ -41,6 +45,9 @@ class Words:
     def __init__(self, name: str):
         self.tokenizer = tokenizer(name)
         self.known: dict[str, bytes] = {}
+        self.counts: dict[str, int] = {}
+        spaces = self.tokenizer.encode(" \n\t ", add_special_tokens=False).ids
+        self.counted = BLACK_UNIT if not spaces else UNIT
 
     def encode_whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -62,6 +69,23 @@ class Words:
         return b"".join(map(known.__getitem__, units))
 
 
+    def count(self, text: str) -> int:
+        """The number of tokens."""
+        if UNSURE.search(text):
+            return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        units, counts = self.counted.findall(text), self.counts
+        new = list(set(units).difference(counts))
+        if new:
+            if len(counts) + len(new) > KEPT_WORDS:
+                counts.clear()
+                new = list(set(units))
+            for i in range(0, len(new), 4096):
+                part = new[i:i + 4096]
+                codes = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+                counts.update(zip(part, map(len, codes)))
+        return sum(map(counts.__getitem__, units))
+
+
 # Characters of which every Unicode version and pattern engine agrees what is a letter, a digit or white space.
 ODD = re.compile("[^" + "".join(f"{chr(a)}-{chr(b)}" for a, b in ((0x01, 0x1B), (0x20, 0x7E), (0xA1, 0x4FF))) + "]")
 LONG_WORD = re.compile(r"(?<!\S)\S{1000}")
