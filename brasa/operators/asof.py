@@ -42,7 +42,12 @@ def asof_join(facts: DataFrame, versions: DataFrame, fact_id: str, fact_date: st
     salt_it = skew == "salt" or (skew == "auto" and not _aqe_splits_skew(facts))
     if salt_it:
         facts, v, cond = _salted(facts, v, fact_id, out, cond, hot_share, salts)
-    joined = facts.join(v, cond, "left")
+    # a row without id or date matches nothing: it gets a place of its own in the shuffle, not that of NULL
+    able = F.col(fact_id).isNotNull() & d.isNotNull()
+    facts = facts.withColumn(f"_{out}_by", F.when(able, F.col(fact_id).cast("string")).otherwise(
+        F.concat(F.lit("~"), F.xxhash64(*[F.col(c) for c in facts.columns]).cast("string"))))
+    v = v.withColumn(f"_{out}_vby", F.col(f"_{out}_id").cast("string"))
+    joined = facts.join(v, cond & (F.col(f"_{out}_by") == F.col(f"_{out}_vby")), "left").drop(f"_{out}_by", f"_{out}_vby")
     key = F.col(f"_{out}_key")
     if default is not None:
         key = F.coalesce(key, F.lit(default))

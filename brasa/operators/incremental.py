@@ -108,14 +108,15 @@ def guarded_create(spark: SparkSession, df: DataFrame, path: str, force: bool =
     return spark.read.parquet(path)
 
 
-PERIOD_COL = "periodo"
+PERIOD_COL = "brasa_month"      # folder names that no column of a table should have
+VERSION_COL = "brasa_version"
 NO_PERIOD = "sin_fecha"  # the period of rows without a date
 
 
 class MonthTable:
     """A merged table whose files lie in one folder per month, of which a merge rewrites only those it touches.
 
-    ``data/version=V/periodo=M`` holds the rows of month M that merge V wrote; ``commits/N`` lists, as one small JSON
+    ``data/brasa_version=V/brasa_month=M`` holds the rows of month M that merge V wrote; ``commits/N`` lists, as one small JSON
     table, the version that is valid for each month, and the table's schema.  A merge writes its months under a new
     version and then the next commit; readers take the newest commit whose write has finished.  Nothing is overwritten,
     so a merge that fails half way leaves the table as it was.  Rows without a date have a period of their own.
@@ -145,9 +146,9 @@ class MonthTable:
     def _read(self, months: dict[str, str], columns: StructType) -> DataFrame:
         if not months:
             return self.spark.createDataFrame([], columns).withColumn(PERIOD_COL, F.lit("")).limit(0)
-        full = StructType([*columns.fields, StructField("version", StringType()), StructField(PERIOD_COL, StringType())])
-        folders = [f"{self.path}/data/version={v}/{PERIOD_COL}={m}" for m, v in sorted(months.items())]
-        return self.spark.read.schema(full).option("basePath", f"{self.path}/data").parquet(*folders).drop("version")
+        full = StructType([*columns.fields, StructField(VERSION_COL, StringType()), StructField(PERIOD_COL, StringType())])
+        folders = [f"{self.path}/data/{VERSION_COL}={v}/{PERIOD_COL}={m}" for m, v in sorted(months.items())]
+        return self.spark.read.schema(full).option("basePath", f"{self.path}/data").parquet(*folders).drop(VERSION_COL)
 
     def read(self) -> DataFrame | None:
         """The table without its period column, or None before the first merge."""
@@ -175,8 +176,8 @@ class MonthTable:
         kept = rebuilt.drop(PERIOD_COL).schema
         number, version = self._last_commit() + 1, uuid4().hex[:12]
         rebuilt.repartition(PERIOD_COL, F.pmod(F.xxhash64(self.key), F.lit(FILES_PER_MONTH))).sortWithinPartitions(
-            PERIOD_COL, self.date_col).write.partitionBy(PERIOD_COL).parquet(f"{self.path}/data/version={version}")
-        fs, folder = _folder(self.spark, f"{self.path}/data/version={version}")
+            PERIOD_COL, self.date_col).write.partitionBy(PERIOD_COL).parquet(f"{self.path}/data/{VERSION_COL}={version}")
+        fs, folder = _folder(self.spark, f"{self.path}/data/{VERSION_COL}={version}")
         names = [x.getPath().getName() for x in fs.listStatus(folder)]
         written = {n.split("=", 1)[1] for n in names if n.startswith(f"{PERIOD_COL}=")}
         valid = {m: v for m, v in months.items() if m not in touched} | {m: version for m in written}

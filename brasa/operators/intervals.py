@@ -1,10 +1,9 @@
 """Interval-to-calendar operators.
 
-``expand_days`` turns ``[start, coalesce(end, start)]`` into one row per day
-inside the calendar, so an interval join becomes an equi-join on the day
-instead of a nested-loop join.  ``active_per_day`` answers "how many
-intervals cover each day" without expanding at all: +1 on the first day,
--1 after the last day, summed per day and accumulated along the calendar.
+``active_per_day`` answers "how many intervals cover each day" without
+expanding them: +1 on the first day, -1 after the last day, summed per day
+and accumulated along all days that occur; the calendar's days are picked
+afterwards, so neither its gaps nor its ends lose an interval.
 """
 
 from __future__ import annotations
@@ -15,39 +14,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _bounds(start: str, end: str, cal_start: str, cal_end: str):
-    s = F.col(start)
-    e = F.coalesce(F.col(end), s)
-    lo = F.greatest(s, F.lit(cal_start).cast("date"))
-    hi = F.least(e, F.lit(cal_end).cast("date"))
-    valid = s.isNotNull() & (e >= s) & (lo <= hi)
-    return lo, hi, valid
-
-
-def expand_days(df: DataFrame, start: str, end: str, cal_start: str, cal_end: str,
-                out: str = "fecha") -> DataFrame:
-    lo, hi, valid = _bounds(start, end, cal_start, cal_end)
-    return (df.filter(valid)
-            .withColumn(out, F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 DAY")))))
-
-
-def active_per_day(df: DataFrame, start: str, end: str, calendar: DataFrame,
-                   cal_start: str, cal_end: str, measures: Mapping[str, Column],
+def active_per_day(df: DataFrame, start: str, end: str, calendar: DataFrame, measures: Mapping[str, Column],
                    day_col: str = "fecha") -> DataFrame:
-    """Per calendar day, the number of intervals for which each 0/1 measure holds.
+    """Per calendar day, the number of intervals [start, coalesce(end, start)] for which each 0/1 measure holds.
 
-    Exact for COUNT(DISTINCT id) when the id is unique per interval row.
+    Exact for COUNT(DISTINCT id) when the id is unique per interval row.  Intervals that end before they start, and
+    those without a start, count nowhere.
     """
-    lo, hi, valid = _bounds(start, end, cal_start, cal_end)
+    first, last = F.col(start), F.coalesce(F.col(end), F.col(start))
     # one scan: every interval emits +m on its first day and -m on the day after its last
-    edges = F.array(F.struct(lo.alias("d"), F.lit(1).alias("s")),
-                    F.struct(F.date_add(hi, 1).alias("d"), F.lit(-1).alias("s")))
-    events = df.filter(valid).select(F.explode(edges).alias("_e"),
-                                     *[m.cast("bigint").alias(n) for n, m in measures.items()])
+    edges = F.array(F.struct(first.alias("d"), F.lit(1).alias("s")),
+                    F.struct(F.date_add(last, 1).alias("d"), F.lit(-1).alias("s")))
+    events = df.filter(first.isNotNull() & (last >= first)).select(
+        F.explode(edges).alias("_e"), *[m.cast("bigint").alias(n) for n, m in measures.items()])
     deltas = events.groupBy(F.col("_e.d").alias(day_col)).agg(
         *[F.sum(F.col(n) * F.col("_e.s")).alias(n) for n in measures])
-    # the calendar is bounded by its parameters, so one ordered window over it is fine
-    w = Window.orderBy(day_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cal = calendar.select(day_col).join(deltas, day_col, "left")
-    return cal.select(day_col, *[F.sum(F.coalesce(F.col(n), F.lit(0))).over(w).cast("bigint").alias(n)
-                                 for n in measures])
+    # a row for each day that occurs, reduced before it is accumulated: as many as the calendar spans
+    wanted = calendar.select(day_col).withColumn("_wanted", F.lit(True))
+    days = wanted.join(deltas, day_col, "full")
+    run = Window.orderBy(day_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return days.select(day_col, "_wanted", *[F.sum(F.coalesce(F.col(n), F.lit(0))).over(run).cast("bigint").alias(n)
+                                             for n in measures]).filter("_wanted").drop("_wanted")

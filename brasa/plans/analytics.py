@@ -276,14 +276,13 @@ def v7_request_employee_ranking(fact: DataFrame, dim_emp: DataFrame) -> DataFram
     )
 
 
-def v8_daily_pressure(fact_req: DataFrame, fact_asig: DataFrame, dim_fecha: DataFrame,
-                      cal_start: str, cal_end: str) -> DataFrame:
+def v8_daily_pressure(fact_req: DataFrame, fact_asig: DataFrame, dim_fecha: DataFrame) -> DataFrame:
     confirmed = fact_req.filter(F.col("estado") == "confirmada")
     measures = {"permisos_activos_total": F.lit(1)}
     for kind, name in LEAVE_TYPES:
         measures[name] = F.when(F.col("tipo_permiso") == kind, 1).otherwise(0)
     active = active_per_day(confirmed, "fecha_inicio", "fecha_fin", dim_fecha.select("fecha"),
-                            cal_start, cal_end, measures)
+                            measures)
     req = (fact_asig.filter(F.col("es_requerimiento"))
            .groupBy(F.col("fecha_inicio").alias("fecha"))
            .agg(F.sum("total_requerimientos").cast("bigint").alias("requerimientos_total"),
@@ -458,7 +457,8 @@ def v12_top_equipment(fact: DataFrame, dim_equipo: DataFrame) -> DataFrame:
 
 
 def v13_bottlenecks(fact: DataFrame, dim_emp: DataFrame, dim_parque: DataFrame, dim_vehiculo: DataFrame,
-                    dim_equipo: DataFrame, as_of: str = AS_OF) -> DataFrame:
+                    dim_equipo: DataFrame, as_of: str | None = None) -> DataFrame:
+    """Open incidents by age at ``as_of`` (the current date unless given)."""
     f = fact.filter(F.col("estado").isin("pendiente", "tramitada"))
     f = (f.join(dim_emp.select(F.col("empleado_key").alias("empleado_creador_key"),
                                F.col("nombre_token").alias("creador_nombre_token"),
@@ -468,7 +468,7 @@ def v13_bottlenecks(fact: DataFrame, dim_emp: DataFrame, dim_parque: DataFrame,
           .join(dim_parque.select("id_parque", "nombre_parque"), "id_parque", "left")
           .join(dim_vehiculo.select("vehiculo_key", "nombre_vehiculo", "tipo_vehiculo"), "vehiculo_key", "left")
           .join(dim_equipo.select("equipo_key", "nombre_equipo", "categoria_equipo"), "equipo_key", "left"))
-    days = F.datediff(F.lit(as_of).cast("date"), F.col("fecha_creacion")).cast("bigint")
+    days = F.datediff(F.current_date() if as_of is None else F.lit(as_of).cast("date"), F.col("fecha_creacion")).cast("bigint")
     lvl = F.coalesce(F.col("nivel_gravedad"), F.lit("sin_clasificar"))
     f = f.select(
         "id_incidencia", "tipo_incidencia", lvl.alias("nivel_gravedad"), "estado", "fecha_incidencia",

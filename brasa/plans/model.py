@@ -199,14 +199,13 @@ class Warehouse:
     def v7(self): return A.v7_request_employee_ranking(self.fact_solicitudes(), self.dim_empleado)
 
     def v8(self):
-        return A.v8_daily_pressure(self.fact_solicitudes(), self.fact_asignaciones(), self.dim_fecha,
-                                   D.CALENDAR_START, "2030-12-30")
+        return A.v8_daily_pressure(self.fact_solicitudes(), self.fact_asignaciones(), self.dim_fecha)
 
     def v9(self): return A.v9_resolution_efficiency(self.fact_incidencias())
     def v10(self): return A.v10_resolver_ranking(self.fact_incidencias(), self.dim_empleado, self.dim_parque())
     def v11(self): return A.v11_top_vehicles(self.fact_incidencias(), self.dim_vehiculo())
     def v12(self): return A.v12_top_equipment(self.fact_incidencias(), self.dim_equipo())
 
-    def v13(self):
+    def v13(self, as_of: str | None = None):
         return A.v13_bottlenecks(self.fact_incidencias(), self.dim_empleado, self.dim_parque(),
-                                 self.dim_vehiculo(), self.dim_equipo())
+                                 self.dim_vehiculo(), self.dim_equipo(), as_of)

@@ -6,6 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from brasa.plans.analytics import AS_OF
 from brasa.plans.model import Warehouse
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -39,7 +40,6 @@ MODEL_QUERIES: dict[str, QueryFn] = {
     "b11_stg_vehicles": _w(lambda w: w.stg("vehicles")),
     "b12_stg_equipment": _w(lambda w: w.stg("equipos_personales")),
     "h1_snp_empleado": _w(lambda w: w.snp_empleado),
-    "d1_dim_time": _w(lambda w: w.dim_time),
     "d2_dim_fecha": _w(lambda w: w.dim_fecha),
     "d3_dim_parque": _w(lambda w: w.dim_parque()),
     "d4_dim_brigada": _w(lambda w: w.dim_brigada()),
@@ -64,7 +64,7 @@ MODEL_QUERIES: dict[str, QueryFn] = {
     "v10_resolver_ranking": _w(lambda w: w.v10()),
     "v11_top_vehicles": _w(lambda w: w.v11()),
     "v12_top_equipment": _w(lambda w: w.v12()),
-    "v13_bottlenecks": _w(lambda w: w.v13()),
+    "v13_bottlenecks": _w(lambda w: w.v13(AS_OF)),
 }
 
 

@@ -275,8 +275,10 @@ def shift_changes(orders: DataFrame) -> DataFrame:
     )
 
 
-def incidents(events: DataFrame) -> DataFrame:
+def incidents(events: DataFrame, supplier: DataFrame, part: DataFrame, customer: DataFrame) -> DataFrame:
+    """Incidents know as many vehicles, pieces of equipment and resolvers as there are suppliers, parts and customers."""
     i = _k("event_id")
+    vehicles_n, equipment_n, people_n = (t.agg(F.count(F.lit(1))).scalar() for t in (supplier, part, customer))
     created = (F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss").cast("timestamp_ntz")
                + F.make_ym_interval(F.lit(EVENTS_SHIFT_MONTHS // 12), F.lit(0)))
     kind = (F.when(i % 10 == 9, F.lit("equipos_comunes"))
@@ -287,19 +289,19 @@ def incidents(events: DataFrame) -> DataFrame:
              .otherwise(_case(i % 4, [(0, "ALTO"), (1, "medio ")], " bajo")))
     equipo = (F.when(i % 5 == 0, F.lit(None).cast("string"))
               .when(i % 13 == 0, F.lit("n/a"))
-              .when(i % 17 == 0, F.concat((i % 199).cast("string"), F.lit(".7")))
-              .when(i % 2 == 0, F.concat(F.lit(" "), (i % 199).cast("string"), F.lit(" ")))
-              .otherwise((i % 199).cast("string")))
+              .when(i % 17 == 0, F.concat((i % equipment_n).cast("string"), F.lit(".7")))
+              .when(i % 2 == 0, F.concat(F.lit(" "), (i % equipment_n).cast("string"), F.lit(" ")))
+              .otherwise((i % equipment_n).cast("string")))
     resolver = (F.when(i % 3 == 1, F.lit(None).cast("string"))
                 .when(i % 50 == 0, F.lit("x"))
-                .otherwise(((F.col("user_id") * 7) % 150 + i % 3).cast("string")))
+                .otherwise(((F.col("user_id") * 7) % people_n + i % 3).cast("string")))
     return events.select(
         i.alias("ID_INCIDENCIA"), F.col("user_id").alias("ID_EMPLEADO"), kind.alias("TIPO"),
         _case(i % 3, [(0, "Resuelta"), (1, "pendiente ")], "TRAMITADA").alias("ESTADO"),
         level.alias("NIVEL"), F.to_date(created).alias("FECHA"),
         (F.col("user_id") % 5).alias("ID_PARQUE"),
         F.when(i % 4 == 0, F.lit(None).cast("string")).when(i % 9 == 0, F.lit(" "))
-        .otherwise(F.concat(F.lit("V-"), (i % 97).cast("string"))).alias("MATRICULA"),
+        .otherwise(F.concat(F.lit("V-"), (i % vehicles_n).cast("string"))).alias("MATRICULA"),
         F.when(i % 10 == 0, F.lit("x")).otherwise((F.col("user_id") + 1).cast("string")).alias("ID_EMPLEADO2"),
         equipo.alias("EQUIPO"), resolver.alias("RESULTA_POR"),
         F.when(i % 7 == 0, F.lit(None).cast("boolean")).otherwise(i % 2 == 0).alias("LEIDO"),
@@ -333,6 +335,6 @@ class Bronze:
             "requests": lambda: requests(r("orders")),
             "firefighters_assignments": lambda: assignments(r("orders")),
             "shift_change_requests": lambda: shift_changes(r("orders")),
-            "incidents": lambda: incidents(r("events")),
+            "incidents": lambda: incidents(r("events"), r("supplier"), r("part"), r("customer")),
         }
         return builders[name]()

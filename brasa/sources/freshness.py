@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,3 +20,15 @@ def freshness(df: DataFrame, loaded_at: str, as_of: str, warn_days: int = WARN_A
               .when(age > warn_days, F.lit("warn")).otherwise(F.lit("pass")))
     return newest.select(F.lit(as_of).cast("date").alias("as_of"), "max_loaded_at",
                          age.alias("age_days"), status.alias("status"))
+
+
+# the bronze tables that have a load column
+SOURCES = ("users", "vehicles", "equipos_personales", "extra_hours", "guards", "requests",
+           "firefighters_assignments", "shift_change_requests", "incidents")
+
+
+def freshness_of_all(bronze, as_of: str, loaded_at: str = "_LOADED_AT", disabled: tuple[str, ...] = ()) -> DataFrame:
+    """``freshness`` of every bronze table that has a load column, on it, one row each; those in ``disabled`` are skipped."""
+    parts = [freshness(bronze.table(name), loaded_at, as_of, enabled=name not in disabled).select(
+        F.lit(name).alias("source"), "*") for name in SOURCES]
+    return reduce(DataFrame.unionByName, parts)

@@ -8,7 +8,7 @@ _SIMPLE = {
     "b7_stg_requests": "stg_requests", "b8_stg_shift_changes": "stg_shift_changes",
     "b9_stg_assignments": "stg_assignments", "b10_stg_incidents": "stg_incidents",
     "b11_stg_vehicles": "stg_vehicles", "b12_stg_equipment": "stg_equipment",
-    "h1_snp_empleado": "snp_empleado", "d1_dim_time": "dim_time", "d2_dim_fecha": "dim_fecha",
+    "h1_snp_empleado": "snp_empleado", "d2_dim_fecha": "dim_fecha",
     "d3_dim_parque": "dim_parque", "d4_dim_brigada": "dim_brigada", "d5_dim_equipo": "dim_equipo",
     "d6_dim_vehiculo": "dim_vehiculo", "d7_dim_puesto": "dim_puesto", "d8_dim_salario": "dim_salario",
     "d9_dim_empleado": "dim_empleado", "x1_fact_horas_extra": "fact_horas_extra",

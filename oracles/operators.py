@@ -155,7 +155,8 @@ LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
 LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
 LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
 GROUP BY p.p_type, n.n_regionkey, o.o_orderstatus""")
-_CAL = "SELECT CAST(range AS DATE) AS fecha FROM range(DATE '1995-01-01', DATE '2002-01-01', INTERVAL 1 DAY)"
+_CAL = """SELECT CAST(UNNEST(generate_series(CAST(MIN(d) AS TIMESTAMP), CAST(MAX(d) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS fecha
+FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders UNION ALL SELECT CAST(l_shipdate AS DATE) FROM lineitem)"""
 o("j4_calendar_join", f"""SELECT CAST(isodow(c.fecha) AS BIGINT) AS dia_semana_num, COUNT(*) AS pedidos
 FROM (SELECT CAST(o_orderdate AS DATE) AS fecha FROM orders) x LEFT JOIN ({_CAL}) c ON x.fecha = c.fecha
 GROUP BY 1""")
@@ -171,7 +172,7 @@ o("j5_asof_join", with_ctes(f"""SELECT x.o_orderkey, x.fecha, COALESCE(de.emplea
 FROM ({_SHIFT}) x {_asof('de', 'x.o_custkey', 'x.fecha')}""", "dim_empleado"))
 o("j6_role_playing_asof", with_ctes(f"""SELECT x.o_orderkey, COALESCE(dc.empleado_key, '-1') AS creador_key,
   CASE WHEN x.fecha_revision IS NOT NULL THEN COALESCE(dr.empleado_key, '-1') END AS revisor_key
-FROM (SELECT *, (o_custkey * 7 + 3) % 1500 AS revisor,
+FROM (SELECT *, (o_custkey * 7 + 3) % (SELECT COUNT(*) FROM customer) AS revisor,
              CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE fecha + 30 END AS fecha_revision FROM ({_SHIFT})) x
 {_asof('dc', 'x.o_custkey', 'x.fecha')} {_asof('dr', 'x.revisor', 'x.fecha_revision')}""", "dim_empleado"))
 _IV = """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS inicio,
@@ -215,8 +216,9 @@ WHERE o_orderdate >= (SELECT COALESCE(MAX(o_orderdate), TIMESTAMP '1900-01-01 00
 o("j14_referential_anti_join", """SELECT 'l_orderkey' AS columna, l_orderkey AS clave, l_linenumber FROM lineitem
 WHERE l_orderkey IS NOT NULL AND l_orderkey NOT IN (SELECT o_orderkey FROM orders)
 UNION ALL
-SELECT 'l_partkey', l_partkey, l_linenumber FROM lineitem
-WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 5)""")
+SELECT 'l_partkey', key, l_linenumber
+FROM (SELECT CASE WHEN l_orderkey % 50 = 0 THEN -l_partkey ELSE l_partkey END AS key, l_linenumber FROM lineitem)
+WHERE key IS NOT NULL AND key NOT IN (SELECT p_partkey FROM part)""")
 
 # ---------------------------------------------------------------- A
 o("a1_grouped_aggregates", f"""SELECT l_returnflag, l_linestatus, CAST(SUM({m('l_quantity')}) AS DECIMAL(28,2)) AS suma,
@@ -364,7 +366,7 @@ o("i8_late_correction_replay", with_ctes(
     f"UNION ALL SELECT * FROM {_DELTA}", "stg_incidents", "dim_empleado"))
 
 # ---------------------------------------------------------------- C
-_CAL2 = "SELECT CAST(range AS DATE) AS date_day FROM range(DATE '1995-01-01', DATE '2002-01-01', INTERVAL 1 DAY)"
+_CAL2 = f"SELECT fecha AS date_day FROM ({_CAL})"
 o("c1_time_spine", f"""SELECT date_day FROM ({_CAL2})
 WHERE date_day BETWEEN (SELECT MIN(CAST(o_orderdate AS DATE)) FROM orders) AND (SELECT MAX(CAST(o_orderdate AS DATE)) FROM orders)""")
 _DUTY = """SELECT CAST(o_orderdate AS DATE) AS fecha, o_orderkey AS id_guardia,
@@ -424,13 +426,13 @@ o("q7_severity_status", with_ctes(_report([
      "SELECT COUNT(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1)"),
 ]), "stg_incidents"))
 o("q8_counter_reconciliation", with_ctes("""SELECT f.id_solicitud, f.total_fact, r.total_real, f.total_fact - r.total_real AS diferencia
-FROM (SELECT id_solicitud, total_asignaciones_generadas AS total_fact FROM fact_solicitudes WHERE total_asignaciones_generadas > 0) f
+FROM (SELECT id_solicitud, total_asignaciones_generadas + IF(id_solicitud % 40 = 0, 1, 0) AS total_fact FROM fact_solicitudes WHERE total_asignaciones_generadas > 0) f
 JOIN (SELECT id_solicitud, COUNT(*) AS total_real FROM stg_assignments WHERE id_solicitud IS NOT NULL GROUP BY 1) r
   ON f.id_solicitud = r.id_solicitud
 WHERE f.total_fact <> r.total_real""", "fact_solicitudes", "stg_assignments"))
 o("q9_cost_reconciliation", with_ctes("""SELECT f.mes, f.coste_fact, c.coste_calculado,
   CAST(abs(f.coste_fact - c.coste_calculado) AS DECIMAL(38,2)) AS diferencia
-FROM (SELECT CAST(date_trunc('month', fecha) AS DATE) AS mes, CAST(ROUND(SUM(coste_total), 2) AS DECIMAL(38,2)) AS coste_fact
+FROM (SELECT CAST(date_trunc('month', fecha) AS DATE) AS mes, CAST(ROUND(SUM(coste_total + IF(day(fecha) = 31 AND id_hora_extra % 3 = 0, 0.02, 0.00)), 2) AS DECIMAL(38,2)) AS coste_fact
       FROM fact_horas_extra GROUP BY 1) f
 JOIN (SELECT CAST(date_trunc('month', eh.fecha) AS DATE) AS mes,
              CAST(ROUND(SUM(CAST(eh.horas_diurnas AS DECIMAL(38,0)) * s.precio_hora_diurna)
@@ -448,7 +450,7 @@ o("q12_end_before_start", with_ctes("""SELECT id_solicitud, id_empleado, tipo_pe
   CAST(date_diff('day', fecha_inicio, fecha_fin) AS BIGINT) AS dias_desfase
 FROM stg_requests WHERE fecha_inicio IS NOT NULL AND fecha_fin IS NOT NULL AND fecha_fin < fecha_inicio""", "stg_requests"))
 o("q13_one_current_version", with_ctes("""SELECT id_empleado, COUNT(*) AS versiones_actuales FROM dim_empleado
-WHERE es_version_actual AND id_empleado <> -1 GROUP BY 1 HAVING COUNT(*) > 1""", "dim_empleado"))
+WHERE (es_version_actual OR id_empleado % 10 = 0) AND id_empleado <> -1 GROUP BY 1 HAVING COUNT(*) > 1""", "dim_empleado"))
 
 _CONTRACT = [("horas_extra_key", "string", True), ("empleado_key", "string", True), ("fecha_key", "string", True),
              ("brigada_key", "string", True), ("salario_key", "string", True), ("id_hora_extra", "bigint", True),
@@ -590,3 +592,23 @@ o("q5b_gold_expression_tests", with_ctes(_report(_Q5B), "fact_horas_extra", "fac
                                          "fact_incidencias", "dim_fecha", "dim_brigada", "dim_empleado", "dim_parque",
                                          "dim_vehiculo", "dim_equipo"))
 o("s6b_partitioned_merge_sink", OPERATORS["i8_late_correction_replay"])
+
+o("m8b_metric_by_day", with_ctes(f"""SELECT s.date_day AS periodo, CAST(SUM(coste_total) AS DECIMAL(38,2)) AS coste_total_horas_extra,
+  CAST(SUM(coste_diurno) AS DECIMAL(38,2)) AS coste_diurno_horas_extra,
+  CAST(SUM(coste_nocturno) AS DECIMAL(38,2)) AS coste_nocturno_horas_extra,
+  CAST(SUM(total_horas) AS BIGINT) AS total_horas_extra,
+  IF(COUNT(h.fecha) > 0, COUNT(DISTINCT id_empleado), NULL) AS bomberos_con_horas_extra,
+  {ddiv('SUM(coste_total)', 'SUM(total_horas)', 2, 0)} AS coste_medio_por_hora
+FROM dim_time s LEFT JOIN fact_horas_extra h ON h.fecha = s.date_day GROUP BY s.date_day""", "dim_time", "fact_horas_extra"))
+o("s6c_month_merge_cases", """SELECT o_orderkey,
+  CASE WHEN o_orderkey % 3 = 0 THEN IF(o_orderkey % 9 = 0, NULL, CAST(o_orderdate AS DATE) + 40)
+       WHEN o_orderkey % 10 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS fecha,
+  CAST(CAST(o_totalprice AS DECIMAL(18,2)) + IF(o_orderkey % 3 = 0, 3, 0) AS DECIMAL(18,2)) AS importe,
+  CAST(IF(o_orderkey % 3 = 0, 3, 1) AS INTEGER) AS version, IF(o_orderkey % 3 = 0, 'corregido', NULL) AS nota FROM orders""")
+o("s3b_freshness_of_all_sources", "WITH loaded AS (" + " UNION ALL ".join(
+    f"SELECT '{n}' AS source, MAX(TIMESTAMP '2026-09-01 00:00:00') AS max_loaded_at FROM {t}" for n, t in (
+        ("equipos_personales", "part"), ("extra_hours", "orders"), ("firefighters_assignments", "orders"),
+        ("guards", "orders"), ("incidents", "events"), ("requests", "orders"),
+        ("shift_change_requests", "orders"), ("users", "customer"), ("vehicles", "supplier"))) + """)
+SELECT source, DATE '2026-10-15' AS as_of, max_loaded_at, CAST(date_diff('day', max_loaded_at, TIMESTAMP '2026-10-15 00:00:00') AS BIGINT) AS age_days,
+  CASE WHEN source = 'shift_change_requests' THEN 'skipped' ELSE 'warn' END AS status FROM loaded""")

@@ -4,27 +4,23 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from brasa.operators.incremental import lookback_delta, upsert
-from brasa.operators.intervals import active_per_day, expand_days
+from brasa.operators.intervals import active_per_day
 from brasa.operators.quality import Check, quality_report
 from brasa.operators.ranking import Order, RankSpec, add_ranks
 from brasa.plans.dimensions import dim_time
 
 
-def test_expand_days_edges(spark):
-    df = spark.createDataFrame([(1, "2020-01-05", None), (2, "2020-01-05", "2020-01-05"), (3, "2020-01-05", "2020-01-03"),
-                                (4, "2019-12-30", "2020-01-02")], "id int, s string, e string") \
-        .select("id", F.col("s").cast("date").alias("s"), F.col("e").cast("date").alias("e"))
-    got = sorted((r.id, str(r.fecha)) for r in expand_days(df, "s", "e", "2020-01-01", "2020-12-31").collect())
-    assert got == [(1, "2020-01-05"), (2, "2020-01-05"), (4, "2020-01-01"), (4, "2020-01-02")]
-
-
 def test_active_per_day_matches_expansion(spark):
     df = spark.createDataFrame([(1, "2020-01-02", "2020-01-04"), (2, "2020-01-03", None), (3, "2020-01-05", "2020-01-01")],
                                "id int, s string, e string") \
         .select("id", F.col("s").cast("date").alias("s"), F.col("e").cast("date").alias("e"))
     cal = dim_time(spark, "2020-01-01", "2020-01-06").select(F.col("date_day").alias("fecha"))
-    got = {str(r.fecha): r.n for r in active_per_day(df, "s", "e", cal, "2020-01-01", "2020-01-05", {"n": F.lit(1)}).collect()}
+    got = {str(r.fecha): r.n for r in active_per_day(df, "s", "e", cal, {"n": F.lit(1)}).collect()}
     assert got == {"2020-01-01": 0, "2020-01-02": 1, "2020-01-03": 2, "2020-01-04": 1, "2020-01-05": 0}
+    # an interval that begins before the calendar and one with a gap in it
+    some = cal.filter(F.dayofmonth("fecha").isin(3, 5))
+    wide = spark.range(1).select(F.lit("2019-12-01").cast("date").alias("s"), F.lit("2020-02-01").cast("date").alias("e"))
+    assert [r.n for r in active_per_day(wide, "s", "e", some, {"n": F.lit(1)}).collect()] == [1, 1]
 
 
 def test_upsert_and_new_columns(spark):
