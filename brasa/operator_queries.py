@@ -1046,6 +1046,25 @@ def q1(spark, sf):
     return unique_failures(T(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+@q("q1b_gold_keys")
+def q1b(spark, sf):
+    """The primary key of every dimension and fact: missing and repeated keys."""
+    from brasa.operators.quality import key_report
+    from brasa.plans.contracts import GOLD_KEYS
+    w = _wh(spark, sf)
+    return reduce(DataFrame.unionByName, [key_report(t, w.gold(t), key) for t, key in GOLD_KEYS.items()])
+
+
+@q("q4b_gold_references")
+def q4b(spark, sf):
+    """Every foreign key of the facts: rows that point nowhere."""
+    from brasa.operators.quality import reference_report
+    from brasa.plans.contracts import GOLD_KEYS, GOLD_REFERENCES
+    w = _wh(spark, sf)
+    return reduce(DataFrame.unionByName, [reference_report(c, w.gold(c), col, p, w.gold(p), GOLD_KEYS[p])
+                                          for c, col, p in GOLD_REFERENCES])
+
+
 @q("q2_not_null")
 def q2(spark, sf):
     c = Check("fecha_actualizacion_not_null", "stg_incidents", "not_null", column="fecha_actualizacion")

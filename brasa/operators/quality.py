@@ -123,3 +123,30 @@ def contract_report(df: DataFrame, contract: StructType, not_null: Sequence[str]
           & F.coalesce(F.col("null_violations") == 0, F.lit(True)))
     return spec.withColumn("null_violations", F.coalesce(F.col("null_violations"), F.lit(0)).cast("bigint")) \
                .withColumn("passes", F.coalesce(ok, F.lit(False)))
+
+
+def key_report(name: str, df: DataFrame, key: str) -> DataFrame:
+    """One row: how many rows a table has, how many lack the key, and how many repeat another row's key."""
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(key).isNull()).cast("bigint").alias("null_keys"),
+                  (F.count(key) - F.count_distinct(key)).alias("repeated_keys")).select(
+        F.lit(name).alias("table_name"), F.lit(key).alias("key_name"), "n_rows", "null_keys", "repeated_keys")
+
+
+def reference_report(child: str, df: DataFrame, column: str, parent: str, keys: DataFrame, key: str) -> DataFrame:
+    """One row: how many rows of the child point to a key that the parent does not hold."""
+    return relationship_failures(df, column, keys, key).agg(F.count(F.lit(1)).alias("orphans")).select(
+        F.lit(child).alias("child"), F.lit(column).alias("column_name"), F.lit(parent).alias("parent"), "orphans")
+
+
+def enforce_contract(name: str, df: DataFrame, not_null: Sequence[str] = (), contract: StructType | None = None) -> DataFrame:
+    """The frame itself; raises where a column is missing, has another type, or breaks a not-null constraint."""
+    actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    wrong = [f"{f.name} is {actual.get(f.name)}, not {f.dataType.simpleString()}"
+             for f in (contract.fields if contract else []) if actual.get(f.name) != f.dataType.simpleString()]
+    wrong += [f"{c} is missing" for c in not_null if c not in actual]
+    if not wrong and not_null:
+        nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in not_null]).first()
+        wrong = [f"{c} is NULL in {nulls[c]} rows" for c in not_null if nulls[c]]
+    if wrong:
+        raise ValueError(f"{name} breaks its contract: " + "; ".join(wrong))
+    return df

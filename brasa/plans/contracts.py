@@ -20,9 +20,29 @@ FACT_HORAS_EXTRA = _s(
     ("fecha_creacion", TimestampNTZType()), ("fecha_actualizacion", TimestampNTZType()),
     ("fecha_carga_bronze", TimestampNTZType()),
 )
-FACT_HORAS_EXTRA_NOT_NULL = ("horas_extra_key", "empleado_key", "fecha_key", "brigada_key", "salario_key",
-                             "id_hora_extra", "id_empleado", "fecha", "horas_diurnas", "horas_nocturnas",
-                             "total_horas", "coste_total", "tipo_dia")
+FACT_HORAS_EXTRA_NOT_NULL = ("horas_extra_key", "empleado_key")
+
+# The primary key of each dimension and fact (unique, never NULL)
+GOLD_KEYS = {
+    "dim_fecha": "fecha_key", "dim_parque": "parque_key", "dim_brigada": "brigada_key", "dim_equipo": "equipo_key",
+    "dim_vehiculo": "vehiculo_key", "dim_puesto": "puesto_key", "dim_salario": "salario_key",
+    "dim_empleado": "empleado_key", "fact_horas_extra": "horas_extra_key", "fact_solicitudes": "solicitud_key",
+    "fact_asignaciones": "asignacion_key", "fact_incidencias": "incidencia_key",
+}
+
+# Foreign keys of the facts (child, column, parent); the parent's column is its primary key
+GOLD_REFERENCES = (
+    ("fact_horas_extra", "empleado_key", "dim_empleado"), ("fact_horas_extra", "fecha_key", "dim_fecha"),
+    ("fact_horas_extra", "brigada_key", "dim_brigada"), ("fact_horas_extra", "salario_key", "dim_salario"),
+    ("fact_solicitudes", "empleado_key", "dim_empleado"), ("fact_solicitudes", "fecha_inicio_key", "dim_fecha"),
+    ("fact_solicitudes", "fecha_fin_key", "dim_fecha"), ("fact_asignaciones", "empleado_key", "dim_empleado"),
+    ("fact_asignaciones", "fecha_key", "dim_fecha"), ("fact_asignaciones", "brigada_origen_key", "dim_brigada"),
+    ("fact_asignaciones", "brigada_destino_key", "dim_brigada"), ("fact_asignaciones", "solicitud_key", "fact_solicitudes"),
+    ("fact_incidencias", "empleado_creador_key", "dim_empleado"),
+    ("fact_incidencias", "empleado_resolutor_key", "dim_empleado"), ("fact_incidencias", "fecha_key", "dim_fecha"),
+    ("fact_incidencias", "parque_key", "dim_parque"), ("fact_incidencias", "vehiculo_key", "dim_vehiculo"),
+    ("fact_incidencias", "equipo_key", "dim_equipo"),
+)
 
 
 # Expression tests declared on the facts and analytical views

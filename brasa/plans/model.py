@@ -38,9 +38,23 @@ class Warehouse:
             return build()
         if name not in self._tables:
             from brasa.operators.incremental import publish
-            self._tables[name] = publish(self.spark, build(), name, self.CLUSTER.get(name, ()))
+            self._tables[name] = self._enforced(name, publish(self.spark, build(), name, self.CLUSTER.get(name, ())))
         return self._tables[name]
 
+    def _enforced(self, name: str, table: DataFrame) -> DataFrame:
+        """The published table, after its contract: the key is never NULL (a scan of that column), the types agree."""
+        from brasa.operators.quality import enforce_contract
+        from brasa.plans.contracts import FACT_HORAS_EXTRA, FACT_HORAS_EXTRA_NOT_NULL, GOLD_KEYS
+
+        if name == "fact_horas_extra":
+            return enforce_contract(name, table, FACT_HORAS_EXTRA_NOT_NULL, FACT_HORAS_EXTRA)
+        return enforce_contract(name, table, (GOLD_KEYS[name],)) if name in GOLD_KEYS else table
+
+    def gold(self, name: str) -> DataFrame:
+        """A dimension or fact by its name."""
+        table = getattr(self, name)
+        return table if isinstance(table, DataFrame) else table()
+
     # staging (lazy views; the DataFrame objects are built once and reused)
     def stg(self, name: str) -> DataFrame:
         key = f"stg:{name}"
@@ -183,7 +197,8 @@ class Warehouse:
             getattr(self, dim)()
         _ = (self.snp_empleado, self.dim_empleado, self.dim_time, self.dim_fecha)
         root = (root or new_table_path(self.spark, "gold")).rstrip("/")
-        facts = {name: self.refresh_fact_partitioned(name, f"{root}/{name}") for name in self.FACT_SOURCES}
+        facts = {name: self._enforced(name, self.refresh_fact_partitioned(name, f"{root}/{name}"))
+                 for name in self.FACT_SOURCES}
         self._tables.update(facts)  # what the views read from now on
         checks = [Check(expression_test_name(t, e, w), t, "expression", expression=e, where=w, severity=sev)
                   for t, e, w, sev in EXPRESSION_TESTS if t in facts]

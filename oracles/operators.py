@@ -452,13 +452,13 @@ FROM stg_requests WHERE fecha_inicio IS NOT NULL AND fecha_fin IS NOT NULL AND f
 o("q13_one_current_version", with_ctes("""SELECT id_empleado, COUNT(*) AS versiones_actuales FROM dim_empleado
 WHERE (es_version_actual OR id_empleado % 10 = 0) AND id_empleado <> -1 GROUP BY 1 HAVING COUNT(*) > 1""", "dim_empleado"))
 
-_CONTRACT = [("horas_extra_key", "string", True), ("empleado_key", "string", True), ("fecha_key", "string", True),
-             ("brigada_key", "string", True), ("salario_key", "string", True), ("id_hora_extra", "bigint", True),
-             ("id_empleado", "bigint", True), ("fecha", "date", True), ("id_salario", "bigint", False),
-             ("horas_diurnas", "bigint", True), ("horas_nocturnas", "bigint", True), ("total_horas", "bigint", True),
+_CONTRACT = [("horas_extra_key", "string", True), ("empleado_key", "string", True), ("fecha_key", "string", False),
+             ("brigada_key", "string", False), ("salario_key", "string", False), ("id_hora_extra", "bigint", False),
+             ("id_empleado", "bigint", False), ("fecha", "date", False), ("id_salario", "bigint", False),
+             ("horas_diurnas", "bigint", False), ("horas_nocturnas", "bigint", False), ("total_horas", "bigint", False),
              ("precio_hora_diurna", "decimal(10,2)", False), ("precio_hora_nocturna", "decimal(10,2)", False),
              ("coste_diurno", "decimal(12,2)", False), ("coste_nocturno", "decimal(12,2)", False),
-             ("coste_total", "decimal(12,2)", True), ("tipo_dia", "string", True), ("tipo_salario", "string", False),
+             ("coste_total", "decimal(12,2)", False), ("tipo_dia", "string", False), ("tipo_salario", "string", False),
              ("fecha_creacion", "timestamp_ntz", False), ("fecha_actualizacion", "timestamp_ntz", False),
              ("fecha_carga_bronze", "timestamp_ntz", False)]
 _NULLS = " UNION ALL ".join(f"SELECT '{c}' AS column_name, COUNT_IF({c} IS NULL) AS n FROM fact_horas_extra"
@@ -612,3 +612,22 @@ o("s3b_freshness_of_all_sources", "WITH loaded AS (" + " UNION ALL ".join(
         ("shift_change_requests", "orders"), ("users", "customer"), ("vehicles", "supplier"))) + """)
 SELECT source, DATE '2026-10-15' AS as_of, max_loaded_at, CAST(date_diff('day', max_loaded_at, TIMESTAMP '2026-10-15 00:00:00') AS BIGINT) AS age_days,
   CASE WHEN source = 'shift_change_requests' THEN 'skipped' ELSE 'warn' END AS status FROM loaded""")
+
+_GOLD = {"dim_fecha": "fecha_key", "dim_parque": "parque_key", "dim_brigada": "brigada_key", "dim_equipo": "equipo_key",
+         "dim_vehiculo": "vehiculo_key", "dim_puesto": "puesto_key", "dim_salario": "salario_key",
+         "dim_empleado": "empleado_key", "fact_horas_extra": "horas_extra_key", "fact_solicitudes": "solicitud_key",
+         "fact_asignaciones": "asignacion_key", "fact_incidencias": "incidencia_key"}
+_POINTS = {"fact_horas_extra": {"empleado_key": "dim_empleado", "fecha_key": "dim_fecha", "brigada_key": "dim_brigada",
+                                "salario_key": "dim_salario"},
+           "fact_solicitudes": {"empleado_key": "dim_empleado", "fecha_inicio_key": "dim_fecha", "fecha_fin_key": "dim_fecha"},
+           "fact_asignaciones": {"empleado_key": "dim_empleado", "fecha_key": "dim_fecha", "brigada_origen_key": "dim_brigada",
+                                 "brigada_destino_key": "dim_brigada", "solicitud_key": "fact_solicitudes"},
+           "fact_incidencias": {"empleado_creador_key": "dim_empleado", "empleado_resolutor_key": "dim_empleado",
+                                "fecha_key": "dim_fecha", "parque_key": "dim_parque", "vehiculo_key": "dim_vehiculo",
+                                "equipo_key": "dim_equipo"}}
+o("q1b_gold_keys", with_ctes(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{k}' AS key_name, COUNT(*) AS n_rows, COUNT(*) - COUNT({k}) AS null_keys, "
+    f"COUNT({k}) - COUNT(DISTINCT {k}) AS repeated_keys FROM {t}" for t, k in _GOLD.items()), *_GOLD))
+o("q4b_gold_references", with_ctes(" UNION ALL ".join(
+    f"SELECT '{t}' AS child, '{c}' AS column_name, '{p}' AS parent, (SELECT COUNT(*) FROM {t} WHERE {c} IS NOT NULL "
+    f"AND {c} NOT IN (SELECT {_GOLD[p]} FROM {p})) AS orphans" for t, points in _POINTS.items() for c, p in points.items()), *_GOLD))

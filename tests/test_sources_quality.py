@@ -40,6 +40,19 @@ def test_guarded_create_raises_a_storage_failure(spark):
         guarded_create(spark, spark.range(1), path)
 
 
+def test_contract_is_enforced(spark):
+    from brasa.operators.quality import enforce_contract
+    df = spark.createDataFrame([(1, None), (2, "x")], "a bigint, b string")
+    good = StructType([StructField("a", LongType())])
+    assert enforce_contract("t", df, ["a"], good) is df
+    with pytest.raises(ValueError, match="b is NULL in 1 rows"):
+        enforce_contract("t", df, ["a", "b"])
+    with pytest.raises(ValueError, match="a is bigint, not string"):
+        enforce_contract("t", df, (), StructType([StructField("a", StringType())]))
+    with pytest.raises(ValueError, match="c is missing"):
+        enforce_contract("t", df, ["c"])
+
+
 def test_contract_report(spark):
     df = spark.createDataFrame([(1, None), (2, "x")], "a bigint, b string")
     contract = StructType([StructField("a", LongType()), StructField("b", StringType()), StructField("c", StringType())])
