@@ -43,7 +43,7 @@ FOLDS = 5
 STEPS, RATE, DECAY = 200, 0.1, 1e-4
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"[^\W\d_]+")
-KEPT_WORDS = 300_000
+KEPT_WORDS = 120_000
 
 
 def features(word: str) -> list[str]:
