@@ -165,10 +165,12 @@ def links(spark: SparkSession, vectors: DataFrame, least: float = LEAST, side: i
                        each("visit_chunks", lambda v: task(True, F.col("chunk"), v)))
     on_visit = each("home_chunks", lambda h: task(True, h, F.col("chunk")))
     spread = cut.withColumn("task", F.explode(F.when(F.col("home"), at_home).otherwise(on_visit)))
+    # dealt by task: else a cell's tasks would all stay in the partition that the cell came to
+    spread = spread.select("*", "task.*").drop("task").repartition(*place, "visit", "low", "high")
 
     def join(group: pd.DataFrame) -> pd.DataFrame:
         nodes, own = group["node"].to_numpy(), group["home"].to_numpy()
-        info = group["task"].iat[0]
+        info = group[["visit", "low", "high"]].iloc[0]
         vectors = unit(np.stack(group["embedding"]).astype(np.float64))
         if info["visit"]:
             first = own
@@ -197,7 +199,7 @@ def links(spark: SparkSession, vectors: DataFrame, least: float = LEAST, side: i
         counted = [(nodes[i], int(degree[i]), None) for i in np.flatnonzero(degree)]
         return pd.DataFrame(counted + forest, columns=["node", "n_links", "partner"])
 
-    return spread.groupBy(*place, "task").applyInPandas(join, "node string, n_links long, partner string")
+    return spread.groupBy(*place, "visit", "low", "high").applyInPandas(join, "node string, n_links long, partner string")
 
 
 def near_duplicates(spark: SparkSession, rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding",
