@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from brasa.llm.common import table
 
-FIT_ROWS = 4000
+FIT_ROWS = 3000
 FIT_CHARS = 10_000
 FOLDS = 5
 STEPS, RATE, DECAY = 200, 0.1, 1e-4
@@ -123,11 +123,15 @@ def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray) -> Model:
     first, last = (np.searchsorted(link_word, np.arange(len(word_ids)), side) for side in ("left", "right"))
     n_words, n_features = max(len(word_ids), 1), max(len(feature_ids), 1)
     seen = np.unique(doc[sentence] * n_words + word)
-    counts = (last - first)[seen % n_words]
-    each = np.arange(counts.sum()) + np.repeat(first[seen % n_words] - np.cumsum(counts) + counts, counts)
-    pairs = np.unique(np.repeat(seen // n_words, counts) * n_features + link_feature[each])
-    held_by = np.bincount(pairs % n_features, minlength=n_features)
-    share = np.bincount(pairs % n_features, y[pairs // n_features], n_features) / np.maximum(held_by, 1)
+    held_by, held_toxic = np.zeros(n_features, np.int64), np.zeros(n_features)
+    for d in range(0, len(y), 100):  # a hundred documents at a time: the pairs of all of them would take hundreds of MB
+        part = seen[np.searchsorted(seen, d * n_words):np.searchsorted(seen, (d + 100) * n_words)]
+        counts = (last - first)[part % n_words]
+        each = np.arange(counts.sum()) + np.repeat(first[part % n_words] - np.cumsum(counts) + counts, counts)
+        pairs = np.unique(np.repeat(part // n_words, counts) * n_features + link_feature[each])
+        held_by += np.bincount(pairs % n_features, minlength=n_features)
+        held_toxic += np.bincount(pairs % n_features, y[pairs // n_features], n_features)
+    share = held_toxic / np.maximum(held_by, 1)
     base = y.mean()
     with np.errstate(divide="ignore", invalid="ignore"):
         excess = (np.where(share > 0, share * np.log(share / base), 0)
