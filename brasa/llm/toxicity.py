@@ -12,10 +12,10 @@ explain: by Chernoff's bound on the binomial, fewer than one feature of all woul
 leak are fitted to the documents' labels alone by full-batch gradient steps, weights kept from falling below zero.
 The sentences whose own probability reaches 1/2 are those that ``locate`` returns.
 
-Fitting takes a bounded sample: of each class the ``FIT_ROWS`` / 2 labelled documents of at most ``FIT_CHARS``
-characters with the smallest hash of their id (one text for each id), weighted to the classes' shares among all
-labelled rows.  Everything
-else - counting the classes, scoring, locating - covers every row and whole texts.
+Fitting takes a bounded sample: of each class the ``FIT_ROWS`` / 2 labelled documents with the smallest hash of their id
+(one text for each id), of any length, ``FIT_BYTES`` / 2 bytes together at most (one document at least), weighted to the
+classes' shares among all labelled rows that are not held out.  Everything else - counting the classes, scoring, locating
+- covers every row and whole texts.
 
 Defined cases: null text is the empty text, whose score is the leak.  Rows with null id or null label are not learnt
 from, and such ids are not held out; every row is scored, repeated rows each.  Without labels of both classes the score
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from brasa.llm.common import table
 
 FIT_ROWS = 3000
-FIT_CHARS = 10_000
+FIT_BYTES = FIT_ROWS * 10_000
 FOLDS = 5
 STEPS, RATE, DECAY = 200, 0.1, 1e-4
 SENTENCE = re.compile(r"[^.!?\n]+")
@@ -163,18 +163,23 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_chars: int = FIT_CHARS) -> Model:
+def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_bytes: int = FIT_BYTES) -> Model:
     """Fit to labels (doc_id, toxic) of documents (doc_id, text) that are not held out."""
     labels = labels.filter("toxic in (0, 1) and doc_id is not null").filter(~held_out("doc_id"))
     # ids first: texts move only for the sample
-    short = docs.filter((F.char_length("text") <= fit_chars) & F.col("doc_id").isNotNull()).select("doc_id")
-    rows = labels.join(short, "doc_id").groupBy("toxic", "doc_id").agg(F.count(F.lit(1)).alias("n"))
+    sizes = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"))
+    rows = labels.join(sizes, "doc_id").groupBy("toxic", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
     shares = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.sum("n").alias("n")).collect()}
     sample = []
     for label, n in sorted(shares.items()):
-        taken = rows.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows // 2)
-        texts = (docs.filter(F.char_length("text") <= fit_chars).join(F.broadcast(taken.select("doc_id")), "doc_id")
-                 .groupBy("doc_id").agg(F.min("text").alias("text")).collect())
+        ids, held = [], 0
+        for r in rows.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows // 2).collect():
+            held += r["size"]
+            if ids and held > fit_bytes // 2:
+                break
+            ids.append((r["doc_id"],))
+        taken = docs.sparkSession.createDataFrame(ids, "doc_id long")
+        texts = docs.join(F.broadcast(taken), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).collect()
         sample += [(r["text"], label, n / len(texts)) for r in sorted(texts, key=lambda r: (crc32(str(r[0]).encode()), r[0]))]
     return fit([t for t, _, _ in sample], np.array([y for _, y, _ in sample]), np.array([w for _, _, w in sample]))
 

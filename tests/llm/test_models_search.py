@@ -39,6 +39,15 @@ def test_learns_the_sentences_from_document_labels(spark, frame):
     assert all(text[r["doc_id"]][r["start"]:r["stop"]] == r["sentence"] for r in found)
 
 
+def test_labels_of_long_documents_are_learnt(spark, frame):
+    rows = [(i, t + " 12 34." * 2000 * y, y) for i, t, y in made(600, random.Random(5))]
+    docs = frame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    model = toxicity.train(docs, frame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    scored = toxicity.with_score(docs, model).withColumn("out", toxicity.held_out()).filter("out").collect()
+    truth = {i: y for i, _, y in rows}
+    assert all((r["score"] >= 0.5) == bool(truth[r["doc_id"]]) for r in scored) and len(scored) > 50
+
+
 def test_no_labels_one_class_and_odd_rows(spark, frame):
     docs = frame([(1, "a b"), (2, None), (None, ""), (2, None), (3, "x " * 50_000)], "doc_id long, text string")
     for labels, want in (([], 0.0), ([(1, 0), (2, 0), (3, 0), (4, 0)], 0.0), ([(1, None), (None, 1), (3, 7)], 0.0)):
