@@ -12,10 +12,11 @@ explain: by Chernoff's bound on the binomial, fewer than one feature of all woul
 leak are fitted to the documents' labels alone by full-batch gradient steps, weights kept from falling below zero.
 The sentences whose own probability reaches 1/2 are those that ``locate`` returns.
 
-Fitting takes a bounded sample: of each class the ``FIT_ROWS`` / 2 labelled documents with the smallest hash of their id
-(one text for each id), of any length, ``FIT_BYTES`` / 2 bytes together at most (one document at least), weighted to the
-classes' shares among all labelled rows that are not held out.  Everything else - counting the classes, scoring, locating
-- covers every row and whole texts.
+Equal texts of one label are one text that carries its rows as weight.  Fitting takes a bounded sample: of each class
+``FIT_ROWS`` / 2 texts of any length, ``FIT_BYTES`` / 2 bytes together at most (one text at least), in the order of the
+text's hash over its weight (priority sampling: a text with many copies is drawn surely and stands for them, the others
+stand for the rest of their class), weighted to the classes' shares among all labelled rows that are not held out.
+Everything else - counting the classes, scoring, locating - covers every row and whole texts.
 
 Defined cases: null text is the empty text, whose score is the leak.  Rows with null id or null label are not learnt
 from, and such ids are not held out; every row is scored, repeated rows each.  Without labels of both classes the score
@@ -28,14 +29,13 @@ import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from zlib import crc32
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brasa.llm.common import table
+from brasa.llm.common import drop_stored, store, table
 
 FIT_ROWS = 3000
 FIT_BYTES = FIT_ROWS * 10_000
@@ -95,22 +95,11 @@ def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray) -> Model:
         return Model(leak=float(min(y[0], 1 - 1e-9)) if len(y) else 0.0)
     word_ids: dict[str, int] = {}
     sentence_doc, pair_sentence, pair_word = array("i"), array("i"), array("i")  # a fifth of what lists would take
-    familiar: set[int] = set()
-    kept = []
-    for text, label, weight in zip(texts, y, weights):
-        # copies are no evidence of their own: of documents that share most sentences, the first is learnt from
-        sentences = bags(text)
-        keys = {crc32(" ".join(sorted(words)).encode()) for words in sentences if len(words) > 2}
-        if 2 * len(keys & familiar) > len(keys):
-            continue
-        familiar |= keys
-        d = len(kept)
-        kept.append((label, weight))
-        for words in sentences:
+    for d, text in enumerate(texts):
+        for words in bags(text):
             pair_sentence.extend([len(sentence_doc)] * len(words))
             pair_word.extend(word_ids.setdefault(w, len(word_ids)) for w in sorted(words))
             sentence_doc.append(d)
-    y, weights = (np.array(x) for x in zip(*kept))
     doc, sentence, word = (np.array(x, dtype=np.int64) for x in (sentence_doc, pair_sentence, pair_word))
     feature_ids: dict[str, int] = {}
     link_word, link_feature = array("i"), array("i")
@@ -163,25 +152,47 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows (toxic, text_key, text, n): the texts of each label that are not held out, and how many rows have them."""
+    labels = labels.filter("toxic in (0, 1) and doc_id is not null").filter(~held_out("doc_id"))
+    rows = docs.filter(F.col("doc_id").isNotNull()).join(labels.select("doc_id", "toxic"), "doc_id")
+    text = F.coalesce("text", F.lit(""))
+    return rows.select(F.col("toxic").cast("int").alias("toxic"), F.xxhash64(text).alias("text_key"), text.alias("text")
+                       ).groupBy("toxic", "text_key").agg(F.min("text").alias("text"), F.count(F.lit(1)).alias("n"))
+
+
+def sample(texts: DataFrame, toxic: int, rows: int, n_bytes: int) -> list[tuple[int, float]]:
+    """(text_key, weight) of a bounded sample of a class by priorities; the weights add up to about the class's rows."""
+    chance = (F.pmod(F.xxhash64("text_key"), F.lit(2 ** 53)) + F.lit(1)) / F.lit(float(2 ** 53))
+    first = (texts.filter(F.col("toxic") == toxic)
+             .select("text_key", "n", F.octet_length("text").alias("bytes"), (chance / F.col("n")).alias("priority"))
+             .orderBy("priority", "text_key").limit(rows + 1).collect())
+    taken, held = [], 0
+    for r in first:
+        if taken and (len(taken) >= rows or held + r["bytes"] > n_bytes):
+            edge = r["priority"]  # the first that is left out
+            return [(t["text_key"], max(t["n"], 1 / edge)) for t in taken]
+        taken.append(r)
+        held += r["bytes"]
+    return [(t["text_key"], float(t["n"])) for t in taken]
+
+
 def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_bytes: int = FIT_BYTES) -> Model:
     """Fit to labels (doc_id, toxic) of documents (doc_id, text) that are not held out."""
-    labels = labels.filter("toxic in (0, 1) and doc_id is not null").filter(~held_out("doc_id"))
-    # ids first: texts move only for the sample
-    sizes = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"))
-    rows = labels.join(sizes, "doc_id").groupBy("toxic", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
-    shares = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.sum("n").alias("n")).collect()}
-    sample = []
-    for label, n in sorted(shares.items()):
-        ids, held = [], 0
-        for r in rows.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows // 2).collect():
-            held += r["size"]
-            if ids and held > fit_bytes // 2:
-                break
-            ids.append((r["doc_id"],))
-        taken = docs.sparkSession.createDataFrame(ids, "doc_id long")
-        texts = docs.join(F.broadcast(taken), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).collect()
-        sample += [(r["text"], label, n / len(texts)) for r in sorted(texts, key=lambda r: (crc32(str(r[0]).encode()), r[0]))]
-    return fit([t for t, _, _ in sample], np.array([y for _, y, _ in sample]), np.array([w for _, _, w in sample]))
+    spark = docs.sparkSession
+    texts, path = store(spark, labelled(docs, labels), "labelled")
+    classes = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.sum("n").alias("n")).collect()}
+    weight = {}
+    for label, n in sorted(classes.items()):
+        drawn = sample(texts, label, fit_rows // 2, fit_bytes // 2)
+        scale = n / sum(w for _, w in drawn)
+        weight |= {(label, key): w * scale for key, w in drawn}
+    chosen = spark.createDataFrame(list(weight), "toxic int, text_key long")
+    rows = texts.join(F.broadcast(chosen), ["toxic", "text_key"]).select("toxic", "text_key", "text").collect()
+    rows.sort(key=lambda r: (r["toxic"], r["text_key"]))
+    drop_stored(spark, path)
+    return fit([r["text"] for r in rows], np.array([r["toxic"] for r in rows]),
+               np.array([weight[r["toxic"], r["text_key"]] for r in rows]))
 
 
 def with_score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:

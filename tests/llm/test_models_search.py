@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -48,6 +49,33 @@ def test_labels_of_long_documents_are_learnt(spark, frame):
     assert all((r["score"] >= 0.5) == bool(truth[r["doc_id"]]) for r in scored) and len(scored) > 50
 
 
+def test_a_toxic_document_beside_its_clean_copy_is_learnt(spark, frame):
+    rnd = random.Random(6)
+    clean = [t for _, t, y in made(900, rnd) if not y and t.count(".") > 3]
+    rows = [(i, t, 0) for i, t in enumerate(clean)]
+    rows += [(10_000 + i, t + " you " + rnd.choice(["vexxor", "grumbol"]) + " there.", 1) for i, t in enumerate(clean)
+             if i % 3 == 0 and zlib.crc32(str(i).encode()) % toxicity.FOLDS]  # the clean copy is not held out
+    docs = frame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    model = toxicity.train(docs, frame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    scored = toxicity.with_score(docs, model).withColumn("out", toxicity.held_out()).filter("out").collect()
+    truth = {i: y for i, _, y in rows}
+    assert all((r["score"] >= 0.5) == bool(truth[r["doc_id"]]) for r in scored) and len(scored) > 100
+
+
+def test_copies_are_one_text_with_their_weight(spark, frame):
+    docs = frame([(i, "the same" if i < 400 else f"text {i}") for i in range(1000)], "doc_id long, text string")
+    texts = toxicity.labelled(docs, frame([(i, i // 990) for i in range(1000)], "doc_id long, toxic int"))
+    rows = {(r["toxic"], r["text"]): (r["text_key"], r["n"]) for r in texts.collect()}
+    kept = [r["doc_id"] for r in docs.filter(~toxicity.held_out()).collect()]
+    key, n = rows[0, "the same"]
+    assert n == sum(i < 400 for i in kept) and len(rows) == 1 + sum(i >= 400 for i in kept)
+    drawn = dict(toxicity.sample(texts, 0, 50, 10 ** 9))
+    assert len(drawn) == 50 and drawn[key] == n and len({w for k, w in drawn.items() if k != key}) == 1
+    every = toxicity.sample(texts, 0, 10 ** 6, 10 ** 9)
+    assert sum(w for _, w in every) == sum(i < 990 for i in kept)
+    assert len(toxicity.sample(texts, 0, 50, 1)) == 1
+
+
 def test_no_labels_one_class_and_odd_rows(spark, frame):
     docs = frame([(1, "a b"), (2, None), (None, ""), (2, None), (3, "x " * 50_000)], "doc_id long, text string")
     for labels, want in (([], 0.0), ([(1, 0), (2, 0), (3, 0), (4, 0)], 0.0), ([(1, None), (None, 1), (3, 7)], 0.0)):
