@@ -12,11 +12,13 @@ explain: by Chernoff's bound on the binomial, fewer than one feature of all woul
 leak are fitted to the documents' labels alone by full-batch gradient steps, weights kept from falling below zero.
 The sentences whose own probability reaches 1/2 are those that ``locate`` returns.
 
-Equal texts of one label are one text that carries its rows as weight.  Fitting takes a bounded sample: of each class
-``FIT_ROWS`` / 2 texts of any length, ``FIT_BYTES`` / 2 bytes together at most (one text at least), in the order of the
-text's hash over its weight (priority sampling: a text with many copies is drawn surely and stands for them, the others
-stand for the rest of their class), weighted to the classes' shares among all labelled rows that are not held out.
-Everything else - counting the classes, scoring, locating - covers every row and whole texts.
+Classes, copies and the documents that hold a feature are counted by Spark over all labelled rows that are not held out.
+Equal texts of one label are one text that carries its rows as weight, so copies count in the classes' shares but are
+no evidence of their own for a feature.  The gradient steps take a bounded sample: of each class ``FIT_ROWS`` / 2
+texts of any length, ``FIT_BYTES`` / 2 bytes together at most (one text at least), in the order of the text's hash over
+its weight (priority sampling: a text with many copies is drawn surely and stands for them, the others stand for the
+rest of their class).  Of the sample only the features with a weight to learn reach the driver, as sentences with
+equal features and their number.  Scoring and locating cover every row and whole texts.
 
 Defined cases: null text is the empty text, whose score is the leak.  Rows with null id or null label are not learnt
 from, and such ids are not held out; every row is scored, repeated rows each.  Without labels of both classes the score
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 import re
 from array import array
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -37,13 +40,14 @@ from pyspark.sql import functions as F
 
 from brasa.llm.common import drop_stored, store, table
 
-FIT_ROWS = 3000
-FIT_BYTES = FIT_ROWS * 10_000
+FIT_ROWS = 6000
+FIT_BYTES = FIT_ROWS * 20_000
 FOLDS = 5
 STEPS, RATE, DECAY = 200, 0.1, 1e-4
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"[^\W\d_]+")
 KEPT_WORDS = 120_000
+KEPT_COUNTS = 200_000  # features whose counts a task holds before it sends them on
 
 
 def features(word: str) -> list[str]:
@@ -87,64 +91,77 @@ class Model:
         return float(min(1.0, max(0.0, -np.expm1(-total))))
 
 
-def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray) -> Model:
-    """Noisy-or over sentences, fitted to document labels."""
+def feature_counts(texts: DataFrame) -> DataFrame:
+    """Rows (feature, held_by, held_toxic): how many of the rows (toxic, text) hold a feature, those of label 1 apart."""
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts: dict[str, list[int]] = {}
+
+        def sent() -> pd.DataFrame:
+            out = pd.DataFrame({"feature": list(counts), "held_by": [n for n, _ in counts.values()],
+                                "held_toxic": [n for _, n in counts.values()]})
+            counts.clear()
+            return out
+
+        for part in parts:
+            for toxic, text in zip(part["toxic"], part["text"]):
+                words = set(WORD.findall((text or "").lower()))
+                for f in {f for word in words for f in features(word)}:
+                    held = counts.setdefault(f, [0, 0])
+                    held[0] += 1
+                    held[1] += int(toxic)
+                if len(counts) >= KEPT_COUNTS:
+                    yield sent()
+        if counts:
+            yield sent()
+
+    return texts.select("toxic", "text").mapInPandas(run, "feature string, held_by long, held_toxic long").groupBy(
+        "feature").agg(F.sum("held_by").alias("held_by"), F.sum("held_toxic").alias("held_toxic"))
+
+
+def learnt(counts: DataFrame, n_texts: int, n_toxic: int) -> list[str]:
+    """Features commoner in documents of label 1 than chance explains, in order."""
+    share, base = F.col("held_toxic") / F.col("held_by"), F.lit(n_toxic / n_texts)
+    excess = (F.when(share > 0, share * F.ln(share / base)).otherwise(0.0)
+              + F.when(share < 1, (1 - share) * F.ln((1 - share) / (1 - base))).otherwise(0.0))
+    least = float(np.log(max(counts.count(), 1)))
+    rows = counts.filter((share > base) & (F.col("held_by") * excess > least)).select("feature").collect()
+    return sorted(r["feature"] for r in rows)
+
+
+def sparse_bags(text: str | None, ids: dict[str, int]) -> tuple[list[int], list[int], list[int]]:
+    """Sentences of a text by their known features: how many have the same ones, how many ones, and these in a row."""
+    groups = Counter(tuple(sorted(ids[f] for word in words for f in features(word) if f in ids)) for words in bags(text))
+    order = sorted(groups)
+    return [groups[g] for g in order], [len(g) for g in order], [f for g in order for f in g]
+
+
+def fit(names: list[str], rows: list, labels: np.ndarray, weights: np.ndarray) -> Model:
+    """Noisy-or over sentences, fitted to document labels; ``rows`` holds each document's ``sparse_bags``."""
     y = np.asarray(labels, dtype=float)
-    weights = np.asarray(weights, dtype=float) / max(weights.sum(), 1e-9)
-    if not len(y) or y.min() == y.max():
-        return Model(leak=float(min(y[0], 1 - 1e-9)) if len(y) else 0.0)
-    word_ids: dict[str, int] = {}
-    sentence_doc, pair_sentence, pair_word = array("i"), array("i"), array("i")  # a fifth of what lists would take
-    for d, text in enumerate(texts):
-        for words in bags(text):
-            pair_sentence.extend([len(sentence_doc)] * len(words))
-            pair_word.extend(word_ids.setdefault(w, len(word_ids)) for w in sorted(words))
-            sentence_doc.append(d)
-    doc, sentence, word = (np.array(x, dtype=np.int64) for x in (sentence_doc, pair_sentence, pair_word))
-    feature_ids: dict[str, int] = {}
-    link_word, link_feature = array("i"), array("i")
-    for w, i in word_ids.items():
-        for f in features(w):
-            link_word.append(i)
-            link_feature.append(feature_ids.setdefault(f, len(feature_ids)))
-    link_word, link_feature = np.array(link_word, dtype=np.int64), np.array(link_feature, dtype=np.int64)
-    # documents that have a feature, and those of label 1 among them
-    first, last = (np.searchsorted(link_word, np.arange(len(word_ids)), side) for side in ("left", "right"))
-    n_words, n_features = max(len(word_ids), 1), max(len(feature_ids), 1)
-    seen = np.unique(doc[sentence] * n_words + word)
-    held_by, held_toxic = np.zeros(n_features, np.int64), np.zeros(n_features)
-    for d in range(0, len(y), 100):  # a hundred documents at a time: the pairs of all of them would take hundreds of MB
-        part = seen[np.searchsorted(seen, d * n_words):np.searchsorted(seen, (d + 100) * n_words)]
-        counts = (last - first)[part % n_words]
-        each = np.arange(counts.sum()) + np.repeat(first[part % n_words] - np.cumsum(counts) + counts, counts)
-        pairs = np.unique(np.repeat(part // n_words, counts) * n_features + link_feature[each])
-        held_by += np.bincount(pairs % n_features, minlength=n_features)
-        held_toxic += np.bincount(pairs % n_features, y[pairs // n_features], n_features)
-    share = held_toxic / np.maximum(held_by, 1)
-    base = y.mean()
-    with np.errstate(divide="ignore", invalid="ignore"):
-        excess = (np.where(share > 0, share * np.log(share / base), 0)
-                  + np.where(share < 1, (1 - share) * np.log((1 - share) / (1 - base)), 0))
-    learnt = (share > base) & (held_by * excess > np.log(n_features))
-    keep = learnt[link_feature]
-    link_word, link_feature = link_word[keep], link_feature[keep]
-
-    theta = np.zeros(len(feature_ids) + 2)  # weights, bias, leak's logit-like parameter
+    weights = np.asarray(weights, dtype=float) / max(float(np.sum(weights)), 1e-9)
+    often, doc, sentence, feature = array("d"), array("i"), array("i"), array("i")  # a fifth of what lists would take
+    for d, (counts, sizes, ids) in enumerate(rows):
+        for n, size in zip(counts, sizes):
+            sentence.extend([len(doc)] * size)
+            often.append(n)
+            doc.append(d)
+        feature.extend(ids)
+    often = np.array(often)
+    doc, sentence, feature = (np.array(x, dtype=np.int64) for x in (doc, sentence, feature))
+    theta = np.zeros(len(names) + 2)  # weights, bias, leak's logit-like parameter
     theta[-2], theta[-1] = -9.0, -3.0
     mean, spread = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, STEPS + 1):
-        by_word = np.bincount(link_word, theta[link_feature], len(word_ids))
-        z = np.bincount(sentence, by_word[word], len(doc)) + theta[-2]
-        total = np.bincount(doc, np.logaddexp(0, z), len(y)) + np.logaddexp(0, theta[-1])
+        z = np.bincount(sentence, theta[feature], len(doc)) + theta[-2]
+        total = np.bincount(doc, often * np.logaddexp(0, z), len(y)) + np.logaddexp(0, theta[-1])
         slope = weights * np.where(y > 0, -1 / np.expm1(np.maximum(total, 1e-6)), 1.0)
-        by_sentence = slope[doc] / (1 + np.exp(-np.clip(z, -60, 60)))
-        back = np.bincount(word, by_sentence[sentence], len(word_ids))
-        gradient = np.append(np.bincount(link_feature, back[link_word], len(feature_ids)),
+        by_sentence = slope[doc] * often / (1 + np.exp(-np.clip(z, -60, 60)))
+        gradient = np.append(np.bincount(feature, by_sentence[sentence], len(names)),
                              [by_sentence.sum(), slope.sum() / (1 + np.exp(-theta[-1]))])
         mean, spread = 0.9 * mean + 0.1 * gradient, 0.999 * spread + 0.001 * gradient ** 2
         theta -= RATE * (mean / (1 - 0.9 ** step)) / (np.sqrt(spread / (1 - 0.999 ** step)) + 1e-6)
         theta[:-2] = np.maximum(theta[:-2] * (1 - RATE * DECAY), 0)
-    return Model({f: float(theta[i]) for f, i in feature_ids.items() if abs(theta[i]) > 1e-3}, float(theta[-2]),
+    return Model({f: float(theta[i]) for i, f in enumerate(names) if abs(theta[i]) > 1e-3}, float(theta[-2]),
                  float(-np.expm1(-np.logaddexp(0, theta[-1]))))
 
 
@@ -154,11 +171,16 @@ def held_out(doc_id: str = "doc_id"):
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows (toxic, text_key, text, n): the texts of each label that are not held out, and how many rows have them."""
-    labels = labels.filter("toxic in (0, 1) and doc_id is not null").filter(~held_out("doc_id"))
-    rows = docs.filter(F.col("doc_id").isNotNull()).join(labels.select("doc_id", "toxic"), "doc_id")
-    text = F.coalesce("text", F.lit(""))
-    return rows.select(F.col("toxic").cast("int").alias("toxic"), F.xxhash64(text).alias("text_key"), text.alias("text")
-                       ).groupBy("toxic", "text_key").agg(F.min("text").alias("text"), F.count(F.lit(1)).alias("n"))
+    labels = labels.filter("toxic in (0, 1) and doc_id is not null").filter(~held_out("doc_id")).select(
+        "doc_id", F.col("toxic").cast("int").alias("toxic"))
+    docs = docs.filter(F.col("doc_id").isNotNull()).filter(~held_out("doc_id")).select(
+        "doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_key", F.xxhash64("text"))
+    # ids and hashes first: a text moves once, to the id that stands for its copies
+    keys = docs.select("doc_id", "text_key").join(labels.hint("merge"), "doc_id").groupBy("toxic", "text_key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("of_id"))
+    found = docs.withColumnRenamed("text_key", "of_key").join(
+        keys.hint("merge"), F.col("doc_id") == F.col("of_id")).filter(F.col("of_key") == F.col("text_key"))
+    return found.dropDuplicates(["doc_id", "toxic", "text_key"]).select("toxic", "text_key", "text", "n")
 
 
 def sample(texts: DataFrame, toxic: int, rows: int, n_bytes: int) -> list[tuple[int, float]]:
@@ -180,19 +202,35 @@ def sample(texts: DataFrame, toxic: int, rows: int, n_bytes: int) -> list[tuple[
 def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_bytes: int = FIT_BYTES) -> Model:
     """Fit to labels (doc_id, toxic) of documents (doc_id, text) that are not held out."""
     spark = docs.sparkSession
-    texts, path = store(spark, labelled(docs, labels), "labelled")
-    classes = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.sum("n").alias("n")).collect()}
+    texts, texts_path = store(spark, labelled(docs, labels), "labelled")
+    classes = {r["toxic"]: r for r in texts.groupBy("toxic").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts")
+                                                                 ).collect()}
+    if len(classes) < 2:
+        return Model(leak=1 - 1e-9 if 1 in classes else 0.0)
+    counts, counts_path = store(spark, feature_counts(texts), "features")
+    names = learnt(counts, classes[0]["texts"] + classes[1]["texts"], classes[1]["texts"])
     weight = {}
-    for label, n in sorted(classes.items()):
+    for label, row in sorted(classes.items()):
         drawn = sample(texts, label, fit_rows // 2, fit_bytes // 2)
-        scale = n / sum(w for _, w in drawn)
+        scale = row["n"] / sum(w for _, w in drawn)
         weight |= {(label, key): w * scale for key, w in drawn}
+    known = spark.sparkContext.broadcast({f: i for i, f in enumerate(names)})
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            yield pd.DataFrame([(y, key, *sparse_bags(text, known.value)) for y, key, text in
+                                zip(part["toxic"], part["text_key"], part["text"])],
+                               columns=["toxic", "text_key", "counts", "sizes", "ids"])
+
     chosen = spark.createDataFrame(list(weight), "toxic int, text_key long")
-    rows = texts.join(F.broadcast(chosen), ["toxic", "text_key"]).select("toxic", "text_key", "text").collect()
+    rows = texts.join(F.broadcast(chosen), ["toxic", "text_key"]).select("toxic", "text_key", "text").mapInPandas(
+        run, "toxic int, text_key long, counts array<int>, sizes array<int>, ids array<int>").collect()
     rows.sort(key=lambda r: (r["toxic"], r["text_key"]))
-    drop_stored(spark, path)
-    return fit([r["text"] for r in rows], np.array([r["toxic"] for r in rows]),
-               np.array([weight[r["toxic"], r["text_key"]] for r in rows]))
+    model = fit(names, [(r["counts"], r["sizes"], r["ids"]) for r in rows], np.array([r["toxic"] for r in rows]),
+                np.array([weight[r["toxic"], r["text_key"]] for r in rows]))
+    for path in (texts_path, counts_path):
+        drop_stored(spark, path)
+    return model
 
 
 def with_score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:

@@ -76,6 +76,22 @@ def test_copies_are_one_text_with_their_weight(spark, frame):
     assert len(toxicity.sample(texts, 0, 50, 1)) == 1
 
 
+def test_features_are_counted_over_all_labelled_rows(spark, frame):
+    rows = made(900, random.Random(4))
+    docs = frame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    counts = toxicity.feature_counts(frame([(y, t) for _, t, y in rows], "toxic int, text string")).collect()
+    want = {}
+    for _, t, y in rows:
+        for f in {f for words in toxicity.bags(t) for w in words for f in toxicity.features(w)}:
+            held = want.setdefault(f, [0, 0])
+            held[0], held[1] = held[0] + 1, held[1] + y
+    assert {r["feature"]: [r["held_by"], r["held_toxic"]] for r in counts} == want
+    model = toxicity.train(docs, frame([(i, y) for i, _, y in rows], "doc_id long, toxic int"), fit_rows=20)
+    scored = toxicity.with_score(docs, model).withColumn("out", toxicity.held_out()).filter("out").collect()
+    truth = {i: y for i, _, y in rows}
+    assert all((r["score"] >= 0.5) == bool(truth[r["doc_id"]]) for r in scored) and len(scored) > 100
+
+
 def test_no_labels_one_class_and_odd_rows(spark, frame):
     docs = frame([(1, "a b"), (2, None), (None, ""), (2, None), (3, "x " * 50_000)], "doc_id long, text string")
     for labels, want in (([], 0.0), ([(1, 0), (2, 0), (3, 0), (4, 0)], 0.0), ([(1, None), (None, 1), (3, 7)], 0.0)):
