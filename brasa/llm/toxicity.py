@@ -175,7 +175,7 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "doc_id", F.col("toxic").cast("int").alias("toxic"))
     docs = docs.filter(F.col("doc_id").isNotNull()).filter(~held_out("doc_id")).select(
         "doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_key", F.xxhash64("text"))
-    # ids and hashes first: a text moves once, to the id that stands for its copies
+    # ids and hashes first: of copies only the text of the smallest id is joined; both joins shuffled at every size
     keys = docs.select("doc_id", "text_key").join(labels.hint("merge"), "doc_id").groupBy("toxic", "text_key").agg(
         F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("of_id"))
     found = docs.withColumnRenamed("text_key", "of_key").join(
