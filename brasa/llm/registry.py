@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from brasa.llm import embeddings, hamming, licenses, packing, pieces, simhash, suffixes, token_counts, toxicity, warc
+from brasa.llm import (alignment, digests, embeddings, hamming, licenses, packing, periodic, pieces, simhash, suffixes,
+                       token_counts, toxicity, warc)
 
 QUERIES = {
     "op1_embedding_near_dedup": embeddings.op1,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_packing": packing.op8,
     "op9_suffix_array_dedup": suffixes.op9,
     "op10_unigram_pieces": pieces.op10,
+    "op11_document_digests": digests.op11,
+    "op12_cross_tokenizer_alignment": alignment.op12,
+    "op13_periodic_runs": periodic.op13,
 }
 
 ORACLES: dict[str, str] = {

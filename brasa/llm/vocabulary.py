@@ -112,8 +112,12 @@ class Ranks:
         self.fast = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                       special_tokens=special)
 
+    def sure(self, text: str) -> bool:
+        """Whether the ranks surely give the tokenizer file's ids (special strings apart)."""
+        return not (ODD.search(text) or LONG_WORD.search(text))
+
     def encode(self, text: str) -> bytes:
-        if ODD.search(text) or LONG_WORD.search(text):
+        if not self.sure(text):
             return self.exact.encode_whole(text)
         return self.fast.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
 
