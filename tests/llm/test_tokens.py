@@ -67,39 +67,80 @@ def checked(pieces, ids_of, size):
     assert sorted(by_window) == list(range(len(by_window)))
 
 
-@pytest.mark.parametrize("size,queues", [(2048, 256), (64, 3)])
-def test_packing(spark, frame, size, queues):
+def nodes_above(total_of):
+    """How many branching nodes each source has above it: the depth that bounds its distance from its share."""
+    return 3 * max(1, len(total_of)).bit_length() + 3
+
+
+@pytest.mark.parametrize("size", [2048, 64])
+def test_packing(spark, frame, size):
     every = ODD + texts(spark)
     docs = frame([(i, t, None if i % 7 == 0 else f"s{i % 5}" if i % 3 else "hot", 0) for i, t in enumerate(every)],
                  "doc_id long, text string, source string, part int").repartition(3)
-    pieces = packing.pack(spark, docs, size=size, queues=queues).collect()
+    pieces = packing.pack(spark, docs, size=size).collect()
     codes = vocabulary.tokenizer("byte_bpe_50k.json")
     ids = {i: np.array(codes.encode(t or "", add_special_tokens=False).ids + [1], dtype="<u4") for i, t in enumerate(every)}
     checked(pieces, ids, size)
-    if queues > 10:  # each source is near its share after every window
-        total, sent = sum(map(len, ids.values())), {}
-        share = {s: sum(p["length"] for p in pieces if p["source"] == s) / total for s in {p["source"] for p in pieces}}
-        for window in range(max(p["sequence_id"] for p in pieces)):
-            for p in (p for p in pieces if p["sequence_id"] == window):
-                sent[p["source"]] = sent.get(p["source"], 0) + p["length"]
-            assert all(abs(sent.get(s, 0) - share[s] * size * (window + 1)) < 4 for s in share)
+    in_proportion(pieces, size)
 
 
-def test_large_totals_are_exact():
-    small, large = packing.Tree([5, 3, 9]), packing.Tree([5 * 10 ** 12, 3 * 10 ** 12, 9 * 10 ** 12])
-    assert large.kind is object
-    for q in range(3):
-        a = small.sent(q, np.arange(18))
-        b = large.sent(q, np.array([i * 10 ** 12 for i in range(18)], dtype=object))
-        # one token for each of the tree's two levels
-        assert all(abs(int(y) - int(x) * 10 ** 12) <= 2 * 10 ** 12 for x, y in zip(a[1], b[1]))
+def in_proportion(pieces, size):
+    """Each source is near its share after every window."""
+    total_of, sent, by_window = {}, {}, {}
+    for p in pieces:
+        total_of[p["source"]] = total_of.get(p["source"], 0) + p["length"]
+        by_window.setdefault(p["sequence_id"], []).append(p)
+    total = sum(total_of.values())
+    for window in range(max(by_window)):
+        for p in by_window[window]:
+            sent[p["source"]] = sent.get(p["source"], 0) + p["length"]
+        for s, n in total_of.items():
+            assert abs(sent.get(s, 0) - n / total * size * (window + 1)) <= nodes_above(total_of)
+
+
+def test_a_thousand_sources(spark, frame, monkeypatch):
+    rows = [(i, f"text {i} " * (1 + i % 23), f"host{i % 1000}") for i in range(4000)]
+    docs = frame(rows, "doc_id long, text string, source string").repartition(6)
+    pieces = packing.pack(spark, docs, size=512).collect()
+    codes = vocabulary.tokenizer("byte_bpe_50k.json")
+    ids = {i: np.array(codes.encode(t, add_special_tokens=False).ids + [1], dtype="<u4") for i, t, _ in rows}
+    checked(pieces, ids, 512)
+    assert len({p["source"] for p in pieces}) == 1000
+    in_proportion(pieces, 512)
+    monkeypatch.setattr(packing, "BROADCAST_ROWS", 0)  # the join without a broadcast places all pieces alike
+    assert sorted(map(tuple, packing.pack(spark, docs, size=512).drop("sequence_id", "offset").collect())) == sorted(
+        tuple(x for k, x in enumerate(p) if k not in (5, 6)) for p in pieces)
+
+
+def test_shares_are_exact_at_every_size():
+    rnd = random.Random(6)
+    for bits in (3, 20, 31, 32, 46, 55, 60):
+        everything = rnd.getrandbits(bits) | 1 << (bits - 1)
+        left = rnd.randint(0, everything)
+        tokens = [0, everything, *[rnd.randint(0, everything) for _ in range(200)]]
+        got = packing.share_of(np.array(tokens, np.int64), left, everything)
+        assert got.tolist() == [t * left // everything for t in tokens]
+
+
+def test_windows_of_large_queues():
+    for factor in (1, 10 ** 9, 10 ** 12):
+        whole, mine = 1700 * factor, 300 * factor
+        queue = packing.Queue(whole, mine, [(whole, 800 * factor, False), (800 * factor, 500 * factor, True)])
+        places = np.array([0, 1, mine // 3, mine // 2 + 7, mine - 1], np.int64)
+        windows = queue.window_of(places, 64)
+        for place, w in zip(places.tolist(), windows.tolist()):
+            low, high = (int(queue.sent(np.array([min(x * 64, whole)], np.int64))[1][0]) for x in (w, w + 1))
+            assert low <= place < high
 
 
 def test_packing_repeated_rows_and_empty_table(spark, frame):
     schema = "doc_id long, text string, source string"
     assert packing.pack(spark, frame([], schema)).collect() == []
     got = packing.pack(spark, frame([(None, "a", "s"), (None, "a", "s"), (1, None, None)], schema)).collect()
-    assert sorted((p["offset"], p["length"]) for p in got) == [(0, 1), (1, 2), (3, 2)] or sum(p["length"] for p in got) == 5
+    assert sorted((p["doc_id"] or 0, p["start"], p["length"], p["doc_tokens"]) for p in got) == [
+        (0, 0, 2, 2), (0, 0, 2, 2), (1, 0, 1, 1)]
+    assert sorted(x for p in got for x in range(p["offset"], p["offset"] + p["length"])) == [0, 1, 2, 3, 4]
+    assert {p["sequence_id"] for p in got} == {0}
 
 
 def test_query_op8(spark):
