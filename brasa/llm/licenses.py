@@ -1,7 +1,9 @@
 """License scans by an exact set-similarity join, with DataFrame functions only.
 
-Every line of a document is a block; block and template are sets of words.  A block matches a template T if it holds at
-least ceil(threshold * |T|) of T's words.  Tokens get one global order, rarest in the corpus first.  In that order
+A text is cut into overlapping blocks of consecutive words, across its lines: for templates of up to L words (L a power of
+two, 8 at least) blocks of 2L words, a new one every L words, so that any L consecutive words lie whole in one block.  Block
+and template are sets of words.  A block matches a template T if it holds at least ceil(threshold * |T|) of T's words.
+Tokens get one global order, rarest in the corpus first.  In that order
 
 * prefix filter: a matching block holds one of the first |T| - need + 1 words of T; only these are joined on;
 * length filter: a block with fewer than ``need`` words of the templates' vocabulary can't match;
@@ -9,7 +11,7 @@ least ceil(threshold * |T|) of T's words.  Tokens get one global order, rarest i
   min(i, j) + min(|T| - i, |block| - j) words can be shared.
 
 What is left is verified exactly.  Word counts of the corpus are pre-aggregated and only those of the templates' words
-(a few dozen) reach the driver; the join's other side is the templates' prefixes, bounded by the templates' length.
+(some dozens) reach the driver; the join's other side is the templates' prefixes, bounded by the templates' length.
 
 Beside the templates there are phrases, found wherever their words stand consecutively, across lines too.
 
@@ -49,7 +51,23 @@ TEMPLATES = (
     ("mpl-2.0", "subject to the terms of the Mozilla Public License, v. 2.0"),
     ("unlicense", "This is free and unencumbered software released into the public domain"),
     ("warranty", "the software is provided as is, without warranty of any kind, express or implied"),
+    ("apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed under the License is "
+                   "distributed on an AS IS BASIS"),
+    ("bsd", "Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+            "following disclaimer"),
+    ("bsd", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+            "following disclaimer in the documentation and/or other materials provided with the distribution"),
+    ("bsd", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+            "products derived from this software without specific prior written permission"),
+    ("gpl", "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+            "hereby granted"),
+    ("mit", "The above copyright notice and this permission notice shall be included in all copies or substantial "
+            "portions of the Software"),
+    ("mpl-2.0", "If a copy of the MPL was not distributed with this file, You can obtain one at"),
+    ("unlicense", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software"),
 )
+LEAST_SPAN = 8
 
 
 def lowered(text: Column) -> Column:
@@ -72,37 +90,75 @@ def need(size: int, threshold: float) -> int:
     return max(1, ceil(round(threshold * size, 9)))
 
 
+def span(body: str) -> int:
+    """The length of consecutive words that lie whole in one block: the least power of two the template fits in."""
+    import re
+
+    return max(LEAST_SPAN, 1 << (len(re.findall(WORD, body.lower())) - 1).bit_length())
+
+
+def by_span(templates) -> dict[int, list[tuple[str, list[str]]]]:
+    """(label, words) of the templates of each span."""
+    out: dict[int, list[tuple[str, list[str]]]] = {}
+    for label, body in templates:
+        out.setdefault(span(body), []).append((label, template_words(body)))
+    return out
+
+
 def blocks(templates=TEMPLATES, threshold: float = THRESHOLD) -> Column:
-    """Of ``lines``, an array of arrays of words: the templates' words in each line that can match."""
-    sets = [template_words(body) for _, body in templates]
-    vocabulary = F.array(*[F.lit(w) for w in sorted(set().union(*sets))])
-    least = min(need(len(s), threshold) for s in sets)
-    held = F.transform("lines", lambda line: F.array_intersect(line, vocabulary))
-    return F.filter(held, lambda h: F.size(h) >= least)
+    """Of ``words``, an array: (span, the templates' words in a block) for each block that can match."""
+    found = []
+    for width, some in sorted(by_span(templates).items()):
+        vocabulary = sorted(set().union(*[own for _, own in some]))
+        least = min(need(len(own), threshold) for _, own in some)
+        of_words = F.transform("words", _named(vocabulary))  # the other words are empty
+        starts = F.when(F.size("words") > 0, F.sequence(F.lit(1), F.size("words"), F.lit(width))).otherwise(
+            F.array().cast("array<int>"))
+        held = F.transform(starts, _block(of_words, width))
+        found.append(F.transform(F.filter(held, _at_least(least)), _with_span(width)))
+    return F.concat(*found)
+
+
+def _named(vocabulary: list[str]):
+    return lambda w: F.when(w.isin(vocabulary), w).otherwise("")
+
+
+def _block(of_words: Column, width: int):
+    return lambda start: F.array_remove(F.array_distinct(F.slice(of_words, start, F.lit(2 * width))), "")
+
+
+def _at_least(least: int):
+    return lambda held: F.size(held) >= least
+
+
+def _with_span(width: int):
+    return lambda held: F.struct(F.lit(width).alias("span"), held.alias("held"))
 
 
-def similarity_join(spark: SparkSession, lines: DataFrame, templates=TEMPLATES,
+def similarity_join(spark: SparkSession, cut: DataFrame, templates=TEMPLATES,
                     threshold: float = THRESHOLD) -> DataFrame:
-    """Rows (doc_id, text_key, label, containment) for every line and template that meet the threshold."""
-    sets = [template_words(body) for _, body in templates]
-    vocabulary = sorted(set().union(*sets))
-    counts = {r["word"]: r["n"] for r in lines.select(F.explode("held").alias("word")).groupBy("word").agg(
+    """Rows (doc_id, text_key, label, containment) for every block (doc_id, text_key, span, held) and template that meet
+    the threshold."""
+    kinds = [(label, own, width) for width, some in by_span(templates).items() for label, own in some]
+    vocabulary = sorted(set().union(*[own for _, own, _ in kinds]))
+    counts = {r["word"]: r["n"] for r in cut.select(F.explode("held").alias("word")).groupBy("word").agg(
         F.count(F.lit(1)).alias("n")).collect()}  # a row for each word of the templates at most
     order = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (counts.get(w, 0), w)))}
     prefixes = []
-    for (label, _), own in zip(templates, sets):
+    for label, own, width in kinds:
         ranked, least = sorted(own, key=order.__getitem__), need(len(own), threshold)
         literal = "array(" + ", ".join(f"'{w}'" for w in ranked) + ")"
-        prefixes += [f"('{word}', '{label}', {place}, {least}, {literal})"
+        prefixes += [f"('{word}', {width}, '{label}', {place}, {least}, {literal})"
                      for place, word in enumerate(ranked[:len(ranked) - least + 1])]
-    index = spark.sql("select * from values " + ", ".join(prefixes) + " as t(word, label, place, least, template)")
+    index = spark.sql("select * from values " + ", ".join(prefixes)
+                      + " as t(word, span, label, place, least, template)")
     rank = F.create_map(*[F.lit(x) for pair in order.items() for x in pair])
     in_order = F.transform(F.array_sort(F.transform("held", lambda w: F.struct(rank[w].alias("at"), w.alias("word")))),
                            lambda s: s["word"])
-    at = lines.withColumn("held", in_order).select(
-        "doc_id", "text_key", "held", F.posexplode("held").alias("position", "word"))
+    at = cut.withColumn("held", in_order).select(
+        "doc_id", "text_key", "span", "held", F.posexplode("held").alias("position", "word"))
     size, own = F.size("held"), F.size("template")
-    candidates = at.join(F.broadcast(index), "word").filter(
+    candidates = at.join(F.broadcast(index), ["span", "word"]).filter(
         (size >= F.col("least")) & (F.least("place", "position") + F.least(
             own - F.col("place"), size - F.col("position")) >= F.col("least")))
     shared = F.size(F.array_intersect("held", "template"))
@@ -128,16 +184,15 @@ def scan(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str
          threshold: float = THRESHOLD, phrases: dict[str, str] | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
-    score is 1 where a phrase stands, else the largest containment of a matching line, else 0.
+    score is 1 where a phrase stands, else the largest containment of a matching block, else 0.
     """
     phrases = PHRASES if phrases is None else phrases
-    lines = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_key"),
-                        F.transform(F.split(lowered(F.col(text)), "\n"), words).alias("lines"))
-    spread = lines.select("*", F.flatten("lines").alias("words")).withColumn(
+    spread = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_key"),
+                         words(lowered(F.col(text))).alias("words")).withColumn(
         "joined", F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")))
     names = list(phrases)
     base = spread.select("doc_id", "text_key", F.size("words").cast("long").alias("n_words"),
-                         blocks(templates, threshold).alias("held"),
+                         blocks(templates, threshold).alias("blocks"),
                          *[phrase_places(p).alias(f"places_{i}") for i, p in enumerate(names)])
     every = F.concat(*[F.col(f"places_{i}") for i in range(len(names))])
     labels = F.array_compact(F.array(*[F.when(F.size(f"places_{i}") > 0, phrases[p]) for i, p in enumerate(names)]))
@@ -145,8 +200,9 @@ def scan(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str
     base, _ = store(spark, base.select(
         "doc_id", "text_key", "n_words", F.size(every).cast("long").alias("n_base"),
         F.array_min(every).cast("long").alias("first_word"), F.array_max(every).cast("long").alias("last_word"),
-        labels.alias("base"), "held"), "scanned")
-    found = similarity_join(spark, base.select("doc_id", "text_key", F.explode("held").alias("held")), templates, threshold)
+        labels.alias("base"), "blocks"), "scanned")
+    cut = base.select("doc_id", "text_key", F.explode("blocks").alias("block")).select("doc_id", "text_key", "block.*")
+    found = similarity_join(spark, cut, templates, threshold)
     found = found.groupBy("doc_id", "text_key").agg(F.collect_set("label").alias("own"),
                                                     F.max("containment").alias("containment")).select(
         F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_text"), "own", "containment")
@@ -164,9 +220,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def oracle(templates=TEMPLATES, threshold: float = THRESHOLD, phrases: dict[str, str] | None = None) -> str:
-    """Every line against every template, without filters."""
+    """Every block against every template, without filters."""
     phrases = PHRASES if phrases is None else phrases
-    kinds = ", ".join(f"('{label}', {need(len(template_words(body)), threshold)}, ["
+    kinds = ", ".join(f"('{label}', {span(body)}, {need(len(template_words(body)), threshold)}, ["
                       + ", ".join(f"'{w}'" for w in template_words(body)) + "])" for label, body in templates)
     places = " UNION ALL ".join(
         f"SELECT doc_id, i, '{label}' AS label FROM spread, range(len(words)) r(i) WHERE "
@@ -182,13 +238,13 @@ WITH low AS (
 ), base AS (
     SELECT doc_id, count(*) AS n, min(i) AS first_word, max(i) AS last_word, list(DISTINCT label) AS found
     FROM places GROUP BY doc_id
-), lines AS (
-    SELECT doc_id, regexp_extract_all(line, '{WORD}') AS held
-    FROM (SELECT doc_id, unnest(string_split(body, chr(10))) AS line FROM low)
-), templates(label, least, own) AS (VALUES {kinds}
+), templates(label, span, least, own) AS (VALUES {kinds}
+), blocks AS (
+    SELECT doc_id, span, words[i + 1:i + 2 * span] AS held
+    FROM spread, (SELECT DISTINCT span FROM templates), range(0, len(words), span) r(i)
 ), matched AS (
     SELECT doc_id, list(DISTINCT label) AS found, max(len(list_intersect(own, held)) / len(own)) AS containment
-    FROM lines, templates WHERE len(list_intersect(own, held)) >= least GROUP BY doc_id
+    FROM blocks JOIN templates USING (span) WHERE len(list_intersect(own, held)) >= least GROUP BY doc_id
 )
 SELECT doc_id, len(words) AS n_words, coalesce(n, 0) AS n_base, first_word, last_word,
        coalesce(array_to_string(list_sort(base.found), ','), '') AS base_labels,

@@ -37,7 +37,10 @@ def test_license_edge_cases(spark, frame):
     texts = [None, "", "cc by", "CC\nBY cc by-nc", "All rights\treserved. all rights reserved", "cc " * 5000 + "by",
              "Licensed under the Apache License, Version 2.0.", "licensed under the apache license", "released under mit",
              "general public license " * 3, chr(0x212A) + " cc by" + chr(0xC9) + " cc by", "x" * 100_000, "license " * 500,
-             "This work is licensed\nunder the GNU General Public License, version 3", "by cc", "İ cc by ı"]
+             "This work is licensed\nunder the GNU General Public License, version 3", "by cc", "İ cc by ı",
+             "Redistribution and use in source and binary forms, with or without\nmodification, are permitted",
+             "Permission is hereby granted, free of charge, to any person obtaining\na copy of this software",
+             "word " * 61 + "Released under\nthe MIT License" + " word" * 7, "mit " + "word " * 20 + "released under the license"]
     rows = [(i, t, "x") for i, t in enumerate(texts)]
     docs = frame(rows, "doc_id long, text string, held string")
     against_sql("documents", rows, "doc_id BIGINT, text VARCHAR, held VARCHAR", licenses.ORACLE, licenses.scan(spark, docs))
@@ -54,11 +57,24 @@ def test_license_rows_are_kept(spark, frame):
 def test_thresholds_are_exact(spark, frame):
     templates = (("t", "a b c d e"),)
     docs = frame([(1, "a b c d"), (2, "a b c"), (3, "x\ne d c b\ny"), (4, "a b\nc d e")], "doc_id long, text string")
-    for threshold, want in ((0.8, {1, 3}), (0.6, {1, 2, 3, 4}), (1.0, set())):
+    for threshold, want in ((0.8, {1, 3, 4}), (0.6, {1, 2, 3, 4}), (1.0, {4})):
         got = licenses.scan(spark, docs, templates=templates, threshold=threshold, phrases={"zz zz": "z"}).collect()
         assert {r["doc_id"] for r in got if r["labels"] == "t"} == want
 
 
+def test_templates_are_found_wherever_they_stand(spark, frame):
+    """Each template, its words broken over lines, behind any number of other words; its words spread far apart aren't it."""
+    rows = [(100 * t + k, "other\n" * k + body.replace(" ", "\n" if k % 2 else " \r\n ") + " words" * k)
+            for t, (_, body) in enumerate(licenses.TEMPLATES) for k in (0, 1, 5, 8, 13, 31, 40)]
+    got = {r["doc_id"]: r for r in licenses.scan(spark, frame(rows, "doc_id long, text string")).collect()}
+    for doc_id, _ in rows:
+        assert licenses.TEMPLATES[doc_id // 100][0] in got[doc_id]["labels"].split(","), doc_id
+        assert got[doc_id]["score"] == 1.0
+    apart = [(t, (" word" * 40).join(body.split())) for t, (_, body) in enumerate(licenses.TEMPLATES)]
+    got = licenses.scan(spark, frame(apart, "doc_id long, text string"), phrases={"zz zz": "z"}).collect()
+    assert {(r["labels"], r["score"]) for r in got} == {("", 0.0)}
+
+
 def archive(spark, tmp_path, pages, **options):
     path = str(tmp_path / "archive")
     warc.write_archive(spark, pages, path, **options)
