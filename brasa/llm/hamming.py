@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from brasa.llm.common import store, table
 from brasa.llm.embeddings import rotation
 
-BITS = 32
-SEGMENTS = 2
+BITS = 64
+SEGMENTS = 4
 K = 10
 EVERY = 100  # ids divisible by it ask
 
@@ -74,7 +74,8 @@ def _segments(rows: DataFrame) -> DataFrame:
 def _masks(radius: int) -> Column:
     """All masks of a segment with exactly ``radius`` bits."""
     width = BITS // SEGMENTS
-    return F.array(*[F.lit(sum(1 << b for b in bits)) for bits in combinations(range(width), radius)])
+    masks = [sum(1 << b for b in bits) for bits in combinations(range(width), radius)]
+    return F.expr(f"array({', '.join(map(str, masks))})")
 
 
 def nearest(spark: SparkSession, rows: DataFrame, asking: Column, k: int = K) -> DataFrame:

@@ -131,8 +131,9 @@ def brute(rows, asking, k):
 
 def test_top_k_is_exact(spark, frame):
     rnd = random.Random(8)
-    rows = [(i, rnd.getrandbits(32)) for i in range(300)] + [(1000 + i, 77) for i in range(40)]
-    rows += [(2000 + i, 77 ^ (1 << rnd.randrange(32))) for i in range(40)] + [(5, 123)] * 3
+    signed = lambda code: code - 2 ** 64 if code >= 2 ** 63 else code
+    rows = [(i, signed(rnd.getrandbits(64))) for i in range(300)] + [(1000 + i, 77) for i in range(40)]
+    rows += [(2000 + i, signed(77 ^ (1 << rnd.randrange(64)))) for i in range(40)] + [(5, 123)] * 3
     for k in (1, 10):
         got = hamming.nearest(spark, frame(rows, "id long, code long"), F.col("id") % 20 == 0, k)
         assert {tuple(r) for r in got.collect()} == brute(rows, lambda i: i % 20 == 0, k)
@@ -148,6 +149,26 @@ def test_top_k_few_rows_and_empty(spark, frame):
     assert [r["id"] for r in hamming.codes(odd).collect()] == [6]
 
 
+def recall(vectors, codes, asking, k=10):
+    """The share of the k nearest by cosine that are among the k nearest by code."""
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    found = 0
+    for q in asking:
+        by_cosine = np.argsort(-(unit @ unit[q]), kind="stable")
+        by_code = np.argsort(np.bitwise_count((codes ^ codes[q]).view(np.uint64)), kind="stable")
+        found += len(set(by_cosine[by_cosine != q][:k].tolist()) & set(by_code[by_code != q][:k].tolist()))
+    return found / (k * len(asking))
+
+
+def test_wider_codes_find_more_of_the_nearest(spark):
+    rows = spark.read.parquet(f"{SF_CHECK}/embeddings.parquet")
+    code = {r["id"]: r["code"] for r in hamming.codes(rows).collect()}
+    kept = [r for r in rows.orderBy("vec_id").collect() if r["vec_id"] in code]
+    vectors, codes = np.array([r["embedding"] for r in kept]), np.array([code[r["vec_id"]] for r in kept], np.int64)
+    asking = range(0, len(kept), 20)
+    assert recall(vectors, codes, asking) > recall(vectors, codes & 0xFFFFFFFF, asking) + 0.03
+
+
 def test_query_op5(spark):
     rows = [(r["id"], r["code"]) for r in hamming.codes(spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")).collect()]
     assert {tuple(r) for r in hamming.op5(spark, SF_SMALL).collect()} == brute(rows, lambda i: i % 100 == 0, 10)
