@@ -4,8 +4,10 @@ A document of more than ``CHUNK`` characters is cut into chunks that overlap, ea
 its own.  Neighbouring chunks are spliced at the first place in their overlap that is a stable boundary (see
 ``vocabulary``: behind a character that is no white space, before ASCII white space) and where no token of either
 encoding lies across.  Tokens before it come from the left chunk, tokens from it on from the right one.  Where an
-overlap has no such place it is widened twofold and the chunks beside it are encoded again; an overlap that has grown
-to the next chunk's start swallows the chunk between, so a document without any white space ends as one chunk.
+overlap has no such place it is widened twofold and the two chunks beside it are encoded again, no others; an overlap that
+has grown to the next chunk's start swallows the chunk between, so a document without any boundary ends as one chunk.
+Boundaries are also the places between a letter and a comma, full stop or the like (see ``PAUSE``), which are all that
+Chinese and Japanese texts have.  A text is cut into its chunks once each time, in one pass over it.
 
 Shorter documents are one chunk each.  Their units between stable boundaries are encoded once per task.
 
@@ -15,6 +17,7 @@ and null ids are kept as they are.  An empty table gives an empty result.  Only
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -23,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brasa.llm.common import store, table
-from brasa.llm.vocabulary import UNSURE, tokenizer, words
+from brasa.llm.vocabulary import LETTER, UNSURE, tokenizer, words
 
 TOKENIZER = "word_bpe_49k.json"
 LIMIT = 2048
@@ -41,9 +44,18 @@ def _short(texts: DataFrame, tokenizer_file: str) -> DataFrame:
     return texts.withColumn("n_tokens", count("text"))
 
 
+# No pattern runs from a letter into one of these marks, and neither normal form composes a letter with one.
+PAUSE = re.compile(",|\\.|" + "|".join(map(chr, (0x3001, 0x3002, 0xFF0C, 0xFF01, 0xFF1F, 0xFF1A, 0xFF1B))))
+# Latin letters, kana, ideographs and Korean syllables.
+SURE_LETTER = re.compile(f"[{LETTER}" + "".join(f"{chr(a)}-{chr(b)}" for a, b in (
+    (0x3041, 0x3096), (0x30A1, 0x30FA), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3))) + "]")
+
+
 def _stable(text: str, place: int) -> bool:
     """Whether what stands before the place can't change the tokens behind it, nor the other way round."""
-    return text[place] in " \t\n\v\f\r" and text[place - 1] not in " \t\n\v\f\r"
+    if text[place] in " \t\n\v\f\r":
+        return text[place - 1] not in " \t\n\v\f\r"
+    return bool(PAUSE.match(text[place]) and SURE_LETTER.match(text[place - 1]))
 
 
 def _cuts(text: str, low: int, high: int, tokenizer_file: str) -> tuple[int, list[tuple[int, int]]]:
@@ -75,8 +87,26 @@ def chunk_report(text: str, start: int, left_to: int, right_from: int, right_to:
     return (before + after, [(start + p, n) for p, n in left], [(start + joint + p, before + n) for p, n in right])
 
 
+BOUNDS = ["start", "left_to", "right_from", "right_to"]
+
+
+def _bodies(texts: DataFrame, bounds: DataFrame) -> DataFrame:
+    """A row (key, *BOUNDS, body) for each chunk of ``bounds``; every text is read once and sliced."""
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for key, text, chunks in zip(part["key"], part["text"], part["chunks"]):
+                for i in range(0, len(chunks), 256):
+                    rows = [tuple(c[b] for b in BOUNDS) for c in chunks[i:i + 256]]
+                    yield pd.DataFrame([(key, *r, text[r[0]:max(r[1], r[3])]) for r in rows],
+                                       columns=["key", *BOUNDS, "body"])
+
+    chunks = bounds.groupBy("key").agg(F.collect_list(F.struct(*BOUNDS)).alias("chunks"))
+    return texts.join(chunks, "key").select("key", "text", "chunks").mapInPandas(
+        run, "key binary, start long, left_to long, right_from long, right_to long, body string")
+
+
 def _reports(chunks: DataFrame, tokenizer_file: str) -> DataFrame:
-    """chunks: key, start, stop, left_to, right_from, right_to, body."""
+    """chunks: key, start, left_to, right_from, right_to, body."""
     cut = "array<struct<place:long, before:long>>"
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -85,10 +115,11 @@ def _reports(chunks: DataFrame, tokenizer_file: str) -> DataFrame:
             for r in part.itertuples(index=False):
                 n, left, right = chunk_report(r.body, r.start, r.left_to, r.right_from, r.right_to, tokenizer_file)
                 as_rows = [[{"place": p, "before": b} for p, b in cuts] for cuts in (left, right)]
-                rows.append((r.key, r.start, r.right_from, n, *as_rows))
-            yield pd.DataFrame(rows, columns=["key", "start", "following", "n", "left_cuts", "right_cuts"])
+                rows.append((r.key, r.start, r.left_to, r.right_from, r.right_to, n, *as_rows))
+            yield pd.DataFrame(rows, columns=["key", *BOUNDS, "n", "left_cuts", "right_cuts"])
 
-    return chunks.mapInPandas(run, f"key binary, start long, following long, n long, left_cuts {cut}, right_cuts {cut}")
+    return chunks.mapInPandas(run, "key binary, start long, left_to long, right_from long, right_to long, n long, "
+                                   f"left_cuts {cut}, right_cuts {cut}")
 
 
 def _chunked(spark: SparkSession, texts: DataFrame, tokenizer_file: str, chunk: int, overlap: int) -> DataFrame:
@@ -100,22 +131,21 @@ def _chunked(spark: SparkSession, texts: DataFrame, tokenizer_file: str, chunk:
         F.explode(F.sequence(F.lit(0).cast("long"), F.char_length("text").cast("long") - 1,
                              F.lit(chunk).cast("long"))).alias("start"),
         F.lit(overlap).cast("long").alias("overlap")), "joints")
-    counted = []
+    counted, known = [], None
     while True:
         # each chunk with the joint that follows it; the last one ends with the text
         following = F.expr("lead(struct(start, overlap)) over (partition by key order by start)")
         bounds = joints.select("*", following.alias("next")).select(
-            "key", "start", "size", "overlap",
+            "key", "start",
             F.least("size", F.col("start") + F.when(F.col("start") > 0, F.col("overlap")).otherwise(0)).alias("left_to"),
             F.coalesce("next.start", "size").alias("right_from"),
             F.least("size", F.coalesce(F.col("next.start") + F.col("next.overlap"), "size")).alias("right_to"))
-        bodies = bounds.join(texts, "key").select(
-            "key", "start", "left_to", "right_from", "right_to",
-            F.substring("text", (F.col("start") + 1).cast("int"),
-                        (F.greatest("left_to", "right_to") - F.col("start")).cast("int")).alias("body"))
-        reports, _ = store(spark, _reports(bodies.repartition("key", "start"), tokenizer_file), "reports")
+        new = bounds if known is None else bounds.join(known, ["key", *BOUNDS], "left_anti")
+        encoded, _ = store(spark, _reports(_bodies(texts, new).repartition("key", "start"), tokenizer_file), "reports")
+        known = encoded if known is None else known.unionByName(encoded)
+        reports = bounds.join(known, ["key", *BOUNDS])
         # the splice of a joint: the first place that both chunks beside it may be cut at
-        left = reports.select("key", F.col("following").alias("joint"), "right_cuts")
+        left = reports.select("key", F.col("right_from").alias("joint"), "right_cuts")
         right = reports.filter("start > 0").select("key", F.col("start").alias("joint"), "left_cuts")
         both = right.join(left, ["key", "joint"]).withColumn("place", F.array_min(
             F.array_intersect("left_cuts.place", "right_cuts.place")))

@@ -37,6 +37,30 @@ def test_counts_are_the_librarys(spark, frame, chunk, overlap):
     assert [tuple(r) for r in got] == [(i, len((t or "").encode()), n, n > 50) for i, (t, n) in enumerate(zip(every, want))]
 
 
+def test_boundaries_without_white_space(spark, frame):
+    """Ideographs and kana with their own marks; a text without any boundary; one failing overlap among many chunks."""
+    rnd = random.Random(7)
+    letters = [chr(c) for c in (*range(0x4E00, 0x4E60), *range(0x3042, 0x3060))]
+    marks = [chr(0x3002), chr(0xFF0C), chr(0x3001)]
+    asian = "".join(rnd.choice(marks if rnd.random() < 0.06 else letters) for _ in range(4000))
+    mixed = "some words, and more. " * 200 + "x" * 900 + " the end of it " * 150
+    every = [asian, "".join(rnd.choice(letters) for _ in range(1500)), mixed]
+    codes = vocabulary.tokenizer("word_bpe_49k.json")
+    got = token_counts.token_counts(spark, frame(list(enumerate(every)), "doc_id long, text string"), chunk=250, overlap=30)
+    assert sorted((r["doc_id"], r["n_tokens"]) for r in got.collect()) == [
+        (i, len(codes.encode(t, add_special_tokens=False).ids)) for i, t in enumerate(every)]
+
+
+def test_only_chunks_beside_a_failed_overlap_are_encoded_again(spark, frame, monkeypatch):
+    encoded = []
+    reports = token_counts._reports
+    monkeypatch.setattr(token_counts, "_reports", lambda chunks, name: encoded.append(chunks.count()) or reports(chunks, name))
+    text = "word " * 400 + "x" * 130 + " word" * 400
+    got = token_counts.token_counts(spark, frame([(1, text)], "doc_id long, text string"), chunk=200, overlap=20).collect()
+    assert got[0]["n_tokens"] == len(vocabulary.tokenizer("word_bpe_49k.json").encode(text, add_special_tokens=False).ids)
+    assert encoded[0] == len(text) // 200 + 1 and len(encoded) > 1 and max(encoded[1:]) <= 2
+
+
 def test_counts_of_repeated_rows_and_empty_table(spark, frame):
     docs = frame([(None, "a b " * 300), (1, "a b " * 300), (1, "a b " * 300), (2, None)], "doc_id long, text string")
     got = token_counts.token_counts(spark, docs, chunk=100, overlap=8).collect()
