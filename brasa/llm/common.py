@@ -29,6 +29,17 @@ def drop_stored(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """The names, each with underscores before it until it is none of the columns."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """Rows (node, component) for every node of ``edges`` (columns a, b, of one orderable type).
 

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brasa.llm.common import drop_stored, store, table
+from brasa.llm.common import drop_stored, fresh, store, table
 from brasa.session import new_table_path
 
 LENGTH = 200
@@ -333,14 +333,16 @@ def _key(text: str):
 def _cut(spark: SparkSession, docs: DataFrame, text: str, length: int, key: int, suffixes: int,
          with_text: bool) -> DataFrame:
     texts, name = _texts(spark, docs.select(_key(text).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")))
-    _collected(spark)
-    spans, paths = covered(spark, texts, length, key, suffixes)
-    kept, _ = store(spark, _kept(texts, spans, length, with_text), "kept")
-    for path in paths:
-        drop_stored(spark, path)
     where = spark.sql(f"describe formatted {name}").filter("col_name = 'Location'").first()["data_type"]
-    spark.sql(f"drop table {name}")
-    drop_stored(spark, where)
+    try:
+        _collected(spark)
+        spans, paths = covered(spark, texts, length, key, suffixes)
+        kept, _ = store(spark, _kept(texts, spans, length, with_text), "kept")
+        for path in paths:
+            drop_stored(spark, path)
+    finally:
+        spark.sql(f"drop table {name}")
+        drop_stored(spark, where)
     _collected(spark)
     return kept
 
@@ -361,12 +363,11 @@ def without_repeats(spark: SparkSession, docs: DataFrame, text: str = "text", le
     A cut may fall within a character; what is left of that character goes too.
     """
     kept = _cut(spark, docs, text, length, key, suffixes, True)
-    kept = kept.select(F.col("key").alias("_kept_key"), F.col("kept_text").alias("_kept_text"))
-    rest = docs.select(*[docs[c] for c in docs.columns if c != text], _key(text).alias("_own_key"),
-                       F.col(text).isNull().alias("_none"))
-    joined = rest.join(kept, F.col("_own_key") == F.col("_kept_key"))
-    return joined.select(*[F.when(~F.col("_none"), F.col("_kept_text")).alias(text) if c == text else joined[c]
-                           for c in docs.columns])
+    of, cut, own, none = fresh(docs.columns, "of", "cut", "own", "none")
+    kept = kept.select(F.col("key").alias(of), F.col("kept_text").alias(cut))
+    rest = docs.select(*[c for c in docs.columns if c != text], _key(text).alias(own), F.col(text).isNull().alias(none))
+    joined = rest.join(kept, F.col(own) == F.col(of))
+    return joined.select(*[F.when(~F.col(none), F.col(cut)).alias(text) if c == text else c for c in docs.columns])
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
