@@ -17,8 +17,9 @@ Equal texts of one label are one text that carries its rows as weight, so copies
 no evidence of their own for a feature.  The gradient steps take a bounded sample: of each class ``FIT_ROWS`` / 2
 texts of any length, ``FIT_BYTES`` / 2 bytes together at most (one text at least), in the order of the text's hash over
 its weight (priority sampling: a text with many copies is drawn surely and stands for them, the others stand for the
-rest of their class).  Of the sample only the features with a weight to learn reach the driver, as sentences with
-equal features and their number.  Scoring and locating cover every row and whole texts.
+rest of their class).  Of the sample only the features with a weight to learn reach the driver, ``FIT_FEATURES`` at most
+(those with the most evidence), as sentences with equal features and their number.  Scoring and locating cover every row
+and whole texts.
 
 Defined cases: null text is the empty text, whose score is the leak.  Rows with null id or null label are not learnt
 from, and such ids are not held out; every row is scored, repeated rows each.  Without labels of both classes the score
@@ -30,23 +31,26 @@ from __future__ import annotations
 import re
 from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brasa.llm.common import drop_stored, store, table
 
 FIT_ROWS = 6000
 FIT_BYTES = FIT_ROWS * 20_000
+FIT_FEATURES = 50_000  # features that the fit takes at most
 FOLDS = 5
 STEPS, RATE, DECAY = 200, 0.1, 1e-4
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"[^\W\d_]+")
 KEPT_WORDS = 120_000
+FILTER_BITS = 1 << 25  # 4 MB
 KEPT_COUNTS = 200_000  # features whose counts a task holds before it sends them on
 
 
@@ -87,9 +91,22 @@ class Model:
         return [self.bias + sum(map(self.word, sorted(words))) for words in bags(text)]
 
     def score(self, text: str | None) -> float:
-        total = np.logaddexp(0.0, np.array(self.logits(text), dtype=float)).sum() - np.log1p(-self.leak)
+        return self.combined(self.logits(text))
+
+    def combined(self, logits: list[float]) -> float:
+        total = np.logaddexp(0.0, np.array(logits, dtype=float)).sum() - np.log1p(-self.leak)
         return float(min(1.0, max(0.0, -np.expm1(-total))))
 
+    def judged(self, text: str | None) -> tuple[float, int, int | None]:
+        """The score, how many sentences reach probability 1/2, and the first one's place in the text."""
+        logits, count, first = [], 0, None
+        for s in SENTENCE.finditer(text or ""):
+            if words := set(WORD.findall(s[0].lower())):
+                logits.append(self.bias + sum(map(self.word, sorted(words))))
+                if logits[-1] >= 0:
+                    count, first = count + 1, s.start() if first is None else first
+        return self.combined(logits), count, first
+
 
 def feature_counts(texts: DataFrame) -> DataFrame:
     """Rows (feature, held_by, held_toxic): how many of the rows (toxic, text) hold a feature, those of label 1 apart."""
@@ -118,13 +135,15 @@ def feature_counts(texts: DataFrame) -> DataFrame:
         "feature").agg(F.sum("held_by").alias("held_by"), F.sum("held_toxic").alias("held_toxic"))
 
 
-def learnt(counts: DataFrame, n_texts: int, n_toxic: int) -> list[str]:
-    """Features commoner in documents of label 1 than chance explains, in order."""
+def learnt(counts: DataFrame, n_texts: int, n_toxic: int, most: int = FIT_FEATURES) -> list[str]:
+    """Features commoner in documents of label 1 than chance explains, those with the most evidence, in order."""
     share, base = F.col("held_toxic") / F.col("held_by"), F.lit(n_toxic / n_texts)
     excess = (F.when(share > 0, share * F.ln(share / base)).otherwise(0.0)
               + F.when(share < 1, (1 - share) * F.ln((1 - share) / (1 - base))).otherwise(0.0))
     least = float(np.log(max(counts.count(), 1)))
-    rows = counts.filter((share > base) & (F.col("held_by") * excess > least)).select("feature").collect()
+    evidence = F.col("held_by") * excess
+    rows = counts.filter((share > base) & (evidence > least)).orderBy(evidence.desc(), "feature").limit(most).select(
+        "feature").collect()
     return sorted(r["feature"] for r in rows)
 
 
@@ -169,18 +188,49 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows (toxic, text_key, text, n): the texts of each label that are not held out, and how many rows have them."""
+def may_hold(keys: DataFrame, column: str) -> Callable[[Column], Column]:
+    """A condition that is true of every value in ``column`` of ``keys`` and false of most others.
+
+    Two bits for each value in a Bloom filter of ``FILTER_BITS`` bits, whatever the table's size: a fuller filter lets
+    more other values through, and the join that follows takes them out.
+    """
+    def bits(value: Column) -> list[Column]:
+        return [F.pmod(F.xxhash64(value, F.lit(salt)), F.lit(FILTER_BITS)) for salt in (1, 2)]
+
+    at = F.explode(F.array(*bits(F.col(column))))
+    words = keys.select(at.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, int(bit % 64))")).alias("mask")).toArrow()  # FILTER_BITS / 64 rows at most
+    masks = np.zeros(FILTER_BITS // 64, np.int64)
+    masks[words.column("word").to_numpy()] = words.column("mask").to_numpy()
+    filled = keys.sparkSession.sparkContext.broadcast(masks)
+
+    @F.pandas_udf("boolean")
+    def held(one: pd.Series, two: pd.Series) -> pd.Series:
+        found = [filled.value[b.to_numpy() >> 6] >> (b.to_numpy() & 63) & 1 for b in (one, two)]
+        return pd.Series((found[0] & found[1]).astype(bool))
+
+    return lambda value: held(*bits(value))
+
+
+def labelled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, str]:
+    """Rows (toxic, text_key, text, n): the texts of each label that are not held out, and how many rows have them.
+
+    They are stored; the table and its path.
+    """
+    spark = docs.sparkSession
     labels = labels.filter("toxic in (0, 1) and doc_id is not null").filter(~held_out("doc_id")).select(
         "doc_id", F.col("toxic").cast("int").alias("toxic"))
     docs = docs.filter(F.col("doc_id").isNotNull()).filter(~held_out("doc_id")).select(
         "doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_key", F.xxhash64("text"))
-    # ids and hashes first: of copies only the text of the smallest id is joined; both joins shuffled at every size
-    keys = docs.select("doc_id", "text_key").join(labels.hint("merge"), "doc_id").groupBy("toxic", "text_key").agg(
-        F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("of_id"))
-    found = docs.withColumnRenamed("text_key", "of_key").join(
-        keys.hint("merge"), F.col("doc_id") == F.col("of_id")).filter(F.col("of_key") == F.col("text_key"))
-    return found.dropDuplicates(["doc_id", "toxic", "text_key"]).select("toxic", "text_key", "text", "n")
+    # ids and hashes first: of copies only the text of the smallest id is wanted, and only wanted texts are shuffled
+    keys, path = store(spark, docs.select("doc_id", "text_key").join(labels.hint("merge"), "doc_id").groupBy(
+        "toxic", "text_key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("doc_id")), "labelled-keys")
+    wanted = docs.filter(may_hold(keys, "doc_id")(F.col("doc_id"))).groupBy("doc_id", "text_key").agg(
+        F.any_value("text").alias("text"))
+    texts, texts_path = store(spark, wanted.join(keys.hint("merge"), ["doc_id", "text_key"]).select(
+        "toxic", "text_key", "text", "n"), "labelled")
+    drop_stored(spark, path)
+    return texts, texts_path
 
 
 def sample(texts: DataFrame, toxic: int, rows: int, n_bytes: int) -> list[tuple[int, float]]:
@@ -202,7 +252,7 @@ def sample(texts: DataFrame, toxic: int, rows: int, n_bytes: int) -> list[tuple[
 def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_bytes: int = FIT_BYTES) -> Model:
     """Fit to labels (doc_id, toxic) of documents (doc_id, text) that are not held out."""
     spark = docs.sparkSession
-    texts, texts_path = store(spark, labelled(docs, labels), "labelled")
+    texts, texts_path = labelled(docs, labels)
     classes = {r["toxic"]: r for r in texts.groupBy("toxic").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts")
                                                                  ).collect()}
     if len(classes) < 2:
@@ -233,14 +283,21 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_byte
     return model
 
 
-def with_score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
-    """Adds the document's probability."""
+def scorer(model: Model) -> Callable[[Column], Column]:
+    """The probability of a column of texts."""
     @F.pandas_udf("double")
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
             yield pd.Series([model.score(t) for t in part], dtype="float64")
 
-    return docs.withColumn(out, score(F.col(text)))
+    return score
+
+
+def with_score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
+    """Adds the document's probability as the column ``out``, which must not be one of the table's."""
+    if out in docs.columns:
+        raise ValueError(f"the table has a column {out}; name another with out=")
+    return docs.withColumn(out, scorer(model)(F.col(text)))
 
 
 def locate(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
@@ -262,8 +319,26 @@ def locate(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
         run, "doc_id long, start long, stop long, sentence string, probability double")
 
 
+def judged(docs: DataFrame, model: Model) -> DataFrame:
+    """Rows (doc_id, score, n_offending, first_offending) for every row of ``docs``.
+
+    The last two: how many sentences ``locate`` returns, and where in the text the first one starts (null without).
+    """
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            found = [model.judged(t) for t in part.column("text").to_pylist()]
+            columns = zip(*found) if found else ([], [], [])
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns, (pa.float64(), pa.int64(), pa.int64())))],
+                names=["doc_id", "score", "n_offending", "first_offending"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        run, "doc_id long, score double, n_offending long, first_offending long")
+
+
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     model = train(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
-    return with_score(docs, model).select("doc_id", held_out().alias("held_out"), "score",
-                                          F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+    return judged(docs, model).select("doc_id", held_out().alias("held_out"), "score",
+                                      F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+                                      "n_offending", "first_offending")
