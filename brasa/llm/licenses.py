@@ -107,32 +107,28 @@ def by_span(templates) -> dict[int, list[tuple[str, list[str]]]]:
 
 def blocks(templates=TEMPLATES, threshold: float = THRESHOLD) -> Column:
     """Of ``words``, an array: (span, the templates' words in a block) for each block that can match."""
-    found = []
-    for width, some in sorted(by_span(templates).items()):
-        vocabulary = sorted(set().union(*[own for _, own in some]))
-        least = min(need(len(own), threshold) for _, own in some)
-        of_words = F.transform("words", _named(vocabulary))  # the other words are empty
-        starts = F.when(F.size("words") > 0, F.sequence(F.lit(1), F.size("words"), F.lit(width))).otherwise(
-            F.array().cast("array<int>"))
-        held = F.transform(starts, _block(of_words, width))
-        found.append(F.transform(F.filter(held, _at_least(least)), _with_span(width)))
-    return F.concat(*found)
-
-
-def _named(vocabulary: list[str]):
-    return lambda w: F.when(w.isin(vocabulary), w).otherwise("")
-
-
-def _block(of_words: Column, width: int):
-    return lambda start: F.array_remove(F.array_distinct(F.slice(of_words, start, F.lit(2 * width))), "")
+    vocabulary = sorted({w for _, body in templates for w in template_words(body)})
+    of_words = F.transform("words", lambda w: F.when(w.isin(vocabulary), w))  # the other words are null
 
-
-def _at_least(least: int):
-    return lambda held: F.size(held) >= least
-
-
-def _with_span(width: int):
-    return lambda held: F.struct(F.lit(width).alias("span"), held.alias("held"))
+    def of_span(marked: Column, width: int, least: int) -> Column:
+        starts = F.when(F.size(marked) > 0, F.sequence(F.lit(1), F.size(marked), F.lit(width))).otherwise(
+            F.array().cast("array<int>"))
+        held = F.transform(starts, lambda start: F.filter(
+            F.slice(marked, start, F.lit(2 * width)), lambda w: w.isNotNull()))
+        held = F.transform(F.filter(held, lambda h: F.size(h) >= least), F.array_distinct)
+        return F.transform(F.filter(held, lambda h: F.size(h) >= least), lambda h: F.struct(
+            F.lit(width).alias("span"), h.alias("held")))
+
+    spans = [(width, min(need(len(own), threshold) for _, own in some)) for width, some in sorted(by_span(templates).items())]
+    # the prefix filter for whole texts, with the longest words first: a text without one of these words has no match
+    first = set()
+    for _, body in templates:
+        own = sorted(template_words(body), key=lambda w: (-len(w), w))
+        first.update(own[:len(own) - need(len(own), threshold) + 1])
+    # bound to a variable, so that a text's words are looked up once and not for each block
+    found = F.transform(F.array(of_words), lambda marked: F.concat(*[of_span(marked, *s) for s in spans]))[0]
+    return F.when(F.arrays_overlap("words", F.array(*[F.lit(w) for w in sorted(first)])), found).otherwise(
+        F.array().cast("array<struct<span:int,held:array<string>>>"))
 
 
 def similarity_join(spark: SparkSession, cut: DataFrame, templates=TEMPLATES,
