@@ -99,7 +99,8 @@ def nearest(spark: SparkSession, rows: DataFrame, asking: Column, k: int = K) ->
     for radius in range(BITS // SEGMENTS + 1):
         probes = _segments(open_.select("query", F.col("query").alias("code"))).select(
             "query", "segment", F.explode(F.transform(_masks(radius), _flipped)).alias("value"))
-        met = probes.join(entries, ["segment", "value"]).withColumn(
+        # merged: the planner takes the probes for as few as the queries and would broadcast them all
+        met = probes.hint("merge").join(entries, ["segment", "value"]).withColumn(
             "distance", F.bit_count(F.col("query").bitwiseXOR(F.col("code")))).select(candidate)
         met = met if found is None else met.unionByName(found)
         best, _ = store(spark, met.distinct().withColumn("place", F.row_number().over(nearer)).filter(
