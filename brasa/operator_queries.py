@@ -19,7 +19,7 @@ from brasa.functions.columns import (
 )
 from brasa.operators import incremental as inc
 from brasa.operators import metrics as M
-from brasa.operators.quality import Check, contract_report, failures, quality_report
+from brasa.operators.quality import Check, failures, quality_report
 from brasa.operators.asof import asof_join
 from brasa.operators.dedup import first_per_key
 from brasa.operators.ranking import Order, RankSpec, add_ranks, attach_group_stats
@@ -1181,8 +1181,11 @@ def q13(spark, sf):
 
 @q("q14_contract_enforcement")
 def q14(spark, sf):
-    from brasa.plans.contracts import FACT_HORAS_EXTRA, FACT_HORAS_EXTRA_NOT_NULL
-    return contract_report(_wh(spark, sf).fact_horas_extra(), FACT_HORAS_EXTRA, FACT_HORAS_EXTRA_NOT_NULL)
+    from brasa.plans.analytics import AS_OF
+    from brasa.plans.contracts import NOT_NULL, contract
+    w = _wh(spark, sf)
+    tables = {name: w.gold(name) for name in NOT_NULL if name != "v13"} | {"v13": w.v13(AS_OF)}
+    return reduce(DataFrame.unionByName, [contract(name).report(df) for name, df in tables.items()])
 
 
 WAREHOUSE_CHECKS = (

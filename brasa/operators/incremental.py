@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import json
+from typing import Callable
 from uuid import uuid4
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from brasa.functions.columns import ts_ntz
+from brasa.operators.quality import Contract, ContractBroken
 from brasa.session import new_table_path
 
 EMPTY_TARGET_MARK = "1900-01-01 00:00:00"
@@ -72,17 +75,37 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
-def publish(spark: SparkSession, df: DataFrame, name: str, cluster_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write to a fresh directory in the shared work folder and read it back.
+def write_held(df: DataFrame, contract: Contract | None, write: Callable[[DataFrame], None], undo: Callable[[], None]) -> None:
+    """Write a frame; with a contract, types are compared before, NULLs counted in the same job, and a broken table undone."""
+    if contract is None:
+        write(df)
+        return
+    contract.of_schema(df.schema)
+    watched, seen = contract.watched(df)
+    write(watched)
+    try:
+        contract.of_rows(seen)
+    except ContractBroken:
+        undo()
+        raise
+
+
+def publish(spark: SparkSession, df: DataFrame, name: str, cluster_by: tuple[str, ...] = (),
+            contract: Contract | None = None) -> DataFrame:
+    """Write to a fresh directory in the shared work folder and read it back; a table that breaks its contract is removed.
 
     ``cluster_by`` sorts the rows inside each output file (no extra shuffle, no sampling pass over
     the input, no skew): every parquet row group then covers a narrow range of the first column,
     and filters on it skip most row groups at read time.
     """
     path = new_table_path(spark, name)
-    if cluster_by:
-        df = df.sortWithinPartitions(*cluster_by)
-    df.write.mode("errorifexists").parquet(path)
+    fs, folder = _folder(spark, path)
+
+    def write(rows: DataFrame) -> None:
+        rows = rows.sortWithinPartitions(*cluster_by) if cluster_by else rows
+        rows.write.mode("errorifexists").parquet(path)
+
+    write_held(df, contract, write, lambda: fs.delete(folder, True))
     return spark.read.parquet(path)
 
 
@@ -113,25 +136,55 @@ VERSION_COL = "brasa_version"
 NO_PERIOD = "sin_fecha"  # the period of rows without a date
 
 
+class ConcurrentMerge(RuntimeError):
+    """Another writer committed between this merge's reading of the table and its own commit."""
+
+
 class MonthTable:
     """A merged table whose files lie in one folder per month, of which a merge rewrites only those it touches.
 
     ``data/brasa_version=V/brasa_month=M`` holds the rows of month M that merge V wrote; ``commits/N`` lists, as one small JSON
     table, the version that is valid for each month, and the table's schema.  A merge writes its months under a new
-    version and then the next commit; readers take the newest commit whose write has finished.  Nothing is overwritten,
-    so a merge that fails half way leaves the table as it was.  Rows without a date have a period of their own.
+    version, then the next commit under a name of its own, which it renames into place; readers take the newest finished
+    commit.  Nothing is overwritten, so a merge that fails half way leaves the table as it was, and the next one takes the
+    number behind whatever it left.  Of two merges at once one is committed and the other raises ``ConcurrentMerge``.  Rows
+    without a date have a period of their own.
     """
 
-    def __init__(self, spark: SparkSession, path: str, key: str, date_col: str, newest: str | None = None):
+    def __init__(self, spark: SparkSession, path: str, key: str, date_col: str, newest: str | None = None,
+                 contract: Contract | None = None):
         self.spark, self.path, self.key, self.date_col, self.newest = spark, path.rstrip("/"), key, date_col, newest
+        self.contract = contract  # held by the rows that a merge writes, before they are committed
 
-    def _last_commit(self) -> int:
+    def _commits(self) -> list[int]:
+        """The numbers of all commits that were begun in their place, finished or not."""
         fs, folder = _folder(self.spark, f"{self.path}/commits")
         if not fs.exists(folder):
-            return 0
-        numbers = [int(x.getPath().getName()) for x in fs.listStatus(folder)
-                   if fs.exists(_folder(self.spark, f"{x.getPath()}/_SUCCESS")[1])]
-        return max(numbers, default=0)
+            return []
+        return [int(name) for x in fs.listStatus(folder) if (name := x.getPath().getName()).isdigit()]
+
+    def _last_commit(self) -> int:
+        fs, _ = _folder(self.spark, self.path)
+        return max((n for n in self._commits()
+                    if fs.exists(_folder(self.spark, f"{self.path}/commits/{n}/_SUCCESS")[1])), default=0)
+
+    def _commit(self, number: int, rows: list[tuple]) -> None:
+        """Write a commit beside the others, then rename it into its place, which fails where the place is taken."""
+        pending, place = f"{self.path}/pending/{uuid4().hex}", f"{self.path}/commits/{number}"
+        self.spark.createDataFrame(rows, "period string, version string, columns string").coalesce(1).write.json(pending)
+        fs, folder = _folder(self.spark, f"{self.path}/commits")
+        fs.mkdirs(folder)
+        jvm, (_, source), (_, target) = self.spark._jvm, _folder(self.spark, pending), _folder(self.spark, place)
+        options = jvm.org.apache.hadoop.fs.Options.Rename
+        try:
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+                fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration()).rename(
+                source, target, self.spark.sparkContext._gateway.new_array(options, 0))
+        except Py4JJavaError as taken:
+            fs.delete(source, True)
+            if "FileAlreadyExists" not in str(taken.java_exception):
+                raise
+            raise ConcurrentMerge(f"another merge into {self.path} was committed meanwhile; merge again") from taken
 
     def _state(self) -> tuple[dict[str, str], StructType | None]:
         """The valid version of each month (as many as the calendar spans), and the schema."""
@@ -157,6 +210,7 @@ class MonthTable:
 
     def merge(self, delta: DataFrame) -> DataFrame:
         """Delta rows replace the rows with their keys, whatever month those lie in; new columns are appended."""
+        number = max(self._commits(), default=0) + 1  # before the state is read: a later commit takes this number
         months, columns = self._state()
         period = F.coalesce(F.date_format(F.trunc(self.date_col, "MM"), "yyyy-MM-dd"), F.lit(NO_PERIOD))
         # computed once: what follows reads it several times
@@ -174,16 +228,29 @@ class MonthTable:
             rebuilt = old.join(incoming.select(self.key), self.key, "left_anti").unionByName(
                 staged, allowMissingColumns=True)
         kept = rebuilt.drop(PERIOD_COL).schema
-        number, version = self._last_commit() + 1, uuid4().hex[:12]
-        rebuilt.repartition(PERIOD_COL, F.pmod(F.xxhash64(self.key), F.lit(FILES_PER_MONTH))).sortWithinPartitions(
-            PERIOD_COL, self.date_col).write.partitionBy(PERIOD_COL).parquet(f"{self.path}/data/{VERSION_COL}={version}")
-        fs, folder = _folder(self.spark, f"{self.path}/data/{VERSION_COL}={version}")
+        version = uuid4().hex[:12]
+        place = f"{self.path}/data/{VERSION_COL}={version}"
+        fs, folder = _folder(self.spark, place)
+        if self.contract is not None:
+            self.contract.of_schema(kept)
+        watched, seen = self.contract.watched(rebuilt) if self.contract else (rebuilt, None)
+        watched.repartition(PERIOD_COL, F.pmod(F.xxhash64(self.key), F.lit(FILES_PER_MONTH))).sortWithinPartitions(
+            PERIOD_COL, self.date_col).write.partitionBy(PERIOD_COL).parquet(place)
+        if seen is not None:
+            try:
+                self.contract.of_rows(seen)
+            except ContractBroken:
+                fs.delete(folder, True)
+                raise
         names = [x.getPath().getName() for x in fs.listStatus(folder)]
         written = {n.split("=", 1)[1] for n in names if n.startswith(f"{PERIOD_COL}=")}
         valid = {m: v for m, v in months.items() if m not in touched} | {m: version for m in written}
         listed = [(m, v, kept.json()) for m, v in sorted(valid.items())] or [(None, None, kept.json())]
-        self.spark.createDataFrame(listed, "period string, version string, columns string").coalesce(1).write.json(
-            f"{self.path}/commits/{number}")
+        try:
+            self._commit(number, listed)
+        except ConcurrentMerge:
+            fs.delete(folder, True)  # what this merge wrote is in no commit
+            raise
         return self.read()
 
 

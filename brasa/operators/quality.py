@@ -10,9 +10,9 @@ are one grouped aggregation / anti join each.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from typing import Sequence
+from typing import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -125,6 +125,57 @@ def contract_report(df: DataFrame, contract: StructType, not_null: Sequence[str]
                .withColumn("passes", F.coalesce(ok, F.lit(False)))
 
 
+class ContractBroken(ValueError):
+    """A table that is not as its contract says."""
+
+
+@dataclass(frozen=True)
+class Contract:
+    """What a table must be: each column of the type that its name declares, some columns present and never NULL.
+
+    Types are compared before a write.  NULLs are counted in the job that writes (``Observation``), so that holding a
+    table against its contract takes no pass of its own; a repeated task can count a NULL twice, but never hide one.
+    """
+
+    table: str
+    type_of: Callable[[str], str]
+    not_null: Sequence[str] = ()
+
+    def of_schema(self, schema: StructType) -> None:
+        """Raises where a column is missing or has another type."""
+        actual = {f.name: f.dataType.simpleString() for f in schema.fields}
+        wrong = [f"{c} is missing" for c in self.not_null if c not in actual]
+        wrong += [f"{c} is {t}, not {self.type_of(c)}" for c, t in actual.items() if t != self.type_of(c)]
+        if wrong:
+            raise ContractBroken(f"{self.table} breaks its contract: " + "; ".join(wrong))
+
+    def watched(self, df: DataFrame) -> tuple[DataFrame, Observation]:
+        """The frame, whose next action counts its rows and NULLs."""
+        seen = Observation()
+        return df.observe(seen, F.count(F.lit(1)).alias("n_rows"),
+                          *[F.count_if(F.col(c).isNull()).alias(c) for c in self.not_null]), seen
+
+    def of_rows(self, seen: Observation) -> None:
+        """Raises where the written rows had a NULL in a column that must not."""
+        counted = seen.get
+        wrong = [f"{c} is NULL in {counted[c]} rows" for c in self.not_null if counted[c]]
+        if wrong:
+            raise ContractBroken(f"{self.table} breaks its contract: " + "; ".join(wrong))
+
+    def report(self, df: DataFrame) -> DataFrame:
+        """A row for each column of the frame: declared and actual type, and how many NULLs it must not hold; one scan."""
+        nulls = {c: F.count_if(F.col(c).isNull()).cast("bigint") for c in self.not_null}
+        rows = F.array(*[F.struct(
+            F.lit(f.name).alias("column_name"), F.lit(self.type_of(f.name)).alias("expected_type"),
+            F.lit(f.dataType.simpleString()).alias("actual_type"), F.lit(f.name in nulls).alias("is_not_null"),
+            (F.col(f"n_{f.name}") if f.name in nulls else F.lit(0).cast("bigint")).alias("null_violations"))
+            for f in df.schema.fields])
+        counted = df.agg(F.count(F.lit(1)).alias("n"), *[n.alias(f"n_{c}") for c, n in nulls.items()])
+        return counted.select(F.explode(rows).alias("r")).select(
+            F.lit(self.table).alias("table_name"), "r.*",
+            ((F.col("r.expected_type") == F.col("r.actual_type")) & (F.col("r.null_violations") == 0)).alias("passes"))
+
+
 def key_report(name: str, df: DataFrame, key: str) -> DataFrame:
     """One row: how many rows a table has, how many lack the key, and how many repeat another row's key."""
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(key).isNull()).cast("bigint").alias("null_keys"),

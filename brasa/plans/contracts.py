@@ -1,8 +1,12 @@
 """Schema contracts of the gold tables (names, types, not-null constraints)."""
 
+from functools import partial
+
 from pyspark.sql.types import (DateType, DecimalType, LongType, StringType, StructField, StructType,
                                TimestampNTZType)
 
+from brasa.operators.quality import Contract
+
 
 def _s(*fields) -> StructType:
     return StructType([StructField(n, t, True) for n, t in fields])
@@ -22,6 +26,51 @@ FACT_HORAS_EXTRA = _s(
 )
 FACT_HORAS_EXTRA_NOT_NULL = ("horas_extra_key", "empleado_key")
 
+# Columns that are never NULL, by table
+NOT_NULL = {
+    "dim_time": ("date_day",), "dim_fecha": ("fecha_key", "fecha"), "dim_parque": ("parque_key", "id_parque"),
+    "dim_brigada": ("brigada_key", "id_brigada"), "dim_equipo": ("equipo_key", "id_equipo"),
+    "dim_vehiculo": ("vehiculo_key", "matricula_token"), "dim_puesto": ("puesto_key", "nombre_puesto"),
+    "dim_salario": ("salario_key", "id_salario"), "dim_empleado": ("empleado_key", "id_empleado", "fecha_inicio_validez"),
+    "fact_horas_extra": FACT_HORAS_EXTRA_NOT_NULL, "fact_solicitudes": ("solicitud_key", "empleado_key"),
+    "fact_asignaciones": ("asignacion_key", "empleado_key", "id_asignacion"),
+    "fact_incidencias": ("incidencia_key", "empleado_creador_key"),
+    "v1": ("mes",), "v2": ("tipo_dia",), "v3": ("id_brigada",), "v4": ("id_empleado",), "v5": ("mes", "tipo_permiso"),
+    "v6": ("tipo_permiso",), "v7": ("id_empleado",), "v8": ("fecha",), "v9": ("tipo_incidencia",),
+    "v10": ("id_empleado_resolutor",), "v11": ("matricula_vehiculo",), "v12": ("id_equipo",), "v13": ("id_incidencia",),
+}
+
+TEXTS = ("nombre_", "tipo_", "categoria_", "matricula_", "mes_", "tramo_")
+MONEY_AND_RATIOS = ("coste_", "pct_", "media_", "mediana_", "mttr_", "desviacion_", "z_score_", "horas_medias_",
+                    "requerimientos_por_")
+
+
+def declared_type(table: str, column: str) -> str:
+    """The type that a column of a gold table or view has by its name."""
+    if column.endswith("_validez") or column in ("fecha_actualizacion", "fecha_creacion", "fecha_carga_bronze"):
+        return "timestamp_ntz"
+    if column.endswith(("_key", "_nombre")) or column in ("estado", "nivel_gravedad", "puesto", "turno", "ubicacion") or (
+            column.startswith(TEXTS)) or column in ("creador_categoria_puesto", "creador_nombre_token", "creador_puesto",
+                                                    "dia_semana_nombre", "tipos_permiso_usados"):
+        return "string"
+    if column.startswith("fecha") or column == "date_day" or (column == "mes" and table in ("v1", "v5")):
+        return "date"
+    if column.startswith(("es_", "esta_", "hubo_", "sin_datos_")):
+        return "bigint" if column in ("es_pendiente", "es_resuelta", "es_tramitada") else "boolean"
+    if column.startswith("precio_"):
+        return "decimal(10,2)"
+    if column.startswith(MONEY_AND_RATIOS):
+        if column == "requerimientos_por_permiso_activo":
+            return "decimal(38,3)"
+        return "decimal(12,2)" if table in ("fact_horas_extra", "v3") else "decimal(38,2)"
+    return "bigint"
+
+
+def contract(table: str) -> Contract:
+    """Names and types by ``declared_type``, NOT_NULL columns: the contract of one of the 26 gold tables and views."""
+    return Contract(table, partial(declared_type, table), NOT_NULL[table])
+
+
 # The primary key of each dimension and fact (unique, never NULL)
 GOLD_KEYS = {
     "dim_fecha": "fecha_key", "dim_parque": "parque_key", "dim_brigada": "brigada_key", "dim_equipo": "equipo_key",

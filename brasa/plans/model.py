@@ -38,17 +38,12 @@ class Warehouse:
             return build()
         if name not in self._tables:
             from brasa.operators.incremental import publish
-            self._tables[name] = self._enforced(name, publish(self.spark, build(), name, self.CLUSTER.get(name, ())))
-        return self._tables[name]
-
-    def _enforced(self, name: str, table: DataFrame) -> DataFrame:
-        """The published table, after its contract: the key is never NULL (a scan of that column), the types agree."""
-        from brasa.operators.quality import enforce_contract
-        from brasa.plans.contracts import FACT_HORAS_EXTRA, FACT_HORAS_EXTRA_NOT_NULL, GOLD_KEYS
+            from brasa.plans.contracts import NOT_NULL, contract
 
-        if name == "fact_horas_extra":
-            return enforce_contract(name, table, FACT_HORAS_EXTRA_NOT_NULL, FACT_HORAS_EXTRA)
-        return enforce_contract(name, table, (GOLD_KEYS[name],)) if name in GOLD_KEYS else table
+            # held against its contract while it is written; a broken table is not published
+            self._tables[name] = publish(self.spark, build(), name, self.CLUSTER.get(name, ()),
+                                         contract(name) if name in NOT_NULL else None)
+        return self._tables[name]
 
     def gold(self, name: str) -> DataFrame:
         """A dimension or fact by its name."""
@@ -158,9 +153,11 @@ class Warehouse:
     def refresh_fact_partitioned(self, name: str, table_path: str, lookback_days: int = 7) -> DataFrame:
         """Daily refresh of a month-partitioned fact table: only the months touched are rewritten."""
         from brasa.operators.incremental import MonthTable, lookback_delta
+        from brasa.plans.contracts import contract
         from brasa.plans.facts import FACT_KEYS
 
-        table = MonthTable(self.spark, table_path, FACT_KEYS[name], self.CLUSTER[name][0], "fecha_actualizacion")
+        table = MonthTable(self.spark, table_path, FACT_KEYS[name], self.CLUSTER[name][0], "fecha_actualizacion",
+                           contract(name))
         delta = lookback_delta(self.stg(self.FACT_SOURCES[name]), table.read(), "fecha_actualizacion", lookback_days,
                                self.EMPTY_DEFAULT.get(name, "1900-01-01 00:00:00"))
         return table.merge(getattr(self, name)(delta))
@@ -197,8 +194,7 @@ class Warehouse:
             getattr(self, dim)()
         _ = (self.snp_empleado, self.dim_empleado, self.dim_time, self.dim_fecha)
         root = (root or new_table_path(self.spark, "gold")).rstrip("/")
-        facts = {name: self._enforced(name, self.refresh_fact_partitioned(name, f"{root}/{name}"))
-                 for name in self.FACT_SOURCES}
+        facts = {name: self.refresh_fact_partitioned(name, f"{root}/{name}") for name in self.FACT_SOURCES}
         self._tables.update(facts)  # what the views read from now on
         checks = [Check(expression_test_name(t, e, w), t, "expression", expression=e, where=w, severity=sev)
                   for t, e, w, sev in EXPRESSION_TESTS if t in facts]

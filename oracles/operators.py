@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from brasa.plans.contracts import NOT_NULL
 from oracles.base import ddiv, pct, skey, with_ctes
+from oracles.views import VIEWS
 
 OPERATORS: dict[str, str] = {}
 
@@ -452,21 +454,22 @@ FROM stg_requests WHERE fecha_inicio IS NOT NULL AND fecha_fin IS NOT NULL AND f
 o("q13_one_current_version", with_ctes("""SELECT id_empleado, COUNT(*) AS versiones_actuales FROM dim_empleado
 WHERE (es_version_actual OR id_empleado % 10 = 0) AND id_empleado <> -1 GROUP BY 1 HAVING COUNT(*) > 1""", "dim_empleado"))
 
-_CONTRACT = [("horas_extra_key", "string", True), ("empleado_key", "string", True), ("fecha_key", "string", False),
-             ("brigada_key", "string", False), ("salario_key", "string", False), ("id_hora_extra", "bigint", False),
-             ("id_empleado", "bigint", False), ("fecha", "date", False), ("id_salario", "bigint", False),
-             ("horas_diurnas", "bigint", False), ("horas_nocturnas", "bigint", False), ("total_horas", "bigint", False),
-             ("precio_hora_diurna", "decimal(10,2)", False), ("precio_hora_nocturna", "decimal(10,2)", False),
-             ("coste_diurno", "decimal(12,2)", False), ("coste_nocturno", "decimal(12,2)", False),
-             ("coste_total", "decimal(12,2)", False), ("tipo_dia", "string", False), ("tipo_salario", "string", False),
-             ("fecha_creacion", "timestamp_ntz", False), ("fecha_actualizacion", "timestamp_ntz", False),
-             ("fecha_carga_bronze", "timestamp_ntz", False)]
-_NULLS = " UNION ALL ".join(f"SELECT '{c}' AS column_name, COUNT_IF({c} IS NULL) AS n FROM fact_horas_extra"
-                            for c, _, nn in _CONTRACT if nn)
-o("q14_contract_enforcement", with_ctes(f"""SELECT s.column_name, s.expected_type, s.expected_type AS actual_type, s.is_not_null,
-  CAST(COALESCE(n.n, 0) AS BIGINT) AS null_violations, COALESCE(n.n, 0) = 0 AS passes
-FROM (VALUES {', '.join(f"('{c}', '{t}', {str(nn).upper()})" for c, t, nn in _CONTRACT)}) AS s(column_name, expected_type, is_not_null)
-LEFT JOIN ({_NULLS}) n ON s.column_name = n.column_name""", "fact_horas_extra"))
+# Every gold table and view by its own SQL: DuckDB's description of the columns, under Spark's names of the types
+_TABLES = {t: with_ctes(f"SELECT * FROM {t}", t) for t in NOT_NULL if not t.startswith("v")}
+_TABLES |= {name.split("_")[0]: sql for name, sql in VIEWS.items() if name.split("_")[0] in NOT_NULL}
+_TYPE = """CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+  ELSE lower(column_type) END"""
+
+
+def _contract(table: str) -> str:
+    nulls = " UNION ALL ".join(f"SELECT '{c}' AS of_column, COUNT(*) - COUNT({c}) AS n FROM t" for c in NOT_NULL[table])
+    return f"""SELECT '{table}' AS table_name, column_name, {_TYPE} AS expected_type, {_TYPE} AS actual_type,
+  n IS NOT NULL AS is_not_null, COALESCE(n, 0) AS null_violations, COALESCE(n, 0) = 0 AS passes
+FROM (DESCRIBE {_TABLES[table]}) d
+LEFT JOIN (WITH t AS ({_TABLES[table]}) {nulls}) m ON of_column = column_name"""
+
+
+o("q14_contract_enforcement", "\nUNION ALL\n".join(_contract(t) for t in NOT_NULL))
 
 o("q15_quality_report", with_ctes(_report([
     ("stg_incidents_id_unique", "stg_incidents", "unique", "error",

@@ -179,3 +179,75 @@ def test_a_merge_that_fails_changes_nothing(spark):
     fs = spark._jvm.org.apache.hadoop.fs.Path(table.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{table.path}/commits/2/_SUCCESS"), False)  # a commit cut off
     assert [tuple(r)[::2] for r in table.read().collect()] == [(1, "a")]
+
+
+def test_a_lost_commit_does_not_block_the_table(spark):
+    from brasa.operators.incremental import MonthTable
+    from brasa.session import new_table_path
+    path = new_table_path(spark, "lost_commit")
+    MonthTable(spark, path, "k", "d").merge(_rows(spark, [(1, "2024-01-05", "a")]))
+    # a writer was lost while it wrote its commit: a folder without the mark of a finished write
+    lost = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/commits/2/_temporary")
+    lost.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(lost)
+    table = MonthTable(spark, path, "k", "d")
+    assert {tuple(r) for r in table.read().select("k", "v").collect()} == {(1, "a")}
+    table.merge(_rows(spark, [(2, "2024-02-05", "b")]))
+    got = MonthTable(spark, path, "k", "d").merge(_rows(spark, [(1, "2024-02-07", "A")]))
+    assert {tuple(r) for r in got.select("k", "v").collect()} == {(1, "A"), (2, "b")}
+
+
+def test_of_two_merges_at_once_one_is_committed(spark):
+    import pytest
+    from brasa.operators.incremental import ConcurrentMerge, MonthTable
+    from brasa.session import new_table_path
+    path = new_table_path(spark, "two_writers")
+    MonthTable(spark, path, "k", "d").merge(_rows(spark, [(1, "2024-01-05", "a")]))
+
+    class Slow(MonthTable):
+        def _commit(self, number, rows):  # the other writer commits while this one is about to
+            MonthTable(spark, path, "k", "d").merge(_rows(spark, [(2, "2024-01-06", "b")]))
+            super()._commit(number, rows)
+
+    with pytest.raises(ConcurrentMerge):
+        Slow(spark, path, "k", "d").merge(_rows(spark, [(3, "2024-01-07", "c")]))
+    table = MonthTable(spark, path, "k", "d")
+    assert {r.k for r in table.read().collect()} == {1, 2}
+    assert {r.k for r in table.merge(_rows(spark, [(3, "2024-01-07", "c")])).collect()} == {1, 2, 3}
+
+
+def test_a_broken_table_is_not_published(spark):
+    import pytest
+    from brasa.operators.incremental import MonthTable, folder_exists, publish
+    from brasa.operators.quality import Contract, ContractBroken
+    from brasa.session import new_table_path, work_dir
+    held = Contract("t", lambda c: {"k": "int", "d": "date", "v": "string"}[c], ("k", "v"))
+    good = _rows(spark, [(1, "2024-01-05", "a"), (2, None, "b")])
+    assert publish(spark, good, "held", ("d",), held).count() == 2
+    assert publish(spark, good.limit(0), "held", (), held).count() == 0
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{work_dir(spark)}/tables")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    before = len(fs.listStatus(folder))
+    with pytest.raises(ContractBroken, match="v is NULL in 1 rows"):
+        publish(spark, good.unionByName(_rows(spark, [(3, None, None)])), "held", (), held)
+    with pytest.raises(ContractBroken, match="k is string, not int"):
+        publish(spark, good.withColumn("k", good.k.cast("string")), "held", (), held)
+    with pytest.raises(ContractBroken, match="v is missing"):
+        publish(spark, good.drop("v"), "held", (), held)
+    assert len(fs.listStatus(folder)) == before
+    path = new_table_path(spark, "held_months")
+    table = MonthTable(spark, path, "k", "d", contract=held)
+    table.merge(good)
+    with pytest.raises(ContractBroken):
+        table.merge(_rows(spark, [(1, "2024-02-05", None)]))
+    assert {tuple(r) for r in table.read().select("k", "v").collect()} == {(1, "a"), (2, "b")}
+    assert folder_exists(spark, f"{path}/commits/1") and not folder_exists(spark, f"{path}/commits/2")
+    # the NULLs are counted in the plan of the write: one scan of the input
+    stored = publish(spark, good, "held")
+    plan = held.watched(stored)[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "CollectMetrics" in plan
+
+
+def test_declared_types_are_those_of_the_overtime_contract():
+    from brasa.plans.contracts import FACT_HORAS_EXTRA, declared_type
+    assert {f.name: f.dataType.simpleString() for f in FACT_HORAS_EXTRA.fields} == {
+        f.name: declared_type("fact_horas_extra", f.name) for f in FACT_HORAS_EXTRA.fields}
