@@ -136,10 +136,15 @@ def _arrow(rows: list, schema: str) -> pa.RecordBatch:
 
 
 def _bounds(keys: DataFrame, ranges: int) -> list[tuple]:
-    """Keys that cut the order into ranges of about equal rows, out of a bounded sample (by the rows' hashes)."""
-    drawn = keys.orderBy(F.xxhash64(*KEY)).limit(SAMPLE * ranges).collect()
+    """Keys that cut the order into ranges of about equal rows, out of a sample of about SAMPLE rows a range.
+
+    The sample takes the rows whose hash is below a share of all hashes, so that a task sends no more than its part.
+    """
+    rows = keys.count()
+    share = min(1.0, SAMPLE * ranges / max(rows, 1))
+    drawn = keys.filter(F.pmod(F.xxhash64(*KEY), F.lit(1 << 52)) <= F.lit(int(share * (1 << 52)))).collect()
     ordered = sorted(tuple(r) for r in drawn)
-    return ordered[SAMPLE - 1::SAMPLE] if len(ordered) > SAMPLE else []
+    return ordered[SAMPLE - 1::SAMPLE][:MOST_RANGES]
 
 
 def _pair(one: tuple, two: tuple) -> tuple:
