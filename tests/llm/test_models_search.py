@@ -109,6 +109,20 @@ def test_noisy_or_is_the_product_over_sentences():
     assert model.score("A bad one. good! Badly") == pytest.approx(want)
 
 
+def test_judged_rows_name_what_locate_finds(spark, frame):
+    model = toxicity.Model({"bad$": 3.0, "bad-": 1.0}, -2.0, 0.1)
+    texts = [None, "", "A bad one. good! bad", "fine.", "first\nthen bad words. bad? bad"]
+    docs = frame(list(enumerate(texts)), "doc_id long, text string")
+    found = {}
+    for r in toxicity.locate(docs, model).collect():
+        found.setdefault(r["doc_id"], []).append(r["start"])
+    for r in toxicity.judged(docs, model).collect():
+        assert r["score"] == pytest.approx(model.score(texts[r["doc_id"]]))
+        places = found.get(r["doc_id"], [])
+        assert (r["n_offending"], r["first_offending"]) == (len(places), min(places, default=None))
+    assert toxicity.judged(docs.limit(0), model).collect() == []
+
+
 def test_query_op6_on_held_out_rows(spark):
     labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SF_CHECK}/labels.parquet").collect()}
     rows = toxicity.op6(spark, SF_CHECK).collect()
