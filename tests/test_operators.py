@@ -92,6 +92,33 @@ def test_rank_of_an_empty_table_and_names_that_clash(spark):
     assert add_ranks(df, [RankSpec("r", [Order("x")]), RankSpec("n", [Order("x")], ["g"], "row_number")]).collect() == []
 
 
+def test_ranks_of_an_input_that_differs_each_time(spark):
+    """The input is computed once: no row is lost, and ranks fit the values beside them."""
+    df = spark.range(2000).select("id", (F.rand() * 50).cast("int").alias("x"), F.rand().alias("y"))
+    rows = add_ranks(df, [RankSpec("r", [Order("x")]), RankSpec("n", [Order("y")], ["x"], "row_number")]).collect()
+    assert len(rows) == 2000
+    below = sorted(r.x for r in rows)
+    assert all(r.r == below.index(r.x) + 1 for r in rows)
+    for x in {r.x for r in rows}:
+        of_x = sorted((r.y, r.n) for r in rows if r.x == x)
+        assert [n for _, n in of_x] == list(range(1, len(of_x) + 1))
+
+
+def test_rank_of_a_row_repeated_many_times_and_clashing_names(spark):
+    df = spark.range(4000).selectExpr("1 as _row", "2 as _tie", "cast(null as int) as _range")
+    ranked = add_ranks(df, [RankSpec("r", [Order("_row")], ["_tie"]), RankSpec("n", [Order("_range")], ["_row"], "row_number")])
+    assert ranked.columns == ["_row", "_tie", "_range", "r", "n"]
+    rows = ranked.collect()
+    assert {r.r for r in rows} == {1} and sorted(r.n for r in rows) == list(range(1, 4001))
+
+
+def test_ranks_do_not_read_their_source_again(spark, tmp_path):
+    spark.range(100).selectExpr("id", "id % 7 as g").write.parquet(f"{tmp_path}/source")
+    source = spark.read.parquet(f"{tmp_path}/source")
+    ranked = add_ranks(source, [RankSpec("r", [Order("g")]), RankSpec("n", [Order("id", True)], ["g"], "row_number")])
+    assert f"{tmp_path}/source" not in ranked._jdf.queryExecution().executedPlan().toString()
+
+
 def test_quality_report_status(spark):
     df = spark.createDataFrame([(1, "a"), (1, None), (2, "z")], "k int, v string")
     checks = [Check("u", "t", "unique", column="k"), Check("nn", "t", "not_null", column="v", severity="warn"),
