@@ -507,6 +507,19 @@ def j7(spark, sf):
                           {"activos": F.lit(1)})
 
 
+@q("j7b_distinct_active_per_day")
+def j7b(spark, sf):
+    """Customers with an open order per day; a customer's orders overlap, and each customer counts once."""
+    from brasa.operators.intervals import distinct_active_per_day
+    key = F.col("o_orderkey")
+    o = T(spark, sf, "orders").select(
+        "o_custkey", "o_orderpriority", odate().alias("inicio"),
+        F.when(key % 6 == 0, F.lit(None).cast("date")).when(key % 23 == 0, F.date_sub(odate(), 2))
+        .otherwise(F.date_add(odate(), (key % 200).cast("int"))).alias("fin"))
+    return distinct_active_per_day(o, "o_custkey", "inicio", "fin", order_calendar(spark, sf), {
+        "clientes": F.lit(True), "clientes_urgentes": F.col("o_orderpriority") == "1-URGENT"})
+
+
 @q("j8_grand_total_share")
 def j8(spark, sf):
     l = T(spark, sf, "lineitem").select("l_returnflag", money("l_quantity").alias("q"))
@@ -950,6 +963,29 @@ def i4(spark, sf):
     return build_history([(df.select(*SNAPSHOT_COLS), at) for df, at in ex], "id_empleado", EMPLOYEE_CHECK_COLS)
 
 
+@q("i4b_history_at_once")
+def i4b(spark, sf):
+    """The employee history from all extracts in one shuffle; equal to i4."""
+    from brasa.plans.dimensions import EMPLOYEE_CHECK_COLS, SNAPSHOT_COLS
+    from brasa.operators.scd2 import history_at_once
+    ex = _wh(spark, sf).user_extracts()
+    return history_at_once([(df.select(*SNAPSHOT_COLS), at) for df, at in ex], "id_empleado", EMPLOYEE_CHECK_COLS)
+
+
+@q("i5b_many_extracts")
+def i5b(spark, sf):
+    """Two years of monthly customer extracts: customers come and go, change segment, and their balance moves."""
+    from brasa.operators.scd2 import history_at_once
+    key = F.col("c_custkey")
+    extracts = []
+    for n in range(24):
+        there = T(spark, sf, "customer").filter((key * 7 + F.floor((key + n) / 5)) % 6 != 0)
+        extracts.append((there.select(
+            "c_custkey", F.concat("c_mktsegment", (F.floor((key + n) / 9) % 2).cast("string")).alias("segmento"),
+            (key + n).cast("bigint").alias("saldo")), f"{2022 + n // 12}-{n % 12 + 1:02d}-01 00:00:00"))
+    return history_at_once(extracts, "c_custkey", ["segmento"])
+
+
 @q("i5_hard_delete")
 def i5(spark, sf):
     h = _wh(spark, sf).snp_empleado

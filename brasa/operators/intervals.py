@@ -8,7 +8,8 @@ afterwards, so neither its gaps nor its ends lose an interval.
 
 from __future__ import annotations
 
-from typing import Mapping
+from functools import reduce
+from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,3 +36,34 @@ def active_per_day(df: DataFrame, start: str, end: str, calendar: DataFrame, mea
     run = Window.orderBy(day_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return days.select(day_col, "_wanted", *[F.sum(F.coalesce(F.col(n), F.lit(0))).over(run).cast("bigint").alias(n)
                                              for n in measures]).filter("_wanted").drop("_wanted")
+
+
+def coalesced(df: DataFrame, ids: Sequence[str], start: str, end: str) -> DataFrame:
+    """The union of each id's day intervals as (ids, ``start``, ``end``): no two of them overlap or touch.
+
+    Rows are first reduced to the latest end for each id and first day, before the shuffle, so the running maximum of ends
+    goes over at most as many rows as an id has different first days, however often it is repeated.  An open end counts as
+    the first day alone; backwards intervals and those without a start or an id are left out.
+    """
+    first, last = F.col(start), F.coalesce(F.col(end), F.col(start))
+    known = reduce(lambda a, b: a & b, [F.col(i).isNotNull() for i in ids], first.isNotNull() & (last >= first))
+    spans = df.filter(known).groupBy(*ids, first.alias("_first")).agg(F.max(last).alias("_last"))
+    in_order = Window.partitionBy(*ids).orderBy("_first")
+    reach = F.max("_last").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    apart = F.coalesce((F.col("_first") > F.date_add(reach, 1)).cast("int"), F.lit(1))
+    islands = spans.withColumn("_apart", apart).withColumn("_island", F.sum("_apart").over(in_order))
+    return islands.groupBy(*ids, "_island").agg(F.min("_first").alias(start), F.max("_last").alias(end)).drop("_island")
+
+
+def distinct_active_per_day(df: DataFrame, id_col: str, start: str, end: str, calendar: DataFrame,
+                            measures: Mapping[str, Column], day_col: str = "fecha") -> DataFrame:
+    """Per calendar day, the different ids with an interval on it for which each condition holds: COUNT(DISTINCT id) exactly.
+
+    Unlike in ``active_per_day`` an id may have any number of intervals, overlapping ones too: for each measure an id's
+    intervals are united first, so every id counts once a day.  Nothing is expanded to days.
+    """
+    holds = F.filter(F.array(*[F.when(m, F.lit(n)) for n, m in measures.items()]), lambda n: n.isNotNull())
+    rows = df.select(F.col(id_col).alias("_id"), F.col(start).alias("_start"), F.col(end).alias("_end"),
+                     F.explode(holds).alias("_measure"))
+    return active_per_day(coalesced(rows, ["_measure", "_id"], "_start", "_end"), "_start", "_end", calendar,
+                          {n: (F.col("_measure") == n).cast("int") for n in measures}, day_col)

@@ -13,9 +13,10 @@ business key; closed versions pass through untouched.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brasa.functions.columns import ts_ntz
@@ -96,3 +97,40 @@ def build_history(extracts: Sequence[tuple[DataFrame, str]], key: str,
             from brasa.operators.incremental import publish
             history = publish(history.sparkSession, history, "scd2_history")
     return history
+
+
+def history_at_once(extracts: Sequence[tuple[DataFrame, str]], key: str, check_cols: Sequence[str]) -> DataFrame:
+    """The history of ``build_history`` from all extracts together: one shuffle on the key, however many extracts there are.
+
+    A key's rows in the order of the extracts are cut where a version opens (first seen, seen again after a gap, a check
+    column changed) and where the key is missing from the next extract; each cut is a row of the history, valid until the
+    next one.  A version and its deleted marker keep the values of the row that opened it.  The rows of one key are at most
+    as many as the extracts.  Keys are unique within an extract; rows without a key have no history and are left out.
+    """
+    times = [at for _, at in extracts]
+    if any(a >= b for a, b in zip(times, times[1:])):
+        raise ValueError("extracts must be in the order of their times")
+    attrs = extracts[0][0].columns
+    stacked = reduce(DataFrame.unionByName, [df.select(F.col(key).alias("_key"), F.struct(*attrs).alias("_row"), F.lit(n).alias("_n"))
+                                             for n, (df, _) in enumerate(extracts)]).filter(F.col("_key").isNotNull())
+    in_order = Window.partitionBy("_key").orderBy("_n")
+    checked = F.struct(*[F.col("_row")[c] for c in check_cols])
+    n, before = F.col("_n"), F.lag("_n").over(in_order)
+    opens = before.isNull() | (before < n - 1) | ~F.lag(checked).over(in_order).eqNullSafe(checked)
+    ends = (n < len(extracts) - 1) & ~F.lead("_n").over(in_order).eqNullSafe(n + 1)
+    cut = stacked.select("*", opens.alias("_opens"), ends.alias("_ends"))
+    opened = F.last(F.when(F.col("_opens"), F.col("_row")), ignorenulls=True).over(
+        in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    cut = cut.withColumn("_opened", opened).filter("_opens or _ends")
+
+    def event(at: Column, deleted: bool) -> Column:
+        return F.struct(F.get(F.array(*[ts_ntz(t) for t in times]), at).alias("at"), F.lit(deleted).alias("deleted"))
+
+    kinds = F.filter(F.array(F.when(F.col("_opens"), event(n, False)), F.when(F.col("_ends"), event(n + 1, True))),
+                     lambda e: e.isNotNull())
+    rows = cut.select("_key", "_opened", F.explode(kinds).alias("_event"))
+    at = F.col("_event.at")
+    until = F.lead(at).over(Window.partitionBy("_key").orderBy(at))
+    return rows.select(*[F.col("_opened")[c].alias(c) for c in attrs], scd_id(F.col("_key"), at).alias("dbt_scd_id"),
+                       at.alias("dbt_updated_at"), at.alias("dbt_valid_from"), until.alias("dbt_valid_to"),
+                       F.col("_event.deleted").alias("dbt_is_deleted"))

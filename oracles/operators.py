@@ -184,6 +184,15 @@ FROM orders WHERE o_orderstatus = 'F'"""
 o("j7_interval_calendar_join", f"""SELECT c.fecha, CAST(COUNT(i.o_orderkey) AS BIGINT) AS activos
 FROM ({_CAL}) c LEFT JOIN ({_IV}) i ON c.fecha BETWEEN i.inicio AND COALESCE(i.fin, i.inicio)
 GROUP BY c.fecha""")
+_OPEN = """SELECT o_custkey, o_orderpriority, CAST(o_orderdate AS DATE) AS inicio,
+  CASE WHEN o_orderkey % 6 = 0 THEN NULL WHEN o_orderkey % 23 = 0 THEN CAST(o_orderdate AS DATE) - 2
+       ELSE CAST(o_orderdate AS DATE) + CAST(o_orderkey % 200 AS INTEGER) END AS fin FROM orders"""
+o("j7b_distinct_active_per_day", f"""SELECT c.fecha, COUNT(DISTINCT i.o_custkey) AS clientes,
+  COUNT(DISTINCT CASE WHEN i.o_orderpriority = '1-URGENT' THEN i.o_custkey END) AS clientes_urgentes
+FROM ({_CAL}) c LEFT JOIN (
+  SELECT o_custkey, o_orderpriority, CAST(UNNEST(generate_series(CAST(inicio AS TIMESTAMP), CAST(COALESCE(fin, inicio) AS TIMESTAMP),
+         INTERVAL 1 DAY)) AS DATE) AS fecha FROM ({_OPEN}) WHERE COALESCE(fin, inicio) >= inicio) i ON c.fecha = i.fecha
+GROUP BY c.fecha""")
 o("j8_grand_total_share", f"""SELECT l_returnflag, CAST(SUM(q) AS DECIMAL(28,2)) AS cantidad,
   {pct('SUM(q)', 't.total', 2, 2)} AS pct_sobre_total
 FROM (SELECT l_returnflag, {m('l_quantity')} AS q FROM lineitem)
@@ -348,6 +357,21 @@ o("i2_upsert_by_key", _SPLIT + "SELECT * FROM tg WHERE id_pedido NOT IN (SELECT
 o("i3_append_new_columns", _SPLIT + "SELECT * REPLACE (CAST(NULL AS VARCHAR) AS prioridad) FROM tg "
                                     "WHERE id_pedido NOT IN (SELECT id_pedido FROM dl) UNION ALL SELECT * FROM dl")
 o("i4_scd2_check_columns", with_ctes("SELECT * FROM snp_empleado", "snp_empleado"))
+o("i4b_history_at_once", with_ctes("SELECT * FROM snp_empleado", "snp_empleado"))
+o("i5b_many_extracts", """WITH months AS (
+  SELECT c_custkey, n, (c_custkey * 7 + (c_custkey + n) // 5) % 6 <> 0 AS present,
+    c_mktsegment || CAST(((c_custkey + n) // 9) % 2 AS VARCHAR) AS segmento, CAST(c_custkey + n AS BIGINT) AS saldo,
+    TIMESTAMP '2022-01-01 00:00:00' + to_months(CAST(n AS INTEGER)) AS t
+  FROM customer, range(24) m(n)),
+states AS (SELECT *, LAG(present, 1, FALSE) OVER w AS was, LAG(segmento) OVER w AS old FROM months WINDOW w AS (PARTITION BY c_custkey ORDER BY n)),
+changes AS (SELECT *, present AND (NOT was OR segmento <> old) AS opens FROM states
+            WHERE (present AND (NOT was OR segmento <> old)) OR (was AND NOT present))
+SELECT c_custkey,
+  LAST_VALUE(CASE WHEN opens THEN segmento END IGNORE NULLS) OVER (PARTITION BY c_custkey ORDER BY n) AS segmento,
+  LAST_VALUE(CASE WHEN opens THEN saldo END IGNORE NULLS) OVER (PARTITION BY c_custkey ORDER BY n) AS saldo,
+  md5(CAST(c_custkey AS VARCHAR) || '|' || strftime(t, '%Y-%m-%d %H:%M:%S')) AS dbt_scd_id,
+  t AS dbt_updated_at, t AS dbt_valid_from, LEAD(t) OVER (PARTITION BY c_custkey ORDER BY n) AS dbt_valid_to,
+  NOT opens AS dbt_is_deleted FROM changes""")
 o("i5_hard_delete", with_ctes("""SELECT id_empleado, puesto, dbt_valid_from, dbt_valid_to, dbt_is_deleted FROM snp_empleado
 WHERE id_empleado IN (SELECT id_empleado FROM snp_empleado WHERE dbt_is_deleted)""", "snp_empleado"))
 o("i6_history_bootstrap", with_ctes("""SELECT *, md5(CAST(id_empleado AS VARCHAR) || '|1900-01-01 00:00:00') AS dbt_scd_id,

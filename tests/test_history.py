@@ -108,3 +108,59 @@ def test_asof_on_version_bounds(spark):
         .withColumn("d", F.col("d").cast("date"))
     got = {r.n: r.k for r in asof_join(facts, versions, "id", "d", "k").collect()}
     assert got == {1: "v1", 2: "v2", 3: "v2", 4: "v3", 5: "v1"}
+
+
+def _state(spark, n, keys=40):
+    """Extract n: keys come, go and come back; puesto changes now and then (NULL among its values); vacaciones always."""
+    rows = [(k, [None, "A", "B"][(k + n // 3) % 3], n) for k in range(keys) if (k * 5 + n // 2) % 4]
+    return spark.createDataFrame(rows, SCHEMA), f"2024-01-{n + 1:02d} 00:00:00"
+
+
+def test_history_at_once_equals_the_fold(spark):
+    from brasa.operators.scd2 import history_at_once
+    extracts = [_state(spark, n) for n in range(9)]
+    extracts.append((extracts[0][0].limit(0), "2024-02-01 00:00:00"))       # everything vanishes
+    extracts.append((extracts[3][0], "2024-02-02 00:00:00"))                # and some come back
+    fold = build_history(extracts, "id_empleado", ["puesto"], materialize_every=4)
+    at_once = history_at_once(extracts, "id_empleado", ["puesto"])
+    assert at_once.columns == fold.columns
+    assert sorted(map(repr, at_once.collect())) == sorted(map(repr, fold.collect()))
+
+
+def test_history_at_once_of_a_hundred_extracts_is_one_shuffle(spark):
+    from brasa.operators.scd2 import history_at_once
+    base = spark.range(30).select(F.col("id").alias("id_empleado"))
+    extracts = [(base.filter((F.col("id_empleado") + n // 7) % 5 != 0).select("id_empleado", F.lit(str(n // 30)).alias("puesto")),
+                 f"{1950 + n}-01-01 00:00:00") for n in range(100)]
+    history = history_at_once(extracts, "id_empleado", ["puesto"])
+    assert history._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    want = []
+    for k in range(30):
+        open_ = None
+        for n in range(100):
+            there, post = (k + n // 7) % 5 != 0, str(n // 30)
+            if there and open_ != post:
+                want.append((k, post, 1950 + n, False))
+                open_ = post
+            elif not there and open_ is not None:
+                want.append((k, open_, 1950 + n, True))
+                open_ = None
+    rows = history.collect()
+    assert sorted((r.id_empleado, r.puesto, r.dbt_valid_from.year, r.dbt_is_deleted) for r in rows) == sorted(want)
+    by_key = {}
+    for r in sorted(rows, key=lambda r: (r.id_empleado, r.dbt_valid_from)):
+        if r.id_empleado in by_key:
+            assert by_key[r.id_empleado] == r.dbt_valid_from
+        by_key[r.id_empleado] = r.dbt_valid_to
+    assert set(by_key.values()) == {None}
+
+
+def test_history_at_once_without_rows_or_keys_and_out_of_order(spark):
+    import pytest
+    from brasa.operators.scd2 import history_at_once
+    empty = spark.createDataFrame([], SCHEMA)
+    assert history_at_once([(empty, T1), (empty, T2)], "id_empleado", ["puesto"]).collect() == []
+    keyless = spark.createDataFrame([(None, "A", 1), (1, "A", 1)], SCHEMA)
+    assert [r.id_empleado for r in history_at_once([(keyless, T1)], "id_empleado", ["puesto"]).collect()] == [1]
+    with pytest.raises(ValueError):
+        history_at_once([(empty, T2), (empty, T1)], "id_empleado", ["puesto"])

@@ -23,6 +23,30 @@ def test_active_per_day_matches_expansion(spark):
     assert [r.n for r in active_per_day(wide, "s", "e", some, {"n": F.lit(1)}).collect()] == [1, 1]
 
 
+def test_distinct_active_per_day_counts_an_id_once(spark):
+    from datetime import date, timedelta
+    from brasa.operators.intervals import coalesced, distinct_active_per_day
+    day = lambda n: date(2020, 1, 1) + timedelta(n)
+    # inside another, touching, equal, open, backwards, without a start, without an id, and apart
+    rows = [(1, 0, 9, "a"), (1, 2, 4, "b"), (1, 10, 12, "a"), (1, 20, 21, "b"), (2, 5, 5, "a"), (2, 5, 8, "a"), (2, 5, 8, "a"),
+            (3, 7, None, "b"), (4, 9, 3, "a"), (5, None, 4, "a"), (None, 1, 30, "a")]
+    rows += [(6, i % 17, i % 17 + i % 5, "ab"[i % 2]) for i in range(300)]
+    df = spark.createDataFrame([(i, None if s is None else day(s), None if e is None else day(e), k) for i, s, e, k in rows],
+                               "id int, s date, e date, k string")
+    cal = dim_time(spark, "2020-01-01", "2020-02-01").select(F.col("date_day").alias("fecha"))
+    got = {r.fecha: (r.n, r.b) for r in distinct_active_per_day(df, "id", "s", "e", cal, {
+        "n": F.lit(True), "b": F.col("k") == "b"}).collect()}
+
+    def ids(d, kinds):
+        return len({i for i, s, e, k in rows if i is not None and s is not None and k in kinds
+                    and day(s) <= d <= day(s if e is None else e)})
+
+    assert got == {d: (ids(d, "ab"), ids(d, "b")) for d in got} and len(got) == 31
+    united = coalesced(df.filter("id <= 2"), ["id"], "s", "e")
+    assert sorted(((r.id, r.s, r.e) for r in united.collect())) == [
+        (1, day(0), day(12)), (1, day(20), day(21)), (2, day(5), day(8))]
+
+
 def test_upsert_and_new_columns(spark):
     target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     delta = spark.createDataFrame([(2, "B", 1), (3, "c", 2)], "k int, v string, extra int")
