@@ -481,6 +481,16 @@ def j5(spark, sf):
     return asof_join(o, dim, "o_custkey", "fecha", "empleado_key").select("o_orderkey", "fecha", "empleado_key")
 
 
+@q("j5b_asof_by_order")
+def j5b(spark, sf):
+    """j5 by merging orders and versions in order of time."""
+    from brasa.operators.asof import asof_by_order
+    from brasa.registry import warehouse
+    dim = warehouse(spark, sf).dim_empleado
+    o = _shifted_orders(spark, sf)
+    return asof_by_order(o, dim, "o_custkey", "fecha", "empleado_key").select("o_orderkey", "fecha", "empleado_key")
+
+
 @q("j6_role_playing_asof")
 def j6(spark, sf):
     from brasa.registry import warehouse
@@ -652,6 +662,22 @@ def a7(spark, sf):
     return T(spark, sf, "lineitem").groupBy("l_returnflag").agg(F.count_distinct("l_partkey").alias("partes"))
 
 
+@q("a7b_distinct_by_period")
+def a7b(spark, sf):
+    """Different users per day, month and quarter, by event type and over all types, from one stored table of bitmaps."""
+    from brasa.operators.distinct import distinct_ids, id_bitmaps, united
+    by = ["event_type"]
+    days = inc.publish(spark, id_bitmaps(T(spark, sf, "events"), "user_id", F.to_date("ts"), by), "user_bitmaps")
+    periods = {"dia": F.col("dia"), "mes": F.trunc("dia", "month"), "trimestre": F.trunc("dia", "quarter")}
+    counts = []
+    for grain, period in periods.items():
+        typed = united(days, period, by) if grain != "dia" else days
+        counts.append(distinct_ids(typed, "usuarios", by).withColumn("grano", F.lit(grain)))
+        counts.append(distinct_ids(united(days, period), "usuarios").withColumns(
+            {"grano": F.lit(grain), "event_type": F.lit("todos")}))
+    return reduce(DataFrame.unionByName, counts).select("grano", F.col("dia").alias("periodo"), "event_type", "usuarios")
+
+
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 

@@ -18,7 +18,7 @@ that makes broadcasting them safe - and their fact rows are spread over
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -72,3 +72,42 @@ def _salted(facts: DataFrame, v: DataFrame, fact_id: str, out: str, cond, hot_sh
                                                  .otherwise(F.array(F.lit(0)))))
           .drop("_hid", "_hot"))
     return f, vv, cond & (F.col(f"_{out}_salt") == F.col(f"_{out}_vsalt"))
+
+
+def asof_by_order(facts: DataFrame, versions: DataFrame, fact_id: str, fact_date: str, out: str, *,
+                  version_id: str = "id_empleado", version_key: str = "empleado_key",
+                  valid_from: str = "fecha_inicio_validez", valid_to: str = "fecha_fin_validez",
+                  default: str | None = "-1") -> DataFrame:
+    """``asof_join`` for ids with very many versions: the two sides are merged in order of time instead of compared.
+
+    The different (id, date) pairs of the facts and the starts of the versions are put into one order of time for each id;
+    a pair takes the last version before it.  An id's time is cut into months, ordered apart, and the version that is
+    open when a month ends is carried on to the following ones.  The pairs' answers go back to the facts by an equi-join on
+    (id, date), so no fact meets more than one row, however many versions its id has.  Versions of one id don't overlap;
+    those that end before or when they begin are never valid.  Misses as in ``asof_join``.
+    """
+    at = lambda c: F.col(c).cast("timestamp_ntz")
+    able = F.col(fact_id).isNotNull() & F.col(fact_date).isNotNull()
+    valid = F.col(version_id).isNotNull() & (F.col(valid_to).isNull() | (F.col(valid_from) < F.col(valid_to)))
+    starts = versions.filter(valid & F.col(valid_from).isNotNull()).select(
+        F.col(version_id).alias("_id"), at(valid_from).alias("_at"), F.lit(True).alias("_starts"),
+        F.struct(at(valid_to).alias("to"), F.col(version_key).alias("key")).alias("_version"))
+    pairs = facts.filter(able).select(F.col(fact_id).alias("_id"), at(fact_date).alias("_at")).distinct().withColumns(
+        {"_starts": F.lit(False), "_version": F.lit(None).cast(starts.schema["_version"].dataType)})
+    merged = starts.unionByName(pairs).withColumn("_month", F.trunc(F.to_date("_at"), "month"))
+    in_month = Window.partitionBy("_id", "_month").orderBy("_at", F.col("_starts").desc())
+    so_far = F.last("_version", ignorenulls=True).over(in_month.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    asked = merged.withColumn("_own", so_far).filter(~F.col("_starts"))
+    months = merged.groupBy("_id", "_month").agg(F.max_by("_version", F.when(F.col("_starts"), F.col("_at"))).alias("_closing"))
+    earlier = Window.partitionBy("_id").orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
+    months = months.select("_id", "_month", F.last("_closing", ignorenulls=True).over(earlier).alias("_carried"))
+    found = asked.join(months, ["_id", "_month"]).withColumn("_found", F.coalesce("_own", "_carried"))
+    found = found.filter(F.col("_found.to").isNull() | (F.col("_at") < F.col("_found.to"))).select(
+        F.col("_id").cast("string").alias(f"_{out}_vby"), F.col("_at").alias(f"_{out}_at"), F.col("_found.key").alias(f"_{out}_key"))
+    # a fact without id or date matches nothing: it gets a place of its own in the shuffle, not that of NULL
+    by = F.when(able, F.col(fact_id).cast("string")).otherwise(
+        F.concat(F.lit("~"), F.xxhash64(*[F.col(c) for c in facts.columns]).cast("string")))
+    joined = facts.withColumn(f"_{out}_by", by).join(
+        found, (F.col(f"_{out}_by") == F.col(f"_{out}_vby")) & (at(fact_date) == F.col(f"_{out}_at")), "left")
+    key = F.col(f"_{out}_key")
+    return joined.select(*[c for c in facts.columns if c != out], (key if default is None else F.coalesce(key, F.lit(default))).alias(out))

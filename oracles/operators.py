@@ -172,6 +172,8 @@ def _asof(alias: str, fid: str, fdate: str) -> str:
 
 o("j5_asof_join", with_ctes(f"""SELECT x.o_orderkey, x.fecha, COALESCE(de.empleado_key, '-1') AS empleado_key
 FROM ({_SHIFT}) x {_asof('de', 'x.o_custkey', 'x.fecha')}""", "dim_empleado"))
+o("j5b_asof_by_order", with_ctes(f"""SELECT x.o_orderkey, x.fecha, COALESCE(de.empleado_key, '-1') AS empleado_key
+FROM ({_SHIFT}) x {_asof('de', 'x.o_custkey', 'x.fecha')}""", "dim_empleado"))
 o("j6_role_playing_asof", with_ctes(f"""SELECT x.o_orderkey, COALESCE(dc.empleado_key, '-1') AS creador_key,
   CASE WHEN x.fecha_revision IS NOT NULL THEN COALESCE(dr.empleado_key, '-1') END AS revisor_key
 FROM (SELECT *, (o_custkey * 7 + 3) % (SELECT COUNT(*) FROM customer) AS revisor,
@@ -249,6 +251,12 @@ o("a5_count_if", """SELECT o_orderpriority, CAST(COUNT_IF(o_orderstatus = 'F') A
 FROM orders GROUP BY o_orderpriority""")
 o("a6_count_via_null", "SELECT o_orderpriority, COUNT(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS cerrados FROM orders GROUP BY 1")
 o("a7_count_distinct", "SELECT l_returnflag, COUNT(DISTINCT l_partkey) AS partes FROM lineitem GROUP BY 1")
+o("a7b_distinct_by_period", """WITH e AS (SELECT CAST(ts AS DATE) AS d, event_type, user_id FROM events),
+p AS (SELECT 'dia' AS grano, d AS periodo, event_type, user_id FROM e
+      UNION ALL SELECT 'mes', CAST(date_trunc('month', d) AS DATE), event_type, user_id FROM e
+      UNION ALL SELECT 'trimestre', CAST(date_trunc('quarter', d) AS DATE), event_type, user_id FROM e)
+SELECT grano, periodo, event_type, COUNT(DISTINCT user_id) AS usuarios FROM p GROUP BY 1, 2, 3
+UNION ALL SELECT grano, periodo, 'todos', COUNT(DISTINCT user_id) FROM p GROUP BY 1, 2""")
 o("a8_many_conditional_distinct", f"""SELECT CAST(ts AS DATE) AS dia, COUNT(DISTINCT user_id) AS usuarios,
   {', '.join(f"COUNT(DISTINCT CASE WHEN event_type = '{t}' THEN user_id END) AS usuarios_{t}" for t in ('click', 'error', 'purchase', 'signup', 'view'))}
 FROM events GROUP BY 1""")

@@ -164,3 +164,43 @@ def test_history_at_once_without_rows_or_keys_and_out_of_order(spark):
     assert [r.id_empleado for r in history_at_once([(keyless, T1)], "id_empleado", ["puesto"]).collect()] == [1]
     with pytest.raises(ValueError):
         history_at_once([(empty, T2), (empty, T1)], "id_empleado", ["puesto"])
+
+
+def _versions(spark, rows):
+    return spark.createDataFrame(rows, "empleado_key string, id_empleado bigint, f string, t string").select(
+        "empleado_key", "id_empleado", F.col("f").cast("timestamp_ntz").alias("fecha_inicio_validez"),
+        F.col("t").cast("timestamp_ntz").alias("fecha_fin_validez"))
+
+
+def test_asof_by_order_equals_the_join(spark):
+    from brasa.operators.asof import asof_by_order
+    versions = _versions(spark, [
+        ("a", 1, "1900-01-01 00:00:00", "2024-03-01 10:00:00"), ("b", 1, "2024-03-01 10:00:00", "2024-03-05 00:00:00"),
+        ("c", 1, "2024-03-20 00:00:00", "2024-05-02 00:00:00"),         # a gap before it
+        ("never", 1, "2024-05-02 00:00:00", "2024-05-02 00:00:00"), ("d", 1, "2024-05-02 00:00:00", None),
+        ("e", 2, "2024-02-10 00:00:00", None), ("lost", None, "1900-01-01 00:00:00", None)])
+    dates = ["1899-12-31", "1900-01-01", "2024-02-29", "2024-03-01", "2024-03-02", "2024-03-05", "2024-03-19", "2024-03-20",
+             "2024-04-15", "2024-05-01", "2024-05-02", "2031-01-01", None]
+    rows = [(i, d, "x") for i in (1, 2, 3, None) for d in dates for _ in range(2)]
+    facts = spark.createDataFrame(rows, "id int, d string, _id string").withColumn("d", F.col("d").cast("date"))
+    for default in ("-1", None):
+        want = asof_join(facts, versions, "id", "d", "k", default=default)
+        got = asof_by_order(facts, versions, "id", "d", "k", default=default)
+        assert got.columns == want.columns
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert asof_by_order(facts.limit(0), versions, "id", "d", "k").collect() == []
+    assert {r.k for r in asof_by_order(facts, versions.limit(0), "id", "d", "k").collect()} == {"-1"}
+
+
+def test_asof_by_order_of_an_id_with_a_hundred_thousand_versions(spark):
+    from brasa.operators.asof import asof_by_order
+    n = 100_000                                                          # a version each hour
+    hour = lambda i: F.timestamp_add("HOUR", i, F.lit("2000-01-01 00:00:00").cast("timestamp_ntz"))
+    versions = spark.range(n).select(F.col("id").cast("string").alias("empleado_key"), F.lit(7).alias("id_empleado"),
+                                     hour(F.col("id").cast("int")).alias("fecha_inicio_validez"),
+                                     hour((F.col("id") + 1).cast("int")).alias("fecha_fin_validez"))
+    facts = spark.range(200_000).select("id", F.lit(7).alias("emp"), F.timestamp_add(
+        "MINUTE", (F.col("id") * 31 % (n * 60)).cast("int"), F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")).alias("at"))
+    found = asof_by_order(facts, versions, "emp", "at", "k")
+    wrong = found.filter(F.col("k") != F.floor(F.col("id") * 31 % (n * 60) / 60).cast("string"))
+    assert wrong.count() == 0 and found.count() == 200_000
