@@ -697,6 +697,14 @@ def a9(spark, sf):
         F.median("l_quantity").cast("decimal(38,2)").alias("mediana_cantidad"))
 
 
+@q("a9b_median_by_selection")
+def a9b(spark, sf):
+    """The median price of each supplier's lines, by selection in passes."""
+    from brasa.operators.selection import exact_medians
+    l = T(spark, sf, "lineitem").select("l_suppkey", money("l_extendedprice").alias("importe"))
+    return exact_medians(l, ["l_suppkey"], "importe", "mediana")
+
+
 @q("a10_sample_stddev")
 def a10(spark, sf):
     o = T(spark, sf, "orders")

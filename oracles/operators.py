@@ -261,6 +261,9 @@ o("a8_many_conditional_distinct", f"""SELECT CAST(ts AS DATE) AS dia, COUNT(DIST
   {', '.join(f"COUNT(DISTINCT CASE WHEN event_type = '{t}' THEN user_id END) AS usuarios_{t}" for t in ('click', 'error', 'purchase', 'signup', 'view'))}
 FROM events GROUP BY 1""")
 o("a9_exact_median", "SELECT l_returnflag, CAST(MEDIAN(l_quantity) AS DECIMAL(38,2)) AS mediana_cantidad FROM lineitem GROUP BY 1")
+o("a9b_median_by_selection", f"""SELECT l_suppkey,
+  CAST(CAST(MEDIAN(CAST({m('l_extendedprice')} * 100 AS BIGINT)) * 10 AS BIGINT) * CAST(0.001 AS DECIMAL(4,3)) AS DECIMAL(38,3)) AS mediana
+FROM lineitem GROUP BY 1""")
 o("a10_sample_stddev", """SELECT o_orderpriority, o_orderstatus,
   CAST(ROUND(STDDEV_SAMP(CAST(o_orderkey % 97 AS DOUBLE)), 2) AS DECIMAL(38,2)) AS desviacion FROM orders GROUP BY 1, 2""")
 o("a11_ordered_distinct_list", """SELECT o_custkey, COALESCE(STRING_AGG(DISTINCT p, ', ' ORDER BY p), '') AS prioridades,
