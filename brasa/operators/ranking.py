@@ -105,8 +105,9 @@ def _with_range(keyed: DataFrame, order: Sequence[Order], sample: DataFrame | No
         return boundary.isNotNull() & out
 
     halves = F.array(*[F.lit(2 ** s) for s in reversed(range(steps))])
-    search = F.aggregate(halves, F.lit(0), lambda at, half: F.when(
-        passed(F.get(F.col("_cuts"), at + half - 1)), at + half).otherwise(at))
+    # the boundary is named once, as each mention of it plans the subquery again
+    search = F.aggregate(halves, F.lit(0), lambda at, half: at + F.when(
+        F.exists(F.array(F.get(F.col("_cuts"), at + half - 1)), passed), half).otherwise(0))
     return keyed.withColumn("_key", key).withColumn("_cuts", boundaries).withColumn("_range", search).drop("_key", "_cuts")
 
 
