@@ -81,6 +81,20 @@ def s3b(spark, sf):
     return freshness_of_all(_wh(spark, sf).bronze, "2026-10-15", disabled=("shift_change_requests",))
 
 
+@q("s3c_freshness_from_footers")
+def s3c(spark, sf):
+    """The checks of s3 on a stored table, whose newest load time and row count come from the files' footers."""
+    from brasa.session import new_table_path
+    from brasa.sources.footers import footer_extremes, marked_time, with_mark
+    path = new_table_path(spark, "s3c_events")
+    with_mark(T(spark, sf, "events"), "ts", "marca").write.parquet(path)
+    ends = footer_extremes(spark, [path], ["marca"])
+    ends = spark.range(1).select(*[ends.select(c).scalar().alias(c) for c in ("n", "max_marca")])
+    rows = ends.select(F.col("n").alias("filas"), marked_time(F.col("max_marca")).alias("ts"))
+    return reduce(DataFrame.unionByName, [
+        freshness(rows, "ts", as_of).withColumn("filas", rows.select("filas").scalar()) for as_of in ("2024-02-15", "2024-03-15", "2024-06-01")])
+
+
 @q("s4_view_sink")
 def s4(spark, sf):
     typed_orders(spark, sf).createOrReplaceTempView("brasa_pedidos")
@@ -436,6 +450,18 @@ def j2(spark, sf):
         F.sum(money("l_quantity")).cast("decimal(28,2)").alias("cantidad"), F.count(F.lit(1)).alias("lineas"))
 
 
+@q("j2b_colocated_join")
+def j2b(spark, sf):
+    """j2 with fact and dimension stored in buckets of the key: the join moves no fact row."""
+    from brasa.operators.colocated import BucketedFact, bucketed
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    l = T(spark, sf, "lineitem").select(surrogate_key("l_partkey").alias("parte_key"), "l_quantity")
+    p = T(spark, sf, "part").select(surrogate_key("p_partkey").alias("parte_key"), "p_brand")
+    fact = BucketedFact(spark, l, "j2b_lines", "parte_key", n)
+    return fact.left_join(bucketed(spark, p, "j2b_parts", "parte_key", n)).groupBy("p_brand").agg(
+        F.sum(money("l_quantity")).cast("decimal(28,2)").alias("cantidad"), F.count(F.lit(1)).alias("lineas"))
+
+
 @q("j3_star_join")
 def j3(spark, sf):
     l = T(spark, sf, "lineitem")
@@ -977,6 +1003,19 @@ def i1(spark, sf):
     return delta.select("id_incidencia", "fecha_actualizacion")
 
 
+@q("i1b_lookback_from_footers")
+def i1b(spark, sf):
+    """i1 with the target's high-water mark from the footers of its files."""
+    from brasa.session import new_table_path
+    from brasa.sources.footers import newest_time, with_mark
+    w = _wh(spark, sf)
+    path = new_table_path(spark, "i1b_incidents")
+    with_mark(_initial_incidents(w), "fecha_actualizacion", "marca").write.parquet(path)
+    delta = inc.lookback_delta(w.stg("incidents"), spark.read.parquet(path), "fecha_actualizacion", days=7,
+                               newest=newest_time(spark, [path], "marca"))
+    return delta.select("id_incidencia", "fecha_actualizacion")
+
+
 @q("i2_upsert_by_key")
 def i2(spark, sf):
     target, delta = _orders_split(spark, sf)
@@ -1439,3 +1478,15 @@ def s6b(spark, sf):
     delta = inc.lookback_delta(w.stg("incidents"), first, "fecha_actualizacion", days=7)
     return inc.merge_partitioned(spark, path, w.fact_incidencias(delta), "incidencia_key", "fecha_incidencia",
                                  "fecha_actualizacion")
+
+
+@q("s6d_merge_with_key_filters")
+def s6d(spark, sf):
+    """The orders of the last 30 days are postponed by 40; filters of the months' keys say which months held them."""
+    from brasa.session import new_table_path
+    path = new_table_path(spark, "s6d_orders")
+    orders = typed_orders(spark, sf).select("id_pedido", "fecha", "importe")
+    inc.merge_partitioned(spark, path, orders, "id_pedido", "fecha", filtered=True)
+    last = orders.select(F.date_sub(F.max("fecha"), 30)).scalar()
+    late = orders.filter(F.col("fecha") > last).withColumn("fecha", F.date_add("fecha", 40))
+    return inc.merge_partitioned(spark, path, late, "id_pedido", "fecha", filtered=True)

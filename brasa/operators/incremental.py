@@ -7,11 +7,12 @@ from typing import Callable
 from uuid import uuid4
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from brasa.functions.columns import ts_ntz
+from brasa.operators.membership import key_filters, may_hold
 from brasa.operators.quality import Contract, ContractBroken
 from brasa.session import new_table_path
 
@@ -27,14 +28,17 @@ def high_water_mark(target: DataFrame, col: str, empty_default: str | None = EMP
 
 
 def lookback_delta(source: DataFrame, target: DataFrame | None, updated_col: str,
-                   days: int = 7, empty_default: str | None = EMPTY_TARGET_MARK) -> DataFrame:
+                   days: int = 7, empty_default: str | None = EMPTY_TARGET_MARK, newest: Column | None = None) -> DataFrame:
     """Source rows updated at or after (target high-water mark - days).
 
-    No target: everything.  Rows with a NULL update time never qualify.
+    No target: everything.  Rows with a NULL update time never qualify.  ``newest`` is the mark where it is known without
+    reading the target (``newest_time`` of its files' footers).
     """
     if target is None:
         return source
-    floor = high_water_mark(target, updated_col, empty_default) - F.make_dt_interval(F.lit(days))
+    mark = high_water_mark(target, updated_col, empty_default) if newest is None else (
+        F.coalesce(newest, ts_ntz(empty_default)) if empty_default is not None else newest)
+    floor = mark - F.make_dt_interval(F.lit(days))
     return source.filter(F.col(updated_col) >= floor)
 
 
@@ -149,12 +153,16 @@ class MonthTable:
     commit.  Nothing is overwritten, so a merge that fails half way leaves the table as it was, and the next one takes the
     number behind whatever it left.  Of two merges at once one is committed and the other raises ``ConcurrentMerge``.  Rows
     without a date have a period of their own.
+
+    With ``filtered``, a merge also writes a filter of each month's keys (``filters/brasa_version=V``), and rows that a delta
+    moves out of other months are looked for only in months whose filter may hold one of its keys, or that have no filter.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: str, date_col: str, newest: str | None = None,
-                 contract: Contract | None = None):
+                 contract: Contract | None = None, filtered: bool = False):
         self.spark, self.path, self.key, self.date_col, self.newest = spark, path.rstrip("/"), key, date_col, newest
         self.contract = contract  # held by the rows that a merge writes, before they are committed
+        self.filtered = filtered
 
     def _commits(self) -> list[int]:
         """The numbers of all commits that were begun in their place, finished or not."""
@@ -208,6 +216,26 @@ class MonthTable:
         months, columns = self._state()
         return None if columns is None else self._read(months, columns).drop(PERIOD_COL)
 
+    def _write_filters(self, version: str) -> None:
+        """Filters of the keys in the months that a merge has written; one read of their key column."""
+        rows = self.spark.read.parquet(f"{self.path}/data/{VERSION_COL}={version}")
+        rows = rows.select(self.key, F.col(PERIOD_COL).cast("string").alias(PERIOD_COL))
+        key_filters(rows, self.key, PERIOD_COL).write.parquet(f"{self.path}/filters/{VERSION_COL}={version}")
+
+    def months_to_search(self, keys: DataFrame, months: dict[str, str]) -> set[str]:
+        """Those of ``months`` (month: valid version) that may hold one of the keys; all of them without filters."""
+        if not self.filtered:
+            return set(months)
+        kept = {v: f"{self.path}/filters/{VERSION_COL}={v}" for v in set(months.values())}
+        kept = {v: path for v, path in kept.items() if folder_exists(self.spark, f"{path}/_SUCCESS")}
+        unknown = {m for m, v in months.items() if v not in kept}
+        if not kept:
+            return unknown
+        filters = self.spark.read.option("basePath", f"{self.path}/filters").parquet(*sorted(kept.values()))
+        valid = [F.concat_ws("/", F.lit(m), F.lit(v)) for m, v in sorted(months.items()) if v in kept]
+        filters = filters.filter(F.concat_ws("/", PERIOD_COL, VERSION_COL).isin(*valid)).drop(VERSION_COL)
+        return unknown | {r[0] for r in may_hold(filters, keys, self.key, PERIOD_COL).select(PERIOD_COL).distinct().collect()}
+
     def merge(self, delta: DataFrame) -> DataFrame:
         """Delta rows replace the rows with their keys, whatever month those lie in; new columns are appended."""
         number = max(self._commits(), default=0) + 1  # before the state is read: a later commit takes this number
@@ -221,7 +249,10 @@ class MonthTable:
         if columns is not None:
             if not touched:
                 return self.read()
-            table = self._read(months, columns)
+            others = {m: v for m, v in months.items() if m not in touched}
+            keys = incoming.select(F.col(self.key).cast(columns[self.key].dataType))  # hashes depend on the type
+            suspects = self.months_to_search(keys, others) if others else set()
+            table = self._read({m: v for m, v in others.items() if m in suspects}, columns)
             moved = table.select(self.key, PERIOD_COL).join(incoming.select(self.key), self.key, "left_semi")
             touched |= {r[0] for r in moved.select(PERIOD_COL).distinct().collect()}
             old = self._read({m: v for m, v in months.items() if m in touched}, columns)
@@ -242,6 +273,8 @@ class MonthTable:
             except ContractBroken:
                 fs.delete(folder, True)
                 raise
+        if self.filtered:
+            self._write_filters(version)
         names = [x.getPath().getName() for x in fs.listStatus(folder)]
         written = {n.split("=", 1)[1] for n in names if n.startswith(f"{PERIOD_COL}=")}
         valid = {m: v for m, v in months.items() if m not in touched} | {m: version for m in written}
@@ -249,7 +282,8 @@ class MonthTable:
         try:
             self._commit(number, listed)
         except ConcurrentMerge:
-            fs.delete(folder, True)  # what this merge wrote is in no commit
+            for written in ("data", "filters"):  # what this merge wrote is in no commit
+                fs.delete(_folder(self.spark, f"{self.path}/{written}/{VERSION_COL}={version}")[1], True)
             raise
         return self.read()
 
@@ -258,6 +292,6 @@ FILES_PER_MONTH = 8
 
 
 def merge_partitioned(spark: SparkSession, table_path: str, delta: DataFrame, key: str, date_col: str,
-                      newest: str | None = None) -> DataFrame:
+                      newest: str | None = None, filtered: bool = False) -> DataFrame:
     """MERGE ``delta`` into the month table at ``table_path`` (see ``MonthTable``) and read the table."""
-    return MonthTable(spark, table_path, key, date_col, newest).merge(delta)
+    return MonthTable(spark, table_path, key, date_col, newest, filtered=filtered).merge(delta)

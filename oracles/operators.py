@@ -669,3 +669,8 @@ o("q1b_gold_keys", with_ctes(" UNION ALL ".join(
 o("q4b_gold_references", with_ctes(" UNION ALL ".join(
     f"SELECT '{t}' AS child, '{c}' AS column_name, '{p}' AS parent, (SELECT COUNT(*) FROM {t} WHERE {c} IS NOT NULL "
     f"AND {c} NOT IN (SELECT {_GOLD[p]} FROM {p})) AS orphans" for t, points in _POINTS.items() for c, p in points.items()), *_GOLD))
+o("s3c_freshness_from_footers", f"SELECT f.*, (SELECT COUNT(*) FROM events) AS filas FROM ({OPERATORS['s3_source_freshness']}) f")
+o("j2b_colocated_join", OPERATORS["j2_fact_dimension_join"])
+o("i1b_lookback_from_footers", OPERATORS["i1_lookback_delta"])
+o("s6d_merge_with_key_filters", f"""SELECT id_pedido, CAST(fecha + IF(fecha > (SELECT MAX(fecha) FROM ({TYPED_ORDERS})) - 30, 40, 0) AS DATE) AS fecha, importe
+FROM ({TYPED_ORDERS})""")
