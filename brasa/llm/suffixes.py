@@ -18,7 +18,8 @@ before an anchor and ``LENGTH`` bytes from it on, which hold every window that h
 5.  Each text takes the union of its repeats.
 
 A key with more than ``SUFFIXES`` different surroundings is cut into chunks that meet pairwise, so that no task holds
-more than two of them; the union of the pairs' repeats covers the same bytes.
+more than two of them; the union of the pairs' repeats covers the same bytes.  Counting a key's surroundings is reduced
+before the shuffle, and a key with many of them is dealt by their hashes when the count goes back to them.
 
 Defined cases: null text is the empty text.  Texts shorter than ``LENGTH`` lose nothing.  Repeated rows are copies of each
 other, whatever their ids; null ids are kept.  Overlapping occurrences count.  Texts of any length are read in pieces.
@@ -45,6 +46,7 @@ from brasa.session import new_table_path
 LENGTH = 200
 KEY = 64
 SUFFIXES = 30_000
+SHARES = 4096  # a key with more than one share of all surroundings is dealt to several places
 PIECE = 1 << 18  # bytes that a task hashes at a time
 PLACE_BITS = 24
 
@@ -194,12 +196,12 @@ def maximal_repeats(groups: np.ndarray, rights: list[bytes], lefts: list[bytes],
 
 
 def _repeats(contexts: DataFrame, length: int, key: int, suffixes: int) -> DataFrame:
-    """Rows (h, c, l, depth) for contexts (h, c, n, right, left), one of each surroundings."""
-    sizes = contexts.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / F.lit(suffixes)).cast("int").alias("chunks"))
+    """Rows (h, c, l, depth) for contexts (h, c, n, kinds, right, left), one of each surroundings."""
     chunk = F.pmod(F.xxhash64("c"), F.col("chunks")).cast("int")
     meets = F.explode(F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda o: F.struct(
         F.least(o, "chunk").alias("low"), F.greatest(o, "chunk").alias("high"))))
-    dealt = contexts.join(sizes, "h").withColumn("chunk", chunk).withColumn("meet", meets).select(
+    chunks = F.ceil(F.col("kinds") / F.lit(suffixes)).cast("int")
+    dealt = contexts.withColumn("chunks", chunks).withColumn("chunk", chunk).withColumn("meet", meets).select(
         "h", F.col("meet.low").alias("low"), F.col("meet.high").alias("high"), "c", "n", "right", "left")
     array = dealt.repartition("h", "low", "high").sortWithinPartitions("h", "low", "high", "right")
 
@@ -230,8 +232,9 @@ def _repeats(contexts: DataFrame, length: int, key: int, suffixes: int) -> DataF
 
 
 def _contexts(texts: DataFrame, wanted: DataFrame, length: int, key: int) -> DataFrame:
-    """Rows (h, c, n, right, left): the bytes around each wanted (h, c, n, key, place)."""
-    by_text = wanted.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("place", "h", "c", "n"))).alias("wanted"))
+    """Rows (h, c, n, kinds, right, left): the bytes around each wanted (h, c, n, kinds, key, place)."""
+    by_text = wanted.groupBy("key").agg(
+        F.sort_array(F.collect_list(F.struct("place", "h", "c", "n", "kinds"))).alias("wanted"))
     reach = length - key
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,15 +242,30 @@ def _contexts(texts: DataFrame, wanted: DataFrame, length: int, key: int) -> Dat
             texts, lists = batch.column("text"), batch.column("wanted")
             for i in range(batch.num_rows):
                 data, each = texts[i].as_buffer().to_pybytes(), lists[i].values
-                place, h, c, n = (each.field(f) for f in ("place", "h", "c", "n"))
+                place, h, c, n, kinds = (each.field(f) for f in ("place", "h", "c", "n", "kinds"))
                 at = place.to_pylist()
                 yield pa.RecordBatch.from_arrays(
-                    [h, c, n, pa.array([data[p:p + length] for p in at], pa.binary()),
+                    [h, c, n, kinds, pa.array([data[p:p + length] for p in at], pa.binary()),
                      pa.array([data[max(0, p - reach):p][::-1] for p in at], pa.binary())],
-                    names=["h", "c", "n", "right", "left"])
+                    names=["h", "c", "n", "kinds", "right", "left"])
 
     return texts.select("key", F.col("text").cast("binary").alias("text")).join(by_text, "key").select(
-        "text", "wanted").mapInArrow(cut, "h long, c long, n long, right binary, left binary")
+        "text", "wanted").mapInArrow(cut, "h long, c long, n long, kinds long, right binary, left binary")
+
+
+def _with_kinds(around: DataFrame, open_: DataFrame) -> DataFrame:
+    """The surroundings (h, c, ...) of the keys in ``open_`` (h, kinds), with kinds, the number of their key's surroundings.
+
+    A key that has over 1 / ``SHARES`` of all surroundings is dealt by the surroundings' hash to so many places that none
+    has more.  There are at most ``SHARES`` such keys, so they are broadcast.
+    """
+    share = F.lit(around.count() // SHARES + 1)
+    places = F.ceil(F.col("kinds") / share).cast("int")
+    hot = F.broadcast(open_.filter(F.col("kinds") > share).select("h", places.alias("places")))
+    dealt = around.join(hot, "h", "left").withColumn(
+        "at", F.pmod(F.xxhash64("c"), F.coalesce("places", F.lit(1))).cast("int")).drop("places")
+    wide = open_.withColumn("at", F.explode(F.sequence(F.lit(0), places - 1)))
+    return dealt.join(wide, ["h", "at"]).drop("at")
 
 
 def _collected(spark: SparkSession) -> None:
@@ -277,13 +295,14 @@ def covered(spark: SparkSession, texts: DataFrame, length: int = LENGTH, key: in
     around, third = store(spark, occurrences.groupBy("h", "c").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "place")).alias("sample")), "surroundings")
     # bytes are needed where some surroundings of a key occur once and there are others
-    open_ = around.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).filter(
-        "kinds > 1 and least = 1").select("h")
-    wanted = around.join(open_, "h").select("h", "c", "n", "sample.key", "sample.place")
+    open_, kinds = store(spark, around.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).filter(
+        "kinds > 1 and least = 1").select("h", "kinds"), "kinds")
+    wanted = _with_kinds(around, open_).select("h", "c", "n", "kinds", "sample.key", "sample.place")
     contexts, fourth = store(spark, _contexts(texts, wanted, length, key), "contexts")
     _collected(spark)
     found, fifth = store(spark, _repeats(contexts, length, key, suffixes), "repeats")
-    drop_stored(spark, fourth)
+    for path in (kinds, fourth):
+        drop_stored(spark, path)
     whole = around.filter("n > 1").select("h", "c", F.lit(length - key).cast("long").alias("l"),
                                           F.lit(length).cast("long").alias("depth"))
     spans = occurrences.join(whole.unionByName(found), ["h", "c"]).select(

@@ -48,6 +48,19 @@ def test_removed_bytes(spark, frame, length, key, chunk):
     assert [tuple(r)[1:] for r in got] == expected(texts, length)
 
 
+@pytest.mark.parametrize("shares", [1, 7, 4096])
+def test_kinds_go_back_to_surroundings_of_hot_keys(spark, monkeypatch, shares):
+    monkeypatch.setattr(suffixes, "SHARES", shares)
+    rows = [(0 if i % 3 else i // 30, i, i % 5) for i in range(3000)]                 # one key has two thirds of the rows
+    around = spark.createDataFrame(rows, "h long, c long, n long")
+    open_ = around.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 5 and h % 2 = 0")
+    sizes = Counter(h for h, _, _ in rows)
+    got = suffixes._with_kinds(around, open_)
+    assert got.columns == ["h", "c", "n", "kinds"]
+    assert sorted(map(tuple, got.collect())) == sorted((*r, sizes[r[0]]) for r in rows if sizes[r[0]] > 5 and r[0] % 2 == 0)
+    assert suffixes._with_kinds(around.limit(0), open_.limit(0)).collect() == []
+
+
 def test_long_text_is_read_in_pieces(monkeypatch):
     rnd = np.random.default_rng(2)
     data = rnd.integers(97, 123, 9000).astype(np.uint8)
