@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brasa.operators.colocated import BucketedFact, bucketed
-from brasa.operators.incremental import MonthTable, lookback_delta, upsert
+from brasa.operators.incremental import MonthTable, lookback_delta, publish, upsert
 from brasa.operators.membership import key_filters, may_hold
 from brasa.session import new_table_path
 from brasa.sources.footers import footer_extremes, newest_time, with_mark
@@ -103,6 +103,15 @@ def test_filters_find_every_key_and_few_others(spark):
     assert may_hold(filters.limit(0), strangers, "k", "p").isEmpty()
 
 
+def test_keys_that_ask_many_periods_are_not_broadcast(spark):
+    """Each key becomes a row for every period, which the size of the keys' file says nothing of."""
+    rows = spark.range(4000).select("id", (F.col("id") % 80).cast("string").alias("p"))
+    filters = publish(spark, key_filters(rows, "id", "p"), "many_periods")
+    asked = may_hold(filters, publish(spark, spark.range(3000, 4200), "few_keys"), "id", "p")
+    assert "Broadcast" not in _plan(asked)
+    assert asked.join(rows, ["id", "p"]).count() == 1000 and asked.count() < 1010
+
+
 def test_merge_reads_keys_of_few_months(spark):
     first = date(2019, 1, 1)
     rows = spark.range(6000).select(F.col("id").alias("k"), F.add_months(F.lit(first), (F.col("id") % 60).cast("int")).alias("d"),
