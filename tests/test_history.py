@@ -204,3 +204,36 @@ def test_asof_by_order_of_an_id_with_a_hundred_thousand_versions(spark):
     found = asof_by_order(facts, versions, "emp", "at", "k")
     wrong = found.filter(F.col("k") != F.floor(F.col("id") * 31 % (n * 60) / 60).cast("string"))
     assert wrong.count() == 0 and found.count() == 200_000
+
+
+def test_asof_is_hashed_by_id_at_every_size(spark):
+    """Versions grow with the input: they are neither broadcast while they are few nor are facts sorted for them."""
+    facts = spark.sql("select id as n, id % 7 as id, date'2024-01-05' as d from range(20)")
+    versions = spark.sql("select id as id_empleado, concat('k', id) as empleado_key, timestamp_ntz'2024-01-01' as "
+                         "fecha_inicio_validez, cast(null as timestamp_ntz) as fecha_fin_validez from range(5)")
+    got = asof_join(facts, versions, "id", "d", "k")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Broadcast" not in plan
+    assert {(r.id, r.k) for r in got.collect()} == {(i, f"k{i}" if i < 5 else "-1") for i in range(7)}
+
+
+def test_only_resolved_incidents_are_looked_up_by_resolver(spark):
+    from brasa.functions.columns import ts_ntz
+    from brasa.plans.facts import fact_incidencias
+    from brasa.plans.staging import stg_incidents
+    rows = [(1, "resuelta", "2", "2026-01-03"), (2, "resuelta", "9", "2026-01-03"), (3, "resuelta", None, "2026-01-03"),
+            (4, "pendiente", "2", "2026-01-03"), (5, "resuelta", "2", None), (6, None, "2", "2026-01-03"), (6, None, "2", "2026-01-03")]
+    src = spark.createDataFrame(rows, "ID_INCIDENCIA bigint, ESTADO string, RESULTA_POR string, u string").select(
+        "ID_INCIDENCIA", "ESTADO", "RESULTA_POR", F.lit(1).alias("ID_EMPLEADO"), F.lit("vehiculo").alias("TIPO"),
+        F.lit("alto").alias("NIVEL"), F.lit("2026-01-02").cast("date").alias("FECHA"), F.lit(0).alias("ID_PARQUE"),
+        F.lit(None).cast("string").alias("MATRICULA"), F.lit(None).cast("string").alias("ID_EMPLEADO2"),
+        F.lit(None).cast("string").alias("EQUIPO"), F.lit(True).alias("LEIDO"), F.lit(None).cast("string").alias("NOMBRE_EQUIPO"),
+        ts_ntz("2026-01-02 00:00:00").alias("CREATED_AT"), F.col("u").cast("timestamp_ntz").alias("UPDATED_AT"),
+        ts_ntz("2026-02-01 00:00:00").alias("_LOADED_AT"))
+    versions = spark.sql("select id as id_empleado, concat('k', id) as empleado_key, timestamp_ntz'1900-01-01' as "
+                         "fecha_inicio_validez, cast(null as timestamp_ntz) as fecha_fin_validez from range(5)")
+    fact = fact_incidencias(stg_incidents(src), versions)
+    got = sorted((r.id_incidencia, r.empleado_creador_key, r.empleado_resolutor_key) for r in fact.collect())
+    assert got == [(1, "k1", "k2"), (2, "k1", "-1"), *[(i, "k1", None) for i in (3, 4, 5, 6, 6)]]
+    joins = fact._jdf.queryExecution().optimizedPlan().toString()
+    assert "UNION" in joins.upper() and joins.count("Join LeftOuter") == 2
