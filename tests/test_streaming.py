@@ -54,3 +54,21 @@ def test_stream_goes_on_after_a_restart(spark):
     assert {(r.k, r.v) for r in state.table().collect()} == want and state.table().count() == 4
     again = _start(spark, src, root)                       # nothing new
     assert {(r.k, r.v) for r in again.table().collect()} == want
+
+
+def test_files_of_an_arrival_are_one_batch(spark):
+    src = tempfile.mkdtemp(prefix="brasa-arrival-")
+    rows = [(i, f"2024-01-{i % 28 + 1:02d}", "a", "2024-02-01") for i in range(40)]
+    for n in range(2):
+        _arrive_in_files(spark, src, n, [(k + 20 * n, *rest) for k, *rest in rows], 5)
+        state, query = start_fact_stream(spark, f"{src}/*", "k int, d date, v string, u timestamp_ntz", lambda b: b, "arrival",
+                                         "k", "d", "u", max_files_per_trigger=None, root=f"{src}-root")
+        query.awaitTermination(300)
+        assert state._months()._last_commit() == n + 1             # a merge, so a rewritten month, for each arrival
+    assert sorted(r.k for r in state.table().collect()) == list(range(60))
+
+
+def _arrive_in_files(spark, src, n, rows, files):
+    spark.createDataFrame(rows, "k int, d string, v string, u string").select(
+        "k", F.col("d").cast("date").alias("d"), "v", F.col("u").cast("timestamp_ntz").alias("u")).repartition(
+        files).write.parquet(f"{src}/part={n}")
