@@ -212,11 +212,13 @@ def may_hold(keys: DataFrame, column: str) -> Callable[[Column], Column]:
     return lambda value: held(*bits(value))
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, str]:
-    """Rows (toxic, text_key, text, n): the texts of each label that are not held out, and how many rows have them.
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows (toxic, text_key, text, n): the texts of each label that are not held out, and how many rows have them."""
+    return stored_labelled(docs, labels)[0]
 
-    They are stored; the table and its path.
-    """
+
+def stored_labelled(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, str]:
+    """The rows of ``labelled`` as a stored table, and its path."""
     spark = docs.sparkSession
     labels = labels.filter("toxic in (0, 1) and doc_id is not null").filter(~held_out("doc_id")).select(
         "doc_id", F.col("toxic").cast("int").alias("toxic"))
@@ -252,7 +254,7 @@ def sample(texts: DataFrame, toxic: int, rows: int, n_bytes: int) -> list[tuple[
 def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_bytes: int = FIT_BYTES) -> Model:
     """Fit to labels (doc_id, toxic) of documents (doc_id, text) that are not held out."""
     spark = docs.sparkSession
-    texts, texts_path = labelled(docs, labels)
+    texts, texts_path = stored_labelled(docs, labels)
     classes = {r["toxic"]: r for r in texts.groupBy("toxic").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts")
                                                                  ).collect()}
     if len(classes) < 2:
