@@ -75,3 +75,17 @@ def test_history_with_periodic_materialisation(spark):
     h = build_history(extracts, "id_empleado", ["puesto"], materialize_every=2)
     assert h.count() == 6
     assert h.filter(F.col("dbt_valid_to").isNull()).count() == 1
+
+
+def test_references_to_a_parent_are_counted_in_one_shuffle(spark):
+    from brasa.operators.quality import reference_report, reference_reports
+    child = spark.createDataFrame([("a", "x"), ("a", None), ("z", "b"), ("z", "x"), (None, "a")], "p string, q string")
+    other = spark.createDataFrame([("y",), ("a",), (None,)], "p string")
+    keys = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "k string")
+    got = reference_reports([("child", child, "p"), ("child", child, "q"), ("other", other, "p")], "parent", keys, "k")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert got.columns == ["child", "column_name", "parent", "orphans"]
+    assert sorted(map(tuple, got.collect())) == [("child", "p", "parent", 2), ("child", "q", "parent", 2), ("other", "p", "parent", 1)]
+    assert tuple(reference_report("other", other, "p", "none", keys.limit(0), "k").first()) == ("other", "p", "none", 2)
+    assert reference_report("none", other.limit(0), "p", "parent", keys, "k").first().orphans == 0
